@@ -109,3 +109,158 @@ SQL["rows_per_vehicle"] = scene("SELECT vehicle, count(*) AS count FROM ego GROU
 SQL["label_counts"] = scene("SELECT status, count(*) AS count FROM final GROUP BY status")
 SQL["labelled_total"] = scene(
     "SELECT count(*) FILTER (WHERE status <> 0) AS labelled_rows FROM final")
+
+
+# --- sequence operators -----------------------------------------------------------------
+
+def with_rec(body: str, **ctes: str) -> str:
+    return "WITH RECURSIVE " + with_(body, **ctes)[len("WITH "):]
+
+
+def _eq(a: str, b: str, cols: list[str]) -> str:
+    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in cols)
+
+
+def scan_ctes(base: str, group: list[str], value: str, mn: int, mx: int, lo: float,
+              hi: float | None, tol: float = 0.001, jump: int = 41, p: str = "s") -> dict:
+    """Greedy yaw-return scan: every candidate pair by self-join, first hit
+    per row, then the walk from row 0 as a recursive CTE."""
+    g = ", ".join(group)
+    hi_cond = f" AND abs(m.{value} - a.{value}) < {hi!r}" if hi is not None else ""
+    mid = "((a.i + b.i) // 2 + ((a.i + b.i) % 2) * (((a.i + b.i) // 2) % 2))"
+    return {
+        f"{p}_g": (f"SELECT {g}, ptp_time, {value}, row_number() OVER "
+                   f"(PARTITION BY {g} ORDER BY ptp_time) - 1 AS i FROM {base}"),
+        f"{p}_cand": (f"SELECT {', '.join('a.' + c for c in group)}, a.i, b.i - a.i AS k, "
+                      f"b.ptp_time AS tj FROM {p}_g a JOIN {p}_g b ON {_eq('a', 'b', group)} "
+                      f"AND b.i BETWEEN a.i + 1 AND a.i + {mx} "
+                      f"JOIN {p}_g m ON {_eq('a', 'm', group)} AND m.i = {mid} "
+                      f"WHERE abs(b.{value} - a.{value}) <= {tol!r} "
+                      f"AND abs(m.{value} - a.{value}) > {lo!r}{hi_cond}"),
+        f"{p}_first": (f"SELECT {g}, i, min(k) AS k, arg_min(tj, k) AS tj FROM {p}_cand "
+                       f"GROUP BY {g}, i"),
+        f"{p}_steps": (f"SELECT {', '.join('x.' + c for c in group)}, x.i, x.ptp_time AS ti, f.k, f.tj, "
+                       f"CASE WHEN f.k IS NULL THEN 1 WHEN f.k >= {mn} THEN {jump} ELSE 2 END AS step "
+                       f"FROM {p}_g x LEFT JOIN {p}_first f ON {_eq('x', 'f', group)} AND x.i = f.i"),
+        f"{p}_walk": (f"SELECT DISTINCT {g}, CAST(0 AS BIGINT) AS i FROM {p}_g UNION ALL "
+                      f"SELECT {', '.join('w.' + c for c in group)}, w.i + st.step FROM {p}_walk w "
+                      f"JOIN {p}_steps st ON {_eq('w', 'st', group)} AND st.i = w.i"),
+        f"{p}_pairs": (f"SELECT {', '.join('st.' + c for c in group)}, st.i, st.i + st.k AS j, "
+                       f"st.ti AS t_i, st.tj AS t_j FROM {p}_walk w JOIN {p}_steps st "
+                       f"ON {_eq('w', 'st', group)} AND st.i = w.i WHERE st.step = {jump} "
+                       f"AND st.k >= {mn}"),
+    }
+
+
+TRACK = dict(
+    tr=fx("track"),
+    ti=fx("track_interval"),
+    tin=("SELECT t.*, v.id FROM tr t JOIN ti v ON t.recording_id = v.recording_id "
+         "AND t.ptp_time >= v.start_time AND t.ptp_time <= v.end_time"),
+)
+TG = ["recording_id", "id"]
+
+
+def stitch_ctes(src: str, group: list[str], p: str = "ps") -> dict:
+    g = ", ".join(group)
+    w = f"(PARTITION BY {g} ORDER BY ptp_time)"
+    jump = (f"(row_no >= 2 AND (abs(PositionX - x1) > 20 OR abs(PositionY - y1) > 20))")
+    run = f"OVER (PARTITION BY {g} ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return {
+        f"{p}0": (f"SELECT *, row_number() OVER {w} - 1 AS row_no, "
+                  f"lag(PositionX, 1) OVER {w} AS x1, lag(PositionX, 2) OVER {w} AS x2, "
+                  f"lag(PositionY, 1) OVER {w} AS y1, lag(PositionY, 2) OVER {w} AS y2, "
+                  f"lag(PositionZ, 1) OVER {w} AS z1, lag(PositionZ, 2) OVER {w} AS z2 FROM {src}"),
+        f"{p}1": (f"SELECT *, {jump} AS is_jump, "
+                  f"CASE WHEN {jump} THEN x1 * 1.5 - x2 * 0.5 ELSE 0 END AS dx, "
+                  f"CASE WHEN {jump} THEN y1 * 1.5 - y2 * 0.5 ELSE 0 END AS dy, "
+                  f"CASE WHEN {jump} THEN z1 * 1.5 - z2 * 0.5 ELSE 0 END AS dz FROM {p}0"),
+        f"{p}": (f"SELECT * REPLACE (PositionX + sum(dx) {run} AS PositionX, "
+                 f"PositionY + sum(dy) {run} AS PositionY, PositionZ + sum(dz) {run} AS PositionZ) "
+                 f"FROM {p}1"),
+    }
+
+
+def heading_ctes(src: str, group: list[str], p: str = "hd") -> dict:
+    g = ", ".join(group)
+    w = f"(PARTITION BY {g} ORDER BY row_no)"
+    return {
+        f"{p}0": (f"SELECT *, CASE WHEN row_no >= 5 THEN atan2(PositionY - lag(PositionY, 5) OVER {w}, "
+                  f"PositionX - lag(PositionX, 5) OVER {w}) END AS angle0 FROM {src}"),
+        f"{p}5": f"SELECT {g}, angle0 AS a5 FROM {p}0 WHERE row_no = 5",
+        f"{p}": (f"SELECT x.*, CASE WHEN x.row_no < 5 THEN y.a5 ELSE x.angle0 END AS angle "
+                 f"FROM {p}0 x LEFT JOIN {p}5 y ON {_eq('x', 'y', group)}"),
+    }
+
+
+def scan_sql(spec, value="Yaw", base="tin", pre: dict | None = None, select=None) -> str:
+    mn, mx, lo, hi = spec
+    ctes = dict(TRACK)
+    ctes.update(pre or {})
+    ctes.update(scan_ctes(base, TG, value, mn, mx, lo, hi))
+    return with_rec(select or "SELECT * FROM s_pairs", **ctes)
+
+
+SQL["lane_change_scan"] = scan_sql((40, 70, 0.015, 0.1))
+SQL["lane_change_scan_b"] = scan_sql((40, 80, 0.013, 0.2))
+SQL["long_manoeuvre_scan"] = scan_sql((100, 150, 0.015, None))
+WINDOWS_A = ("SELECT *, round(t_i * 0.5 - 6.0 + t_j * 0.5, 6) AS lc_start, "
+             "round(t_i * 0.5 + 6.0 + t_j * 0.5, 6) AS lc_end FROM s_pairs")
+SQL["lane_change_windows"] = scan_sql((30, 70, 0.015, 0.1), select=WINDOWS_A)
+
+
+def _two_scans(first, second, body: str) -> str:
+    ctes = dict(TRACK)
+    ctes.update(scan_ctes("tin", TG, "Yaw", *first, p="a"))
+    ctes.update(scan_ctes("tin", TG, "Yaw", *second, p="b"))
+    return with_rec(body, **ctes)
+
+
+SQL["lane_change_refined"] = _two_scans(
+    (40, 70, 0.015, 0.1), (100, 150, 0.015, None),
+    "SELECT * FROM a_pairs s WHERE NOT EXISTS (SELECT 1 FROM b_pairs l WHERE "
+    "l.recording_id = s.recording_id AND l.id = s.id AND l.t_i <= s.t_i AND l.t_j >= s.t_j)")
+SQL["containment_anti"] = _two_scans(
+    (30, 70, 0.015, 0.1), (100, 150, 0.015, None),
+    "SELECT recording_id, id, i, j, round(lc_start, 6) AS lc_start, round(lc_end, 6) AS lc_end "
+    "FROM (SELECT *, t_i * 0.5 - 6.0 + t_j * 0.5 AS lc_start, t_i * 0.5 + 6.0 + t_j * 0.5 AS lc_end "
+    "FROM a_pairs) s WHERE NOT EXISTS (SELECT 1 FROM b_pairs l WHERE "
+    "l.recording_id = s.recording_id AND l.id = s.id AND l.t_i <= s.lc_start AND l.t_j >= s.lc_end)")
+
+_ST = stitch_ctes("tr", ["recording_id"])
+SQL["position_stitch"] = with_(
+    "SELECT recording_id, ptp_time, row_no, round(PositionX, 6) AS PositionX, "
+    "round(PositionY, 6) AS PositionY, round(PositionZ, 6) AS PositionZ, is_jump FROM ps",
+    tr=fx("track"), **_ST)
+_HD = heading_ctes("(SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY ptp_time) - 1 "
+                   "AS row_no FROM tr)", ["recording_id"])
+SQL["heading"] = with_("SELECT recording_id, ptp_time, row_no, round(angle, 6) AS angle FROM hd",
+                       tr=fx("track"), **_HD)
+SQL["trajectory_pipeline"] = scan_sql((40, 70, 0.015, 0.1))
+SQL["heading_scan"] = scan_sql(
+    (45, 80, 0.01, 0.02), value="angle", base="hd",
+    pre={**stitch_ctes("tin", TG), **heading_ctes("ps", TG)})
+
+SQL["polyline_merge"] = with_(
+    "SELECT recording_id, ptp_time, run_no, any_value(TrackingID) AS TrackingID, "
+    "min(line_seq) AS line_seq, sum(len(BoundaryLineX)) AS n_points, "
+    "arg_max(BoundaryLineX[len(BoundaryLineX)], line_seq) AS x_last, "
+    "round(sum(list_sum(BoundaryLineY)), 6) AS y_sum, "
+    "round(arg_max(BoundaryLineY[len(BoundaryLineY)], line_seq), 6) AS y_last "
+    "FROM runs GROUP BY recording_id, ptp_time, run_no",
+    pl=fx("polyline"),
+    marks=("SELECT *, coalesce(lag(TrackingID) OVER (PARTITION BY recording_id, ptp_time "
+           "ORDER BY line_seq) <> TrackingID, true) AS new_run FROM pl"),
+    runs=("SELECT *, sum(CAST(new_run AS INTEGER)) OVER (PARTITION BY recording_id, ptp_time "
+          "ORDER BY line_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_no FROM marks"),
+)
+SQL["pose_recentre"] = with_(
+    "SELECT t.recording_id, t.ptp_time, round(t.PositionX - r.PositionX, 6) AS AdjustedPositionX, "
+    "round(t.PositionY - r.PositionY, 6) AS AdjustedPositionY FROM tr t JOIN "
+    "(SELECT t2.recording_id, t2.PositionX, t2.PositionY FROM tr t2 JOIN reft USING (recording_id) "
+    "WHERE abs(t2.ptp_time - reft.ref_time) < 0.05 "
+    "QUALIFY row_number() OVER (PARTITION BY t2.recording_id ORDER BY t2.ptp_time) = 1) r "
+    "USING (recording_id)",
+    tr=fx("track"),
+    reft="SELECT recording_id, min(ptp_time) AS ref_time FROM tr WHERE ptp_time >= 100 GROUP BY 1",
+)

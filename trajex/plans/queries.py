@@ -149,3 +149,119 @@ def q_label_counts(spark, sf) -> DataFrame:
 @query("labelled_total")
 def q_labelled_total(spark, sf) -> DataFrame:
     return lab.labelled_total(scn.scenario_labels(scene_inputs(spark, sf)))
+
+
+# --- sequence operators ----------------------------------------------------------------
+
+from trajex.operators import sequence as seq  # noqa: E402
+from trajex.schema import (SCAN_BASIC, SCAN_HEADING, SCAN_LONG, SCAN_PIPELINE_A,  # noqa: E402
+                           SCAN_PIPELINE_B, ScanParams)
+
+TG = ["recording_id", "id"]
+
+
+def track_in_intervals(spark, sf, pad: float = 0.0):
+    iv = fx.track_intervals(spark, sf)
+    if pad:
+        iv = flt.interval_pad(iv, pad)
+    return flt.within_intervals(fx.track(spark, sf), iv, keep=("id",))
+
+
+def _pairs(df):
+    return df.select(*TG, "i", "j", "t_i", "t_j")
+
+
+@query("lane_change_scan")
+def q_lane_change_scan(spark, sf) -> DataFrame:
+    """W1 basic variant over every (recording, interval) group."""
+    return _pairs(seq.yaw_return_scan(track_in_intervals(spark, sf), TG, ScanParams.of(SCAN_BASIC)))
+
+
+@query("lane_change_windows")
+def q_lane_change_windows(spark, sf) -> DataFrame:
+    """W1 pipeline-A variant plus W2 windows."""
+    p = seq.yaw_return_scan(track_in_intervals(spark, sf), TG, ScanParams.of(SCAN_PIPELINE_A))
+    w = seq.lane_change_windows(p)
+    return w.select(*TG, "i", "j", "t_i", "t_j", r6("lc_start"), r6("lc_end"))
+
+
+@query("lane_change_scan_b")
+def q_lane_change_scan_b(spark, sf) -> DataFrame:
+    """W1 pipeline-B thresholds (40, 80, 0.013, 0.2) on the unpadded slice."""
+    return _pairs(seq.yaw_return_scan(track_in_intervals(spark, sf), TG,
+                                      ScanParams.of(SCAN_PIPELINE_B)))
+
+
+@query("long_manoeuvre_scan")
+def q_long_manoeuvre_scan(spark, sf) -> DataFrame:
+    """100..150 rows, no upper amplitude."""
+    return _pairs(seq.yaw_return_scan(track_in_intervals(spark, sf), TG, ScanParams.of(SCAN_LONG)))
+
+
+@query("lane_change_refined")
+def q_lane_change_refined(spark, sf) -> DataFrame:
+    """Basic pairs not contained in a long-manoeuvre pair."""
+    tr = track_in_intervals(spark, sf)
+    short = _pairs(seq.yaw_return_scan(tr, TG, ScanParams.of(SCAN_BASIC)))
+    long = _pairs(seq.yaw_return_scan(tr, TG, ScanParams.of(SCAN_LONG)))
+    return seq.containment_anti(short, long, TG)
+
+
+@query("containment_anti")
+def q_containment_anti(spark, sf) -> DataFrame:
+    """Pipeline-A windows not inside a long-manoeuvre pair."""
+    tr = track_in_intervals(spark, sf)
+    short = seq.lane_change_windows(seq.yaw_return_scan(tr, TG, ScanParams.of(SCAN_PIPELINE_A)))
+    long = seq.yaw_return_scan(tr, TG, ScanParams.of(SCAN_LONG))
+    out = seq.containment_anti(short, long, TG, start="lc_start", end="lc_end")
+    return out.select(*TG, "i", "j", r6("lc_start"), r6("lc_end"))
+
+
+@query("position_stitch")
+def q_position_stitch(spark, sf) -> DataFrame:
+    """W6 over each whole recording."""
+    st = seq.position_stitch(fx.track(spark, sf), ["recording_id"])
+    return st.select("recording_id", "ptp_time", "row_no", r6("PositionX"), r6("PositionY"),
+                     r6("PositionZ"), F.col("_jump").alias("is_jump"))
+
+
+@query("heading")
+def q_heading(spark, sf) -> DataFrame:
+    """W7 over each whole recording."""
+    h = seq.heading(fx.track(spark, sf), ["recording_id"])
+    return h.select("recording_id", "ptp_time", "row_no", r6("angle"))
+
+
+@query("trajectory_pipeline")
+def q_trajectory_pipeline(spark, sf) -> DataFrame:
+    """Per interval slice, stitch positions, add heading, scan yaw."""
+    proc = seq.trajectory_process(track_in_intervals(spark, sf), TG)
+    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_BASIC)))
+
+
+@query("heading_scan")
+def q_heading_scan(spark, sf) -> DataFrame:
+    """The return scan on the heading angle (45..80 rows, 0.01..0.02)."""
+    proc = seq.trajectory_process(track_in_intervals(spark, sf), TG)
+    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_HEADING), value="angle"))
+
+
+@query("polyline_merge")
+def q_polyline_merge(spark, sf) -> DataFrame:
+    """Merged lane lines per scene, summarised (point count, ends, sums)."""
+    m = seq.polyline_merge(fx.polylines(spark, sf), ["recording_id", "ptp_time"])
+    return m.select("recording_id", "ptp_time", "run_no", "TrackingID", "line_seq",
+                    F.size("BoundaryLineX").alias("n_points"),
+                    F.element_at("BoundaryLineX", -1).alias("x_last"),
+                    F.round(F.aggregate("BoundaryLineY", F.lit(0.0), lambda a, v: a + v), 6).alias("y_sum"),
+                    F.round(F.element_at("BoundaryLineY", -1), 6).alias("y_last"))
+
+
+@query("pose_recentre")
+def q_pose_recentre(spark, sf) -> DataFrame:
+    """Positions relative to the pose at each recording's first time at
+    or after 100 s."""
+    tr = fx.track(spark, sf)
+    ref = tr.where("ptp_time >= 100").groupBy("recording_id").agg(F.min("ptp_time").alias("ref_time"))
+    out = seq.pose_recentre(tr, ref)
+    return out.select("recording_id", "ptp_time", r6("AdjustedPositionX"), r6("AdjustedPositionY"))
