@@ -264,3 +264,111 @@ SQL["pose_recentre"] = with_(
     tr=fx("track"),
     reft="SELECT recording_id, min(ptp_time) AS ref_time FROM tr WHERE ptp_time >= 100 GROUP BY 1",
 )
+
+
+# --- geometry ----------------------------------------------------------------------------
+
+def d_len(x="BoundaryLineX", y="BoundaryLineY") -> str:
+    n = f"least(len({x}), len({y}))"
+    seg = f"sqrt(pow({x}[k + 1] - {x}[k], 2) + pow({y}[k + 1] - {y}[k], 2))"
+    return (f"CASE WHEN {n} >= 2 THEN list_reduce(list_transform(range(1, {n}), lambda k: {seg}), "
+            f"lambda a, b: a + b) ELSE CAST(0 AS DOUBLE) END")
+
+
+def d_near(x: str, y: str, px: str, py: str, d: float) -> str:
+    n = f"least(len({x}), len({y}))"
+    ax, ay = f"{x}[k]", f"{y}[k]"
+    vx, vy = f"({x}[k + 1] - {ax})", f"({y}[k + 1] - {ay})"
+    wx, wy = f"({px} - {ax})", f"({py} - {ay})"
+    ll = f"({vx} * {vx} + {vy} * {vy})"
+    t = (f"(CASE WHEN {ll} = 0 THEN CAST(0 AS DOUBLE) ELSE greatest(CAST(0 AS DOUBLE), "
+         f"least(CAST(1 AS DOUBLE), ({wx} * {vx} + {wy} * {vy}) / {ll})) END)")
+    dist = f"sqrt(({wx} - {t} * {vx}) * ({wx} - {t} * {vx}) + ({wy} - {t} * {vy}) * ({wy} - {t} * {vy}))"
+    return (f"CASE WHEN {n} < 2 THEN false ELSE "
+            f"len(list_filter(range(1, {n}), lambda k: {dist} < {d!r})) > 0 END")
+
+
+R2_CTES = dict(
+    pl=fx("polyline"),
+    pl_m=("SELECT *, least(len(BoundaryLineX), len(BoundaryLineY)) AS n, "
+          "list_reduce(BoundaryLineX[1:least(len(BoundaryLineX), len(BoundaryLineY))], "
+          "lambda a, b: a + b) / least(len(BoundaryLineX), len(BoundaryLineY)) AS mx, "
+          "list_reduce(BoundaryLineY[1:least(len(BoundaryLineX), len(BoundaryLineY))], "
+          "lambda a, b: a + b) / least(len(BoundaryLineX), len(BoundaryLineY)) AS my FROM pl"),
+    pl_s=("SELECT *, "
+          "list_reduce(list_transform(range(1, n + 1), lambda k: (BoundaryLineX[k] - mx) * "
+          "(BoundaryLineX[k] - mx)), lambda a, b: a + b) AS sxx, "
+          "list_reduce(list_transform(range(1, n + 1), lambda k: (BoundaryLineY[k] - my) * "
+          "(BoundaryLineY[k] - my)), lambda a, b: a + b) AS syy, "
+          "list_reduce(list_transform(range(1, n + 1), lambda k: (BoundaryLineX[k] - mx) * "
+          "(BoundaryLineY[k] - my)), lambda a, b: a + b) AS sxy FROM pl_m"),
+    pl_r2=(f"SELECT *, CASE WHEN n <= 2 THEN 1.0 WHEN syy = 0 THEN 1.0 WHEN sxx = 0 THEN 0.0 "
+           f"ELSE sxy * sxy / (sxx * syy) END AS r2, {d_len()} AS length FROM pl_s"),
+    scene=("SELECT recording_id, ptp_time, "
+           "sum(CASE WHEN r2 > 0.97 THEN length ELSE 0 END) / nullif(sum(length), 0) AS share "
+           "FROM pl_r2 GROUP BY recording_id, ptp_time"),
+)
+
+SQL["polyline_length"] = with_(
+    f"SELECT recording_id, ptp_time, line_seq, round({d_len()}, 6) AS length FROM pl",
+    pl=fx("polyline"))
+SQL["polyline_straightness"] = with_(
+    "SELECT recording_id, ptp_time, line_seq, round(r2, 6) AS r2 FROM pl_r2", **R2_CTES)
+SQL["straight_scene"] = with_(
+    "SELECT recording_id, ptp_time, round(share, 6) AS straight_share, "
+    "coalesce(share > 0.6, false) AS is_straight FROM scene", **R2_CTES)
+SQL["straight_times"] = with_(
+    "SELECT recording_id, ptp_time FROM scene WHERE share > 0.6", **R2_CTES)
+SQL["point_near_polyline"] = with_(
+    "SELECT l.recording_id, l.ptp_time, l.TrackingID, "
+    f"{d_near('l.BoundaryLineX', 'l.BoundaryLineY', 't.PositionX', 't.PositionY', 0.1)} AS near_01, "
+    f"{d_near('l.BoundaryLineX', 'l.BoundaryLineY', 't.PositionX', 't.PositionY', 0.5)} AS near_05 "
+    "FROM lanes l JOIN tr t ON l.recording_id = t.recording_id AND l.ptp_time = t.ptp_time",
+    lanes=lane_line_sql(), tr=fx("track"))
+
+
+def lane_change_sql(spec, pad: int, body: str) -> str:
+    mn, mx, lo, hi = spec
+    ctes = dict(tr=fx("track"), ti=fx("track_interval"), lanes=lane_line_sql())
+    ctes["tin"] = ("SELECT t.*, v.id FROM tr t JOIN ti v ON t.recording_id = v.recording_id "
+                   f"AND t.ptp_time >= v.start_time - {pad} AND t.ptp_time <= v.end_time + {pad}")
+    ctes.update(scan_ctes("tin", TG, "Yaw", mn, mx, lo, hi))
+    ctes["win"] = "SELECT *, t_i * 0.5 - 6.0 + t_j * 0.5 AS lc_start, t_i * 0.5 + 6.0 + t_j * 0.5 AS lc_end FROM s_pairs"
+    ctes["firstego"] = ("SELECT w.recording_id, w.id, w.i, w.lc_start, w.lc_end, "
+                        "arg_min(e.ptp_time, e.ptp_time) AS et, arg_min(e.PositionX, e.ptp_time) AS ex, "
+                        "arg_min(e.PositionY, e.ptp_time) AS ey FROM win w JOIN tin e "
+                        "ON e.recording_id = w.recording_id AND e.id = w.id "
+                        "AND e.ptp_time >= w.lc_start AND e.ptp_time <= w.lc_end "
+                        "GROUP BY w.recording_id, w.id, w.i, w.lc_start, w.lc_end")
+    ctes["valid"] = ("SELECT f.recording_id, f.id, f.i, f.lc_start, f.lc_end FROM firstego f "
+                     "JOIN ti v ON v.recording_id = f.recording_id AND v.id = f.id "
+                     "JOIN lanes l ON l.recording_id = f.recording_id AND l.ptp_time = f.et "
+                     "AND l.ptp_time >= v.start_time AND l.ptp_time <= v.end_time WHERE "
+                     f"{d_near('l.BoundaryLineX', 'l.BoundaryLineY', 'f.ex', 'f.ey', 0.1)}")
+    return with_rec(body, **ctes)
+
+
+VALID_ROWS = ("SELECT recording_id, id, i, round(lc_start, 6) AS lc_start, "
+              "round(lc_end, 6) AS lc_end FROM valid")
+EXPORT = ("SELECT recording_id, id, count(*) AS n_windows, '[' || string_agg('(' || "
+          "CAST(lc_start AS VARCHAR) || ', ' || CAST(lc_end AS VARCHAR) || ')', ', ' "
+          "ORDER BY lc_start, lc_end) || ']' AS lc FROM valid GROUP BY recording_id, id")
+SQL["lane_change_validate"] = lane_change_sql((30, 70, 0.015, 0.1), 0, VALID_ROWS)
+SQL["lane_change_pipeline"] = lane_change_sql((30, 70, 0.015, 0.1), 0, EXPORT)
+SQL["lane_change_pipeline_padded"] = lane_change_sql((40, 80, 0.013, 0.2), 10, VALID_ROWS)
+SQL["lane_change_export"] = lane_change_sql(
+    (30, 70, 0.015, 0.1), 0, f"SELECT recording_id, lc FROM ({EXPORT})")
+
+SQL["boundary_cross_any"] = with_(
+    "SELECT v.recording_id, v.id, coalesce(h.crossed, false) AS crossed FROM "
+    "(SELECT DISTINCT recording_id, id FROM ti) v LEFT JOIN hit h "
+    "ON h.recording_id = v.recording_id AND h.id = v.id",
+    tr=fx("track"), ti=fx("track_interval"), lanes=lane_line_sql(),
+    e=("SELECT t.recording_id, v.id, t.ptp_time, t.PositionX, t.PositionY FROM tr t JOIN ti v "
+       "ON t.recording_id = v.recording_id AND t.ptp_time BETWEEN v.start_time AND v.end_time"),
+    l=("SELECT ln.*, v.id FROM lanes ln JOIN ti v ON ln.recording_id = v.recording_id "
+       "AND ln.ptp_time BETWEEN v.start_time AND v.end_time"),
+    hit=("SELECT DISTINCT e.recording_id, e.id, true AS crossed FROM e JOIN l "
+         "ON e.recording_id = l.recording_id AND e.id = l.id AND l.ptp_time > e.ptp_time WHERE "
+         f"{d_near('l.BoundaryLineX', 'l.BoundaryLineY', 'e.PositionX', 'e.PositionY', 0.5)}"),
+)

@@ -265,3 +265,83 @@ def q_pose_recentre(spark, sf) -> DataFrame:
     ref = tr.where("ptp_time >= 100").groupBy("recording_id").agg(F.min("ptp_time").alias("ref_time"))
     out = seq.pose_recentre(tr, ref)
     return out.select("recording_id", "ptp_time", r6("AdjustedPositionX"), r6("AdjustedPositionY"))
+
+
+# --- geometry ---------------------------------------------------------------------------
+
+from trajex.functions import geometry as geo  # noqa: E402
+from trajex.operators import geometry as geom  # noqa: E402
+from trajex.plans import lane_change as lcp  # noqa: E402
+
+SCENE_KEY = ["recording_id", "ptp_time"]
+
+
+@query("polyline_length")
+def q_polyline_length(spark, sf) -> DataFrame:
+    return fx.polylines(spark, sf).select(*SCENE_KEY, "line_seq",
+                                          F.round(geo.polyline_length(), 6).alias("length"))
+
+
+@query("polyline_straightness")
+def q_polyline_straightness(spark, sf) -> DataFrame:
+    return fx.polylines(spark, sf).select(*SCENE_KEY, "line_seq",
+                                          F.round(geo.polyline_straightness(), 6).alias("r2"))
+
+
+@query("point_near_polyline")
+def q_point_near_polyline(spark, sf) -> DataFrame:
+    """Each lane line against the ego position at the same time."""
+    j = fx.lane_lines(spark, sf).join(fx.track(spark, sf), SCENE_KEY)
+    return j.select(*SCENE_KEY, "TrackingID",
+                    geo.point_near_polyline("BoundaryLineX", "BoundaryLineY", "PositionX",
+                                            "PositionY", 0.1).alias("near_01"),
+                    geo.point_near_polyline("BoundaryLineX", "BoundaryLineY", "PositionX",
+                                            "PositionY", 0.5).alias("near_05"))
+
+
+@query("straight_scene")
+def q_straight_scene(spark, sf) -> DataFrame:
+    s = geom.scene_straightness(fx.polylines(spark, sf), SCENE_KEY)
+    return s.select(*SCENE_KEY, r6("straight_share"), "is_straight")
+
+
+@query("straight_times")
+def q_straight_times(spark, sf) -> DataFrame:
+    return geom.straight_times(fx.polylines(spark, sf), SCENE_KEY)
+
+
+@query("lane_change_validate")
+def q_lane_change_validate(spark, sf) -> DataFrame:
+    """J5 on pipeline-A windows (one row per window and matching line)."""
+    out = lcp.lane_change_pipeline(fx.track(spark, sf), fx.track_intervals(spark, sf),
+                                   fx.lane_lines(spark, sf))
+    return out.select(*TG, "i", r6("lc_start"), r6("lc_end"))
+
+
+@query("lane_change_pipeline")
+def q_lane_change_pipeline(spark, sf) -> DataFrame:
+    """L6 version A as exported rows (S7 shape)."""
+    v = lcp.lane_change_pipeline(fx.track(spark, sf), fx.track_intervals(spark, sf),
+                                 fx.lane_lines(spark, sf))
+    return lcp.lane_change_export(v)
+
+
+@query("lane_change_pipeline_padded")
+def q_lane_change_pipeline_padded(spark, sf) -> DataFrame:
+    """L6 version B: 10 s ego padding, thresholds (40, 80, 0.013, 0.2)."""
+    v = lcp.lane_change_pipeline_padded(fx.track(spark, sf), fx.track_intervals(spark, sf),
+                                        fx.lane_lines(spark, sf))
+    return v.select(*TG, "i", r6("lc_start"), r6("lc_end"))
+
+
+@query("lane_change_export")
+def q_lane_change_export(spark, sf) -> DataFrame:
+    v = lcp.lane_change_pipeline(fx.track(spark, sf), fx.track_intervals(spark, sf),
+                                 fx.lane_lines(spark, sf))
+    return lcp.lane_change_export(v).select("recording_id", "lc")
+
+
+@query("boundary_cross_any")
+def q_boundary_cross_any(spark, sf) -> DataFrame:
+    return geom.boundary_cross_any(fx.track(spark, sf), fx.lane_lines(spark, sf),
+                                   fx.track_intervals(spark, sf), TG)
