@@ -372,3 +372,96 @@ SQL["boundary_cross_any"] = with_(
          "ON e.recording_id = l.recording_id AND e.id = l.id AND l.ptp_time > e.ptp_time WHERE "
          f"{d_near('l.BoundaryLineX', 'l.BoundaryLineY', 'e.PositionX', 'e.PositionY', 0.5)}"),
 )
+
+
+# --- statistics and remaining filters ------------------------------------------------------
+
+SQL["signal_quantiles"] = with_(
+    "SELECT recording_id, quantile_disc(Yaw, 0.25) AS q25, quantile_disc(Yaw, 0.75) AS q75 "
+    "FROM tr GROUP BY recording_id", tr=fx("track"))
+SQL["signal_extent"] = with_(
+    "SELECT recording_id, max(Yaw) AS max_Yaw, min(Yaw) AS min_Yaw, max(YawRate) AS max_YawRate, "
+    "min(YawRate) AS min_YawRate, max(VelocityY) AS max_VelocityY, min(VelocityY) AS min_VelocityY "
+    "FROM tr GROUP BY recording_id", tr=fx("track"))
+SQL["distinct_counts"] = with_(
+    "SELECT count(DISTINCT recording_id) AS n_recording_id, count(DISTINCT country) AS n_country "
+    "FROM g", g=fx("gnss"))
+SQL["distinct_values"] = with_("SELECT DISTINCT tag_name_list FROM rt", rt=fx("road_type"))
+SQL["recorded_hours"] = with_(
+    "SELECT coalesce(sum(last_ptp_time - first_ptp_time), 0) AS total_seconds, "
+    "round(coalesce(sum(last_ptp_time - first_ptp_time), 0) / 3600, 6) AS hours FROM fm "
+    "WHERE first_ptp_time IS NOT NULL AND last_ptp_time IS NOT NULL "
+    "AND filename_parquet IS NOT NULL AND filename_parquet <> ''", fm=fx("file_meta"))
+IL = dict(
+    il=fx("interval_list"),
+    ilp=("SELECT recording_id, from_json(intervals, '[[\"DOUBLE\"]]') AS lst FROM il"),
+    ilx=("SELECT recording_id, generate_subscripts(lst, 1) - 1 AS pos, unnest(lst) AS pr FROM ilp"),
+    ile="SELECT recording_id, pos, pr[1] AS start_time, pr[2] AS end_time FROM ilx",
+)
+SQL["interval_list_explode"] = with_("SELECT * FROM ile", **IL)
+SQL["highway_hours"] = with_(
+    "SELECT round(sum(end_time - start_time), 6) AS total_seconds, "
+    "round(sum(end_time - start_time) / 3600, 6) AS hours FROM ile", **IL)
+
+
+def hist_sql(col: str, bins: int) -> str:
+    return with_(
+        f"SELECT bin, lo + (hi - lo) * bin / {bins} AS bin_lo, "
+        f"lo + (hi - lo) * (bin + 1) / {bins} AS bin_hi, count(*) AS count FROM "
+        f"(SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor(({col} - lo) * {bins} / (hi - lo)), "
+        f"{bins - 1}) END AS INTEGER) AS bin, lo, hi FROM tr, ext WHERE {col} IS NOT NULL) "
+        f"GROUP BY bin, lo, hi",
+        tr=fx("track"), ext=f"SELECT min({col}) AS lo, max({col}) AS hi FROM tr")
+
+
+SQL["signal_histogram"] = hist_sql("YawRate", 20)
+SQL["signal_histogram_fine"] = hist_sql("PositionX", 10000)
+SQL["signal_density"] = with_(
+    "SELECT g, round(lo + (hi - lo) * g / 199, 6) AS x, "
+    "round(sum(exp(pow((lo + (hi - lo) * g / 199 - v) / bw, 2) * -0.5)) "
+    "* (1 / sqrt(2 * pi())) / (bw * n), 6) AS density "
+    "FROM v, grid, mom GROUP BY g, lo, hi, bw, n",
+    tr=fx("track"),
+    v="SELECT CAST(YawRate AS DOUBLE) AS v FROM tr WHERE abs(YawRate) > 0.005 AND YawRate IS NOT NULL",
+    m0="SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS vmin, max(v) AS vmax FROM v",
+    mom=("SELECT n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, vmin - sd * pow(CAST(n AS DOUBLE), -0.2) * 3 AS lo, "
+         "vmax + sd * pow(CAST(n AS DOUBLE), -0.2) * 3 AS hi FROM m0"),
+    grid="SELECT range AS g FROM range(200)",
+)
+SQL["geo_centre"] = with_(
+    "SELECT round(median(etrs89_latitude), 6) AS centre_lat, "
+    "round(median(etrs89_longitude), 6) AS centre_lon FROM g", g=fx("gnss"))
+SQL["geo_density"] = with_(
+    "SELECT floor(etrs89_latitude / 1.0)::BIGINT AS cell_lat, floor(etrs89_longitude / 1.0)::BIGINT AS cell_lon, "
+    "count(*) AS count FROM g GROUP BY 1, 2", g=fx("gnss"))
+SQL["epoch_convert"] = with_(
+    "SELECT recording_id, ptp_time, strftime(make_timestamp(CAST(round(ptp_time * 1000000) AS BIGINT)), "
+    "'%Y-%m-%d %H:%M:%S.%g') AS ts_text, "
+    "CAST(round(ptp_time * 1000000) AS BIGINT) / 1000000.0 AS back FROM tr", tr=fx("track"))
+SQL["drop_constant_columns"] = with_(
+    "SELECT recording_id, ptp_time, Yaw, YawRate, PositionX, Unused FROM s", s=fx("signal"))
+HIGHWAY_TAGS = ("('[Road, Type, Primary highway]', '[Road, Type, Secondary highway]', "
+                "'[Road, Type, Motorway]')")
+SQL["road_type_filter"] = with_(
+    f"SELECT * FROM rt WHERE tag_name_list IN {HIGHWAY_TAGS} AND recording_id = '3'",
+    rt=fx("road_type"))
+SQL["highway_times"] = with_(
+    f"SELECT DISTINCT start_datetime, end_datetime FROM rt WHERE tag_name_list IN {HIGHWAY_TAGS} "
+    "AND recording_id = '3' ORDER BY start_datetime", rt=fx("road_type"))
+SQL["country_split"] = with_(
+    "SELECT recording_id, country, CASE WHEN country = 'Japan' THEN 'japan' "
+    "WHEN country = 'Brazil' THEN 'brazil' ELSE 'europe' END AS country_group, etrs89_latitude "
+    "FROM g WHERE country <> 'no country'", g=fx("gnss"))
+SQL["odd_motion"] = with_("SELECT * FROM tr WHERE VelocityY > 15 AND abs(VelocityX) < 2",
+                          tr=fx("track"))
+SQL["yaw_rate_filter"] = with_(
+    "SELECT recording_id, ptp_time, YawRate FROM tr WHERE abs(YawRate) > 0.005", tr=fx("track"))
+SQL["interval_pad"] = with_(
+    "SELECT recording_id, id, start_time - 10 AS start_time, end_time + 10 AS end_time FROM ti",
+    ti=fx("track_interval"))
+SQL["time_slice"] = with_(
+    "SELECT * FROM tr WHERE recording_id = 'FH2003_20220313_00' AND ptp_time BETWEEN 100 AND 900",
+    tr=fx("track"))
+SQL["time_slice_text"] = SQL["time_slice"]
+SQL["first_rows"] = with_("SELECT * FROM tr ORDER BY ptp_time, recording_id LIMIT 10",
+                          tr=fx("track"))

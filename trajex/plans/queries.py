@@ -345,3 +345,139 @@ def q_lane_change_export(spark, sf) -> DataFrame:
 def q_boundary_cross_any(spark, sf) -> DataFrame:
     return geom.boundary_cross_any(fx.track(spark, sf), fx.lane_lines(spark, sf),
                                    fx.track_intervals(spark, sf), TG)
+
+
+# --- statistics and remaining filters ---------------------------------------------------
+
+from trajex.operators import stats as sts  # noqa: E402
+from trajex.sources import intervals as ivs  # noqa: E402
+
+
+@query("signal_quantiles")
+def q_signal_quantiles(spark, sf) -> DataFrame:
+    """A4: quartiles per recording with relative error 0.01 (sketch)."""
+    return sts.signal_quantiles(fx.track(spark, sf), "Yaw", rel_error=0.0001, group=["recording_id"])
+
+
+@query("signal_extent")
+def q_signal_extent(spark, sf) -> DataFrame:
+    return sts.signal_extent(fx.track(spark, sf), ["Yaw", "YawRate", "VelocityY"], ["recording_id"])
+
+
+@query("distinct_counts")
+def q_distinct_counts(spark, sf) -> DataFrame:
+    return sts.distinct_counts(fx.gnss(spark, sf), ["recording_id", "country"])
+
+
+@query("distinct_values")
+def q_distinct_values(spark, sf) -> DataFrame:
+    return sts.distinct_values(fx.road_types(spark, sf), ["tag_name_list"])
+
+
+@query("recorded_hours")
+def q_recorded_hours(spark, sf) -> DataFrame:
+    return sts.recorded_hours(fx.file_meta(spark, sf)).select("total_seconds", r6("hours"))
+
+
+@query("interval_list_explode")
+def q_interval_list_explode(spark, sf) -> DataFrame:
+    return ivs.explode_interval_list(fx.interval_lists(spark, sf))
+
+
+@query("highway_hours")
+def q_highway_hours(spark, sf) -> DataFrame:
+    h = sts.interval_hours(ivs.explode_interval_list(fx.interval_lists(spark, sf)))
+    return h.select(r6("total_seconds"), r6("hours"))
+
+
+@query("signal_histogram")
+def q_signal_histogram(spark, sf) -> DataFrame:
+    h = sts.signal_histogram(fx.track(spark, sf), "YawRate", 20)
+    return h.select("bin", "bin_lo", "bin_hi", "count")
+
+
+@query("signal_histogram_fine")
+def q_signal_histogram_fine(spark, sf) -> DataFrame:
+    h = sts.signal_histogram(fx.track(spark, sf), "PositionX", 10000)
+    return h.select("bin", "bin_lo", "bin_hi", "count")
+
+
+@query("signal_density")
+def q_signal_density(spark, sf) -> DataFrame:
+    """A10 after F12: density of yaw rate where |yaw rate| > 0.005."""
+    d = sts.signal_density(flt.turning_rows(fx.track(spark, sf)), "YawRate")
+    return d.select("g", r6("x"), r6("density"))
+
+
+@query("geo_centre")
+def q_geo_centre(spark, sf) -> DataFrame:
+    return sts.median_centre(fx.gnss(spark, sf)).select(r6("centre_lat"), r6("centre_lon"))
+
+
+@query("geo_density")
+def q_geo_density(spark, sf) -> DataFrame:
+    return sts.geo_density(fx.gnss(spark, sf), cell=1.0)
+
+
+@query("epoch_convert")
+def q_epoch_convert(spark, sf) -> DataFrame:
+    e = fx.track(spark, sf).select("recording_id", "ptp_time")
+    ts = sts.epoch_to_timestamp("ptp_time")
+    return e.select("recording_id", "ptp_time", F.date_format(F.to_utc_timestamp(ts, F.current_timezone()),
+                                                              "yyyy-MM-dd HH:mm:ss.SSS").alias("ts_text"),
+                    sts.timestamp_to_epoch(ts).alias("back"))
+
+
+@query("drop_constant_columns")
+def q_drop_constant_columns(spark, sf) -> DataFrame:
+    return flt.drop_constant_columns(fx.signals(spark, sf))
+
+
+@query("road_type_filter")
+def q_road_type_filter(spark, sf) -> DataFrame:
+    return flt.road_type_filter(fx.road_types(spark, sf), recording_id="3")
+
+
+@query("highway_times")
+def q_highway_times(spark, sf) -> DataFrame:
+    """O1: distinct (start, end) of one recording's highway tags, by start."""
+    r = flt.road_type_filter(fx.road_types(spark, sf), recording_id="3")
+    return r.select("start_datetime", "end_datetime").distinct().orderBy("start_datetime")
+
+
+@query("country_split")
+def q_country_split(spark, sf) -> DataFrame:
+    g = flt.country_group(fx.gnss(spark, sf)).where("country_group is not null")
+    return g.select("recording_id", "country", "country_group", "etrs89_latitude")
+
+
+@query("odd_motion")
+def q_odd_motion(spark, sf) -> DataFrame:
+    return flt.odd_motion(fx.track(spark, sf))
+
+
+@query("yaw_rate_filter")
+def q_yaw_rate_filter(spark, sf) -> DataFrame:
+    return flt.turning_rows(fx.track(spark, sf)).select("recording_id", "ptp_time", "YawRate")
+
+
+@query("interval_pad")
+def q_interval_pad(spark, sf) -> DataFrame:
+    return flt.interval_pad(fx.track_intervals(spark, sf))
+
+
+@query("time_slice")
+def q_time_slice(spark, sf) -> DataFrame:
+    return flt.time_slice(fx.track(spark, sf), 100.0, 900.0, recording_id="FH2003_20220313_00")
+
+
+@query("time_slice_text")
+def q_time_slice_text(spark, sf) -> DataFrame:
+    return flt.time_slice_text(fx.track(spark, sf), "1970-01-01 00:01:40.899",
+                               "1970-01-01 00:15:00.500", recording_id="FH2003_20220313_00")
+
+
+@query("first_rows")
+def q_first_rows(spark, sf) -> DataFrame:
+    """O2: first 10 rows in a total order (time, recording)."""
+    return fx.track(spark, sf).orderBy("ptp_time", "recording_id").limit(10)

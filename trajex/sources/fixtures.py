@@ -33,7 +33,9 @@ def _arr(d: str, *items: str) -> str:
 
 # Each fixture: (source table, [column expressions], where-clause or None).
 def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
-    epoch_s = ("unix_micros(cast(ts as timestamp)) div 1000000" if d == "spark"
+    # whole epoch seconds of a timestamp without zone; independent of the
+    # session time zone in both engines
+    epoch_s = ("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)" if d == "spark"
                else "epoch_us(ts) // 1000000")
     polyline_y = (
         "transform(sequence(0, 31), k -> cast(k * label as double) / 50 "
@@ -95,6 +97,16 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
             "cast(o_orderkey % 31 as double) as VelocityY",
             "o_orderkey as MessageNumber",
         ], None),
+        "signal": ("orders", [
+            f"{rec('o_custkey')} as recording_id",
+            "cast(o_orderkey as double) / 8 as ptp_time",
+            "cast((o_orderkey * 37) % 97 as double) / 1500 as Yaw",
+            "cast((o_orderkey * 13) % 41 - 20 as double) / 1000 as YawRate",
+            "cast(o_orderkey % 1000 as double) / 8 as PositionX",
+            "'ref' as source",
+            "cast(null as double) as Unused",
+            "7 as Version",
+        ], None),
         "track_interval": ("nation", [
             f"{rec('n_nationkey')} as recording_id",
             "n_nationkey as id",
@@ -187,9 +199,8 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
             "when 'view' then '[Road, Type, Primary highway]' "
             "when 'purchase' then '[Road, Type, Secondary highway]' "
             "when 'signup' then '[Road, Type, Urban]' else '[Road, Type, Rural]' end as tag_name_list",
-            "cast(ts as timestamp) as start_datetime" if d == "spark" else "ts as start_datetime",
-            "cast(ts as timestamp) + interval 10 minutes as end_datetime" if d == "spark"
-            else "ts + interval 10 minutes as end_datetime",
+            "ts as start_datetime",
+            "ts + interval 10 minutes as end_datetime",
         ], None),
     }
 
@@ -227,6 +238,7 @@ def annotations(spark, sf_dir): return load(spark, sf_dir, "annotation")
 def file_meta(spark, sf_dir): return load(spark, sf_dir, "file_meta")
 def gnss(spark, sf_dir): return load(spark, sf_dir, "gnss")
 def road_types(spark, sf_dir): return load(spark, sf_dir, "road_type")
+def signals(spark, sf_dir): return load(spark, sf_dir, "signal")
 
 
 def lane_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
