@@ -465,3 +465,137 @@ SQL["time_slice"] = with_(
 SQL["time_slice_text"] = SQL["time_slice"]
 SQL["first_rows"] = with_("SELECT * FROM tr ORDER BY ptp_time, recording_id LIMIT 10",
                           tr=fx("track"))
+
+
+# --- tables, metadata, tags, sources ------------------------------------------------------
+
+NKEYS = ("SELECT n_nationkey AS key_no, concat('FH', cast(2000 + n_nationkey % 20 as string), "
+         "'_202203', cast(10 + n_nationkey % 20 as string), '_00') AS recording_id FROM nation")
+FIXED_DATE = "2024/01/01_00:00:00"
+
+SQL["key_lookup"] = with_(
+    "SELECT f.* FROM fm f JOIN k ON f.recording_id IS NOT DISTINCT FROM k.recording_id "
+    "AND f.filename_parquet IS NOT DISTINCT FROM k.filename_parquet",
+    fm=fx("file_meta"), nk=NKEYS,
+    k=("SELECT recording_id, CASE WHEN key_no % 2 = 0 THEN NULL ELSE '' END AS filename_parquet FROM nk"))
+SQL["key_exists"] = with_(
+    "SELECT k.key_no, k.recording_id, k.filename_parquet, EXISTS (SELECT 1 FROM fm f WHERE "
+    "f.recording_id IS NOT DISTINCT FROM k.recording_id AND f.filename_parquet IS NOT DISTINCT FROM "
+    "k.filename_parquet) AS \"exists\" FROM k",
+    fm=fx("file_meta"), nk=NKEYS,
+    k=("SELECT key_no, CASE WHEN key_no % 3 = 0 THEN concat('missing_', cast(key_no AS VARCHAR)) "
+       "ELSE recording_id END AS recording_id, CAST(NULL AS VARCHAR) AS filename_parquet FROM nk"))
+NEW_ROWS = ("SELECT recording_id, CAST(key_no AS DOUBLE) AS first_ptp_time, "
+            "CAST(key_no + 5 AS DOUBLE) AS last_ptp_time, concat('new_', cast(key_no AS VARCHAR), "
+            "'.parquet') AS filename_parquet, -key_no - 1 AS file_id FROM nk")
+SQL["replace_rows"] = with_(
+    f"SELECT *, '{FIXED_DATE}' AS write_date FROM fm WHERE recording_id NOT IN "
+    f"(SELECT recording_id FROM nk WHERE key_no % 4 = 0) "
+    f"UNION ALL SELECT *, '{FIXED_DATE}' AS write_date FROM nr",
+    fm=fx("file_meta"), nk=NKEYS, nr=NEW_ROWS)
+SQL["update_by_key"] = with_(
+    "SELECT recording_id, first_ptp_time, CASE WHEN hit THEN 0.0 ELSE last_ptp_time END AS last_ptp_time, "
+    "CASE WHEN hit THEN 'updated.parquet' ELSE filename_parquet END AS filename_parquet, file_id FROM "
+    "(SELECT *, recording_id IN (SELECT recording_id FROM nk WHERE key_no % 4 = 1) AS hit FROM fm)",
+    fm=fx("file_meta"), nk=NKEYS)
+SQL["table_scan"] = "SELECT * FROM orders"
+SQL["table_write_roundtrip"] = with_(f"SELECT *, '{FIXED_DATE}' AS write_to_db_date FROM fm",
+                                     fm=fx("file_meta"))
+SQL["metadata_outer_union"] = with_(
+    "SELECT recording_id, first_ptp_time, file_id, CAST(NULL AS VARCHAR) AS country FROM fm "
+    "UNION ALL SELECT recording_id, NULL, NULL, country FROM g",
+    fm=fx("file_meta"), g=fx("gnss"))
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+AFTER = _strip("regexp_extract(line, '^.*:([^:]*)$', 1)")
+BEFORE = _strip("CASE WHEN contains(line, ':') THEN regexp_extract(line, '^(.*):[^:]*$', 1) ELSE line END")
+LOW = "lower(line)"
+PED = f"(contains({LOW}, 'pedestrian') OR (contains({LOW}, 'ped') AND NOT contains({LOW}, 'stopped')))"
+M = "func = 'MOIS'"
+RULES = [
+    (10, "start_recording", BEFORE, f"contains({LOW}, 'recording has started')"),
+    (11, "stop_recording", BEFORE, f"contains({LOW}, 'recording has stopped')"),
+    (50, "target_type", "'bike'", f"{M} AND (contains({LOW}, 'bike') OR {PED})"),
+    (60, "target_type", "'pedestrian'", f"{M} AND {PED}"),
+    (70, "scenario", "'crossing'", f"{M} AND contains({LOW}, 'target') AND contains({LOW}, 'right')"),
+    (71, "side", "'right'", f"{M} AND contains({LOW}, 'right')"),
+    (80, "scenario", "'crossing'", f"{M} AND contains({LOW}, 'target') AND contains({LOW}, 'left')"),
+    (81, "side", "'left'", f"{M} AND contains({LOW}, 'left')"),
+    (90, "scenario", "'longitudinal'", f"{M} AND contains({LOW}, 'center')"),
+    (91, "side", "'center'", f"{M} AND contains({LOW}, 'center')"),
+    (92, "target_type", "'bike'", f"{M} AND contains({LOW}, 'center')"),
+    (100, "scenario", "'longitudinal'", f"{M} AND contains({LOW}, 'follow bike')"),
+    (101, "target_type", "'bike'", f"{M} AND contains({LOW}, 'follow bike')"),
+    (110, "target_speed", AFTER, f"{M} AND contains({LOW}, 'kph') AND contains(line, ':')"),
+    (111, "scenario", "'crossing'", f"{M} AND contains({LOW}, 'kph')"),
+    (120, "target_distance", AFTER, f"{M} AND contains({LOW}, ' m') AND contains(line, ':')"),
+    (121, "scenario", "'crossing'", f"{M} AND contains({LOW}, ' m')"),
+]
+ANN = dict(
+    ann=fx("annotation"),
+    f0="SELECT path, arg_min(line, line_no) AS l0 FROM ann GROUP BY path",
+    ln=f"SELECT a.*, {_strip('f0.l0')} AS func FROM ann a JOIN f0 USING (path)",
+    cand=" UNION ALL ".join(
+        f"SELECT path, line_no * 1000 + {r} AS o, '{f}' AS f, {v} AS v FROM ln WHERE {c}"
+        for r, f, v, c in RULES),
+    fields=("SELECT path, " + ", ".join(
+        f"arg_max(v, o) FILTER (WHERE f = '{f}') AS {f}" for f in
+        ["start_recording", "stop_recording", "target_type", "scenario", "side", "target_speed",
+         "target_distance"]) + " FROM cand GROUP BY path"),
+    files=(f"SELECT path, any_value(func) AS test_function, string_agg({AFTER}, ', ' ORDER BY line_no) "
+           f"FILTER (WHERE contains({LOW}, 'ok') AND contains(line, ':')) AS pf, "
+           f"string_agg(line, ' ' ORDER BY line_no) AS full_annotation FROM ln GROUP BY path"),
+    parsed=("SELECT string_split(files.path, '/')[-3] || '_00' AS recording_id, "
+            "files.path AS annotation_filename, test_function, 'JPT4' AS test_activity, scenario, side, "
+            "target_type, target_speed, target_distance, CASE WHEN pf <> '' THEN pf END AS \"pass/fail\", "
+            "start_recording, stop_recording, full_annotation FROM files LEFT JOIN fields USING (path)"),
+)
+DBC = ("CAN1 : Backbone1J1939-T2_1.28.0, CAN2 : Backbone2-T2_1.28.0,"
+       " CAN3 : VicinityNet1-T2_1.27.0, CAN4 : VicinityNet4-T2_1.28.0,"
+       " CAN5 : VicinityNet2-T2_1.28.0, CAN6 (python 5) : vendor_w2218.dbc")
+SQL["annotation_parse"] = with_("SELECT * FROM parsed", **ANN)
+SQL["metadata_build"] = with_(
+    "SELECT *, string_split(recording_id, '_')[1] AS vehicle_id, "
+    "CAST(strptime(string_split(recording_id, '_')[2], '%Y%m%d') AS DATE) AS test_date, "
+    f"'{DBC}' AS channel_dbc_mapping FROM parsed "
+    "QUALIFY row_number() OVER (PARTITION BY recording_id ORDER BY annotation_filename) = 1", **ANN)
+SQL["recording_id_parts"] = with_(
+    "SELECT recording_id, string_split(recording_id, '_')[1] AS vehicle_id, "
+    "CAST(strptime(string_split(recording_id, '_')[2], '%Y%m%d') AS DATE) AS test_date "
+    "FROM (SELECT DISTINCT recording_id FROM fm)", fm=fx("file_meta"))
+SQL["path_recording_id"] = with_(
+    "SELECT path, string_split(path, '/')[-3] || '_00' AS recording_id FROM (SELECT DISTINCT path FROM ann)",
+    ann=fx("annotation"))
+SQL["tag_filter"] = with_(
+    "SELECT * FROM tg WHERE tag IN ('click', 'view') AND recording_id IN ("
+    + ", ".join(f"'{k}'" for k in range(1, 11)) + ")", tg=fx("tag"))
+SQL["tag_page"] = with_("SELECT * FROM tg ORDER BY tag_id LIMIT 5000 OFFSET 5000", tg=fx("tag"))
+SQL["tag_flatten"] = with_(
+    "SELECT recording_id, tag, start_time, end_time, "
+    "CAST(json_extract(props, '$.k') AS INTEGER) AS \"props.k\", tag_id FROM tg", tg=fx("tag"))
+SQL["tag_overlap"] = with_(
+    "SELECT recording_id, CAST(min(s) AS DOUBLE) AS start_time, CAST(max(e) AS DOUBLE) AS end_time "
+    "FROM isl GROUP BY recording_id, grp",
+    tg=fx("tag"),
+    t="SELECT * FROM tg WHERE tag IN ('click', 'view', 'error')",
+    ev=("SELECT recording_id, tag, start_time AS t, 1 AS d FROM t UNION ALL "
+        "SELECT recording_id, tag, end_time AS t, -1 AS d FROM t"),
+    b=("SELECT recording_id, t, sum(CASE WHEN tag = 'click' THEN d ELSE 0 END) AS d0, "
+       "sum(CASE WHEN tag = 'view' THEN d ELSE 0 END) AS d1, "
+       "sum(CASE WHEN tag = 'error' THEN d ELSE 0 END) AS d2 FROM ev GROUP BY recording_id, t"),
+    c=("SELECT recording_id, t, sum(d0) OVER w AS c0, sum(d1) OVER w AS c1, sum(d2) OVER w AS c2, "
+       "lead(t) OVER (PARTITION BY recording_id ORDER BY t) AS nt FROM b "
+       "WINDOW w AS (PARTITION BY recording_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
+    pieces="SELECT recording_id, t AS s, nt AS e FROM c WHERE c0 > 0 AND c1 > 0 AND c2 = 0 AND nt IS NOT NULL",
+    mk=("SELECT *, CASE WHEN lag(e) OVER (PARTITION BY recording_id ORDER BY s) = s THEN 0 ELSE 1 END "
+        "AS new_isl FROM pieces"),
+    isl=("SELECT *, sum(new_isl) OVER (PARTITION BY recording_id ORDER BY s "
+         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM mk"),
+)
+SQL["scan_recording"] = with_("SELECT * FROM tr WHERE recording_id = 'FH2003_20220313_00'",
+                              tr=fx("track"))
+SQL["csv_signal_scan"] = with_("SELECT * FROM tr", tr=fx("track"))

@@ -481,3 +481,139 @@ def q_time_slice_text(spark, sf) -> DataFrame:
 def q_first_rows(spark, sf) -> DataFrame:
     """O2: first 10 rows in a total order (time, recording)."""
     return fx.track(spark, sf).orderBy("ptp_time", "recording_id").limit(10)
+
+
+# --- tables, metadata, tags, sources -------------------------------------------------------
+
+from trajex.operators import metadata as md  # noqa: E402
+from trajex.operators import tables as tb  # noqa: E402
+from trajex.operators import tags as tg  # noqa: E402
+from trajex.sources import recordings as rc  # noqa: E402
+from trajex.session import table_path  # noqa: E402
+
+FIXED_DATE = "2024/01/01_00:00:00"
+
+
+def _nation_keys(spark, sf):
+    return spark.read.parquet(table_path(sf, "nation")).selectExpr(
+        "n_nationkey AS key_no", f"{fx.rec('n_nationkey')} AS recording_id")
+
+
+@query("key_lookup")
+def q_key_lookup(spark, sf) -> DataFrame:
+    """Rows for (recording, file name) keys; recordings 0-4 are asked
+    twice, null and empty names are matched as values."""
+    keys = _nation_keys(spark, sf).selectExpr(
+        "recording_id", "CASE WHEN key_no % 2 = 0 THEN CAST(NULL AS STRING) ELSE '' END AS filename_parquet")
+    return tb.key_lookup(fx.file_meta(spark, sf), keys, ["recording_id", "filename_parquet"])
+
+
+@query("key_exists")
+def q_key_exists(spark, sf) -> DataFrame:
+    keys = _nation_keys(spark, sf).selectExpr(
+        "key_no", "CASE WHEN key_no % 3 = 0 THEN concat('missing_', cast(key_no AS string)) "
+        "ELSE recording_id END AS recording_id", "CAST(NULL AS STRING) AS filename_parquet")
+    return tb.key_exists(fx.file_meta(spark, sf), keys, ["recording_id", "filename_parquet"])
+
+
+def _new_rows(spark, sf):
+    return _nation_keys(spark, sf).selectExpr(
+        "recording_id", "CAST(key_no AS DOUBLE) AS first_ptp_time",
+        "CAST(key_no + 5 AS DOUBLE) AS last_ptp_time",
+        "concat('new_', cast(key_no AS string), '.parquet') AS filename_parquet", "-key_no - 1 AS file_id")
+
+
+@query("replace_rows")
+def q_replace_rows(spark, sf) -> DataFrame:
+    keys = _nation_keys(spark, sf).where("key_no % 4 = 0")
+    return tb.replace_rows(fx.file_meta(spark, sf).withColumn("write_date", F.lit(FIXED_DATE)),
+                           _new_rows(spark, sf), keys, ["recording_id"], date_col="write_date",
+                           when=FIXED_DATE)
+
+
+@query("update_by_key")
+def q_update_by_key(spark, sf) -> DataFrame:
+    keys = _nation_keys(spark, sf).where("key_no % 4 = 1")
+    return tb.update_by_key(fx.file_meta(spark, sf),
+                            {"filename_parquet": "updated.parquet", "last_ptp_time": 0.0},
+                            keys, ["recording_id"])
+
+
+@query("table_scan")
+def q_table_scan(spark, sf) -> DataFrame:
+    return tb.read_table(spark, table_path(sf, "orders"))
+
+
+@query("table_write_roundtrip")
+def q_table_write_roundtrip(spark, sf) -> DataFrame:
+    """Replace-write with a date column and a history append, read back."""
+    path = tb.scratch_path(spark, "file_meta")
+    tb.write_table(fx.file_meta(spark, sf), path, append=False, date_col="write_to_db_date",
+                   when=FIXED_DATE, history=True)
+    return tb.read_table(spark, path)
+
+
+@query("metadata_outer_union")
+def q_metadata_outer_union(spark, sf) -> DataFrame:
+    old = fx.file_meta(spark, sf).select("recording_id", "first_ptp_time", "file_id")
+    new = fx.gnss(spark, sf).select("recording_id", "country", F.lit(1).alias("Column1"))
+    return tb.outer_union(old, new, drop=("Column1",))
+
+
+@query("annotation_parse")
+def q_annotation_parse(spark, sf) -> DataFrame:
+    return md.parse_annotations(fx.annotations(spark, sf))
+
+
+@query("metadata_build")
+def q_metadata_build(spark, sf) -> DataFrame:
+    return md.metadata_build(md.parse_annotations(fx.annotations(spark, sf)))
+
+
+@query("recording_id_parts")
+def q_recording_id_parts(spark, sf) -> DataFrame:
+    return md.recording_id_parts(fx.file_meta(spark, sf).select("recording_id").distinct())
+
+
+@query("path_recording_id")
+def q_path_recording_id(spark, sf) -> DataFrame:
+    p = fx.annotations(spark, sf).select("path").distinct()
+    return p.select("path", md.path_recording_id(F.col("path")).alias("recording_id"))
+
+
+@query("tag_filter")
+def q_tag_filter(spark, sf) -> DataFrame:
+    return tg.tag_filter(fx.tags(spark, sf), ["click", "view"], [str(k) for k in range(1, 11)])
+
+
+@query("tag_page")
+def q_tag_page(spark, sf) -> DataFrame:
+    return tg.tag_page(fx.tags(spark, sf), offset=5000)
+
+
+@query("tag_flatten")
+def q_tag_flatten(spark, sf) -> DataFrame:
+    return tg.tag_flatten(fx.tags(spark, sf), "props", "struct<k:int>")
+
+
+@query("tag_overlap")
+def q_tag_overlap(spark, sf) -> DataFrame:
+    """T5: time tagged 'click' and 'view' and not 'error'."""
+    return tg.tag_overlap(fx.tags(spark, sf), ["click", "view"], ["error"])
+
+
+@query("scan_recording")
+def q_scan_recording(spark, sf) -> DataFrame:
+    """Store the track stream partitioned by recording, read one back."""
+    root = tb.scratch_path(spark, "streams")
+    rc.write_recordings(fx.track(spark, sf), root, "reference", "ego")
+    return rc.scan_recording(spark, root, "reference", "ego", recording_id="FH2003_20220313_00")
+
+
+@query("csv_signal_scan")
+def q_csv_signal_scan(spark, sf) -> DataFrame:
+    """S3: signals exported as CSV with an index column, read back."""
+    path = tb.scratch_path(spark, "signal_csv")
+    tr = fx.track(spark, sf)
+    rc.write_signal_csv(tr, path)
+    return rc.read_signal_csv(spark, path, schema=tr.schema)
