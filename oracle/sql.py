@@ -599,3 +599,9 @@ SQL["tag_overlap"] = with_(
 SQL["scan_recording"] = with_("SELECT * FROM tr WHERE recording_id = 'FH2003_20220313_00'",
                               tr=fx("track"))
 SQL["csv_signal_scan"] = with_("SELECT * FROM tr", tr=fx("track"))
+SQL["interval_load"] = with_("SELECT * FROM iv", iv=fx("interval"))
+_R2_OLD = dict(R2_CTES)
+_R2_OLD["scene"] = R2_CTES["scene"].replace("r2 > 0.97", "r2 > 0.94")
+SQL["straight_scene_old"] = with_(
+    "SELECT recording_id, ptp_time, round(share, 6) AS straight_share, "
+    "coalesce(share > 0.5, false) AS is_straight FROM scene", **_R2_OLD)

@@ -26,7 +26,8 @@ def read_annotation_lines(spark: SparkSession, paths: str | list[str]) -> DataFr
     """Text files to (path, line_no, line).  Each file is read whole and
     split on newlines; lines keep their trailing newline, as ``readlines``
     does.  Files are processed in parallel, one task per file split."""
-    raw = spark.read.option("wholetext", True).text(paths).select(
+    # text() re-applies its own wholetext default, so pass it as an argument
+    raw = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value"))
     parts = F.split(F.col("value"), "(?<=\n)")
     return (raw.select("path", F.posexplode(parts).alias("line_no", "line"))

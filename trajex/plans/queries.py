@@ -617,3 +617,20 @@ def q_csv_signal_scan(spark, sf) -> DataFrame:
     tr = fx.track(spark, sf)
     rc.write_signal_csv(tr, path)
     return rc.read_signal_csv(spark, path, schema=tr.schema)
+
+
+@query("interval_load")
+def q_interval_load(spark, sf) -> DataFrame:
+    """Intervals exported as a flat CSV, read back with a declared schema."""
+    path = tb.scratch_path(spark, "interval_csv")
+    fx.intervals(spark, sf).write.mode("overwrite").option("header", True).csv(path)
+    return ivs.read_interval_csv(spark, path)
+
+
+@query("straight_scene_old")
+def q_straight_scene_old(spark, sf) -> DataFrame:
+    """A12 with the older thresholds (R2 > 0.94, share > 0.5)."""
+    from trajex.schema import STRAIGHT_R2_MIN_OLD, STRAIGHT_SHARE_MIN_OLD
+    s = geom.scene_straightness(fx.polylines(spark, sf), SCENE_KEY, r2_min=STRAIGHT_R2_MIN_OLD,
+                                share_min=STRAIGHT_SHARE_MIN_OLD)
+    return s.select(*SCENE_KEY, r6("straight_share"), "is_straight")
