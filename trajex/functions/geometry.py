@@ -38,15 +38,24 @@ def polyline_length(x: str = "BoundaryLineX", y: str = "BoundaryLineY") -> Colum
 
 def polyline_straightness(x: str = "BoundaryLineX", y: str = "BoundaryLineY") -> Column:
     """R2 of the least-squares line y = a + b*x.  Two points or fewer
-    give 1; constant y gives 1; constant x (with varying y) gives 0."""
+    give 1; constant y gives 1; constant x (with varying y) gives 0.
+
+    Two linear passes over the points: the means, then the centred sums
+    Sxx, Syy, Sxy in one fold.  Each intermediate is bound once through a
+    one-element ``transform`` so it is not re-evaluated per point."""
     n = _n(x, y)
-    mx = f"(aggregate(slice({x}, 1, {n}), 0D, (a, v) -> a + v) / {n})"
-    my = f"(aggregate(slice({y}, 1, {n}), 0D, (a, v) -> a + v) / {n})"
-    sxx = f"aggregate(sequence(0, {n} - 1), 0D, (a, k) -> a + ({x}[k] - {mx}) * ({x}[k] - {mx}))"
-    syy = f"aggregate(sequence(0, {n} - 1), 0D, (a, k) -> a + ({y}[k] - {my}) * ({y}[k] - {my}))"
-    sxy = f"aggregate(sequence(0, {n} - 1), 0D, (a, k) -> a + ({x}[k] - {mx}) * ({y}[k] - {my}))"
-    return F.expr(f"case when {n} <= 2 then 1D when {syy} = 0 then 1D when {sxx} = 0 then 0D "
-                  f"else ({sxy}) * ({sxy}) / (({sxx}) * ({syy})) end")
+    means = (f"named_struct('mx', aggregate(slice({x}, 1, {n}), 0D, (a, v) -> a + v) / {n}, "
+             f"'my', aggregate(slice({y}, 1, {n}), 0D, (a, v) -> a + v) / {n})")
+    sums = (f"aggregate(sequence(0, {n} - 1), named_struct('xx', 0D, 'yy', 0D, 'xy', 0D), "
+            f"(s, k) -> named_struct("
+            f"'xx', s.xx + ({x}[k] - m.mx) * ({x}[k] - m.mx), "
+            f"'yy', s.yy + ({y}[k] - m.my) * ({y}[k] - m.my), "
+            f"'xy', s.xy + ({x}[k] - m.mx) * ({y}[k] - m.my)))")
+    r2 = ("case when c.yy = 0 then 1D when c.xx = 0 then 0D "
+          "else c.xy * c.xy / (c.xx * c.yy) end")
+    body = f"element_at(transform(array({sums}), c -> {r2}), 1)"
+    return F.expr(f"case when {n} <= 2 then 1D else "
+                  f"element_at(transform(array({means}), m -> {body}), 1) end")
 
 
 def point_near_polyline(x: str, y: str, px: str, py: str, distance: float) -> Column:

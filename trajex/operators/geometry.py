@@ -9,19 +9,23 @@ from pyspark.sql import functions as F
 from trajex.functions import geometry as geo
 from trajex.schema import (CROSS_BUFFER_ANY, CROSS_BUFFER_VALIDATE,
                            STRAIGHT_R2_MIN, STRAIGHT_SHARE_MIN)
+from trajex.session import bounded_rows
 
 # Grid cell (same unit as positions) for the spatial join of J6.
 CROSS_CELL = 2.0
 
 
 def range_join(points: DataFrame, windows: DataFrame, keys: list[str], t: str, lo: str, hi: str,
-               bucket: float) -> DataFrame:
+               bucket: float, broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Points inside [lo, hi] windows with equal keys, both ends inclusive.
     Windows are cut into time buckets of width ``bucket`` and equi-joined on
     (keys, bucket), so a long group is split across many join keys and a
-    point only meets windows touching its bucket."""
+    point only meets windows touching its bucket.  A window table within
+    ``broadcast_max_rows`` (checked) is broadcast and the points stay put."""
     wb = windows.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / bucket),
                                                        F.floor(F.col(hi) / bucket))))
+    if bounded_rows(windows, broadcast_max_rows):
+        wb = F.broadcast(wb)
     pb = points.withColumn("_b", F.floor(F.col(t) / bucket))
     return (pb.join(wb, [*keys, "_b"]).where((F.col(t) >= F.col(lo)) & (F.col(t) <= F.col(hi)))
             .drop("_b"))

@@ -96,12 +96,46 @@ def signal_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.
     return dens.select("g", grid_x.alias("x"), (F.col("_s") * norm / (bw * n)).alias("density"))
 
 
+def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> Column:
+    """Exact median of ``col`` (mean of the two middle values for an even
+    count, nulls ignored) as a scalar-subquery Column, without holding all
+    values in one task.
+
+    Pass 1: count and a quantile sketch bracket the middle ranks:
+    [q(0.5 - 2/accuracy), q(0.5 + 2/accuracy)] contains them because the
+    sketch's rank error is at most n/accuracy.  Pass 2: count the values
+    below the bracket and rank only the values inside it (about 4n/accuracy
+    values) to pick the middle ones.  If the bracket missed (it cannot,
+    within the sketch guarantee) the query fails instead of answering."""
+    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    d = 2.0 / accuracy
+    st = v.agg(F.count(F.lit(1)).alias("n"),
+               F.percentile_approx("v", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("b"))
+    n = st.select("n").scalar()
+    lo = st.select(F.col("b")[0]).scalar()
+    hi = st.select(F.col("b")[1]).scalar()
+    below = v.where(F.col("v") < lo).agg(F.count(F.lit(1))).scalar()
+    k1 = F.floor((n - 1) / 2)
+    k2 = F.ceil((n - 1) / 2)
+    from pyspark.sql import Window
+    inside = v.where((F.col("v") >= lo) & (F.col("v") <= hi))
+    ranked = inside.withColumn("_r", F.row_number().over(Window.orderBy("v")) - 1 + below)
+    picked = ranked.agg(F.avg(F.when((F.col("_r") == k1) | (F.col("_r") == k2), F.col("v"))).alias("m"),
+                        F.count(F.when((F.col("_r") == k1) | (F.col("_r") == k2), 1)).alias("c"))
+    ok = (F.col("c") == F.when(k1 == k2, 1).otherwise(2)) | (n == 0)
+    return picked.select(F.when(ok, F.col("m")).otherwise(
+        F.raise_error(F.lit("median bracket missed the middle ranks")))).scalar()
+
+
 def median_centre(df: DataFrame, lat: str = "etrs89_latitude", lon: str = "etrs89_longitude",
                   rel_error: float | None = None) -> DataFrame:
-    """Map centre as (median latitude, median longitude).  Exact median
-    by default; ``rel_error`` switches to a fixed-memory sketch."""
+    """Map centre as (median latitude, median longitude).  Exact by
+    default (two-pass selection, ``exact_median``); ``rel_error`` returns the
+    sketch estimate instead."""
     if rel_error is None:
-        return df.agg(F.median(lat).alias("centre_lat"), F.median(lon).alias("centre_lon"))
+        one = df.agg(F.count(F.lit(1)).alias("_n"))
+        return one.select(exact_median(df, lat).alias("centre_lat"),
+                          exact_median(df, lon).alias("centre_lon"))
     acc = max(1, int(round(1.0 / rel_error)))
     return df.agg(F.percentile_approx(lat, 0.5, acc).alias("centre_lat"),
                   F.percentile_approx(lon, 0.5, acc).alias("centre_lon"))
