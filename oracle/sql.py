@@ -242,8 +242,8 @@ SQL["heading_scan"] = scan_sql(
     pre={**stitch_ctes("tin", TG), **heading_ctes("ps", TG)})
 
 SQL["polyline_merge"] = with_(
-    "SELECT recording_id, ptp_time, run_no, any_value(TrackingID) AS TrackingID, "
-    "min(line_seq) AS line_seq, sum(len(BoundaryLineX)) AS n_points, "
+    "SELECT recording_id, ptp_time, CAST(run_no AS BIGINT) AS run_no, any_value(TrackingID) AS TrackingID, "
+    "min(line_seq) AS line_seq, CAST(sum(len(BoundaryLineX)) AS INTEGER) AS n_points, "
     "arg_max(BoundaryLineX[len(BoundaryLineX)], line_seq) AS x_last, "
     "round(sum(list_sum(BoundaryLineY)), 6) AS y_sum, "
     "round(arg_max(BoundaryLineY[len(BoundaryLineY)], line_seq), 6) AS y_last "
@@ -350,7 +350,7 @@ def lane_change_sql(spec, pad: int, body: str) -> str:
 
 VALID_ROWS = ("SELECT recording_id, id, i, round(lc_start, 6) AS lc_start, "
               "round(lc_end, 6) AS lc_end FROM valid")
-EXPORT = ("SELECT recording_id, id, count(*) AS n_windows, '[' || string_agg('(' || "
+EXPORT = ("SELECT recording_id, id, CAST(count(*) AS INTEGER) AS n_windows, '[' || string_agg('(' || "
           "CAST(lc_start AS VARCHAR) || ', ' || CAST(lc_end AS VARCHAR) || ')', ', ' "
           "ORDER BY lc_start, lc_end) || ']' AS lc FROM valid GROUP BY recording_id, id")
 SQL["lane_change_validate"] = lane_change_sql((30, 70, 0.015, 0.1), 0, VALID_ROWS)
@@ -396,7 +396,7 @@ IL = dict(
     il=fx("interval_list"),
     ilp=("SELECT recording_id, from_json(intervals, '[[\"DOUBLE\"]]') AS lst FROM il"),
     ilx=("SELECT recording_id, generate_subscripts(lst, 1) - 1 AS pos, unnest(lst) AS pr FROM ilp"),
-    ile="SELECT recording_id, pos, pr[1] AS start_time, pr[2] AS end_time FROM ilx",
+    ile="SELECT recording_id, CAST(pos AS INTEGER) AS pos, pr[1] AS start_time, pr[2] AS end_time FROM ilx",
 )
 SQL["interval_list_explode"] = with_("SELECT * FROM ile", **IL)
 SQL["highway_hours"] = with_(
@@ -417,7 +417,7 @@ def hist_sql(col: str, bins: int) -> str:
 SQL["signal_histogram"] = hist_sql("YawRate", 20)
 SQL["signal_histogram_fine"] = hist_sql("PositionX", 10000)
 SQL["signal_density"] = with_(
-    "SELECT g, round(lo + (hi - lo) * g / 199, 6) AS x, "
+    "SELECT CAST(g AS INTEGER) AS g, round(lo + (hi - lo) * g / 199, 6) AS x, "
     "round(sum(exp(pow((lo + (hi - lo) * g / 199 - v) / bw, 2) * -0.5)) "
     "* (1 / sqrt(2 * pi())) / (bw * n), 6) AS density "
     "FROM v, grid, mom GROUP BY g, lo, hi, bw, n",

@@ -110,9 +110,12 @@ def time_slice(df: DataFrame, lo: float | Column, hi: float | Column, *,
 
 
 def seconds_from_text(text: str | Column) -> Column:
-    """datetime text to whole epoch seconds (truncated; times positive)."""
+    """datetime text (read as UTC wall time, like a naive pandas
+    timestamp) to whole epoch seconds, truncated; times are positive.
+    Parsed without a zone, so the session time zone does not matter."""
     c = F.lit(text) if isinstance(text, str) else text
-    return F.floor(F.unix_micros(F.to_timestamp(c)) / F.lit(1_000_000)).cast("long")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, F.to_timestamp_ntz(c))
 
 
 def time_slice_text(df: DataFrame, start_text: str, end_text: str, **kw) -> DataFrame:
