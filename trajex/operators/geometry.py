@@ -16,15 +16,18 @@ CROSS_CELL = 2.0
 
 
 def range_join(points: DataFrame, windows: DataFrame, keys: list[str], t: str, lo: str, hi: str,
-               bucket: float, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+               bucket: float, broadcast_max_rows: int | None = None) -> DataFrame:
     """Points inside [lo, hi] windows with equal keys, both ends inclusive.
     Windows are cut into time buckets of width ``bucket`` and equi-joined on
     (keys, bucket), so a long group is split across many join keys and a
-    point only meets windows touching its bucket.  A window table within
-    ``broadcast_max_rows`` (checked) is broadcast and the points stay put."""
+    point only meets windows touching its bucket.
+
+    ``broadcast_max_rows`` broadcasts a window table proven that small; the
+    check runs a job, so it is off by default for derived windows (it would
+    compute them twice) and AQE decides from measured shuffle sizes."""
     wb = windows.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / bucket),
                                                        F.floor(F.col(hi) / bucket))))
-    if bounded_rows(windows, broadcast_max_rows):
+    if broadcast_max_rows is not None and bounded_rows(windows, broadcast_max_rows):
         wb = F.broadcast(wb)
     pb = points.withColumn("_b", F.floor(F.col(t) / bucket))
     return (pb.join(wb, [*keys, "_b"]).where((F.col(t) >= F.col(lo)) & (F.col(t) <= F.col(hi)))

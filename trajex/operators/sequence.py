@@ -250,7 +250,11 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
 def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
             time_col: str = "ptp_time", chunk: int = CHUNK_ROWS, idx: str | None = None) -> DataFrame:
     """``angle = atan2(y - y[i-lag], x - x[i-lag])``; the first ``lag``
-    rows take row ``lag``'s angle; groups of ``lag`` rows or fewer get null."""
+    rows take row ``lag``'s angle; groups of ``lag`` rows or fewer get null.
+
+    Both steps are windows over the same (group, chunk) partitioning and
+    order, so they run in one stage: the second reads row ``lag``'s angle
+    from a frame of ``lag`` rows ahead (rows 0..lag are always in chunk 0)."""
     chunk = max(chunk, lag + 1)
     n = df if idx else number_rows(df, group, [time_col])
     i = idx or "_i"
@@ -258,11 +262,13 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     w = Window.partitionBy(*group, "_c").orderBy(i)
     ang = F.atan2(F.col("PositionY") - F.lag("PositionY", lag).over(w),
                   F.col("PositionX") - F.lag("PositionX", lag).over(w))
-    h = h.withColumn("angle", F.when(F.col(i) >= lag, ang)).where("_own").drop("_c", "_own")
-    first = h.where(F.col(i) == lag).select(*group, F.col("angle").alias("_a0"))
-    out = (h.join(first, group, "left")
-           .withColumn("angle", F.when(F.col(i) < lag, F.col("_a0")).otherwise(F.col("angle")))
-           .drop("_a0"))
+    h = h.withColumn("angle", F.when(F.col(i) >= lag, ang))
+    ahead = F.collect_list(F.struct(F.col(i).alias("k"), F.col("angle").alias("a"))).over(
+        w.rowsBetween(0, lag))
+    at_lag = F.filter(ahead, lambda e: e["k"] == lag)
+    out = (h.withColumn("angle", F.when(F.col(i) < lag, F.try_element_at(at_lag, F.lit(1))["a"])
+                        .otherwise(F.col("angle")))
+           .where("_own").drop("_c", "_own"))
     return out if idx else out.withColumnRenamed("_i", "row_no")
 
 
