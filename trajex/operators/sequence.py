@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from trajex.schema import (HEADING_LAG, POSITION_JUMP, WINDOW_HALF_WIDTH,
                            ScanParams)
+from trajex.session import materialize
 
 # Rows per chunk for chunked windows and the chunked walk.
 CHUNK_ROWS = 1 << 16
@@ -54,19 +55,18 @@ def chunked(df: DataFrame, idx: str, chunk: int, ahead: int = 0, behind: int = 0
     halo rows: the first ``ahead`` rows of a chunk also go to the previous
     chunk, the last ``behind`` rows also to the next.  ``_own`` marks the
     original copy.  A window partitioned by (group, ``_c``) then sees every
-    neighbour within the halo."""
-    c = F.floor(F.col(idx) / chunk)
-    parts = [df.withColumn("_c", c).withColumn("_own", F.lit(True))]
+    neighbour within the halo.  One pass: each row explodes into its chunk
+    ids."""
+    i = F.col(idx)
+    c = F.floor(i / chunk)
+    r = i % chunk
+    none = F.array().cast("array<bigint>")
+    ids = F.array(c)
     if ahead:
-        parts.append(df.where((F.col(idx) % chunk < ahead) & (F.col(idx) >= chunk))
-                     .withColumn("_c", c - 1).withColumn("_own", F.lit(False)))
+        ids = F.concat(ids, F.when((r < ahead) & (i >= chunk), F.array(c - 1)).otherwise(none))
     if behind:
-        parts.append(df.where(F.col(idx) % chunk >= chunk - behind)
-                     .withColumn("_c", c + 1).withColumn("_own", F.lit(False)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        ids = F.concat(ids, F.when(r >= chunk - behind, F.array(c + 1)).otherwise(none))
+    return df.withColumn("_c", F.explode(ids)).withColumn("_own", F.col("_c") == c)
 
 
 # --- yaw-return scan (W1, W3, W5) ---------------------------------------------------
@@ -169,7 +169,9 @@ def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
     ``i`` and ``j`` (row numbers), ``t_i``, ``t_j``.  A chunk must be longer
     than the look-ahead and the jump so one halo suffices."""
     chunk = max(chunk, params.maximum + 1, params.jump + 1)
-    hits = _scan_hits(df, group, value, params, chunk, time_col).repartition(*group, "_c")
+    # the sparse hit rows are read twice (transfer tables, then the walk):
+    # write them once
+    hits = materialize(_scan_hits(df, group, value, params, chunk, time_col), "scan_hits")
     schema_g = [f for f in hits.schema.fields if f.name in group]
     gsql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_g)
     transfer = (hits.select(*group, "_c", "_i", "_step")
@@ -238,6 +240,8 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
     h = h.where("_own")
     for d in ("_dx", "_dy", "_dz"):
         h = h.withColumn(f"_run{d}", F.sum(d).over(run))
+    # two passes (chunk totals, then rows): write the row-level result once
+    h = materialize(h, "stitch_rows")
     pre = _chunk_prefix(h, group, ["_dx", "_dy", "_dz"])
     out = h.join(pre, [*group, "_c"], "left")
     for axis, d in (("X", "_dx"), ("Y", "_dy"), ("Z", "_dz")):

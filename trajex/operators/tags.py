@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from trajex.operators.sequence import CHUNK_ROWS, _chunk_prefix, chunked, number_rows
 from trajex.schema import TAG_PAGE_SIZE
+from trajex.session import materialize
 
 ISIN_MAX = 1000
 
@@ -76,7 +77,7 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     dcols = [f"_d{k}" for k in range(len(names))]
     b = ev.groupBy("recording_id", "t").agg(*[
         F.sum(F.when(F.col("tag") == n, F.col("d")).otherwise(0)).alias(c) for n, c in zip(names, dcols)])
-    b = number_rows(b, ["recording_id"], ["t"], out="_n")
+    b = materialize(number_rows(b, ["recording_id"], ["t"], out="_n"), "tag_bounds")
     chunk = max(chunk, 2)
     h = chunked(b, "_n", chunk, behind=1)
     pre = _chunk_prefix(h, ["recording_id"], dcols)
@@ -98,6 +99,7 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     prev_p = F.lag("_p").over(w)
     h = h.withColumn("_prev_p", prev_p).where("_own")
     h = h.withColumn("_prev_p", F.when(F.col("_n") == 0, F.lit(False)).otherwise(F.col("_prev_p")))
+    h = materialize(h.select("recording_id", "t", "_p", "_prev_p"), "tag_flags")
     starts = h.where(F.col("_p") & ~F.col("_prev_p")).select("recording_id", F.col("t").alias("start_time"))
     ends = h.where(~F.col("_p") & F.col("_prev_p")).select("recording_id", F.col("t").alias("end_time"))
     starts = number_rows(starts, ["recording_id"], ["start_time"], out="_k")

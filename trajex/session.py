@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back.  Used where an operator needs two passes over an
+    intermediate: both passes then read the written table instead of each
+    recomputing (and re-shuffling) the whole upstream plan, and a lost
+    executor only costs the tasks of the current stage."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.  Costs one job that
     stops reading after ``max_rows + 1`` rows, so it is a proven size bound
