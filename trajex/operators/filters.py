@@ -24,7 +24,8 @@ def time_grid(c: Column | str, digits: int = 1) -> Column:
 def within_intervals(df: DataFrame, intervals: DataFrame, *, time_col: str = "ptp_time",
                      start_col: str = "start_time", end_col: str = "end_time",
                      keep: tuple[str, ...] = (), broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                     bucket_seconds: float = RANGE_BUCKET_SECONDS) -> DataFrame:
+                     bucket_seconds: float = RANGE_BUCKET_SECONDS,
+                     broadcast: bool | None = None) -> DataFrame:
     """Inner range join: rows of ``df`` whose time lies in an interval of the
     same recording, both ends inclusive.  A row inside two overlapping
     intervals appears twice.  Interval columns named in ``keep`` stay.
@@ -33,11 +34,14 @@ def within_intervals(df: DataFrame, intervals: DataFrame, *, time_col: str = "pt
     side is never shuffled.  Larger ones are cut into fixed time buckets and
     equi-joined on (recording, bucket): each signal row still meets only the
     intervals touching its bucket, and a hot recording spreads over buckets.
+    ``broadcast`` passes an earlier check's answer (None: check here).
     """
     iv = intervals.select("recording_id", F.col(start_col).alias("_lo"),
                           F.col(end_col).alias("_hi"), *keep)
     t = F.col(time_col)
-    if bounded_rows(iv, broadcast_max_rows):
+    if broadcast is None:
+        broadcast = bounded_rows(iv, broadcast_max_rows)
+    if broadcast:
         joined = df.join(F.broadcast(iv), "recording_id").where((t >= F.col("_lo")) & (t <= F.col("_hi")))
     else:
         w = float(bucket_seconds)

@@ -132,7 +132,7 @@ def q_scenario_labels(spark, sf) -> DataFrame:
 
 @query("speed_attach")
 def q_speed_attach(spark, sf) -> DataFrame:
-    return lab.speed_attach(scn.scenario_labels(scene_inputs(spark, sf)), _status_hw(spark, sf))
+    return scn.scenario_labels(scene_inputs(spark, sf), attach_speed=True)
 
 
 @query("rows_per_vehicle")

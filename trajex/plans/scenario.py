@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from trajex.operators import filters as flt
 from trajex.operators import labels as lab
 from trajex.schema import OBJECT_COLUMNS, STATUS_CONGESTION, STATUS_NONE, Thresholds
+from trajex.session import bounded_rows
 
 KEY = lab.KEY
 TK = ["recording_id", "_tk"]
@@ -43,35 +44,52 @@ def prepared(inp: SceneInputs, th: Thresholds = Thresholds()):
     """Highway-filtered ego (with speed), filtered and deduplicated objects
     (hash-partitioned on recording and time tick), projected status.  Each
     carries the integer time tick ``_tk``."""
-    ego = flt.ego_speed(flt.highway_filter(inp.ego, inp.intervals)).withColumn("_tk", lab.time_key())
-    objects = flt.highway_filter(inp.objects, inp.intervals)
+    small = bounded_rows(inp.intervals, flt.BROADCAST_MAX_ROWS)
+    ego = (flt.ego_speed(flt.highway_filter(inp.ego, inp.intervals, broadcast=small))
+           .withColumn("_tk", lab.time_key()))
+    objects = flt.highway_filter(inp.objects, inp.intervals, broadcast=small)
     objects = flt.object_roi(objects, th).withColumn("_tk", lab.time_key()).repartition(*TK)
     objects = flt.object_dedup(objects, key=OBJECT_COLUMNS + ["_tk"])
-    status = (flt.highway_filter(flt.status_projection(inp.status), inp.intervals)
+    status = (flt.highway_filter(flt.status_projection(inp.status), inp.intervals, broadcast=small)
               .withColumn("_tk", lab.time_key()))
     return ego, objects, status
 
 
-def scenario_labels(inp: SceneInputs, th: Thresholds = Thresholds()) -> DataFrame:
+def scenario_labels(inp: SceneInputs, th: Thresholds = Thresholds(),
+                    attach_speed: bool = False) -> DataFrame:
     """One pass over objects.  The object half of the scene summary (count,
     mean VelocityX per key) is a window over the existing (recording, tick)
     partitioning; the ego half and the status labels are small per-key
     aggregates joined on the same key.  Congestion is then a row condition
-    and the overlay is ``greatest`` of the two codes."""
+    and the overlay is ``greatest`` of the two codes.  ``attach_speed``
+    adds J4 (vehicle speed per row) without reshuffling the objects."""
     ego, objects, status = prepared(inp, th)
     w = Window.partitionBy(*TK)
     objs = (objects.withColumn("_a", F.count(F.lit(1)).over(w))
             .withColumn("_avg_v", F.avg("VelocityX").over(w)))
     ego_agg = ego.groupBy(*TK).agg(F.count(F.lit(1)).alias("_b"),
                                    F.avg("Velocity").alias("_ego_v"))
-    st = lab.status_labels(status, th, key=TK).withColumnRenamed("status", "_st")
+    if attach_speed:
+        # one pass over status for both the labels and J4: per key the best
+        # code and every status row's speed (structs keep null speeds)
+        st = status.groupBy(*TK).agg(
+            F.max(lab.status_code(th)).alias("_st"),
+            F.collect_list(F.struct(F.col("VehicleDirSAE_VehSpeed").alias("v"))).alias("_sp"))
+    else:
+        st = lab.status_labels(status, th, key=TK).withColumnRenamed("status", "_st")
     j = objs.join(ego_agg, TK, "left").join(st, TK, "left")
     congested = ((F.col("_a") * F.col("_b") > th.congestion_count_min)
                  & (F.col("_avg_v") < th.congestion_avg_v_max)
                  & (F.col("_ego_v") < th.congestion_ego_v_max))
     code = F.greatest(F.col("_st"), F.when(congested, F.lit(STATUS_CONGESTION)))
-    return (j.withColumn("status", F.coalesce(code, F.lit(STATUS_NONE)))
-            .drop("_tk", "_a", "_avg_v", "_b", "_ego_v", "_st"))
+    out = (j.withColumn("status", F.coalesce(code, F.lit(STATUS_NONE)))
+           .drop("_a", "_avg_v", "_b", "_ego_v", "_st"))
+    if attach_speed:
+        # Status is not deduplicated, so a key with several status rows
+        # repeats the labelled row; a key without status keeps one row
+        out = (out.withColumn("_s", F.explode_outer("_sp"))
+               .withColumn("VehicleDirSAE_VehSpeed", F.col("_s.v")).drop("_s", "_sp"))
+    return out.drop("_tk")
 
 
 def scenario_labels_two_pass(inp: SceneInputs, th: Thresholds = Thresholds()) -> DataFrame:
