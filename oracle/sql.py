@@ -554,14 +554,11 @@ ANN = dict(
             "target_type, target_speed, target_distance, CASE WHEN pf <> '' THEN pf END AS \"pass/fail\", "
             "start_recording, stop_recording, full_annotation FROM files LEFT JOIN fields USING (path)"),
 )
-DBC = ("CAN1 : Backbone1J1939-T2_1.28.0, CAN2 : Backbone2-T2_1.28.0,"
-       " CAN3 : VicinityNet1-T2_1.27.0, CAN4 : VicinityNet4-T2_1.28.0,"
-       " CAN5 : VicinityNet2-T2_1.28.0, CAN6 (python 5) : vendor_w2218.dbc")
 SQL["annotation_parse"] = with_("SELECT * FROM parsed", **ANN)
 SQL["metadata_build"] = with_(
     "SELECT *, string_split(recording_id, '_')[1] AS vehicle_id, "
     "CAST(strptime(string_split(recording_id, '_')[2], '%Y%m%d') AS DATE) AS test_date, "
-    f"'{DBC}' AS channel_dbc_mapping FROM parsed "
+    "CAST(NULL AS VARCHAR) AS channel_dbc_mapping FROM parsed "
     "QUALIFY row_number() OVER (PARTITION BY recording_id ORDER BY annotation_filename) = 1", **ANN)
 SQL["recording_id_parts"] = with_(
     "SELECT recording_id, string_split(recording_id, '_')[1] AS vehicle_id, "

@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 
 from trajex.schema import METADATA_COLUMNS, TEST_ACTIVITY
 
-# --- fixed values: CAN channel to DBC mapping stored with test-track metadata ---
-DBC_MAPPING = ("CAN1 : Backbone1J1939-T2_1.28.0, CAN2 : Backbone2-T2_1.28.0,"
-               " CAN3 : VicinityNet1-T2_1.27.0, CAN4 : VicinityNet4-T2_1.28.0,"
-               " CAN5 : VicinityNet2-T2_1.28.0, CAN6 (python 5) : vendor_w2218.dbc")
-
 FIELDS = ["start_recording", "stop_recording", "target_type", "scenario", "side",
           "target_speed", "target_distance"]
 
@@ -128,10 +123,11 @@ def recording_id_parts(df: DataFrame, col: str = "recording_id") -> DataFrame:
             .withColumn("test_date", F.to_date(F.element_at(parts, 2), "yyyyMMdd")))
 
 
-def metadata_build(parsed: DataFrame) -> DataFrame:
+def metadata_build(parsed: DataFrame, dbc_mapping: str | None = None) -> DataFrame:
     """One row per recording (the first annotation file by name), the
-    metadata columns, vehicle and date parts, and the DBC mapping."""
+    metadata columns, vehicle and date parts, and the CAN channel to DBC
+    mapping text of the test campaign (a constant the caller supplies)."""
     from pyspark.sql import Window
     w = Window.partitionBy("recording_id").orderBy("annotation_filename")
     one = parsed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*METADATA_COLUMNS)
-    return recording_id_parts(one).withColumn("channel_dbc_mapping", F.lit(DBC_MAPPING))
+    return recording_id_parts(one).withColumn("channel_dbc_mapping", F.lit(dbc_mapping).cast("string"))
