@@ -38,11 +38,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; set a scratch one only
-    when the session has none (local tests)."""
+    when the session has none and runs in local mode (tests).  On a cluster
+    a machine-local folder would not be shared, so it is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="trajex-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
