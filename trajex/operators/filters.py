@@ -155,9 +155,6 @@ def road_type_filter(df: DataFrame, recording_id: str | None = None,
     return out if recording_id is None else out.where(F.col("recording_id") == recording_id)
 
 
-COUNTRY_GROUPS = ("europe", "japan", "brazil")
-
-
 def country_group(df: DataFrame) -> DataFrame:
     """label rows europe / japan / brazil (rows with 'no country' get null)."""
     c = F.col("country")

@@ -52,13 +52,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back.  Used where an operator needs two passes over an
