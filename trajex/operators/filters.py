@@ -14,6 +14,8 @@ from trajex.session import bounded_rows
 BROADCAST_MAX_ROWS = 1_000_000
 # Bucket width (seconds) for the shuffled range join.
 RANGE_BUCKET_SECONDS = 60.0
+# Bucket width (seconds) of the broadcast range join's hash key.
+BROADCAST_BUCKET_SECONDS = 3600.0
 
 
 def time_grid(c: Column | str, digits: int = 1) -> Column:
@@ -30,27 +32,41 @@ def within_intervals(df: DataFrame, intervals: DataFrame, *, time_col: str = "pt
     same recording, both ends inclusive.  A row inside two overlapping
     intervals appears twice.  Interval columns named in ``keep`` stay.
 
-    Small interval tables (checked by row count) are broadcast, so the signal
-    side is never shuffled.  Larger ones are cut into fixed time buckets and
-    equi-joined on (recording, bucket): each signal row still meets only the
-    intervals touching its bucket, and a hot recording spreads over buckets.
+    Both forms equi-join on (recording, time bucket) with the range as a
+    residual, so a signal row is only tested against intervals touching its
+    bucket, however many intervals its recording has.  Small interval tables
+    (row count checked after the bucket split) are broadcast with hour
+    buckets, so the signal side is never shuffled.  Larger ones are shuffled
+    with minute buckets: a hot recording spreads over many join keys.
     ``broadcast`` passes an earlier check's answer (None: check here).
     """
     iv = intervals.select("recording_id", F.col(start_col).alias("_lo"),
                           F.col(end_col).alias("_hi"), *keep)
     t = F.col(time_col)
+
+    def split(w: float) -> DataFrame:
+        return iv.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / w),
+                                                        F.floor(F.col("_hi") / w))))
+    wide = split(BROADCAST_BUCKET_SECONDS)
     if broadcast is None:
-        broadcast = bounded_rows(iv, broadcast_max_rows)
+        broadcast = bounded_rows(wide, broadcast_max_rows)
     if broadcast:
-        joined = df.join(F.broadcast(iv), "recording_id").where((t >= F.col("_lo")) & (t <= F.col("_hi")))
+        sig = df.withColumn("_b", F.floor(t / BROADCAST_BUCKET_SECONDS))
+        joined = sig.join(F.broadcast(wide), ["recording_id", "_b"])
     else:
-        w = float(bucket_seconds)
-        iv_b = iv.withColumn("_b", F.explode(F.sequence(
-            F.floor(F.col("_lo") / w), F.floor(F.col("_hi") / w))))
-        sig = df.withColumn("_b", F.floor(t / w))
-        joined = (sig.join(iv_b, ["recording_id", "_b"])
-                  .where((t >= F.col("_lo")) & (t <= F.col("_hi"))).drop("_b"))
-    return joined.drop("_lo", "_hi")
+        sig = df.withColumn("_b", F.floor(t / float(bucket_seconds)))
+        joined = sig.join(split(float(bucket_seconds)), ["recording_id", "_b"])
+    return joined.where((t >= F.col("_lo")) & (t <= F.col("_hi"))).drop("_b", "_lo", "_hi")
+
+
+def intervals_broadcastable(intervals: DataFrame, start_col: str = "start_time",
+                            end_col: str = "end_time", max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """The broadcast decision of ``within_intervals``, for reuse when one
+    interval table filters several streams."""
+    w = BROADCAST_BUCKET_SECONDS
+    wide = intervals.select(F.explode(F.sequence(F.floor(F.col(start_col) / w),
+                                                 F.floor(F.col(end_col) / w))))
+    return bounded_rows(wide, max_rows)
 
 
 def highway_filter(df: DataFrame, intervals: DataFrame, *, time_col: str = "ptp_time",

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from trajex.operators import filters as flt
 from trajex.operators import labels as lab
 from trajex.schema import OBJECT_COLUMNS, STATUS_CONGESTION, STATUS_NONE, Thresholds
-from trajex.session import bounded_rows
 
 KEY = lab.KEY
 TK = ["recording_id", "_tk"]
@@ -44,7 +43,7 @@ def prepared(inp: SceneInputs, th: Thresholds = Thresholds()):
     """Highway-filtered ego (with speed), filtered and deduplicated objects
     (hash-partitioned on recording and time tick), projected status.  Each
     carries the integer time tick ``_tk``."""
-    small = bounded_rows(inp.intervals, flt.BROADCAST_MAX_ROWS)
+    small = flt.intervals_broadcastable(inp.intervals)
     ego = (flt.ego_speed(flt.highway_filter(inp.ego, inp.intervals, broadcast=small))
            .withColumn("_tk", lab.time_key()))
     objects = flt.highway_filter(inp.objects, inp.intervals, broadcast=small)
