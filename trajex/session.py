@@ -41,14 +41,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     when the session has none and runs in local mode (tests).  On a cluster
     a machine-local folder would not be shared, so it is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a JVM context
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="trajex-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current
 
 
