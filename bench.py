@@ -6,7 +6,9 @@ on local[$BENCH_CPUS], executing the full plan into Spark's ``noop`` sink
 $BENCH_RUNS timed runs.  Prints one JSON line.
 
 Pairs ``*_naive`` / rewritten compare the plan as first written against the
-rewritten plan (overlay join, scene summary, yaw scan).
+rewritten plan: the overlay (``scenario_labels``), the scene summary
+(``scene_summary_eager``) and the yaw scan (``lane_change_scan``, whose naive
+form runs each whole group through one Python loop).
 """
 
 from __future__ import annotations
@@ -40,14 +42,45 @@ def naive_queries():
         ego, obj = qm._ego_obj(spark, sf)
         return lab.scene_summary(obj, ego)
 
+    def lane_change_scan_naive(spark, sf):
+        """The scan as first written: each whole (recording, interval) group
+        handed to one Python loop (comparison only; not a library path)."""
+        import pandas as pd
+
+        def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("ptp_time").reset_index(drop=True)
+            yaw, t = pdf["Yaw"].to_numpy(), pdf["ptp_time"].to_numpy()
+            out, n, i = [], len(pdf), 0
+            while i < n:
+                hit = None
+                for j in range(i + 1, min(i + 70, n - 1) + 1):
+                    m = round((i + j) / 2)
+                    d = abs(yaw[m] - yaw[i])
+                    if abs(yaw[j] - yaw[i]) <= 0.001 and 0.015 < d < 0.1:
+                        hit = j
+                        break
+                if hit is None:
+                    i += 1
+                elif hit >= i + 40:
+                    out.append((pdf["recording_id"].iloc[0], int(pdf["id"].iloc[0]), i, hit, t[i], t[hit]))
+                    i += 41
+                else:
+                    i += 2
+            return pd.DataFrame(out, columns=["recording_id", "id", "i", "j", "t_i", "t_j"])
+
+        tr = qm.track_in_intervals(spark, sf).select("recording_id", "id", "ptp_time", "Yaw")
+        return tr.groupBy("recording_id", "id").applyInPandas(
+            per_group, "recording_id string, id int, i long, j long, t_i double, t_j double")
+
     return {"scenario_labels_naive": scenario_labels_naive,
             "scene_summary_naive": scene_summary_naive,
-            "scene_summary_eager": scene_summary_eager}
+            "scene_summary_eager": scene_summary_eager,
+            "lane_change_scan_naive": lane_change_scan_naive}
 
 
 HEADLINE = [
     "scenario_labels", "scenario_labels_naive", "scene_summary_eager", "scene_summary_naive",
-    "speed_attach", "lane_change_scan", "lane_change_pipeline", "lane_change_pipeline_padded",
+    "speed_attach", "lane_change_scan", "lane_change_scan_naive", "lane_change_pipeline", "lane_change_pipeline_padded",
     "trajectory_pipeline", "position_stitch", "boundary_cross_any", "straight_scene",
     "signal_density", "tag_overlap", "annotation_parse", "key_lookup",
 ]

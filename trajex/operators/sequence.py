@@ -9,10 +9,12 @@ whole group into one task:
 * look-ahead and look-back windows run per fixed-size chunk of row numbers
   with a small halo copied from the neighbouring chunk (``chunked``);
 * running sums add a per-chunk prefix total;
-* the only sequential step, the walk of the yaw-return scan, runs over the
+* the yaw-return scan searches first hits with a vectorised numpy kernel
+  per bounded chunk; its only sequential step, the walk, runs over the
   sparse hit rows: each chunk reduces to a transfer table (entry offset to
   exit offset), tables are stitched per group, and each chunk is walked
-  again from its known entry.
+  again from its known entry.  When one aggregation proves that every group
+  fits in a chunk, each group is scanned and walked in a single task.
 """
 
 from __future__ import annotations
@@ -71,59 +73,117 @@ def chunked(df: DataFrame, idx: str, chunk: int, ahead: int = 0, behind: int = 0
 
 # --- yaw-return scan (W1, W3, W5) ---------------------------------------------------
 
-def _scan_hits(df: DataFrame, group: list[str], value: str, p: ScanParams, chunk: int,
-               time_col: str = "ptp_time") -> DataFrame:
-    """Per row i: the first j in i+1..i+maximum with |v[j]-v[i]| <= tol and
-    lo < |v[m]-v[i]| < hi, m = round-half-even((i+j)/2); then
-    step = 1 (none), jump (j-i >= minimum, emitted) or 2.  Returns only rows
-    with step > 1: (group, _i, _c, _step, _emit, t_i, t_j)."""
-    n = number_rows(df.select(*group, time_col, value), group, [time_col])
-    n = n.withColumn("_v", F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))))
-    h = chunked(n, "_i", chunk, ahead=p.maximum)
-    w = Window.partitionBy(*group, "_c").orderBy("_i").rowsBetween(0, p.maximum)
-    h = (h.withColumn("_f", F.collect_list("_v").over(w))
-         .withColumn("_tf", F.collect_list(time_col).over(w)).where("_own"))
-    mid = "_f[((2 * _i + k) div 2 + ((2 * _i + k) % 2) * (((2 * _i + k) div 2) % 2)) - _i]"
-    dev = f"abs({mid} - _f[0])"
-    cond = (f"abs(_f[k] - _f[0]) <= {p.tol!r} and not isnan(_f[k]) and not isnan(_f[0]) "
-            f"and not isnan({mid}) and {dev} > {p.lo!r}")
-    if p.hi is not None:
-        cond += f" and {dev} < {p.hi!r}"
-    kstar = F.expr(f"case when size(_f) > 1 then "
-                   f"try_element_at(filter(sequence(1, size(_f) - 1), k -> {cond}), 1) end")
-    h = h.withColumn("_k", kstar).where("_k is not null")
-    emit = F.col("_k") >= p.minimum
-    return h.select(
-        *group, "_i", "_c", "_k",
-        F.when(emit, F.lit(p.jump)).otherwise(F.lit(2)).alias("_step"),
-        emit.alias("_emit"),
-        F.col(time_col).alias("t_i"),
-        F.element_at("_tf", F.col("_k") + 1).alias("t_j"))
-
-
-def _transfer_fn(chunk: int, jump: int, gcols: list[str]):
-    entries = max(jump, 2)
-
-    def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
+# Rows per block of the vectorised first-hit search (bounds task memory to
+# a few blocks x maximum doubles).
+HIT_BLOCK_ROWS = 4096
+
+
+def first_hits(v: np.ndarray, n_own: int, i0: int, p: ScanParams) -> np.ndarray:
+    """For the first ``n_own`` rows of ``v`` (row r is group row i0 + r):
+    the offset k of the first j = i + k, 1 <= k <= maximum, inside ``v``,
+    with |v[j] - v[i]| <= tol and lo < |v[m] - v[i]| < hi, where
+    m = round-half-even((i + j) / 2), i.e. m - i = k//2 + (k%2)*((i + k//2)%2);
+    0 when there is none.  NaN compares false, as in Python."""
+    kmax = p.maximum
+    pad = np.full(len(v) + kmax, np.nan)
+    pad[:len(v)] = v
+    win = np.lib.stride_tricks.sliding_window_view(pad, kmax + 1)
+    ks = np.arange(1, kmax + 1)
+    half, odd = ks // 2, ks % 2
+    out = np.zeros(n_own, dtype=np.int64)
+    for b0 in range(0, n_own, HIT_BLOCK_ROWS):
+        b1 = min(n_own, b0 + HIT_BLOCK_ROWS)
+        w = win[b0:b1]
+        base = w[:, :1]
+        par = ((i0 + np.arange(b0, b1)) % 2)[:, None]
+        with np.errstate(invalid="ignore"):
+            cond = np.abs(w[:, 1:] - base) <= p.tol
+            dev = np.abs(np.take_along_axis(w, half + odd * ((par + half) % 2), axis=1) - base)
+            cond &= dev > p.lo
+            if p.hi is not None:
+                cond &= dev < p.hi
+        out[b0:b1] = np.where(cond.any(axis=1), cond.argmax(axis=1) + 1, 0)
+    return out
+
+
+def _steps(k: np.ndarray, p: ScanParams) -> tuple[np.ndarray, np.ndarray]:
+    emit = k >= p.minimum
+    return np.where(emit, p.jump, 2), emit
+
+
+def _walk(hpos: np.ndarray, step: np.ndarray, start: int, end: int) -> list[int]:
+    """Indices of the hit rows the walk visits when it enters at ``start``
+    and leaves at ``end`` (rows between hits advance by one)."""
+    seen, q = [], start
+    while q < end:
+        j = int(np.searchsorted(hpos, q))
+        if j >= len(hpos):
+            break
+        seen.append(j)
+        q = int(hpos[j] + step[j])
+    return seen
+
+
+def _exits(hpos: np.ndarray, step: np.ndarray, start: int, end: int, entries: int) -> list[int]:
+    """Transfer table of a chunk: for each entry offset e < entries, the
+    offset past ``end`` at which the walk entering at start + e leaves."""
+    exit_of = np.zeros(len(hpos), dtype=np.int64)
+    for t in range(len(hpos) - 1, -1, -1):
+        nxt = hpos[t] + step[t]
+        if nxt >= end:
+            exit_of[t] = nxt - end
+        else:
+            j = np.searchsorted(hpos, nxt)
+            exit_of[t] = exit_of[j] if j < len(hpos) else 0
+    firsts = np.searchsorted(hpos, start + np.arange(entries))
+    return [int(exit_of[j]) if j < len(hpos) else 0 for j in firsts]
+
+
+def _whole_group_fn(p: ScanParams, gcols: list[str], value: str, time_col: str):
+    """Scan and walk one group that is proven to fit in one task."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(time_col, kind="stable")
+        v = pdf[value].to_numpy(np.float64)
+        t = pdf[time_col].to_numpy(np.float64)
+        k = first_hits(v, len(v), 0, p)
+        hpos = np.flatnonzero(k)
+        step, emit = _steps(k[hpos], p)
+        keep = [j for j in _walk(hpos, step, 0, len(v)) if emit[j]]
+        i = hpos[keep]
+        out = pd.DataFrame({"i": i, "j": i + k[i], "t_i": t[i], "t_j": t[i + k[i]]})
+        for g in gcols:
+            out[g] = pdf[g].iloc[0]
+        return out
+    return run
+
+
+def _chunk_hits_fn(p: ScanParams, chunk: int, gcols: list[str], value: str, time_col: str):
+    """Per (group, chunk) with its halo: the hit rows of the owned rows and
+    one summary row (``_i`` = -1) carrying the chunk's transfer table."""
+    entries = max(p.jump, 2)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i")
         c = int(pdf["_c"].iloc[0])
-        start, end = c * chunk, (c + 1) * chunk
-        hpos = pdf["_i"].to_numpy(np.int64)
-        step = pdf["_step"].to_numpy(np.int64)
-        exit_of = np.zeros(len(hpos), dtype=np.int64)
-        for t in range(len(hpos) - 1, -1, -1):
-            nxt = hpos[t] + step[t]
-            if nxt >= end:
-                exit_of[t] = nxt - end
-            else:
-                j = np.searchsorted(hpos, nxt)
-                exit_of[t] = exit_of[j] if j < len(hpos) else 0
-        firsts = np.searchsorted(hpos, start + np.arange(entries))
-        exits = [int(exit_of[j]) if j < len(hpos) else 0 for j in firsts]
-        row = {g: pdf[g].iloc[0] for g in gcols}
-        row.update(_c=c, _exits=exits)
-        return pd.DataFrame([row])
-    return transfer
+        own = pdf["_own"].to_numpy(bool)
+        v = pdf[value].to_numpy(np.float64)
+        t = pdf[time_col].to_numpy(np.float64)
+        n_own = int(own.sum())
+        k = first_hits(v, n_own, c * chunk, p)
+        r = np.flatnonzero(k)
+        step, emit = _steps(k[r], p)
+        hpos = pdf["_i"].to_numpy(np.int64)[r]
+        hits = pd.DataFrame({"_i": hpos, "_k": k[r], "_step": step, "_emit": emit,
+                             "t_i": t[r], "t_j": t[r + k[r]], "_exits": None})
+        summary = pd.DataFrame({"_i": [-1], "_k": [0], "_step": [0], "_emit": [False],
+                                "t_i": [np.nan], "t_j": [np.nan],
+                                "_exits": [_exits(hpos, step, c * chunk, (c + 1) * chunk, entries)]})
+        out = pd.concat([hits, summary], ignore_index=True)
+        out["_c"] = c
+        for g in gcols:
+            out[g] = pdf[g].iloc[0]
+        return out
+    return run
 
 
 def _stitch_fn(gcols: list[str]):
@@ -144,19 +204,11 @@ def _walk_fn(chunk: int):
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i").reset_index(drop=True)
         c = int(pdf["_c"].iloc[0])
-        end = (c + 1) * chunk
         hpos = pdf["_i"].to_numpy(np.int64)
         step = pdf["_step"].to_numpy(np.int64)
         emit = pdf["_emit"].to_numpy(bool)
-        q = c * chunk + int(pdf["_entry"].iloc[0])
-        keep = []
-        while q < end:
-            j = int(np.searchsorted(hpos, q))
-            if j >= len(hpos):
-                break
-            if emit[j]:
-                keep.append(j)
-            q = hpos[j] + step[j]
+        seen = _walk(hpos, step, c * chunk + int(pdf["_entry"].iloc[0]), (c + 1) * chunk)
+        keep = [j for j in seen if emit[j]]
         return pdf.loc[keep].drop(columns=["_entry", "_step", "_emit", "_c"])
     return walk
 
@@ -166,23 +218,38 @@ def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
                     chunk: int = CHUNK_ROWS) -> DataFrame:
     """W1 (and W3, W5 with other parameters or column): the pairs (t_i, t_j)
     the greedy scan accepts in each group.  Output columns: group columns,
-    ``i`` and ``j`` (row numbers), ``t_i``, ``t_j``.  A chunk must be longer
-    than the look-ahead and the jump so one halo suffices."""
+    ``i`` and ``j`` (row numbers), ``t_i``, ``t_j``.
+
+    One aggregation measures the largest group.  When every group has at
+    most ``chunk`` rows (the usual case: a group is one drive interval), each
+    group is scanned and walked in one task.  Otherwise rows are numbered
+    with the two-level scheme, cut into chunks with a halo of ``maximum``
+    rows, and each chunk yields its hit rows and a transfer table; tables are
+    stitched per group and each chunk is walked from its entry, so no task
+    holds more than one chunk."""
     chunk = max(chunk, params.maximum + 1, params.jump + 1)
-    # the sparse hit rows are read twice (transfer tables, then the walk):
-    # write them once
-    hits = materialize(_scan_hits(df, group, value, params, chunk, time_col), "scan_hits")
-    schema_g = [f for f in hits.schema.fields if f.name in group]
-    gsql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_g)
-    transfer = (hits.select(*group, "_c", "_i", "_step")
-                .groupBy(*group, "_c")
-                .applyInPandas(_transfer_fn(chunk, params.jump, group),
-                               f"{gsql}, _c long, _exits array<long>"))
-    entries = transfer.groupBy(*group).applyInPandas(
-        _stitch_fn(group), f"{gsql}, _c long, _entry long")
-    tagged = hits.join(entries, [*group, "_c"])
-    out_schema = ", ".join([gsql, "_i long", "_k int", "t_i double", "t_j double"])
-    walked = tagged.groupBy(*group, "_c").applyInPandas(_walk_fn(chunk), out_schema)
+    src = df.select(*group, F.col(time_col).cast("double").alias(time_col),
+                    F.col(value).cast("double").alias(value))
+    gfields = [f for f in src.schema.fields if f.name in group]
+    gsql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gfields)
+    largest = src.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if largest <= chunk:
+        out = src.groupBy(*group).applyInPandas(
+            _whole_group_fn(params, group, value, time_col),
+            f"{gsql}, i long, j long, t_i double, t_j double")
+        return out.select(*group, "i", "j", "t_i", "t_j")
+    n = number_rows(src, group, [time_col])
+    h = chunked(n, "_i", chunk, ahead=params.maximum)
+    out_schema = (f"{gsql}, _c long, _i long, _k long, _step long, _emit boolean, "
+                  f"t_i double, t_j double, _exits array<long>")
+    # hit rows and transfer tables are read twice (stitch, walk): write once
+    per_chunk = materialize(h.groupBy(*group, "_c").applyInPandas(
+        _chunk_hits_fn(params, chunk, group, value, time_col), out_schema), "scan_hits")
+    entries = (per_chunk.where("_i < 0").select(*group, "_c", "_exits").groupBy(*group)
+               .applyInPandas(_stitch_fn(group), f"{gsql}, _c long, _entry long"))
+    hits = per_chunk.where("_i >= 0").drop("_exits")
+    walked = hits.join(entries, [*group, "_c"]).groupBy(*group, "_c").applyInPandas(
+        _walk_fn(chunk), f"{gsql}, _i long, _k long, t_i double, t_j double")
     return walked.select(*group, F.col("_i").alias("i"), (F.col("_i") + F.col("_k")).alias("j"),
                          "t_i", "t_j")
 
