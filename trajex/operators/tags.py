@@ -67,7 +67,8 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     boundaries are numbered per recording (two-level numbering) and the
     coverage per name is a running sum over chunks of boundaries plus the
     chunk prefix.  A boundary starts a kept run when the condition turns
-    true there and ends one when it turns false; runs pair up by rank."""
+    true there and ends one when it turns false; transitions alternate, so
+    runs pair up by rank."""
     names = list(dict.fromkeys([*include, *exclude]))
     t = tag_filter(tags, names, recordings)
     ev = t.select("recording_id", "tag", F.col("start_time").cast("double").alias("t"),
@@ -100,8 +101,11 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     h = h.withColumn("_prev_p", prev_p).where("_own")
     h = h.withColumn("_prev_p", F.when(F.col("_n") == 0, F.lit(False)).otherwise(F.col("_prev_p")))
     h = materialize(h.select("recording_id", "t", "_p", "_prev_p"), "tag_flags")
-    starts = h.where(F.col("_p") & ~F.col("_prev_p")).select("recording_id", F.col("t").alias("start_time"))
-    ends = h.where(~F.col("_p") & F.col("_prev_p")).select("recording_id", F.col("t").alias("end_time"))
-    starts = number_rows(starts, ["recording_id"], ["start_time"], out="_k")
-    ends = number_rows(ends, ["recording_id"], ["end_time"], out="_k")
-    return starts.join(ends, ["recording_id", "_k"]).drop("_k")
+    # transitions alternate start, end, start, ... in time order (the first
+    # is a start): number them once and pair rank 2k with rank 2k + 1
+    tr = number_rows(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
+                     ["recording_id"], ["t"], out="_rank")
+    pairs = tr.groupBy("recording_id", F.floor(F.col("_rank") / 2).alias("_k")).agg(
+        F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.count(F.lit(1)).alias("_n"))
+    # a run that never ends (only without include tags) has no end row
+    return pairs.where("_n = 2").select("recording_id", "start_time", "end_time")
