@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def one_row(agg: DataFrame) -> Column:
+    """The single row of an aggregate as a struct-valued scalar subquery.
+    Every field read from the same Column is one subquery, computed once."""
+    return agg.select(F.struct(*agg.columns)).scalar()
+
+
 def signal_quantiles(df: DataFrame, col: str, probs=(0.25, 0.75), rel_error: float = 0.01,
                      group: list[str] | None = None) -> DataFrame:
     """A4: approximate quantiles with relative rank error ``rel_error`` (the
@@ -62,8 +68,8 @@ def signal_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width histogram over [min, max] with ``bins`` bins, the last
     bin closed.  Returns the non-empty bins (bin, lower edge, upper edge,
     count).  The extent is a scalar subquery over the same column."""
-    ext = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    lo, hi = ext.select("lo").scalar(), ext.select("hi").scalar()
+    ext = one_row(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
+    lo, hi = ext["lo"], ext["hi"]
     width = hi - lo
     v = F.col(col)
     idx = F.when(width == 0, F.lit(0)).otherwise(
@@ -81,12 +87,12 @@ def signal_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.
     value adds its kernel to the fixed grid and the grid sums are
     partial-aggregated; the work is distinct values x grid points."""
     v = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
-    mom = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
-                F.min("v").alias("lo"), F.max("v").alias("hi"))
-    n = mom.select("n").scalar()
-    bw = mom.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
-    lo = mom.select("lo").scalar() - bw * cut
-    hi = mom.select("hi").scalar() + bw * cut
+    mom = one_row(v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
+                        F.min("v").alias("lo"), F.max("v").alias("hi")))
+    n = mom["n"]
+    bw = mom["sd"] * F.pow(mom["n"].cast("double"), F.lit(-0.2))
+    lo = mom["lo"] - bw * cut
+    hi = mom["hi"] + bw * cut
     counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("m"))
     norm = 1.0 / math.sqrt(2 * math.pi)
     grid_x = lo + (hi - lo) * F.col("g") / (gridsize - 1)
@@ -109,11 +115,9 @@ def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> Column:
     within the sketch guarantee) the query fails instead of answering."""
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     d = 2.0 / accuracy
-    st = v.agg(F.count(F.lit(1)).alias("n"),
-               F.percentile_approx("v", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("b"))
-    n = st.select("n").scalar()
-    lo = st.select(F.col("b")[0]).scalar()
-    hi = st.select(F.col("b")[1]).scalar()
+    st = one_row(v.agg(F.count(F.lit(1)).alias("n"),
+                       F.percentile_approx("v", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("b")))
+    n, lo, hi = st["n"], st["b"][0], st["b"][1]
     below = v.where(F.col("v") < lo).agg(F.count(F.lit(1))).scalar()
     k1 = F.floor((n - 1) / 2)
     k2 = F.ceil((n - 1) / 2)
