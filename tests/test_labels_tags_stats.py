@@ -68,10 +68,20 @@ def test_quantile_rank_error(spark, sf_small):
         assert lo - 0.01 * n <= p * n <= hi + 0.01 * n
 
 
-def test_drop_constant_columns_keeps_all_null(spark):
-    df = spark.createDataFrame([(1.0, "c", None, float("nan")), (2.0, "c", None, float("nan"))],
-                               "a double, b string, n double, z double")
-    assert flt.drop_constant_columns(df).columns == ["a", "n"]
+def test_drop_constant_columns_like_nunique(spark):
+    # b: one value; n: all null (0 distinct, kept); z: all NaN (0 distinct,
+    # kept); y: one value besides NaN (1 distinct, dropped)
+    df = spark.createDataFrame([(1.0, "c", None, float("nan"), 3.0), (2.0, "c", None, float("nan"), float("nan"))],
+                               "a double, b string, n double, z double, y double")
+    assert flt.drop_constant_columns(df).columns == ["a", "n", "z"]
+
+
+def test_recorded_hours_and_median_skip_nan(spark):
+    meta = spark.createDataFrame([(0.0, 10.0, "f"), (float("nan"), 5.0, "f"), (1.0, 2.0, ""), (1.0, 4.0, None)],
+                                 "first_ptp_time double, last_ptp_time double, filename_parquet string")
+    assert sts.recorded_hours(meta).first().total_seconds == 10.0
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
+    assert df.select(sts.exact_median(df, "x").alias("m")).first().m == 2.0
 
 
 def test_density_integrates_to_one(spark):

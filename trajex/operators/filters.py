@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trajex.schema import (EGO_PAD_SECONDS, HIGHWAY_ROAD_TAGS, OBJECT_COLUMNS,
                            STATUS_COLUMNS, Thresholds)
@@ -149,12 +150,17 @@ def status_projection(df: DataFrame) -> DataFrame:
 
 
 def constant_columns(df: DataFrame) -> list[str]:
-    """Columns with exactly one distinct non-null value.
+    """Columns with exactly one distinct value, NaN and null not counted
+    (pandas ``nunique() == 1``).
 
     One aggregation with O(1) state per column (min, max) instead of a
     distinct count: a column is constant iff min equals max and min is not
-    null.  NaN is a value here, like every non-null double."""
-    aggs = [(F.min(c).isNotNull() & (F.min(c) == F.max(c))).alias(c) for c in df.columns]
+    null.  NaN is first turned into null in floating columns."""
+    def val(c: str) -> Column:
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            return F.when(~F.isnan(c), F.col(c))
+        return F.col(c)
+    aggs = [(F.min(val(c)).isNotNull() & (F.min(val(c)) == F.max(val(c)))).alias(c) for c in df.columns]
     row = df.agg(*aggs).first()
     return [c for c in df.columns if row[c]]
 

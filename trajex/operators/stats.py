@@ -51,7 +51,8 @@ def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:
 def recorded_hours(meta: DataFrame) -> DataFrame:
     """Total recorded time: sum(last - first) over rows where both times
     are present and the parquet file name is non-empty; in seconds and hours."""
-    ok = (F.col("first_ptp_time").isNotNull() & F.col("last_ptp_time").isNotNull()
+    present = lambda c: F.col(c).isNotNull() & ~F.isnan(c)  # noqa: E731 - pandas notna
+    ok = (present("first_ptp_time") & present("last_ptp_time")
           & F.coalesce(F.col("filename_parquet") != "", F.lit(False)))
     total = F.sum(F.when(ok, F.col("last_ptp_time") - F.col("first_ptp_time")))
     return meta.agg(F.coalesce(total, F.lit(0.0)).alias("total_seconds")) \
@@ -80,13 +81,14 @@ def signal_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def signal_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
-    """A10: Gaussian kernel density with Scott's bandwidth
+    """A10: Gaussian kernel density (NaN and null dropped) with Scott's bandwidth
     (std * n^(-1/5)) on ``gridsize`` points from min - cut*bw to max + cut*bw.
 
     Values are first reduced to (value, multiplicity), then each distinct
     value adds its kernel to the fixed grid and the grid sums are
     partial-aggregated; the work is distinct values x grid points."""
-    v = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
+    v = (df.select(F.col(col).cast("double").alias("v"))
+         .where(F.col("v").isNotNull() & ~F.isnan("v")))
     mom = one_row(v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
                         F.min("v").alias("lo"), F.max("v").alias("hi")))
     n = mom["n"]
@@ -104,8 +106,8 @@ def signal_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.
 
 def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> Column:
     """Exact median of ``col`` (mean of the two middle values for an even
-    count, nulls ignored) as a scalar-subquery Column, without holding all
-    values in one task.
+    count, nulls and NaN ignored, as pandas does) as a scalar-subquery
+    Column, without holding all values in one task.
 
     Pass 1: count and a quantile sketch bracket the middle ranks:
     [q(0.5 - 2/accuracy), q(0.5 + 2/accuracy)] contains them because the
@@ -113,7 +115,8 @@ def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> Column:
     below the bracket and rank only the values inside it (about 4n/accuracy
     values) to pick the middle ones.  If the bracket missed (it cannot,
     within the sketch guarantee) the query fails instead of answering."""
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    v = (df.select(F.col(col).cast("double").alias("v"))
+         .where(F.col("v").isNotNull() & ~F.isnan("v")))
     d = 2.0 / accuracy
     st = one_row(v.agg(F.count(F.lit(1)).alias("n"),
                        F.percentile_approx("v", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("b")))
