@@ -97,3 +97,12 @@ def test_interval_join_strategies_agree(spark, sf_small):
     a = flt.within_intervals(e, iv)
     b = flt.within_intervals(e, iv, broadcast_max_rows=0, bucket_seconds=3.0)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_country_split_missing_country_is_europe(spark):
+    df = spark.createDataFrame([("Japan",), ("Brazil",), ("no country",), (None,), ("Sweden",)], "country string")
+    eu, jp, br = flt.country_split(df)
+    assert sorted(r.country or "" for r in eu.collect()) == ["", "Sweden"]
+    assert jp.count() == 1 and br.count() == 1
+    groups = {r.country: r.country_group for r in flt.country_group(df).collect()}
+    assert groups[None] == "europe" and groups["no country"] is None

@@ -178,17 +178,18 @@ def road_type_filter(df: DataFrame, recording_id: str | None = None,
 
 
 def country_group(df: DataFrame) -> DataFrame:
-    """label rows europe / japan / brazil (rows with 'no country' get null)."""
+    """label rows europe / japan / brazil; 'no country' gets null.  A
+    missing country counts as Europe, as pandas' ``!=`` makes it."""
     c = F.col("country")
     return df.withColumn("country_group",
                          F.when(c == "Japan", "japan").when(c == "Brazil", "brazil")
-                         .when(c != "no country", "europe"))
+                         .when(c.isNull() | (c != "no country"), "europe"))
 
 
 def country_split(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(europe, japan, brazil)."""
+    """(europe, japan, brazil); a missing country counts as Europe."""
     c = F.col("country")
-    europe = df.where(~c.isin("no country", "Japan", "Brazil"))
+    europe = df.where(c.isNull() | ~c.isin("no country", "Japan", "Brazil"))
     return europe, df.where(c == "Japan"), df.where(c == "Brazil")
 
 
