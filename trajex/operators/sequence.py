@@ -52,6 +52,20 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "_
             .drop("_nb", "_r", "_off"))
 
 
+def groups_fit(df: DataFrame, group: list[str], chunk: int) -> bool:
+    """True when no group has more than ``chunk`` rows: one aggregation (map
+    side partial counts) that proves a whole group may go to one task."""
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
+    return (largest or 0) <= chunk
+
+
+def one_chunk(df: DataFrame, group: list[str], order: list[str], out: str = "_i") -> DataFrame:
+    """Row numbers and a single chunk per group, for groups proven small."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    return (df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+            .withColumn("_c", F.lit(0).cast("long")).withColumn("_own", F.lit(True)))
+
+
 def chunked(df: DataFrame, idx: str, chunk: int, ahead: int = 0, behind: int = 0) -> DataFrame:
     """Assign rows to chunks of ``chunk`` row numbers (column ``_c``) and copy
     halo rows: the first ``ahead`` rows of a chunk also go to the previous
@@ -285,14 +299,23 @@ def _chunk_prefix(df: DataFrame, group: list[str], cols: list[str]) -> DataFrame
 
 
 def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_JUMP,
-                    time_col: str = "ptp_time", chunk: int = CHUNK_ROWS) -> DataFrame:
+                    time_col: str = "ptp_time", chunk: int = CHUNK_ROWS,
+                    single: bool | None = None) -> DataFrame:
     """Where X or Y moves more than ``jump`` between consecutive original
     rows (row k, k >= 2), add 1.5*P[k-1] - 0.5*P[k-2] to X, Y and Z of row k
     and every later row of the group; offsets add up.  Row 1 has no k-2 and
-    gets no offset."""
+    gets no offset.
+
+    Groups proven to fit in a chunk (``single``; checked when None) use one
+    window per group; otherwise chunks with a two-row halo plus chunk prefix
+    sums."""
     chunk = max(chunk, 3)
-    n = number_rows(df, group, [time_col])
-    h = chunked(n, "_i", chunk, behind=2)
+    if single is None:
+        single = groups_fit(df, group, chunk)
+    if single:
+        h = one_chunk(df, group, [time_col])
+    else:
+        h = chunked(number_rows(df, group, [time_col]), "_i", chunk, behind=2)
     w = Window.partitionBy(*group, "_c").orderBy("_i")
     x1, x2 = F.lag("PositionX", 1).over(w), F.lag("PositionX", 2).over(w)
     y1, y2 = F.lag("PositionY", 1).over(w), F.lag("PositionY", 2).over(w)
@@ -307,6 +330,11 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
     h = h.where("_own")
     for d in ("_dx", "_dy", "_dz"):
         h = h.withColumn(f"_run{d}", F.sum(d).over(run))
+    if single:
+        for axis, d in (("X", "_dx"), ("Y", "_dy"), ("Z", "_dz")):
+            h = h.withColumn(f"Position{axis}", F.col(f"Position{axis}") + F.col(f"_run{d}"))
+        return h.drop("_c", "_own", "_dx", "_dy", "_dz", "_run_dx", "_run_dy",
+                      "_run_dz").withColumnRenamed("_i", "row_no")
     # two passes (chunk totals, then rows): write the row-level result once
     h = materialize(h, "stitch_rows")
     pre = _chunk_prefix(h, group, ["_dx", "_dy", "_dz"])
@@ -319,7 +347,8 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
 
 
 def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
-            time_col: str = "ptp_time", chunk: int = CHUNK_ROWS, idx: str | None = None) -> DataFrame:
+            time_col: str = "ptp_time", chunk: int = CHUNK_ROWS, idx: str | None = None,
+            single: bool | None = None) -> DataFrame:
     """``angle = atan2(y - y[i-lag], x - x[i-lag])``; the first ``lag``
     rows take row ``lag``'s angle; groups of ``lag`` rows or fewer get null.
 
@@ -327,9 +356,14 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     order, so they run in one stage: the second reads row ``lag``'s angle
     from a frame of ``lag`` rows ahead (rows 0..lag are always in chunk 0)."""
     chunk = max(chunk, lag + 1)
-    n = df if idx else number_rows(df, group, [time_col])
     i = idx or "_i"
-    h = chunked(n, i, chunk, behind=lag)
+    if single is None:
+        single = groups_fit(df, group, chunk)
+    if single:
+        h = (df.withColumn("_c", F.lit(0).cast("long")).withColumn("_own", F.lit(True)) if idx
+             else one_chunk(df, group, [time_col]))
+    else:
+        h = chunked(df if idx else number_rows(df, group, [time_col]), i, chunk, behind=lag)
     w = Window.partitionBy(*group, "_c").orderBy(i)
     ang = F.atan2(F.col("PositionY") - F.lag("PositionY", lag).over(w),
                   F.col("PositionX") - F.lag("PositionX", lag).over(w))
@@ -343,10 +377,11 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     return out if idx else out.withColumnRenamed("_i", "row_no")
 
 
-def trajectory_process(df: DataFrame, group: list[str], **kw) -> DataFrame:
-    """W6 then W7 (``sample_process``)."""
-    st = position_stitch(df, group, **kw)
-    return heading(st, group, idx="row_no", **kw)
+def trajectory_process(df: DataFrame, group: list[str], chunk: int = CHUNK_ROWS, **kw) -> DataFrame:
+    """W6 then W7 (``sample_process``); the group-size check runs once."""
+    single = groups_fit(df, group, max(chunk, HEADING_LAG + 1))
+    st = position_stitch(df, group, chunk=chunk, single=single, **kw)
+    return heading(st, group, idx="row_no", chunk=chunk, single=single, **kw)
 
 
 # --- polylines and poses (W9, W10) ----------------------------------------------------

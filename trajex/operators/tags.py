@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.operators.sequence import CHUNK_ROWS, _chunk_prefix, chunked, number_rows
+from trajex.operators.sequence import (CHUNK_ROWS, _chunk_prefix, chunked, groups_fit, number_rows,
+                                       one_chunk)
 from trajex.schema import TAG_PAGE_SIZE
 from trajex.session import materialize
 
@@ -78,20 +79,27 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     dcols = [f"_d{k}" for k in range(len(names))]
     b = ev.groupBy("recording_id", "t").agg(*[
         F.sum(F.when(F.col("tag") == n, F.col("d")).otherwise(0)).alias(c) for n, c in zip(names, dcols)])
-    b = materialize(number_rows(b, ["recording_id"], ["t"], out="_n"), "tag_bounds")
     chunk = max(chunk, 2)
-    h = chunked(b, "_n", chunk, behind=1)
-    pre = _chunk_prefix(h, ["recording_id"], dcols)
     from pyspark.sql import Window
     w = Window.partitionBy("recording_id", "_c").orderBy("_n")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    h = h.join(pre, ["recording_id", "_c"], "left")
-    for c in dcols:
-        # prefix of earlier chunks plus the running sum of owned deltas; on
-        # the halo row (last row of the previous chunk) this is the prefix
-        # itself, i.e. its own coverage
-        own_sum = F.sum(F.when(F.col("_own"), F.col(c)).otherwise(0)).over(run)
-        h = h.withColumn(f"_cov{c}", F.coalesce(F.col(f"_pre_{c}"), F.lit(0)) + own_sum)
+    single = groups_fit(b, ["recording_id"], chunk)
+    if single:
+        # every recording's boundaries fit in one task: plain running sums
+        h = one_chunk(b, ["recording_id"], ["t"], out="_n")
+        for c in dcols:
+            h = h.withColumn(f"_cov{c}", F.sum(c).over(run))
+    else:
+        b = materialize(number_rows(b, ["recording_id"], ["t"], out="_n"), "tag_bounds")
+        h = chunked(b, "_n", chunk, behind=1)
+        pre = _chunk_prefix(h, ["recording_id"], dcols)
+        h = h.join(pre, ["recording_id", "_c"], "left")
+        for c in dcols:
+            # prefix of earlier chunks plus the running sum of owned deltas; on
+            # the halo row (last row of the previous chunk) this is the prefix
+            # itself, i.e. its own coverage
+            own_sum = F.sum(F.when(F.col("_own"), F.col(c)).otherwise(0)).over(run)
+            h = h.withColumn(f"_cov{c}", F.coalesce(F.col(f"_pre_{c}"), F.lit(0)) + own_sum)
     cond = F.lit(True)
     for n, c in zip(names, dcols):
         cov = F.col(f"_cov{c}")
@@ -100,11 +108,15 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     prev_p = F.lag("_p").over(w)
     h = h.withColumn("_prev_p", prev_p).where("_own")
     h = h.withColumn("_prev_p", F.when(F.col("_n") == 0, F.lit(False)).otherwise(F.col("_prev_p")))
-    h = materialize(h.select("recording_id", "t", "_p", "_prev_p"), "tag_flags")
     # transitions alternate start, end, start, ... in time order (the first
     # is a start): number them once and pair rank 2k with rank 2k + 1
-    tr = number_rows(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
-                     ["recording_id"], ["t"], out="_rank")
+    if single:
+        tr = one_chunk(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
+                       ["recording_id"], ["t"], out="_rank")
+    else:
+        h = materialize(h.select("recording_id", "t", "_p", "_prev_p"), "tag_flags")
+        tr = number_rows(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
+                         ["recording_id"], ["t"], out="_rank")
     pairs = tr.groupBy("recording_id", F.floor(F.col("_rank") / 2).alias("_k")).agg(
         F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.count(F.lit(1)).alias("_n"))
     # a run that never ends (only without include tags) has no end row
