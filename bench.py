@@ -2,8 +2,9 @@
 
 Runs each query on the tables in $BENCH_SF_DIR (default /root/testdata/sf0.1)
 on local[$BENCH_CPUS], executing the full plan into Spark's ``noop`` sink
-(nothing is collected to the driver).  One warm-up run, then the median of
-$BENCH_RUNS timed runs.  Prints one JSON line.
+(nothing is collected to the driver).  One warm-up pass over all queries,
+then $BENCH_RUNS interleaved passes; the median per query.  Prints one JSON
+line.
 
 Pairs ``*_naive`` / rewritten compare the plan as first written against the
 rewritten plan: the overlay (``scenario_labels``), the scene summary
@@ -93,21 +94,24 @@ def main() -> None:
     qs = dict(Q)
     qs.update(naive_queries())
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    timings, failed = {}, {}
-    for name in names:
-        fn = qs[name]
-        runs = []
-        try:
-            for k in range(RUNS + 1):
+    runs: dict[str, list[float]] = {n: [] for n in names}
+    failed = {}
+    # one warm-up pass, then interleaved timed passes: every pass runs each
+    # query once, so JIT warm-up and machine noise spread over all queries
+    for k in range(RUNS + 1):
+        for name in names:
+            if name in failed:
+                continue
+            try:
                 t0 = time.perf_counter()
                 # building the query is timed too: some operators write an
-                # intermediate table when they are called
-                fn(spark, SF_DIR).write.format("noop").mode("overwrite").save()
+                # intermediate table or run a size check when called
+                qs[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
                 if k:
-                    runs.append(time.perf_counter() - t0)
-            timings[name] = round(statistics.median(runs), 3)
-        except Exception as e:  # noqa: BLE001 - report and go on
-            failed[name] = str(e)[:200]
+                    runs[name].append(time.perf_counter() - t0)
+            except Exception as e:  # noqa: BLE001 - report and go on
+                failed[name] = str(e)[:200]
+    timings = {n: round(statistics.median(r), 3) for n, r in runs.items() if r and n not in failed}
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     out = {"metric": "sum_median_query_sec", "value": round(sum(timings.values()), 3),
            "unit": "sec", "queries": timings, "sf": sf, "cpus": CPUS, "runs": RUNS}
