@@ -443,11 +443,10 @@ SQL["drop_constant_columns"] = with_(
 HIGHWAY_TAGS = ("('[Road, Type, Primary highway]', '[Road, Type, Secondary highway]', "
                 "'[Road, Type, Motorway]')")
 SQL["road_type_filter"] = with_(
-    f"SELECT * FROM rt WHERE tag_name_list IN {HIGHWAY_TAGS} AND recording_id = '3'",
-    rt=fx("road_type"))
+    f"SELECT * FROM rt WHERE tag_name_list IN {HIGHWAY_TAGS}", rt=fx("road_type"))
 SQL["highway_times"] = with_(
-    f"SELECT DISTINCT start_datetime, end_datetime FROM rt WHERE tag_name_list IN {HIGHWAY_TAGS} "
-    "AND recording_id = '3' ORDER BY start_datetime", rt=fx("road_type"))
+    f"SELECT DISTINCT recording_id, start_datetime, end_datetime FROM rt "
+    f"WHERE tag_name_list IN {HIGHWAY_TAGS} ORDER BY recording_id, start_datetime", rt=fx("road_type"))
 SQL["country_split"] = with_(
     "SELECT recording_id, country, CASE WHEN country = 'Japan' THEN 'japan' "
     "WHEN country = 'Brazil' THEN 'brazil' ELSE 'europe' END AS country_group, etrs89_latitude "
@@ -459,9 +458,7 @@ SQL["yaw_rate_filter"] = with_(
 SQL["interval_pad"] = with_(
     "SELECT recording_id, id, start_time - 10 AS start_time, end_time + 10 AS end_time FROM ti",
     ti=fx("track_interval"))
-SQL["time_slice"] = with_(
-    "SELECT * FROM tr WHERE recording_id = 'FH2003_20220313_00' AND ptp_time BETWEEN 100 AND 900",
-    tr=fx("track"))
+SQL["time_slice"] = with_("SELECT * FROM tr WHERE ptp_time BETWEEN 100 AND 900", tr=fx("track"))
 SQL["time_slice_text"] = SQL["time_slice"]
 SQL["first_rows"] = with_("SELECT * FROM tr ORDER BY ptp_time, recording_id LIMIT 10",
                           tr=fx("track"))
@@ -469,7 +466,7 @@ SQL["first_rows"] = with_("SELECT * FROM tr ORDER BY ptp_time, recording_id LIMI
 
 # --- tables, metadata, tags, sources ------------------------------------------------------
 
-NKEYS = ("SELECT n_nationkey AS key_no, concat('FH', cast(2000 + n_nationkey % 20 as string), "
+NKEYS = ("SELECT n_nationkey AS key_no, n_regionkey AS region, concat('FH', cast(2000 + n_nationkey % 20 as string), "
          "'_202203', cast(10 + n_nationkey % 20 as string), '_00') AS recording_id FROM nation")
 FIXED_DATE = "2024/01/01_00:00:00"
 
@@ -477,26 +474,26 @@ SQL["key_lookup"] = with_(
     "SELECT f.* FROM fm f JOIN k ON f.recording_id IS NOT DISTINCT FROM k.recording_id "
     "AND f.filename_parquet IS NOT DISTINCT FROM k.filename_parquet",
     fm=fx("file_meta"), nk=NKEYS,
-    k=("SELECT recording_id, CASE WHEN key_no % 2 = 0 THEN NULL ELSE '' END AS filename_parquet FROM nk"))
+    k=("SELECT recording_id, CASE WHEN region < 3 THEN NULL ELSE '' END AS filename_parquet FROM nk"))
 SQL["key_exists"] = with_(
     "SELECT k.key_no, k.recording_id, k.filename_parquet, EXISTS (SELECT 1 FROM fm f WHERE "
     "f.recording_id IS NOT DISTINCT FROM k.recording_id AND f.filename_parquet IS NOT DISTINCT FROM "
     "k.filename_parquet) AS \"exists\" FROM k",
     fm=fx("file_meta"), nk=NKEYS,
-    k=("SELECT key_no, CASE WHEN key_no % 3 = 0 THEN concat('missing_', cast(key_no AS VARCHAR)) "
+    k=("SELECT key_no, CASE WHEN region = 2 THEN concat('missing_', cast(key_no AS VARCHAR)) "
        "ELSE recording_id END AS recording_id, CAST(NULL AS VARCHAR) AS filename_parquet FROM nk"))
 NEW_ROWS = ("SELECT recording_id, CAST(key_no AS DOUBLE) AS first_ptp_time, "
             "CAST(key_no + 5 AS DOUBLE) AS last_ptp_time, concat('new_', cast(key_no AS VARCHAR), "
             "'.parquet') AS filename_parquet, -key_no - 1 AS file_id FROM nk")
 SQL["replace_rows"] = with_(
     f"SELECT *, '{FIXED_DATE}' AS write_date FROM fm WHERE recording_id NOT IN "
-    f"(SELECT recording_id FROM nk WHERE key_no % 4 = 0) "
+    f"(SELECT recording_id FROM nk WHERE region = 0) "
     f"UNION ALL SELECT *, '{FIXED_DATE}' AS write_date FROM nr",
     fm=fx("file_meta"), nk=NKEYS, nr=NEW_ROWS)
 SQL["update_by_key"] = with_(
     "SELECT recording_id, first_ptp_time, CASE WHEN hit THEN 0.0 ELSE last_ptp_time END AS last_ptp_time, "
     "CASE WHEN hit THEN 'updated.parquet' ELSE filename_parquet END AS filename_parquet, file_id FROM "
-    "(SELECT *, recording_id IN (SELECT recording_id FROM nk WHERE key_no % 4 = 1) AS hit FROM fm)",
+    "(SELECT *, recording_id IN (SELECT recording_id FROM nk WHERE region = 1) AS hit FROM fm)",
     fm=fx("file_meta"), nk=NKEYS)
 SQL["table_scan"] = "SELECT * FROM orders"
 SQL["table_write_roundtrip"] = with_(f"SELECT *, '{FIXED_DATE}' AS write_to_db_date FROM fm",
@@ -567,9 +564,7 @@ SQL["recording_id_parts"] = with_(
 SQL["path_recording_id"] = with_(
     "SELECT path, string_split(path, '/')[-3] || '_00' AS recording_id FROM (SELECT DISTINCT path FROM ann)",
     ann=fx("annotation"))
-SQL["tag_filter"] = with_(
-    "SELECT * FROM tg WHERE tag IN ('click', 'view') AND recording_id IN ("
-    + ", ".join(f"'{k}'" for k in range(1, 11)) + ")", tg=fx("tag"))
+SQL["tag_filter"] = with_("SELECT * FROM tg WHERE tag IN ('click', 'view')", tg=fx("tag"))
 SQL["tag_page"] = with_("SELECT * FROM tg ORDER BY tag_id LIMIT 5000 OFFSET 5000", tg=fx("tag"))
 SQL["tag_flatten"] = with_(
     "SELECT recording_id, tag, start_time, end_time, "
@@ -593,8 +588,7 @@ SQL["tag_overlap"] = with_(
     isl=("SELECT *, sum(new_isl) OVER (PARTITION BY recording_id ORDER BY s "
          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM mk"),
 )
-SQL["scan_recording"] = with_("SELECT * FROM tr WHERE recording_id = 'FH2003_20220313_00'",
-                              tr=fx("track"))
+SQL["scan_recording"] = with_("SELECT * FROM tr", tr=fx("track"))
 SQL["csv_signal_scan"] = with_("SELECT * FROM tr", tr=fx("track"))
 SQL["interval_load"] = with_("SELECT * FROM iv", iv=fx("interval"))
 _R2_OLD = dict(R2_CTES)

@@ -106,3 +106,22 @@ def test_country_split_missing_country_is_europe(spark):
     assert jp.count() == 1 and br.count() == 1
     groups = {r.country: r.country_group for r in flt.country_group(df).collect()}
     assert groups[None] == "europe" and groups["no country"] is None
+
+
+def test_tag_filter_names_and_recordings(spark):
+    df = spark.createDataFrame([("1", "click"), ("1", "view"), ("2", "click"), ("3", "error")],
+                               "recording_id string, tag string")
+    assert tg.tag_filter(df, ["click"]).count() == 2
+    assert tg.tag_filter(df, recordings=["1"]).count() == 2
+    assert tg.tag_filter(df, ["click"], ["1"]).count() == 1
+    assert tg.tag_filter(df).count() == 4
+    big = [str(k) for k in range(2000)]          # beyond the isin limit: a semi join
+    assert tg.tag_filter(df, ["click"], big).count() == 2
+
+
+def test_time_slice_one_recording(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 5.0), ("b", 2.0)], "recording_id string, ptp_time double")
+    assert flt.time_slice(df, 1.0, 2.0, recording_id="a").count() == 1
+    assert flt.road_type_filter(spark.createDataFrame(
+        [("a", "[Road, Type, Motorway]"), ("b", "[Road, Type, Motorway]"), ("a", "x")],
+        "recording_id string, tag_name_list string"), recording_id="a").count() == 1

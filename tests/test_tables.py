@@ -51,3 +51,14 @@ def test_write_append_history_and_outer_union(spark):
     assert spark.read.parquet(path + "_history").count() == 8
     u = tb.outer_union(_table(spark), spark.createDataFrame([("d", 1)], "rid string, extra int"))
     assert u.count() == 5 and "extra" in u.columns
+
+
+def test_scan_one_recording_prunes_partitions(spark, sf_small):
+    from trajex.sources import fixtures as fx
+    from trajex.sources import recordings as rc
+    root = tb.scratch_path(spark, "streams")
+    rc.write_recordings(fx.track(spark, sf_small), root, "reference", "ego")
+    one = rc.scan_recording(spark, root, "reference", "ego", recording_id="FH2003_20220313_00")
+    assert one.count() == fx.track(spark, sf_small).where("recording_id = 'FH2003_20220313_00'").count()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(recording_id" in plan

@@ -435,14 +435,16 @@ def q_drop_constant_columns(spark, sf) -> DataFrame:
 
 @query("road_type_filter")
 def q_road_type_filter(spark, sf) -> DataFrame:
-    return flt.road_type_filter(fx.road_types(spark, sf), recording_id="3")
+    """F10 over every recording."""
+    return flt.road_type_filter(fx.road_types(spark, sf))
 
 
 @query("highway_times")
 def q_highway_times(spark, sf) -> DataFrame:
-    """O1: distinct (start, end) of one recording's highway tags, by start."""
-    r = flt.road_type_filter(fx.road_types(spark, sf), recording_id="3")
-    return r.select("start_datetime", "end_datetime").distinct().orderBy("start_datetime")
+    """O1: distinct (start, end) of each recording's highway tags, by start."""
+    r = flt.road_type_filter(fx.road_types(spark, sf))
+    return (r.select("recording_id", "start_datetime", "end_datetime").distinct()
+            .orderBy("recording_id", "start_datetime"))
 
 
 @query("country_split")
@@ -468,13 +470,15 @@ def q_interval_pad(spark, sf) -> DataFrame:
 
 @query("time_slice")
 def q_time_slice(spark, sf) -> DataFrame:
-    return flt.time_slice(fx.track(spark, sf), 100.0, 900.0, recording_id="FH2003_20220313_00")
+    """F6 on every recording: rows with 100 <= time <= 900."""
+    return flt.time_slice(fx.track(spark, sf), 100.0, 900.0)
 
 
 @query("time_slice_text")
 def q_time_slice_text(spark, sf) -> DataFrame:
+    """the same slice with bounds given as datetime text."""
     return flt.time_slice_text(fx.track(spark, sf), "1970-01-01 00:01:40.899",
-                               "1970-01-01 00:15:00.500", recording_id="FH2003_20220313_00")
+                               "1970-01-01 00:15:00.500")
 
 
 @query("first_rows")
@@ -496,7 +500,7 @@ FIXED_DATE = "2024/01/01_00:00:00"
 
 def _nation_keys(spark, sf):
     return spark.read.parquet(table_path(sf, "nation")).selectExpr(
-        "n_nationkey AS key_no", f"{fx.rec('n_nationkey')} AS recording_id")
+        "n_nationkey AS key_no", "n_regionkey AS region", f"{fx.rec('n_nationkey')} AS recording_id")
 
 
 @query("key_lookup")
@@ -504,14 +508,14 @@ def q_key_lookup(spark, sf) -> DataFrame:
     """Rows for (recording, file name) keys; recordings 0-4 are asked
     twice, null and empty names are matched as values."""
     keys = _nation_keys(spark, sf).selectExpr(
-        "recording_id", "CASE WHEN key_no % 2 = 0 THEN CAST(NULL AS STRING) ELSE '' END AS filename_parquet")
+        "recording_id", "CASE WHEN region < 3 THEN CAST(NULL AS STRING) ELSE '' END AS filename_parquet")
     return tb.key_lookup(fx.file_meta(spark, sf), keys, ["recording_id", "filename_parquet"])
 
 
 @query("key_exists")
 def q_key_exists(spark, sf) -> DataFrame:
     keys = _nation_keys(spark, sf).selectExpr(
-        "key_no", "CASE WHEN key_no % 3 = 0 THEN concat('missing_', cast(key_no AS string)) "
+        "key_no", "CASE WHEN region = 2 THEN concat('missing_', cast(key_no AS string)) "
         "ELSE recording_id END AS recording_id", "CAST(NULL AS STRING) AS filename_parquet")
     return tb.key_exists(fx.file_meta(spark, sf), keys, ["recording_id", "filename_parquet"])
 
@@ -525,7 +529,7 @@ def _new_rows(spark, sf):
 
 @query("replace_rows")
 def q_replace_rows(spark, sf) -> DataFrame:
-    keys = _nation_keys(spark, sf).where("key_no % 4 = 0")
+    keys = _nation_keys(spark, sf).where("region = 0")
     return tb.replace_rows(fx.file_meta(spark, sf).withColumn("write_date", F.lit(FIXED_DATE)),
                            _new_rows(spark, sf), keys, ["recording_id"], date_col="write_date",
                            when=FIXED_DATE)
@@ -533,7 +537,7 @@ def q_replace_rows(spark, sf) -> DataFrame:
 
 @query("update_by_key")
 def q_update_by_key(spark, sf) -> DataFrame:
-    keys = _nation_keys(spark, sf).where("key_no % 4 = 1")
+    keys = _nation_keys(spark, sf).where("region = 1")
     return tb.update_by_key(fx.file_meta(spark, sf),
                             {"filename_parquet": "updated.parquet", "last_ptp_time": 0.0},
                             keys, ["recording_id"])
@@ -583,7 +587,8 @@ def q_path_recording_id(spark, sf) -> DataFrame:
 
 @query("tag_filter")
 def q_tag_filter(spark, sf) -> DataFrame:
-    return tg.tag_filter(fx.tags(spark, sf), ["click", "view"], [str(k) for k in range(1, 11)])
+    """T4 by tag names over every recording."""
+    return tg.tag_filter(fx.tags(spark, sf), ["click", "view"])
 
 
 @query("tag_page")
@@ -604,10 +609,10 @@ def q_tag_overlap(spark, sf) -> DataFrame:
 
 @query("scan_recording")
 def q_scan_recording(spark, sf) -> DataFrame:
-    """Store the track stream partitioned by recording, read one back."""
+    """Store the track stream partitioned by recording, read it back."""
     root = tb.scratch_path(spark, "streams")
     rc.write_recordings(fx.track(spark, sf), root, "reference", "ego")
-    return rc.scan_recording(spark, root, "reference", "ego", recording_id="FH2003_20220313_00")
+    return rc.scan_recording(spark, root, "reference", "ego")
 
 
 @query("csv_signal_scan")
