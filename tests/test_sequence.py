@@ -140,3 +140,15 @@ def test_polyline_merge_runs(spark):
     out = seq.polyline_merge(spark.createDataFrame(rows), ["recording_id", "ptp_time"]).orderBy("run_no")
     got = [(r.TrackingID, r.BoundaryLineX) for r in out.collect()]
     assert got == [(1, [0.0, 1.0]), (2, [2.0]), (1, [3.0, 4.0, 5.0])]
+
+
+def test_nan_and_null_values_compare_false(spark):
+    import math
+    rnd = random.Random(5)
+    vals = [rnd.randint(0, 6) / 300.0 for _ in range(400)]
+    for k in range(0, 400, 13):
+        vals[k] = float("nan")
+    got = _run(spark, {"g": vals}, SCAN_BASIC)
+    assert got == _expect({"g": vals}, SCAN_BASIC)
+    assert _run(spark, {"g": vals}, SCAN_LONG, chunk=160) == _expect({"g": vals}, SCAN_LONG)
+    assert any(math.isnan(v) for v in vals)

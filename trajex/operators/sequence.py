@@ -229,7 +229,7 @@ def _walk_fn(chunk: int):
 
 def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
                     value: str = "Yaw", time_col: str = "ptp_time",
-                    chunk: int = CHUNK_ROWS) -> DataFrame:
+                    chunk: int = CHUNK_ROWS, single: bool | None = None) -> DataFrame:
     """W1 (and W3, W5 with other parameters or column): the pairs (t_i, t_j)
     the greedy scan accepts in each group.  Output columns: group columns,
     ``i`` and ``j`` (row numbers), ``t_i``, ``t_j``.
@@ -240,14 +240,16 @@ def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
     with the two-level scheme, cut into chunks with a halo of ``maximum``
     rows, and each chunk yields its hit rows and a transfer table; tables are
     stitched per group and each chunk is walked from its entry, so no task
-    holds more than one chunk."""
+    holds more than one chunk.  ``single`` passes an earlier size check of
+    the same groups (None: check here)."""
     chunk = max(chunk, params.maximum + 1, params.jump + 1)
     src = df.select(*group, F.col(time_col).cast("double").alias(time_col),
                     F.col(value).cast("double").alias(value))
     gfields = [f for f in src.schema.fields if f.name in group]
     gsql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gfields)
-    largest = src.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= chunk:
+    if single is None:
+        single = groups_fit(src, group, chunk)
+    if single:
         out = src.groupBy(*group).applyInPandas(
             _whole_group_fn(params, group, value, time_col),
             f"{gsql}, i long, j long, t_i double, t_j double")
@@ -377,9 +379,11 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     return out if idx else out.withColumnRenamed("_i", "row_no")
 
 
-def trajectory_process(df: DataFrame, group: list[str], chunk: int = CHUNK_ROWS, **kw) -> DataFrame:
+def trajectory_process(df: DataFrame, group: list[str], chunk: int = CHUNK_ROWS,
+                       single: bool | None = None, **kw) -> DataFrame:
     """W6 then W7 (``sample_process``); the group-size check runs once."""
-    single = groups_fit(df, group, max(chunk, HEADING_LAG + 1))
+    if single is None:
+        single = groups_fit(df, group, max(chunk, HEADING_LAG + 1))
     st = position_stitch(df, group, chunk=chunk, single=single, **kw)
     return heading(st, group, idx="row_no", chunk=chunk, single=single, **kw)
 

@@ -235,15 +235,20 @@ def q_heading(spark, sf) -> DataFrame:
 @query("trajectory_pipeline")
 def q_trajectory_pipeline(spark, sf) -> DataFrame:
     """Per interval slice, stitch positions, add heading, scan yaw."""
-    proc = seq.trajectory_process(track_in_intervals(spark, sf), TG)
-    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_BASIC)))
+    tr = track_in_intervals(spark, sf)
+    single = seq.groups_fit(tr, TG, seq.CHUNK_ROWS)
+    proc = seq.trajectory_process(tr, TG, single=single)
+    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_BASIC), single=single))
 
 
 @query("heading_scan")
 def q_heading_scan(spark, sf) -> DataFrame:
     """The return scan on the heading angle (45..80 rows, 0.01..0.02)."""
-    proc = seq.trajectory_process(track_in_intervals(spark, sf), TG)
-    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_HEADING), value="angle"))
+    tr = track_in_intervals(spark, sf)
+    single = seq.groups_fit(tr, TG, seq.CHUNK_ROWS)
+    proc = seq.trajectory_process(tr, TG, single=single)
+    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_HEADING), value="angle",
+                                      single=single))
 
 
 @query("polyline_merge")
