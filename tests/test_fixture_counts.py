@@ -60,3 +60,22 @@ def test_other_fixture_counts(spark, sf_small):
     assert tg.tag_overlap(fx.tags(spark, sf_small), ["click", "view"], ["error"]).count() == 88
     ann = fx.annotations(spark, sf_small)
     assert (ann.select("path").distinct().count(), ann.count()) == (20, 87)
+
+
+def test_chunked_paths_equal_single_task_paths(spark, sf_small):
+    from trajex.operators import tags as tg
+    tr = fx.track(spark, sf_small)
+
+    def rows(df, cols):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                      for r in df.select(*cols).collect())
+    cols = ["recording_id", "row_no", "PositionX", "PositionY", "PositionZ"]
+    assert rows(seq.position_stitch(tr, ["recording_id"], chunk=7), cols) == \
+        rows(seq.position_stitch(tr, ["recording_id"]), cols)
+    hcols = ["recording_id", "row_no", "angle"]
+    assert rows(seq.heading(tr, ["recording_id"], chunk=9), hcols) == \
+        rows(seq.heading(tr, ["recording_id"]), hcols)
+    t = fx.tags(spark, sf_small)
+    ocols = ["recording_id", "start_time", "end_time"]
+    assert rows(tg.tag_overlap(t, ["click", "view"], ["error"], chunk=4), ocols) == \
+        rows(tg.tag_overlap(t, ["click", "view"], ["error"]), ocols)
