@@ -156,7 +156,8 @@ def _exits(hpos: np.ndarray, step: np.ndarray, start: int, end: int, entries: in
 def _whole_group_fn(p: ScanParams, gcols: list[str], value: str, time_col: str):
     """Scan and walk one group that is proven to fit in one task."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time_col, kind="stable")
+        # rows with equal times are ordered by value: deterministic on reruns
+        pdf = pdf.sort_values([time_col, value], kind="stable")
         v = pdf[value].to_numpy(np.float64)
         t = pdf[time_col].to_numpy(np.float64)
         k = first_hits(v, len(v), 0, p)
@@ -254,7 +255,7 @@ def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
             _whole_group_fn(params, group, value, time_col),
             f"{gsql}, i long, j long, t_i double, t_j double")
         return out.select(*group, "i", "j", "t_i", "t_j")
-    n = number_rows(src, group, [time_col])
+    n = number_rows(src, group, [time_col, value])
     h = chunked(n, "_i", chunk, ahead=params.maximum)
     out_schema = (f"{gsql}, _c long, _i long, _k long, _step long, _emit boolean, "
                   f"t_i double, t_j double, _exits array<long>")
@@ -314,10 +315,12 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
     chunk = max(chunk, 3)
     if single is None:
         single = groups_fit(df, group, chunk)
+    # equal times are ordered by position, so reruns number rows alike
+    order = [time_col, "PositionX", "PositionY", "PositionZ"]
     if single:
-        h = one_chunk(df, group, [time_col])
+        h = one_chunk(df, group, order)
     else:
-        h = chunked(number_rows(df, group, [time_col]), "_i", chunk, behind=2)
+        h = chunked(number_rows(df, group, order), "_i", chunk, behind=2)
     w = Window.partitionBy(*group, "_c").orderBy("_i")
     x1, x2 = F.lag("PositionX", 1).over(w), F.lag("PositionX", 2).over(w)
     y1, y2 = F.lag("PositionY", 1).over(w), F.lag("PositionY", 2).over(w)
@@ -361,11 +364,12 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     i = idx or "_i"
     if single is None:
         single = groups_fit(df, group, chunk)
+    order = [time_col, "PositionX", "PositionY"]
     if single:
         h = (df.withColumn("_c", F.lit(0).cast("long")).withColumn("_own", F.lit(True)) if idx
-             else one_chunk(df, group, [time_col]))
+             else one_chunk(df, group, order))
     else:
-        h = chunked(df if idx else number_rows(df, group, [time_col]), i, chunk, behind=lag)
+        h = chunked(df if idx else number_rows(df, group, order), i, chunk, behind=lag)
     w = Window.partitionBy(*group, "_c").orderBy(i)
     ang = F.atan2(F.col("PositionY") - F.lag("PositionY", lag).over(w),
                   F.col("PositionX") - F.lag("PositionX", lag).over(w))
