@@ -1,8 +1,9 @@
 """Window and sequence operators.
 
 Groups are time series ordered by ``ptp_time``: a (recording, interval) for
-the scans, a recording for the trajectory repairs.  Nothing here puts a
-whole group into one task:
+the scans, a recording for the trajectory repairs.  A whole group goes to
+one task only after one aggregation has proved that no group exceeds a
+chunk (``groups_fit``); otherwise:
 
 * rows are numbered with a two-level scheme: a row number inside fixed
   time buckets plus a running total of bucket sizes (``number_rows``);
@@ -13,8 +14,7 @@ whole group into one task:
   per bounded chunk; its only sequential step, the walk, runs over the
   sparse hit rows: each chunk reduces to a transfer table (entry offset to
   exit offset), tables are stitched per group, and each chunk is walked
-  again from its known entry.  When one aggregation proves that every group
-  fits in a chunk, each group is scanned and walked in a single task.
+  again from its known entry.
 """
 
 from __future__ import annotations
