@@ -69,3 +69,18 @@ def test_straight_scene_zero_length_is_not_straight(spark):
     rows = [Row(recording_id="r", ptp_time=0.0, BoundaryLineX=[1.0], BoundaryLineY=[1.0])]
     out = geom.scene_straightness(spark.createDataFrame(rows), ["recording_id", "ptp_time"]).first()
     assert out.straight_share is None and out.is_straight is False
+
+
+def test_cross_any_stopped_vehicle_cell(spark):
+    import random
+    rnd = random.Random(1)
+    # 300 jittering fixes around (10, 0) and lane lines 1.75 m to each side
+    ego = spark.createDataFrame([Row(recording_id="r", ptp_time=float(k) / 10, PositionX=10 + rnd.uniform(-0.05, 0.05),
+                                     PositionY=rnd.uniform(-0.05, 0.05)) for k in range(300)])
+    side = [Row(recording_id="r", ptp_time=float(k) / 10, BoundaryLineX=[5.0, 15.0], BoundaryLineY=[y, y])
+            for k in range(300) for y in (1.75, -1.75)]
+    sl = spark.createDataFrame([Row(recording_id="r", id=0, start_time=0.0, end_time=100.0)])
+    k = ["recording_id", "id"]
+    assert geom.boundary_cross_any(ego, spark.createDataFrame(side), sl, k).first().crossed is False
+    cross = side + [Row(recording_id="r", ptp_time=29.0, BoundaryLineX=[9.0, 11.0], BoundaryLineY=[0.3, 0.3])]
+    assert geom.boundary_cross_any(ego, spark.createDataFrame(cross), sl, k).first().crossed is True

@@ -94,7 +94,9 @@ def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slic
     segment is copied to the grid cells its buffered bounding box touches,
     each position goes to its cell, and only pairs sharing a cell are
     tested.  Repeated positions keep only their earliest time, which decides
-    the existence test alone.  Returns every slice with a boolean ``crossed``.
+    the existence test alone, and per cell a segment is dropped unless it is
+    later than the cell's earliest point and near the points' bounding box.
+    Returns every slice with a boolean ``crossed``.
 
     ``slices`` has slice_key columns (including recording_id), start_time,
     end_time; ego and lines are restricted to each slice."""
@@ -119,6 +121,20 @@ def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slic
                                                    F.floor((F.greatest("ax", "bx") + buffer) / cell))))
            .withColumn("_cy", F.explode(F.sequence(F.floor((F.least("ay", "by") - buffer) / cell),
                                                    F.floor((F.greatest("ay", "by") + buffer) / cell)))))
+    # exact pruning per cell before any pair exists: a segment can only meet
+    # a point of the cell if it is later than the cell's earliest point and
+    # its bounding box comes within ``buffer`` of the points' bounding box
+    # (this drops e.g. lane lines beside a stopped vehicle's jittering fixes)
+    cells = e.groupBy(*slice_key, "_cx", "_cy").agg(
+        F.min("_et").alias("_emin"), F.min("PositionX").alias("_px0"), F.max("PositionX").alias("_px1"),
+        F.min("PositionY").alias("_py0"), F.max("PositionY").alias("_py1"))
+    seg = (seg.join(cells, [*slice_key, "_cx", "_cy"])
+           .where((F.col("_lt") > F.col("_emin"))
+                  & (F.least("ax", "bx") - buffer <= F.col("_px1"))
+                  & (F.greatest("ax", "bx") + buffer >= F.col("_px0"))
+                  & (F.least("ay", "by") - buffer <= F.col("_py1"))
+                  & (F.greatest("ay", "by") + buffer >= F.col("_py0")))
+           .drop("_emin", "_px0", "_px1", "_py0", "_py1"))
     seg = seg.withColumn("_sx", F.array("ax", "bx")).withColumn("_sy", F.array("ay", "by"))
     pairs = e.join(seg, [*slice_key, "_cx", "_cy"]).where(F.col("_lt") > F.col("_et"))
     hit = pairs.where(geo.point_near_polyline("_sx", "_sy", "PositionX", "PositionY", buffer))
