@@ -62,3 +62,17 @@ def test_scan_one_recording_prunes_partitions(spark, sf_small):
     assert one.count() == fx.track(spark, sf_small).where("recording_id = 'FH2003_20220313_00'").count()
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(recording_id" in plan
+
+
+def test_time_slice_pushes_to_the_scan(spark, sf_small):
+    from trajex.operators import filters as flt
+    from trajex.sources import fixtures as fx
+    from trajex.sources import recordings as rc
+    root = tb.scratch_path(spark, "streams")
+    rc.write_recordings(fx.track(spark, sf_small), root, "reference", "ego")
+    df = flt.time_slice(rc.scan_recording(spark, root, "reference", "ego"), 100.0, 900.0,
+                        recording_id="FH2003_20220313_00").select("ptp_time", "Yaw")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(recording_id" in plan
+    assert "GreaterThanOrEqual(ptp_time,100.0)" in plan and "LessThanOrEqual(ptp_time,900.0)" in plan
+    assert "ReadSchema: struct<ptp_time:double,Yaw:double>" in plan
