@@ -76,3 +76,15 @@ def test_time_slice_pushes_to_the_scan(spark, sf_small):
     assert "PartitionFilters: [isnotnull(recording_id" in plan
     assert "GreaterThanOrEqual(ptp_time,100.0)" in plan and "LessThanOrEqual(ptp_time,900.0)" in plan
     assert "ReadSchema: struct<ptp_time:double,Yaw:double>" in plan
+
+
+def test_interval_join_prunes_recordings_dynamically(spark, sf_small):
+    from trajex.operators import filters as flt
+    from trajex.sources import fixtures as fx
+    from trajex.sources import recordings as rc
+    root = tb.scratch_path(spark, "streams")
+    rc.write_recordings(fx.track(spark, sf_small), root, "reference", "ego")
+    iv = fx.track_intervals(spark, sf_small).where("id < 3")
+    df = flt.within_intervals(rc.scan_recording(spark, root, "reference", "ego"), iv)
+    assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == flt.within_intervals(fx.track(spark, sf_small), iv).count()
