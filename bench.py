@@ -90,7 +90,8 @@ HEADLINE = [
 def main() -> None:
     from trajex.plans.queries import Q
     from trajex.session import local_session
-    spark = local_session(CPUS)
+    # BENCH_EVENT_LOG=<folder>: keep Spark's event log for stage/task times
+    spark = local_session(CPUS, event_log_dir=os.environ.get("BENCH_EVENT_LOG"))
     qs = dict(Q)
     qs.update(naive_queries())
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
-                  app: str = "trajex") -> SparkSession:
+                  app: str = "trajex", event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests and the bench (UI off).  ``event_log_dir``
+    writes Spark's event log there, the source for stage and task times."""
     parts = shuffle_partitions or (8 if cores == "*" else max(2, 2 * int(cores)))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -31,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
