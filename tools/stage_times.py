@@ -13,11 +13,19 @@ import os
 
 
 def events(folder: str):
-    files = sorted(f for f in glob.glob(os.path.join(folder, "**", "*"), recursive=True)
-                   if os.path.isfile(f))
+    """Events of every log file under ``folder`` (plain or zstd, Spark 4's
+    default compression)."""
+    import io
+    files = sorted(f for f in glob.glob(os.path.join(folder, "**", "events_*"), recursive=True)
+                   if os.path.isfile(f) and not f.endswith(".crc"))
     for f in files:
-        with open(f) as fh:
-            for line in fh:
+        with open(f, "rb") as raw:
+            if f.endswith(".zstd"):
+                import zstandard
+                stream = zstandard.ZstdDecompressor().stream_reader(raw)
+            else:
+                stream = raw
+            for line in io.TextIOWrapper(stream, encoding="utf-8"):
                 if line.strip():
                     yield json.loads(line)
 
