@@ -8,10 +8,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajex.functions import geometry as geo
 from trajex.operators import filters as flt
+from trajex.operators import geometry as geom
 from trajex.operators import labels as lab
+from trajex.operators import metadata as md
+from trajex.operators import sequence as seq
+from trajex.operators import stats as sts
+from trajex.operators import tables as tb
+from trajex.operators import tags as tg
+from trajex.plans import lane_change as lcp
 from trajex.plans import scenario as scn
+from trajex.schema import (SCAN_BASIC, SCAN_HEADING, SCAN_LONG, SCAN_PIPELINE_A, SCAN_PIPELINE_B,
+                           STRAIGHT_R2_MIN_OLD, STRAIGHT_SHARE_MIN_OLD, ScanParams)
+from trajex.session import table_path
 from trajex.sources import fixtures as fx
+from trajex.sources import intervals as ivs
+from trajex.sources import recordings as rc
 
 Q: dict = {}
 
@@ -153,9 +166,6 @@ def q_labelled_total(spark, sf) -> DataFrame:
 
 # --- sequence operators ----------------------------------------------------------------
 
-from trajex.operators import sequence as seq  # noqa: E402
-from trajex.schema import (SCAN_BASIC, SCAN_HEADING, SCAN_LONG, SCAN_PIPELINE_A,  # noqa: E402
-                           SCAN_PIPELINE_B, ScanParams)
 
 TG = ["recording_id", "id"]
 
@@ -274,9 +284,6 @@ def q_pose_recentre(spark, sf) -> DataFrame:
 
 # --- geometry ---------------------------------------------------------------------------
 
-from trajex.functions import geometry as geo  # noqa: E402
-from trajex.operators import geometry as geom  # noqa: E402
-from trajex.plans import lane_change as lcp  # noqa: E402
 
 SCENE_KEY = ["recording_id", "ptp_time"]
 
@@ -354,9 +361,6 @@ def q_boundary_cross_any(spark, sf) -> DataFrame:
 
 # --- statistics and remaining filters ---------------------------------------------------
 
-from trajex.operators import stats as sts  # noqa: E402
-from trajex.sources import intervals as ivs  # noqa: E402
-
 
 @query("signal_quantiles")
 def q_signal_quantiles(spark, sf) -> DataFrame:
@@ -494,11 +498,6 @@ def q_first_rows(spark, sf) -> DataFrame:
 
 # --- tables, metadata, tags, sources -------------------------------------------------------
 
-from trajex.operators import metadata as md  # noqa: E402
-from trajex.operators import tables as tb  # noqa: E402
-from trajex.operators import tags as tg  # noqa: E402
-from trajex.sources import recordings as rc  # noqa: E402
-from trajex.session import table_path  # noqa: E402
 
 FIXED_DATE = "2024/01/01_00:00:00"
 
@@ -640,7 +639,6 @@ def q_interval_load(spark, sf) -> DataFrame:
 @query("straight_scene_old")
 def q_straight_scene_old(spark, sf) -> DataFrame:
     """A12 with the older thresholds (R2 > 0.94, share > 0.5)."""
-    from trajex.schema import STRAIGHT_R2_MIN_OLD, STRAIGHT_SHARE_MIN_OLD
     s = geom.scene_straightness(fx.polylines(spark, sf), SCENE_KEY, r2_min=STRAIGHT_R2_MIN_OLD,
                                 share_min=STRAIGHT_SHARE_MIN_OLD)
     return s.select(*SCENE_KEY, r6("straight_share"), "is_straight")
