@@ -58,7 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="trajex-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None:
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
