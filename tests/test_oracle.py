@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as ent
 from tools.check_oracle import TABLES, rows_of
 
-SF = "/root/testdata/sf0.001"
+import os
+
+SF = os.environ.get("ORACLE_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
