@@ -1,4 +1,7 @@
-"""Every registered query against its DuckDB answer on the smallest tables."""
+"""Every registered query against its DuckDB answer (smallest tables by
+default; ORACLE_SF picks another scale factor)."""
+
+import os
 
 import duckdb
 import pytest
@@ -6,8 +9,6 @@ import pytest
 import __spark_entry__ as ent
 from tools.check_oracle import TABLES, rows_of
 
-import os
-
 SF = os.environ.get("ORACLE_SF", "/root/testdata/sf0.001")
 
 
