@@ -45,7 +45,9 @@ def main():
                      si["Number of Tasks"], acc.get("internal.metrics.shuffle.write.bytesWritten", 0),
                      acc.get("internal.metrics.memoryBytesSpilled", 0), si["Stage Name"][:60]))
     rows.sort(reverse=True)
-    print(f"{len(rows)} stages, {sum(r[0] for r in rows) / 1000:.1f} s stage time in total")
+    print(f"{len(rows)} stages, {sum(r[0] for r in rows) / 1000:.1f} s stage time, "
+          f"{sum(r[3] for r in rows) / 1e6:.1f} MB shuffle written, "
+          f"{sum(r[4] for r in rows) / 1e6:.1f} MB spilled")
     print("ms      stage  tasks  shuffle_write  spilled  name")
     for ms, sid, n, sw, sp, name in rows[:a.top]:
         print(f"{ms:<7} {sid:<6} {n:<6} {sw:<14} {sp:<8} {name}")
