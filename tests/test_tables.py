@@ -88,3 +88,16 @@ def test_interval_join_prunes_recordings_dynamically(spark, sf_small):
     df = flt.within_intervals(rc.scan_recording(spark, root, "reference", "ego"), iv)
     assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == flt.within_intervals(fx.track(spark, sf_small), iv).count()
+
+
+def test_replace_rows_on_a_stored_table_writes_beside(spark):
+    path = tb.scratch_path(spark, "meta")
+    _table(spark).write.parquet(path)
+    table = tb.read_table(spark, path)
+    new = spark.createDataFrame([("a", "n", 9.0)], SCHEMA)
+    keys = spark.createDataFrame([Row(rid="a")])
+    out = tb.write_beside(tb.replace_rows(table, new, keys, ["rid"]), path)
+    assert out != path
+    got = sorted((r.rid, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 9.0), ("b", 3.0), ("c", 4.0)]
+    assert spark.read.parquet(path).count() == 4      # the input is untouched
