@@ -125,3 +125,14 @@ def test_time_slice_one_recording(spark):
     assert flt.road_type_filter(spark.createDataFrame(
         [("a", "[Road, Type, Motorway]"), ("b", "[Road, Type, Motorway]"), ("a", "x")],
         "recording_id string, tag_name_list string"), recording_id="a").count() == 1
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_interval_ends_inclusive_and_overlaps_repeat(spark, broadcast):
+    rows = spark.createDataFrame([("r", t) for t in (0.5, 1.0, 1.5, 2.0, 2.5, 3599.9, 3600.0, 7300.0)],
+                                 "recording_id string, ptp_time double")
+    iv = spark.createDataFrame([("r", 1.0, 2.0), ("r", 1.5, 3600.0), ("q", 0.0, 9.0), ("r", 3600.0, 7300.0)],
+                               "recording_id string, start_time double, end_time double")
+    got = sorted(r.ptp_time for r in flt.within_intervals(rows, iv, broadcast=broadcast,
+                                                          bucket_seconds=1.0).collect())
+    assert got == [1.0, 1.5, 1.5, 2.0, 2.0, 2.5, 3599.9, 3600.0, 3600.0, 7300.0]
