@@ -12,7 +12,7 @@ from trajex.session import bounded_rows
 
 # Interval tables above this many rows are not broadcast; they go through the
 # time-bucketed equi join instead.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 250_000
 # Bucket width (seconds) for the shuffled range join.
 RANGE_BUCKET_SECONDS = 60.0
 # Bucket width (seconds) of the broadcast range join's hash key.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from trajex.schema import DATE_TEXT_FORMAT
 from trajex.session import bounded_rows, checkpoint_dir
 
-KEY_BROADCAST_MAX_ROWS = 1_000_000
+KEY_BROADCAST_MAX_ROWS = 250_000
 
 
 def _key_cond(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
