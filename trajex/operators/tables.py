@@ -8,7 +8,6 @@ beside it and the caller swaps (``write_beside``)."""
 
 from __future__ import annotations
 
-import datetime as _dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,10 +57,6 @@ def key_exists(table: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
     return j.select(*[keys[c] for c in keys.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias("exists"))
 
 
-def date_text(when: _dt.datetime | None = None) -> str:
-    return (when or _dt.datetime.now()).strftime("%Y/%m/%d_%H:%M:%S")
-
-
 def stamp(df: DataFrame, date_col: str, when: str | None = None) -> DataFrame:
     """Add the write-date text column (``yyyy/MM/dd_HH:mm:ss``)."""
     value = F.lit(when) if when is not None else F.date_format(F.current_timestamp(), DATE_TEXT_FORMAT)
