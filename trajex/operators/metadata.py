@@ -77,36 +77,52 @@ def _rules(line: Column, mois: Column) -> Column:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
+# Fields set only by the MOIS rules (masked for other test functions).
+MOIS_FIELDS = ["target_type", "scenario", "side", "target_speed", "target_distance"]
+
+
 def parse_annotations(lines: DataFrame) -> DataFrame:
     """One metadata row per annotation file (``annotation_filename``).
     Per field the value of the latest line wins, and within a line the
     latest rule; ``pass/fail`` joins the text after the last ':' of every
     line containing 'ok' with ', '; ``full_annotation`` joins all lines
     with one space.  Lines without ':' give no value for the rules that
-    read after it."""
-    w_first = lines.groupBy("path").agg(F.min_by("line", "line_no").alias("_l0"))
-    ln = lines.join(w_first, "path")
-    func = _strip(F.col("_l0"))
-    ln = ln.withColumn("_c", _rules(F.col("line"), func == "MOIS"))
+    read after it.
+
+    One aggregation per file: each line first keeps its latest candidate
+    per field (a higher-order ``filter`` + ``array_max`` on the line's
+    candidate array), the aggregation keeps the latest line per field and
+    the first line, and the MOIS-only fields are masked afterwards when the
+    first line is not ``MOIS`` (every field comes from one rule family, so
+    masking at the end equals testing the function on every line)."""
+    cands = _rules(F.col("line"), F.lit(True))
+
+    def of_field(name: str):
+        # a one-argument lambda: two-argument lambdas receive the index
+        return lambda c: c["f"] == name
+    per_line = [F.array_max(F.transform(F.filter(cands, of_field(f)),
+                                        lambda c: F.struct(c["r"].alias("r"), c["v"].alias("v"))))
+                .alias(f"_b_{f}") for f in FIELDS]
     pf = F.when(F.lower("line").contains("ok"), _after_last_colon(F.col("line")))
-    cands = ln.select("path", "line_no", F.explode("_c").alias("_x")).select(
-        "path", F.col("_x.f").alias("field"), F.col("_x.v").alias("value"),
-        F.struct("line_no", F.col("_x.r")).alias("_ord"))
-    per_field = cands.groupBy("path").agg(*[
-        F.max_by(F.when(F.col("field") == f, F.col("value")),
-                 F.when(F.col("field") == f, F.col("_ord"))).alias(f) for f in FIELDS])
+    ln = lines.select("path", "line_no", "line", pf.alias("_pf1"), *per_line)
     per_file = ln.groupBy("path").agg(
-        F.first(func).alias("test_function"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(pf.isNotNull(), F.struct("line_no", pf.alias("v"))))),
-                                 lambda x: x["v"]), ", ").alias("_pf"),
+        F.min_by("line", "line_no").alias("_l0"),
+        *[F.max_by(F.col(f"_b_{f}.v"),
+                   F.when(F.col(f"_b_{f}").isNotNull(), F.struct("line_no", F.col(f"_b_{f}.r"))))
+          .alias(f) for f in FIELDS],
+        F.array_join(F.transform(F.array_sort(F.collect_list(
+            F.when(F.col("_pf1").isNotNull(), F.struct("line_no", F.col("_pf1").alias("v"))))),
+            lambda x: x["v"]), ", ").alias("_pf"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))),
                                  lambda x: x["line"]), " ").alias("full_annotation"))
-    out = per_file.join(per_field, "path", "left")
-    return out.select(
+    func = _strip(F.col("_l0"))
+    mois = func == "MOIS"
+    return per_file.select(
         path_recording_id(F.col("path")).alias("recording_id"),
-        F.col("path").alias("annotation_filename"), "test_function",
+        F.col("path").alias("annotation_filename"), func.alias("test_function"),
         F.lit(TEST_ACTIVITY).alias("test_activity"),
-        *[F.col(f) for f in ("scenario", "side", "target_type", "target_speed", "target_distance")],
+        *[F.when(mois, F.col(f)).alias(f) for f in ("scenario", "side", "target_type",
+                                                      "target_speed", "target_distance")],
         F.when(F.col("_pf") != "", F.col("_pf")).alias("pass/fail"),
         "start_recording", "stop_recording", "full_annotation")
 
