@@ -67,18 +67,24 @@ def lane_change_validate(windows: DataFrame, ego: DataFrame, lines: DataFrame, g
     has group columns, ptp_time, PositionX, PositionY; ``lines`` has
     recording_id, ptp_time, BoundaryLineX/Y.  ``line_intervals`` (group
     columns, start_time, end_time) limits lines to the unpadded interval."""
-    inside = range_join(ego.select(*group, "ptp_time", "PositionX", "PositionY"),
-                        windows.select(*group, window_key, "lc_start", "lc_end"),
+    win = windows.select(*group, window_key, "lc_start", "lc_end")
+    extra = []
+    if line_intervals is not None:
+        # the few windows carry their interval's bounds; lines outside the
+        # unpadded interval are then dropped by a filter, not a join
+        li = line_intervals.select(*group, F.col("start_time").alias("_ls"), F.col("end_time").alias("_le"))
+        win, extra = win.join(li, group), ["_ls", "_le"]
+    inside = range_join(ego.select(*group, "ptp_time", "PositionX", "PositionY"), win,
                         group, "ptp_time", "lc_start", "lc_end", bucket)
     wkey = [*group, window_key, "lc_start", "lc_end"]
     if first_only:
-        first = inside.groupBy(*wkey).agg(F.min(F.struct("ptp_time", "PositionX", "PositionY")).alias("_e"))
-        inside = first.select(*wkey, "_e.ptp_time", "_e.PositionX", "_e.PositionY")
+        first = inside.groupBy(*wkey, *extra).agg(
+            F.min(F.struct("ptp_time", "PositionX", "PositionY")).alias("_e"))
+        inside = first.select(*wkey, *extra, "_e.ptp_time", "_e.PositionX", "_e.PositionY")
+    if extra:
+        inside = inside.where(F.col("ptp_time").between(F.col("_ls"), F.col("_le")))
     ln = lines.select("recording_id", F.col("ptp_time"), "BoundaryLineX", "BoundaryLineY")
     cand = inside.join(ln, ["recording_id", "ptp_time"])
-    if line_intervals is not None:
-        li = line_intervals.select(*group, F.col("start_time").alias("_ls"), F.col("end_time").alias("_le"))
-        cand = cand.join(li, group).where(F.col("ptp_time").between(F.col("_ls"), F.col("_le")))
     hits = cand.where(geo.point_near_polyline("BoundaryLineX", "BoundaryLineY", "PositionX",
                                               "PositionY", buffer))
     out = hits.select(*wkey)
