@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from trajex.functions import geometry as geo
 from trajex.schema import (CROSS_BUFFER_ANY, CROSS_BUFFER_VALIDATE,
                            STRAIGHT_R2_MIN, STRAIGHT_SHARE_MIN)
-from trajex.session import bounded_rows
+from trajex.session import bounded_rows, materialize
 
 # Grid cell (same unit as positions) for the spatial join of J6.
 CROSS_CELL = 2.0
@@ -110,9 +110,10 @@ def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slic
     keep = tuple(c for c in slice_key if c != "recording_id")
     from trajex.operators.filters import within_intervals
     e = within_intervals(ego.select("recording_id", "ptp_time", "PositionX", "PositionY"), sl, keep=keep)
-    e = (e.groupBy(*slice_key, "PositionX", "PositionY").agg(F.min("ptp_time").alias("_et"))
-         .withColumn("_cx", F.floor(F.col("PositionX") / cell))
-         .withColumn("_cy", F.floor(F.col("PositionY") / cell)))
+    # positions feed the per-cell pruning table and the pairs: write once
+    e = materialize(e.groupBy(*slice_key, "PositionX", "PositionY").agg(F.min("ptp_time").alias("_et"))
+                    .withColumn("_cx", F.floor(F.col("PositionX") / cell))
+                    .withColumn("_cy", F.floor(F.col("PositionY") / cell)), "cross_points")
     ln = within_intervals(lines.select("recording_id", "ptp_time", "BoundaryLineX", "BoundaryLineY"),
                           sl, keep=keep)
     n = "least(size(BoundaryLineX), size(BoundaryLineY))"
