@@ -84,3 +84,14 @@ def test_cross_any_stopped_vehicle_cell(spark):
     assert geom.boundary_cross_any(ego, spark.createDataFrame(side), sl, k).first().crossed is False
     cross = side + [Row(recording_id="r", ptp_time=29.0, BoundaryLineX=[9.0, 11.0], BoundaryLineY=[0.3, 0.3])]
     assert geom.boundary_cross_any(ego, spark.createDataFrame(cross), sl, k).first().crossed is True
+
+
+def test_export_lists_windows_in_order_with_repeats(spark):
+    from trajex.plans import lane_change as lcp
+    v = spark.createDataFrame([Row(recording_id="r", id=0, i=50, lc_start=20.5, lc_end=32.5),
+                               Row(recording_id="r", id=0, i=3, lc_start=1.0, lc_end=13.0),
+                               Row(recording_id="r", id=0, i=3, lc_start=1.0, lc_end=13.0),
+                               Row(recording_id="s", id=1, i=7, lc_start=2.25, lc_end=14.25)])
+    got = {(r.recording_id, r.id): (r.n_windows, r.lc) for r in lcp.lane_change_export(v).collect()}
+    assert got[("r", 0)] == (3, "[(1.0, 13.0), (1.0, 13.0), (20.5, 32.5)]")
+    assert got[("s", 1)] == (1, "[(2.25, 14.25)]")
