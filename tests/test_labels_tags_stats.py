@@ -136,3 +136,11 @@ def test_interval_ends_inclusive_and_overlaps_repeat(spark, broadcast):
     got = sorted(r.ptp_time for r in flt.within_intervals(rows, iv, broadcast=broadcast,
                                                           bucket_seconds=1.0).collect())
     assert got == [1.0, 1.5, 1.5, 2.0, 2.0, 2.5, 3599.9, 3600.0, 3600.0, 7300.0]
+
+
+def test_interval_list_explode_text_forms(spark):
+    from trajex.sources import intervals as ivs
+    df = spark.createDataFrame([("a", "[[1.5, 2.0],[3, 4.25]]"), ("b", "[]"), ("c", "not a list")],
+                               "recording_id string, intervals string")
+    got = sorted(tuple(r) for r in ivs.explode_interval_list(df).collect())
+    assert got == [("a", 0, 1.5, 2.0), ("a", 1, 3.0, 4.25)]
