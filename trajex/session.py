@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,6 +76,28 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in the executors' Python workers, also
+    where neither the working folder nor PYTHONPATH holds it: a zip of the
+    sources goes to the executors through Spark, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="trajex-"), "trajex.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in sorted(os.walk(here)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _shipped[sc.applicationId] = path
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.  Costs one job that
     stops reading after ``max_rows + 1`` rows, so it is a proven size bound
