@@ -92,8 +92,10 @@ def slots(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: in
         .withColumn("short_at", permute(blocks - 1, F.reverse("keys"), blocks))
         .withColumn("slots", F.least(blocks, F.ceil((words + F.col("short")) / block).cast("long")))
     )
+    # a stated number of tasks: the rows are few, what they generate is not
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = passes.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CHUNK})"))) \
-        .repartition("place", "turn", "chunk")
+        .repartition(tasks, "place", "turn", "chunk")
     slot = F.col("slot")
     before = slot * block - F.when(slot > F.col("short_at"), F.col("short")).otherwise(0)
     length = block - F.when(slot == F.col("short_at"), F.col("short")).otherwise(0)
@@ -150,7 +152,8 @@ def pieces(rows: DataFrame, targets: DataFrame, block: int = BLOCK, seed: int =
 def draws(rows: DataFrame, targets: DataFrame, block: int = BLOCK, seed: int = 42) -> DataFrame:
     """One row per document piece and draw of its block: row, turn, shard, at
     and words (from the document's word ``at`` on)."""
-    joined = pieces(rows, targets, block, seed).join(slots(targets, block, seed=seed), ["place", "index"])
+    # both sides grow with the input, though the slots come from few rows: never broadcast
+    joined = pieces(rows, targets, block, seed).join(slots(targets, block, seed=seed).hint("merge"), ["place", "index"])
     return joined.withColumn("words", F.least("hi", "take") - F.col("lo")).filter("words > 0") \
         .select("row", "turn", "shard", "at", "words")
 
