@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from trajex.llm.common import WordCache, append_columns, long, text
 
 NO_LIMIT = 1 << 40
+#: Bytes of a piece whose table is kept for other pieces.
+HEAD = 6
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -115,22 +117,13 @@ class Merges:
         return found
 
 
-class PrefixTable:
-    """Last token of each prefix of one piece of bytes."""
-
-    def __init__(self, merges: Merges, piece: bytes = b""):
-        self.merges, self.piece, self.last, self.states = merges, b"", [], []
-        self.append(piece)
-
-    def append(self, more: bytes) -> None:
-        self.piece += more
-        self._extend(len(self.piece))
-
-    def _extend(self, upto: int) -> None:
-        m, last, states = self.merges, self.last, self.states
-        known, apart, ends, back, get = m.known.get, m.apart, m.ends, m.back, m.step.get
-        at, state = len(last), states[-1] if states else 0
-        for byte in self.piece[at:upto]:
+    def extend(self, more: bytes, last: list[int], state: int, states: list[int] | None = None) -> int:
+        """Appends the last tokens of the prefixes that ``more`` adds; ``state``
+        is the automaton's after the bytes so far.  Returns the new state and
+        appends each one to ``states`` if given."""
+        known, apart, ends, back, get = self.known.get, self.apart, self.ends, self.back, self.step.get
+        at = len(last)
+        for byte in more:
             at += 1
             after = get(state << 8 | byte)
             while after is None:
@@ -139,7 +132,8 @@ class PrefixTable:
                 state = back[state]
                 after = get(state << 8 | byte)
             state = after
-            states.append(state)
+            if states is not None:
+                states.append(state)
             for length, token in ends[state]:
                 if length == at:
                     last.append(token)
@@ -151,6 +145,33 @@ class PrefixTable:
                     break
             else:
                 raise ValueError("a byte has no token")
+        return state
+
+    def split(self, last: list[int]) -> list[int]:
+        """The encoding that a table of last tokens stands for."""
+        found, tokens, at = [], self.tokens, len(last)
+        while at:
+            token = last[at - 1]
+            found.append(token)
+            at -= len(tokens[token])
+        found.reverse()
+        return found
+
+
+class PrefixTable:
+    """Last token of each prefix of one piece of bytes."""
+
+    def __init__(self, merges: Merges, piece: bytes = b""):
+        self.merges, self.piece, self.last, self.states = merges, b"", [], []
+        self.append(piece)
+
+    def append(self, more: bytes) -> None:
+        self.piece += more
+        self._extend(len(self.piece))
+
+    def _extend(self, upto: int) -> None:
+        state = self.states[-1] if self.states else 0
+        self.merges.extend(self.piece[len(self.last):upto], self.last, state, self.states)
 
     def edit(self, begin: int, end: int, new: bytes) -> int:
         """Puts ``new`` in place of bytes begin to end; returns how many
@@ -173,11 +194,7 @@ class PrefixTable:
         return upto - begin
 
     def tokens(self) -> list[int]:
-        found, at = [], len(self.piece)
-        while at:
-            found.append(self.last[at - 1])
-            at -= len(self.merges.tokens[found[-1]])
-        return found[::-1]
+        return self.merges.split(self.last)
 
 
 class Encoder:
@@ -186,12 +203,22 @@ class Encoder:
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.split = merges, regex.compile(pattern).findall
-        self.pieces = WordCache(self._piece)
+        self.pieces, self.heads = WordCache(self._piece), WordCache(self._head)
+
+    def _head(self, head: bytes) -> tuple[list[int], int]:
+        last: list[int] = []
+        return last, self.merges.extend(head, last, 0)
 
     def _piece(self, word: str) -> bytes:
         piece = word.encode()
         token = self.merges.ranks.get(piece)
-        ids = [token] if token is not None else PrefixTable(self.merges, piece).tokens()
+        if token is not None:
+            return struct.pack("<I", token)
+        # words with the same beginning share its table and append to it
+        last, state = self.heads[piece[:HEAD]]
+        last = last.copy()
+        self.merges.extend(piece[HEAD:], last, state)
+        ids = self.merges.split(last)
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, value: str) -> bytes:

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -67,18 +67,36 @@ def append_columns(df: DataFrame, inputs: Sequence[str], make: Callable[[], Call
     return df.select(*(F.col(f"`{c}`") for c in wanted)).mapInArrow(run, schema)
 
 
+def hash_share(key: Column, seed: int) -> Column:
+    """A number from 0 up to 1 that a key always gets."""
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11) / float(1 << 53)
+
+
+def bounded_sample(df: DataFrame, key: str, among: int, rows: int, seed: int = 7) -> DataFrame:
+    """At most ``rows`` rows of ``df``, which has about ``among`` rows of
+    different keys: those whose keys have the smallest hash shares.  A threshold
+    leaves about twice as many as wanted, so few rows are ordered, whatever the
+    number of tasks."""
+    share = hash_share(F.col(key), seed)
+    return df.filter(share <= min(1.0, 2 * rows / max(among, 1))).orderBy(share, key).limit(rows)
+
+
 class WordCache(dict):
     """Results per word with a bound on entries and on the length of a word;
-    only a saving of time, so it may be emptied at any moment."""
+    only a saving of time.  When the newer half is full it becomes the older
+    half, from which words in use come back."""
 
     def __init__(self, compute: Callable, entries: int = 500_000, longest: int = 48):
         super().__init__()
-        self.compute, self.entries, self.longest = compute, entries, longest
+        self.compute, self.entries, self.longest, self.older = compute, entries, longest, {}
 
     def __missing__(self, word):
-        value = self.compute(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.compute(word)
         if len(word) <= self.longest:
             if len(self) >= self.entries:
+                self.older = dict(self)
                 self.clear()
             self[word] = value
         return value
