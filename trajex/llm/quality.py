@@ -155,13 +155,15 @@ def inside(measure: str, prefix: str = "") -> Column:
     return F.abs(away) <= margin
 
 
-def judge(df: DataFrame, path: str, column: str = "text", language: str | None = "lang") -> DataFrame:
+def judge(df: DataFrame, path: str, column: str = "text", language: str | None = "lang", keep_text: bool = True) -> DataFrame:
     """Adds the measures and ``kept`` to the rows of ``df``.  The measured rows
-    are written once; the bands come from them.  Languages are compared as they
+    are written once (without the text unless ``keep_text``); the bands come
+    from them.  Languages are compared as they
     are written; a null language uses its script's bands."""
     lang = F.col(f"`{language}`").cast("string") if language else F.lit(None).cast("string")
     size = F.round(2 * F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")
-    rows = stage(measures(df, path, column).withColumn("__lang", lang).withColumn("__size", size), "measures")
+    measured = measures(df, path, column).withColumn("__lang", lang).withColumn("__size", size)
+    rows = stage(measured if keep_text else measured.drop(column), "measures")
     names = [f"{p}_{m}" for p in ("mid", "dev") for m in MEASURES]
 
     def joined(left: DataFrame, by: str, prefix: str) -> DataFrame:
@@ -179,5 +181,5 @@ def judge(df: DataFrame, path: str, column: str = "text", language: str | None =
 def op7(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    found = judge(docs.select("doc_id", "lang", F.col("text").alias("__text")), public_tokenizers.path("piece_bpe_32k.model"), "__text")
+    found = judge(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_text=False)
     return found.select("doc_id", *COUNTS, "base_failed", "kept", *MEASURES, "script")
