@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajex.llm.boosting import Boosted
-from trajex.llm.common import append_columns, text
+from trajex.llm.common import append_columns, bounded_sample, hash_share, text
 from trajex.llm.html_tree import TEXT, Tree, parse
 
 #: Pages whose texts fill the layouts, characters of each that are read, and
@@ -294,11 +294,15 @@ def main_text(trees: list[Tree], model: Boosted) -> list[str]:
 
 
 def fit(df: DataFrame, column: str = "html", sample: int = SAMPLE) -> Boosted:
-    """Trains on a bounded sample of the pages' texts, chosen by hash."""
-    page = F.substring(F.col(f"`{column}`"), 1, SAMPLE_CHARS)
-    order = F.xxhash64(F.col(f"`{column}`"))
-    rows = df.select(order.alias("o"), page.alias("p")).dropna().orderBy("o", "p").limit(sample).collect()
-    return train([r["p"] for r in rows])
+    """Trains on a bounded sample of the different pages' texts, chosen by hash;
+    copies of a page count once."""
+    keyed = df.select(F.xxhash64(F.col(f"`{column}`")).alias("key"), F.substring(F.col(f"`{column}`"), 1, SAMPLE_CHARS).alias("page")).dropna()
+    among = keyed.agg(F.approx_count_distinct("key")).first()[0]
+    # rows far above the sample's share of hashes go before copies are dropped
+    share = min(1.0, 4 * sample / max(among, 1))
+    near = keyed.filter(hash_share(F.col("key"), 7) <= share).groupBy("key").agg(F.min("page").alias("page"))
+    rows = bounded_sample(near, "key", among, sample).collect()
+    return train(sorted(r["page"] for r in rows))
 
 
 def extract(df: DataFrame, model: Boosted, column: str = "html", to: str = "text") -> DataFrame:

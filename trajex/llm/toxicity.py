@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.llm.common import WordCache, append_columns
+from trajex.llm.common import WordCache, append_columns, bounded_sample
 
 SAMPLE, SAMPLE_CHARS = 4000, 20_000
 DIMENSIONS = 1 << 18
@@ -144,12 +144,11 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
     bounded sample's texts come to the driver."""
     known = (labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
              .dropna().filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
-    order = F.xxhash64("id", F.lit(7))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect() if r["y"] in (0, 1)}  # two rows
     if len(counts) < 2:
         return train([], [])
-    chosen = known.filter("y = 1").orderBy(order, "id").limit(sample // 2).unionByName(
-        known.filter("y = 0").orderBy(order, "id").limit(sample - sample // 2))
+    chosen = bounded_sample(known.filter("y = 1"), "id", counts[1], sample // 2).unionByName(
+        bounded_sample(known.filter("y = 0"), "id", counts[0], sample - sample // 2))
     texts = df.select(F.col(f"`{id_column}`").alias("id"), F.substring(F.coalesce(F.col(f"`{column}`"), F.lit("")), 1, SAMPLE_CHARS).alias("t"))
     rows = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").collect()
     return train([r["t"] for r in rows], [r["y"] for r in rows], counts[1] / (counts[0] + counts[1]))
