@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.llm.common import WordCache, append_columns, long, text
+from trajex.llm.common import WordCache, append_columns, long, text, worker_tool
 
 NO_LIMIT = 1 << 40
 #: Bytes of a piece whose table is kept for other pieces.
@@ -111,7 +111,7 @@ class Merges:
                 limit, b = b + 1, left[b]
 
     def apart(self, a: int, b: int) -> bool:
-        if len(self.known) >= 1_000_000:
+        if len(self.known) >= 400_000:
             self.known.clear()
         found = self.known[a << 32 | b] = self._apart(a, b)
         return found
@@ -203,7 +203,7 @@ class Encoder:
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.split = merges, regex.compile(pattern).findall
-        self.pieces, self.heads = WordCache(self._piece), WordCache(self._head)
+        self.pieces, self.heads = WordCache(self._piece), WordCache(self._head, 50_000)
 
     def _head(self, head: bytes) -> tuple[list[int], int]:
         last: list[int] = []
@@ -229,15 +229,9 @@ class Encoder:
         return b"".join(map(self.merges.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
     """One encoder per Python worker, kept across its tasks."""
-    key = (path, pattern)
-    if key not in _encoders:
-        _encoders[key] = Encoder(Merges(read_ranks(path)), pattern)
-    return _encoders[key]
+    return worker_tool(("bpe", path, pattern), lambda: Encoder(Merges(read_ranks(path)), pattern))
 
 
 def encode(df: DataFrame, path: str, pattern: str, column: str = "text", ids: bool = True) -> DataFrame:

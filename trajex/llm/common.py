@@ -67,6 +67,40 @@ def append_columns(df: DataFrame, inputs: Sequence[str], make: Callable[[], Call
     return df.select(*(F.col(f"`{c}`") for c in wanted)).mapInArrow(run, schema)
 
 
+def row_key(df: DataFrame, *columns: str) -> Column:
+    """A digest of the values of some columns, the last a text; nulls differ
+    from all values."""
+    def told(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-"))
+
+    return F.unhex(F.sha2(F.concat(*(F.sha2(told(c), 256) for c in columns[:-1]), told(columns[-1])), 256))
+
+
+def whole_rows(df: DataFrame, key: Column, rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """What was ``decided`` for keys, each with a row of ``df`` that has its
+    key; ``rows`` has the ``key`` of every row of ``df``.
+    Texts cross the network once here instead of being written beside the
+    decisions.  Only keys of repeated rows need to be thinned out first."""
+    keyed = df.withColumn("__key", key)
+    repeated = stage(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("__key")), "repeated")
+    if not repeated.isEmpty():
+        keyed = keyed.join(repeated, "__key", "left_anti").unionByName(
+            keyed.join(repeated, "__key", "left_semi").dropDuplicates(["__key"]))
+    return keyed.join(decided.withColumnRenamed("key", "__key"), "__key").drop("__key")
+
+
+_tool: list = [None, None]
+
+
+def worker_tool(key, make: Callable):
+    """What ``make()`` gives, kept in this Python worker until another tool is
+    asked for, so that one tool's caches at a time take memory."""
+    if _tool[0] != key:
+        _tool[:] = [None, None]
+        _tool[:] = [key, make()]
+    return _tool[1]
+
+
 def hash_share(key: Column, seed: int) -> Column:
     """A number from 0 up to 1 that a key always gets."""
     return F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11) / float(1 << 53)
@@ -86,7 +120,7 @@ class WordCache(dict):
     only a saving of time.  When the newer half is full it becomes the older
     half, from which words in use come back."""
 
-    def __init__(self, compute: Callable, entries: int = 500_000, longest: int = 48):
+    def __init__(self, compute: Callable, entries: int = 200_000, longest: int = 48):
         super().__init__()
         self.compute, self.entries, self.longest, self.older = compute, entries, longest, {}
 

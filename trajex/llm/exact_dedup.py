@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.llm.common import append_columns, stage, text
+from trajex.llm.common import append_columns, row_key, stage, text, whole_rows
 
 #: Counters of the Misra-Gries summary: also the bound on broadcast winners.
 COUNTERS = 1024
@@ -84,14 +84,13 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", column: str = "text",
 
 
 def deduplicate(df: DataFrame, id_column: str = "doc_id", column: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """The rows that stay, with all their columns.  The whole rows are written
-    once with a row number; the decision joins back to them by that number."""
-    whole = [c for c in df.columns if c.lower() not in ("__digest", "__row")]
-    rows = stage(with_digest(df.select(*(F.col(f"`{c}`") for c in whole)), column, "__digest")
-                 .withColumn("__row", F.monotonically_increasing_id()), "rows")
-    light = rows.select(F.col(f"`{id_column}`").alias("id"), F.col("__row").alias("row"), F.col("__digest").alias("digest"))
-    kept = groups(light, counters).filter(F.col("row") == F.col("winner.row")).select(F.col("row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*(F.col(f"`{c}`") for c in whole))
+    """The rows that stay, with all their columns.  Of repeated rows (same id
+    and text) that differ in other columns any one stays."""
+    key = row_key(df, id_column, column)
+    light = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{column}`").alias("__text"), key.alias("key"))
+    rows = stage(with_digest(light, "__text", "digest").select("id", F.monotonically_increasing_id().alias("row"), "digest", "key"), "digests")
+    winners = groups(rows.drop("key"), counters).filter(F.col("row") == F.col("winner.row")).select("row")
+    return whole_rows(df, key, rows, rows.join(winners, "row", "left_semi").select("key")).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajex.llm.common import small_join, stage
+from trajex.llm.common import row_key, small_join, stage, whole_rows
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -175,14 +175,16 @@ def mixed_documents(df: DataFrame, id_column: str = "doc_id", column: str = "tex
     """The mix as documents: for each pass a document with the words taken in
     it, the text unchanged where that is all of them, else its words joined by
     spaces.  All other columns stay; ``length_column`` is brought up to date.
-    Documents the mix takes no word of are absent."""
-    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("document")
-    rows = stage(sized(df, id_column, column, source_column, (whole,)), "mix-rows")
-    light = rows.drop("document")
-    targets = targets_of(light, weights)
-    ranges = draws(light, targets, block, seed).groupBy("row", "turn").agg(
+    Documents the mix takes no word of are absent.  Repeated rows (same id,
+    source and text) that differ in other columns take those of any one."""
+    key = row_key(df, id_column, source_column, column)
+    rows = stage(sized(df, id_column, column, source_column, (key.alias("key"),)), "sizes")
+    targets = targets_of(rows, weights)
+    ranges = draws(rows, targets, block, seed).groupBy("row", "turn").agg(
         F.sum("words").alias("taken"), F.sort_array(F.collect_list(F.struct("at", "words"))).alias("ranges"))
-    mixed = rows.join(ranges, "row")
+    decided = rows.select("row", "key", "size").join(ranges, "row").drop("row")
+    whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("document"), key.alias("k"))
+    mixed = whole_rows(whole, F.col("k"), rows, decided)
     words = F.regexp_extract_all(F.col("document")[column], F.lit(WORD), F.lit(0))
     cut = F.flatten(F.transform("ranges", lambda r: F.slice("words", (r["at"] + 1).cast("int"), r["words"].cast("int"))))
     partly = mixed.withColumn("words", F.when(F.col("taken") < F.col("size"), words))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.llm.common import WordCache, append_columns, long, small_join, stage, text
+from trajex.llm.common import WordCache, append_columns, long, small_join, stage, text, worker_tool
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -36,6 +36,7 @@ MEASURES = ("chars_per_token", "byte_share", "entropy")
 WIDTH = 5.0
 LEAST = {"chars_per_token": 0.15, "byte_share": 0.1, "entropy": 0.06}
 ENOUGH = 30
+DIGITS = 3
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -103,15 +104,10 @@ class Fertility:
         return chars / len(ids), float(counts[self.is_byte[kinds]].sum()) / len(ids), entropy
 
 
-_fertility: dict[str, Fertility] = {}
-
-
 def measures(df: DataFrame, path: str, column: str = "text") -> DataFrame:
     """Adds the counts, the three measures, base_failed and script."""
     def make():
-        if path not in _fertility:
-            _fertility[path] = Fertility(path)
-        tool = _fertility[path]
+        tool = worker_tool(("fertility", path), lambda: Fertility(path))
 
         def run(texts):
             rows = []
@@ -135,16 +131,16 @@ def measures(df: DataFrame, path: str, column: str = "text") -> DataFrame:
 
 def bands(measured: DataFrame, by: list[str]) -> DataFrame:
     """Per group the number of documents that pass the base rules and, by
-    measure, the median and the median distance from it.  Both are sketches
-    that merge, so no group is sorted as a whole."""
+    measure, the median and the median distance from it, of values rounded to
+    ``DIGITS``: counts of at most some thousand values, which merge exactly."""
     good = measured.filter(~F.col("base_failed")).dropna(subset=by).select(*by, *MEASURES)
     medians = stage(good.groupBy(*by).agg(
-        F.count("*").alias("n"), *(F.percentile_approx(m, 0.5, 2000).alias(f"mid_{m}") for m in MEASURES)
+        F.count("*").alias("n"), *(F.percentile(F.round(m, DIGITS), 0.5).alias(f"mid_{m}") for m in MEASURES)
     ).filter(F.col("n") >= ENOUGH), "medians")
     away = {m: F.abs(F.col(m) - F.col(f"mid_{m}")) for m in MEASURES}
     return small_join(good, medians, by, "inner").groupBy(*by).agg(
         *(F.first(f"mid_{m}").alias(f"mid_{m}") for m in MEASURES),
-        *(F.percentile_approx(away[m], 0.5, 2000).alias(f"dev_{m}") for m in MEASURES))
+        *(F.percentile(F.round(away[m], DIGITS), 0.5).alias(f"dev_{m}") for m in MEASURES))
 
 
 def inside(measure: str, prefix: str = "") -> Column:

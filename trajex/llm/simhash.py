@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajex.llm.common import append_columns, long, ship_package, stage
+from trajex.llm.common import append_columns, long, row_key, ship_package, stage, whole_rows
 from trajex.llm.components import spanning
 
 SHINGLE, RADIUS = 3, 3
@@ -232,14 +232,13 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", column: str = "tex
 
 def deduplicate(df: DataFrame, id_column: str = "doc_id", column: str = "text", shingle: int = SHINGLE,
                 radius: int = RADIUS) -> DataFrame:
-    """The first row of each component, with all its columns.  The whole rows
-    are written once with a row number; the decision joins back by it."""
-    whole = [F.col(f"`{c}`") for c in df.columns]
-    rows = stage(with_fingerprint(df.select(*whole), column, shingle, "__fp")
-                 .withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
-    light = rows.select(F.col(f"`{id_column}`").alias("id"), F.col("__row").alias("row"), F.col("__fp").alias("fp"))
-    kept = near_groups(light, radius).select(F.col("first.row").alias("__row")).distinct()
-    return rows.join(kept, "__row", "left_semi").select(*whole)
+    """The first row of each component, with all its columns.  Of repeated rows
+    (same id and text) that differ in other columns any one stays."""
+    key = row_key(df, id_column, column)
+    light = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{column}`").alias("__text"), key.alias("key"))
+    rows = stage(with_fingerprint(light, "__text", shingle).select("id", F.monotonically_increasing_id().alias("row"), "fp", "key"), "simhash")
+    firsts = near_groups(rows.drop("key"), radius).select("first.row").distinct()
+    return whole_rows(df, key, rows, rows.join(firsts, "row", "left_semi").select("key")).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

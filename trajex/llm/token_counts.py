@@ -19,7 +19,7 @@ from collections.abc import Iterable
 import regex
 from pyspark.sql import DataFrame
 
-from trajex.llm.common import WordCache, append_columns, long
+from trajex.llm.common import WordCache, append_columns, long, worker_tool
 
 START, NONE = 0, -1
 
@@ -106,23 +106,16 @@ def read_vocabulary(path: str) -> list[bytes]:
         return [base64.b64decode(line.split()[0]) for line in file if line.strip()]
 
 
-_automata: dict[tuple, LongestMatch] = {}
-
-
-def automaton(path: str, continuation: bytes) -> LongestMatch:
-    key = (path, continuation)
-    if key not in _automata:
-        _automata[key] = LongestMatch(read_vocabulary(path), continuation)
-    return _automata[key]
-
-
 def token_counts(df: DataFrame, path: str, pattern: str, continuation: bytes = b"", column: str = "text") -> DataFrame:
     """Adds n_words (matches of ``pattern``) and n_tokens (longest-match pieces
     of all words).  Null and empty texts give zeros; input columns of these
     names give way; rows map one to one."""
     def make():
-        split, count = regex.compile(pattern).findall, automaton(path, continuation).count
-        pieces = WordCache(lambda word: count(word.encode()))
+        def tool():
+            count = LongestMatch(read_vocabulary(path), continuation).count
+            return regex.compile(pattern).findall, WordCache(lambda word: count(word.encode()))
+
+        split, pieces = worker_tool(("token counts", path, pattern, continuation), tool)
 
         def run(texts):
             words, tokens = [], []
