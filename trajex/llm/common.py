@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -97,6 +98,7 @@ def worker_tool(key, make: Callable):
     asked for, so that one tool's caches at a time take memory."""
     if _tool[0] != key:
         _tool[:] = [None, None]
+        gc.collect()  # a tool and its caches refer to each other
         _tool[:] = [key, make()]
     return _tool[1]
 
