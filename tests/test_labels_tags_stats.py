@@ -140,7 +140,41 @@ def test_interval_ends_inclusive_and_overlaps_repeat(spark, broadcast):
 
 def test_interval_list_explode_text_forms(spark):
     from trajex.sources import intervals as ivs
-    df = spark.createDataFrame([("a", "[[1.5, 2.0],[3, 4.25]]"), ("b", "[]"), ("c", "not a list")],
-                               "recording_id string, intervals string")
-    got = sorted(tuple(r) for r in ivs.explode_interval_list(df).collect())
-    assert got == [("a", 0, 1.5, 2.0), ("a", 1, 3.0, 4.25)]
+
+    def read(cells):
+        df = spark.createDataFrame(cells, "recording_id string, intervals string")
+        return sorted(tuple(r) for r in ivs.explode_interval_list(df).collect())
+
+    got = read([("a", "[[1.5, 2.0],[3, 4.25]]"), ("b", "[]"), ("c", None), ("d", " "), ("e", "[(1.0, 2.0), (3.0, 4.0),]")])
+    assert got == [("a", 0, 1.5, 2.0), ("a", 1, 3.0, 4.25), ("e", 0, 1.0, 2.0), ("e", 1, 3.0, 4.0)]
+    for cell in ("not a list", "[[1,2", "[[1]]"):
+        with pytest.raises(Exception, match="not a list of intervals"):
+            read([("x", cell)])
+
+
+@pytest.mark.parametrize("chunk", [2, 65536])
+def test_tag_overlap_open_and_inverted_ends(spark, chunk):
+    from trajex.operators import tags as tg
+    rows = [("r", "a", 0.0, 10.0), ("r", "b", 2.0, 8.0), ("r", "a", 20.0, None), ("r", "a", None, 99.0),
+            ("r", "a", 15.0, 15.0), ("r", "a", 18.0, 12.0), (None, "a", 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "recording_id string, tag string, start_time double, end_time double")
+    got = sorted(map(tuple, tg.tag_overlap(df, ["a"], ["b"], chunk=chunk).collect()), key=str)
+    assert got == sorted([("r", 0.0, 2.0), ("r", 8.0, 10.0), ("r", 20.0, None), (None, 1.0, 2.0)], key=str)
+
+
+def test_tag_query_text():
+    from trajex.operators.tags import overlap_terms
+    assert overlap_terms("'A' and 'B'") == (["A", "B"], [])
+    assert overlap_terms("'A' AND not 'B and C' and 'D'") == (["A", "D"], ["B and C"])
+    for bad in ("A and B", "'A' or 'B'", "'A' and", ""):
+        with pytest.raises(ValueError):
+            overlap_terms(bad)
+
+
+def test_tag_filter_keeps_columns_and_types(spark):
+    from trajex.operators import tags as tg
+    df = spark.createDataFrame([("r", "a", "t", "s"), ("q", "b", "u", "s")], "recording_id string, tag string, type string, sub_type string")
+    many = ["a"] + [f"n{k}" for k in range(tg.ISIN_MAX)]
+    assert tg.tag_filter(df, many).columns == df.columns
+    assert [r.recording_id for r in tg.tag_filter(df, many).collect()] == ["r"]
+    assert [r.tag for r in tg.tag_filter(df, types=["u"], sub_types=["s"]).collect()] == ["b"]

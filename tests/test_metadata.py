@@ -56,3 +56,21 @@ def test_read_text_files_keep_newlines(spark):
     assert r.full_annotation == "MOIS\n 10:00:01: recording has started\n result: ok\n follow bike\n"
     built = md.metadata_build(md.parse_annotations(lines)).first()
     assert built.vehicle_id == "FH2467" and str(built.test_date) == "2022-03-28"
+
+
+def test_folders_line_ends_and_empty_values(spark, tmp_path):
+    deep = tmp_path / "FH7_20220307" / "annot"
+    deep.mkdir(parents=True)
+    (deep / "a.txt").write_bytes(b"MOIS\r\nok:\r\nfollow bike\r\n")
+    (deep / "a.csv").write_bytes(b"no annotation\n")
+    r = md.parse_annotations(md.read_annotation_lines(spark, str(tmp_path))).collect()
+    assert len(r) == 1 and r[0]["pass/fail"] == ""
+    assert r[0].full_annotation == "MOIS\n ok:\n follow bike\n"
+
+
+def test_bad_ids_give_nulls(spark):
+    df = spark.createDataFrame([("bad",), ("FH1_x_00",), ("FH1_20220301_00",)], "recording_id string")
+    got = {r.recording_id: (r.vehicle_id, str(r.test_date)) for r in md.recording_id_parts(df).collect()}
+    assert got == {"bad": ("bad", "None"), "FH1_x_00": ("FH1", "None"), "FH1_20220301_00": ("FH1", "2022-03-01")}
+    paths = spark.createDataFrame([("a.txt",), ("/x/FH1_20220301/annot/a.txt",)], "p string")
+    assert [r[0] for r in paths.select(md.path_recording_id(paths.p)).collect()] == [None, "FH1_20220301_00"]

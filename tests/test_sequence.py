@@ -152,3 +152,35 @@ def test_nan_and_null_values_compare_false(spark):
     assert got == _expect({"g": vals}, SCAN_BASIC)
     assert _run(spark, {"g": vals}, SCAN_LONG, chunk=160) == _expect({"g": vals}, SCAN_LONG)
     assert any(math.isnan(v) for v in vals)
+
+
+@pytest.mark.parametrize("chunk", [3, 1 << 16])
+def test_null_times_and_groups_keep_their_rows(spark, chunk):
+    rows = [("g", float(k), float(k), 0.0, 0.0) for k in range(10)] + [("g", None, 50.0, 0.0, 0.0)]
+    rows += [(None, float(k), float(k % 3) * 30, 1.0, 0.0) for k in range(10)]
+    df = spark.createDataFrame(rows, "recording_id string, ptp_time double, PositionX double, PositionY double, PositionZ double")
+    got = seq.position_stitch(df, ["recording_id"], chunk=chunk).collect()
+    assert sorted((str(r.recording_id), r.row_no) for r in got) == sorted(
+        [("g", k) for k in range(11)] + [("None", k) for k in range(10)])
+    xs = [x for _, _, x, _, _ in sorted(rows[11:], key=lambda r: r[1])]
+    want = stitch_loop(xs, [1.0] * 10, [0.0] * 10)[0]
+    assert [r.PositionX for r in sorted((r for r in got if r.recording_id is None), key=lambda r: r.row_no)] == want
+    assert seq.heading(df, ["recording_id"], chunk=max(chunk, 20)).count() == len(rows)
+
+
+def test_scan_keeps_null_groups(spark):
+    yaw = [0.0, 0.02, 0.0] * 60
+    rows = [(g, float(k), y) for g in ("a", None) for k, y in enumerate(yaw)]
+    df = spark.createDataFrame(rows, "recording_id string, ptp_time double, Yaw double")
+    p = ScanParams(minimum=2, maximum=5, lo=0.01, hi=0.1)
+    found = [seq.yaw_return_scan(df, ["recording_id"], p, chunk=c).collect() for c in (50, 1 << 16)]
+    assert sorted(map(str, found[0])) == sorted(map(str, found[1]))
+    assert {r.recording_id for r in found[0]} == {"a", None}
+
+
+def test_recentre_keeps_recordings_without_reference(spark):
+    df = spark.createDataFrame([("a", 1.0, 5.0, 6.0), ("a", 2.0, 7.0, 8.0), ("b", 1.0, 1.0, 1.0)],
+                               "recording_id string, ptp_time double, PositionX double, PositionY double")
+    ref = spark.createDataFrame([("a", 1.0)], "recording_id string, ref_time double")
+    got = {(r.recording_id, r.ptp_time): r.AdjustedPositionX for r in seq.pose_recentre(df, ref).collect()}
+    assert got == {("a", 1.0): 0.0, ("a", 2.0): 2.0, ("b", 1.0): None}

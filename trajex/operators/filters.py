@@ -101,13 +101,16 @@ def object_roi(df: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
 
 def object_dedup(df: DataFrame, key: list[str] | None = None) -> DataFrame:
     """drop duplicate objects on the object key, then on the full row.
+    A stated ``key`` must be in the frame; without one the key is the object
+    columns that the frame has.
 
-    When the key covers every column one ``dropDuplicates`` does both; it
-    aggregates map-side first, so repeated rows collapse before the shuffle.
+    When the key covers every column one ``dropDuplicates`` does both.
     Otherwise the first row per key in a total order of the other columns is
     kept, which makes the choice deterministic.
     """
-    key = [c for c in (key or OBJECT_COLUMNS) if c in df.columns]
+    if missing := [c for c in key or () if c not in df.columns]:
+        raise ValueError(f"key columns not in the frame: {missing}")
+    key = key or [c for c in OBJECT_COLUMNS if c in df.columns]
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.dropDuplicates()

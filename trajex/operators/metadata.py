@@ -17,13 +17,16 @@ FIELDS = ["start_recording", "stop_recording", "target_type", "scenario", "side"
           "target_speed", "target_distance"]
 
 
-def read_annotation_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Text files to (path, line_no, line).  Each file is read whole and
+def read_annotation_lines(spark: SparkSession, paths: str | list[str],
+                          pattern: str | None = "*.txt") -> DataFrame:
+    """Text files to (path, line_no, line).  Folders are read with all their
+    sub-folders, files by ``pattern`` of their names (None: all).  Line ends
+    of all systems become newlines, as in Python's text mode.  Each file is read whole and
     split on newlines; lines keep their trailing newline, as ``readlines``
     does.  Files are processed in parallel, one task per file split."""
     # text() re-applies its own wholetext default, so pass it as an argument
-    raw = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value"))
+    raw = spark.read.text(paths, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern).select(
+        F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
     parts = F.split(F.col("value"), "(?<=\n)")
     return (raw.select("path", F.posexplode(parts).alias("line_no", "line"))
             .where(F.col("line") != "").withColumn("line_no", F.col("line_no").cast("long")))
@@ -110,9 +113,9 @@ def parse_annotations(lines: DataFrame) -> DataFrame:
         *[F.max_by(F.col(f"_b_{f}.v"),
                    F.when(F.col(f"_b_{f}").isNotNull(), F.struct("line_no", F.col(f"_b_{f}.r"))))
           .alias(f) for f in FIELDS],
-        F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.transform(F.array_sort(F.collect_list(
             F.when(F.col("_pf1").isNotNull(), F.struct("line_no", F.col("_pf1").alias("v"))))),
-            lambda x: x["v"]), ", ").alias("_pf"),
+            lambda x: x["v"]).alias("_pf"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))),
                                  lambda x: x["line"]), " ").alias("full_annotation"))
     func = _strip(F.col("_l0"))
@@ -123,20 +126,22 @@ def parse_annotations(lines: DataFrame) -> DataFrame:
         F.lit(TEST_ACTIVITY).alias("test_activity"),
         *[F.when(mois, F.col(f)).alias(f) for f in ("scenario", "side", "target_type",
                                                       "target_speed", "target_distance")],
-        F.when(F.col("_pf") != "", F.col("_pf")).alias("pass/fail"),
+        F.when(F.size("_pf") > 0, F.array_join("_pf", ", ")).alias("pass/fail"),
         "start_recording", "stop_recording", "full_annotation")
 
 
 def path_recording_id(path: Column) -> Column:
-    """Recording id = third path part from the end plus ``_00``."""
-    return F.concat(F.element_at(F.split(path, "/"), -3), F.lit("_00"))
+    """Recording id = third path part from the end plus ``_00``; null for
+    shorter paths."""
+    return F.concat(F.try_element_at(F.split(path, "/"), F.lit(-3)), F.lit("_00"))
 
 
 def recording_id_parts(df: DataFrame, col: str = "recording_id") -> DataFrame:
-    """Vehicle id = part 0, test date = part 1 (yyyyMMdd) of the id."""
+    """Vehicle id = part 0, test date = part 1 (yyyyMMdd) of the id; null
+    where the id has no such part or it is no date."""
     parts = F.split(F.col(col), "_")
     return (df.withColumn("vehicle_id", F.element_at(parts, 1))
-            .withColumn("test_date", F.to_date(F.element_at(parts, 2), "yyyyMMdd")))
+            .withColumn("test_date", F.try_to_date(F.try_element_at(parts, F.lit(2)), "yyyyMMdd")))
 
 
 def metadata_build(parsed: DataFrame, dbc_mapping: str | None = None) -> DataFrame:

@@ -1,9 +1,8 @@
 """Window and sequence operators.
 
 Groups are time series ordered by ``ptp_time``: a (recording, interval) for
-the scans, a recording for the trajectory repairs.  A whole group goes to
-one task only after one aggregation has proved that no group exceeds a
-chunk (``groups_fit``); otherwise:
+the scans, a recording for the trajectory repairs.  No group ever goes to one
+task as a whole; one algorithm serves groups of all sizes:
 
 * rows are numbered with a two-level scheme: a row number inside fixed
   time buckets plus a running total of bucket sizes (``number_rows``);
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from trajex.schema import (HEADING_LAG, POSITION_JUMP, WINDOW_HALF_WIDTH,
                            ScanParams)
-from trajex.session import materialize
+from trajex.session import materialize, ship_package
 
 # Rows per chunk for chunked windows and the chunked walk.
 CHUNK_ROWS = 1 << 16
@@ -36,36 +35,34 @@ NUMBER_BUCKET_SECONDS = 60.0
 
 # --- numbering and chunking -------------------------------------------------------
 
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key equals a null key; the keys of ``left``
+    stay."""
+    r = right.select(*(F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns))
+    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    return left.join(r, cond, how).drop(*(f"_r_{c}" for c in keys))
+
+
 def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "_i",
                 bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> DataFrame:
     """0-based row number inside each group in ``order`` (first column a time
-    in seconds).  Equivalent to ``row_number() - 1`` over the group, but the
-    row-level window is partitioned by (group, time bucket); only the small
-    table of bucket sizes is scanned per group for the offsets."""
-    d = df.withColumn("_nb", F.floor(F.col(order[0]) / bucket_seconds))
+    in seconds; null times first, NaN last).  Equivalent to ``row_number() - 1``
+    over the group, but the row-level window is partitioned by (group, time
+    bucket); only the small table of bucket sizes is scanned per group for the
+    offsets.  Null group values are a group like any other."""
+    t = F.col(order[0]).cast("double")
+    nb = (F.when(t.isNull(), F.lit(-(1 << 62))).when(F.isnan(t), F.lit(1 << 62))
+          .otherwise(F.floor(t / bucket_seconds)))
+    d = df.withColumn("_nb", nb.cast("long"))
     sizes = d.groupBy(*group, "_nb").agg(F.count(F.lit(1)).alias("_cnt"))
     wb = Window.partitionBy(*group).orderBy("_nb").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(wb), F.lit(0))).drop("_cnt")
     wr = Window.partitionBy(*group, "_nb").orderBy(*order)
-    return (d.withColumn("_r", F.row_number().over(wr)).join(offs, [*group, "_nb"])
+    return (join_groups(d.withColumn("_r", F.row_number().over(wr)), offs, [*group, "_nb"])
             .withColumn(out, (F.col("_off") + F.col("_r") - 1).cast("long"))
             .drop("_nb", "_r", "_off"))
 
 
-def groups_fit(df: DataFrame, group: list[str], chunk: int) -> bool:
-    """True when no group has more than ``chunk`` rows: one aggregation (map
-    side partial counts) that proves a whole group may go to one task."""
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
-    return (largest or 0) <= chunk
-
-
-def one_chunk(df: DataFrame, group: list[str], order: list[str], out: str = "_i") -> DataFrame:
-    """Row numbers and a single chunk per group, for groups proven small."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return (df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-            .withColumn("_c", F.lit(0).cast("long")).withColumn("_own", F.lit(True)))
-
-
 def chunked(df: DataFrame, idx: str, chunk: int, ahead: int = 0, behind: int = 0) -> DataFrame:
     """Assign rows to chunks of ``chunk`` row numbers (column ``_c``) and copy
     halo rows: the first ``ahead`` rows of a chunk also go to the previous
@@ -153,25 +150,6 @@ def _exits(hpos: np.ndarray, step: np.ndarray, start: int, end: int, entries: in
     return [int(exit_of[j]) if j < len(hpos) else 0 for j in firsts]
 
 
-def _whole_group_fn(p: ScanParams, gcols: list[str], value: str, time_col: str):
-    """Scan and walk one group that is proven to fit in one task."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # rows with equal times are ordered by value: deterministic on reruns
-        pdf = pdf.sort_values([time_col, value], kind="stable")
-        v = pdf[value].to_numpy(np.float64)
-        t = pdf[time_col].to_numpy(np.float64)
-        k = first_hits(v, len(v), 0, p)
-        hpos = np.flatnonzero(k)
-        step, emit = _steps(k[hpos], p)
-        keep = [j for j in _walk(hpos, step, 0, len(v)) if emit[j]]
-        i = hpos[keep]
-        out = pd.DataFrame({"i": i, "j": i + k[i], "t_i": t[i], "t_j": t[i + k[i]]})
-        for g in gcols:
-            out[g] = pdf[g].iloc[0]
-        return out
-    return run
-
-
 def _chunk_hits_fn(p: ScanParams, chunk: int, gcols: list[str], value: str, time_col: str):
     """Per (group, chunk) with its halo: the hit rows of the owned rows and
     one summary row (``_i`` = -1) carrying the chunk's transfer table."""
@@ -230,31 +208,21 @@ def _walk_fn(chunk: int):
 
 def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
                     value: str = "Yaw", time_col: str = "ptp_time",
-                    chunk: int = CHUNK_ROWS, single: bool | None = None) -> DataFrame:
+                    chunk: int = CHUNK_ROWS) -> DataFrame:
     """W1 (and W3, W5 with other parameters or column): the pairs (t_i, t_j)
     the greedy scan accepts in each group.  Output columns: group columns,
     ``i`` and ``j`` (row numbers), ``t_i``, ``t_j``.
 
-    One aggregation measures the largest group.  When every group has at
-    most ``chunk`` rows (the usual case: a group is one drive interval), each
-    group is scanned and walked in one task.  Otherwise rows are numbered
-    with the two-level scheme, cut into chunks with a halo of ``maximum``
-    rows, and each chunk yields its hit rows and a transfer table; tables are
-    stitched per group and each chunk is walked from its entry, so no task
-    holds more than one chunk.  ``single`` passes an earlier size check of
-    the same groups (None: check here)."""
+    Rows are numbered with the two-level scheme and cut into chunks with a
+    halo of ``maximum`` rows; each chunk yields its hit rows and a transfer
+    table; tables are stitched per group and each chunk is walked from its
+    entry, so no task holds more than one chunk."""
+    ship_package(df.sparkSession)
     chunk = max(chunk, params.maximum + 1, params.jump + 1)
     src = df.select(*group, F.col(time_col).cast("double").alias(time_col),
                     F.col(value).cast("double").alias(value))
     gfields = [f for f in src.schema.fields if f.name in group]
     gsql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gfields)
-    if single is None:
-        single = groups_fit(src, group, chunk)
-    if single:
-        out = src.groupBy(*group).applyInPandas(
-            _whole_group_fn(params, group, value, time_col),
-            f"{gsql}, i long, j long, t_i double, t_j double")
-        return out.select(*group, "i", "j", "t_i", "t_j")
     n = number_rows(src, group, [time_col, value])
     h = chunked(n, "_i", chunk, ahead=params.maximum)
     out_schema = (f"{gsql}, _c long, _i long, _k long, _step long, _emit boolean, "
@@ -265,7 +233,7 @@ def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
     entries = (per_chunk.where("_i < 0").select(*group, "_c", "_exits").groupBy(*group)
                .applyInPandas(_stitch_fn(group), f"{gsql}, _c long, _entry long"))
     hits = per_chunk.where("_i >= 0").drop("_exits")
-    walked = hits.join(entries, [*group, "_c"]).groupBy(*group, "_c").applyInPandas(
+    walked = join_groups(hits, entries, [*group, "_c"]).groupBy(*group, "_c").applyInPandas(
         _walk_fn(chunk), f"{gsql}, _i long, _k long, t_i double, t_j double")
     return walked.select(*group, F.col("_i").alias("i"), (F.col("_i") + F.col("_k")).alias("j"),
                          "t_i", "t_j")
@@ -302,25 +270,17 @@ def _chunk_prefix(df: DataFrame, group: list[str], cols: list[str]) -> DataFrame
 
 
 def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_JUMP,
-                    time_col: str = "ptp_time", chunk: int = CHUNK_ROWS,
-                    single: bool | None = None) -> DataFrame:
+                    time_col: str = "ptp_time", chunk: int = CHUNK_ROWS) -> DataFrame:
     """Where X or Y moves more than ``jump`` between consecutive original
     rows (row k, k >= 2), add 1.5*P[k-1] - 0.5*P[k-2] to X, Y and Z of row k
     and every later row of the group; offsets add up.  Row 1 has no k-2 and
     gets no offset.
 
-    Groups proven to fit in a chunk (``single``; checked when None) use one
-    window per group; otherwise chunks with a two-row halo plus chunk prefix
-    sums."""
+    Chunks with a two-row halo plus chunk prefix sums."""
     chunk = max(chunk, 3)
-    if single is None:
-        single = groups_fit(df, group, chunk)
     # equal times are ordered by position, so reruns number rows alike
     order = [time_col, "PositionX", "PositionY", "PositionZ"]
-    if single:
-        h = one_chunk(df, group, order)
-    else:
-        h = chunked(number_rows(df, group, order), "_i", chunk, behind=2)
+    h = chunked(number_rows(df, group, order), "_i", chunk, behind=2)
     w = Window.partitionBy(*group, "_c").orderBy("_i")
     x1, x2 = F.lag("PositionX", 1).over(w), F.lag("PositionX", 2).over(w)
     y1, y2 = F.lag("PositionY", 1).over(w), F.lag("PositionY", 2).over(w)
@@ -335,15 +295,10 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
     h = h.where("_own")
     for d in ("_dx", "_dy", "_dz"):
         h = h.withColumn(f"_run{d}", F.sum(d).over(run))
-    if single:
-        for axis, d in (("X", "_dx"), ("Y", "_dy"), ("Z", "_dz")):
-            h = h.withColumn(f"Position{axis}", F.col(f"Position{axis}") + F.col(f"_run{d}"))
-        return h.drop("_c", "_own", "_dx", "_dy", "_dz", "_run_dx", "_run_dy",
-                      "_run_dz").withColumnRenamed("_i", "row_no")
     # two passes (chunk totals, then rows): write the row-level result once
     h = materialize(h, "stitch_rows")
     pre = _chunk_prefix(h, group, ["_dx", "_dy", "_dz"])
-    out = h.join(pre, [*group, "_c"], "left")
+    out = join_groups(h, pre, [*group, "_c"], "left")
     for axis, d in (("X", "_dx"), ("Y", "_dy"), ("Z", "_dz")):
         out = out.withColumn(f"Position{axis}", F.col(f"Position{axis}")
                              + F.coalesce(F.col(f"_pre_{d}"), F.lit(0.0)) + F.col(f"_run{d}"))
@@ -352,8 +307,7 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
 
 
 def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
-            time_col: str = "ptp_time", chunk: int = CHUNK_ROWS, idx: str | None = None,
-            single: bool | None = None) -> DataFrame:
+            time_col: str = "ptp_time", chunk: int = CHUNK_ROWS, idx: str | None = None) -> DataFrame:
     """``angle = atan2(y - y[i-lag], x - x[i-lag])``; the first ``lag``
     rows take row ``lag``'s angle; groups of ``lag`` rows or fewer get null.
 
@@ -362,14 +316,8 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     from a frame of ``lag`` rows ahead (rows 0..lag are always in chunk 0)."""
     chunk = max(chunk, lag + 1)
     i = idx or "_i"
-    if single is None:
-        single = groups_fit(df, group, chunk)
     order = [time_col, "PositionX", "PositionY"]
-    if single:
-        h = (df.withColumn("_c", F.lit(0).cast("long")).withColumn("_own", F.lit(True)) if idx
-             else one_chunk(df, group, order))
-    else:
-        h = chunked(df if idx else number_rows(df, group, order), i, chunk, behind=lag)
+    h = chunked(df if idx else number_rows(df, group, order), i, chunk, behind=lag)
     w = Window.partitionBy(*group, "_c").orderBy(i)
     ang = F.atan2(F.col("PositionY") - F.lag("PositionY", lag).over(w),
                   F.col("PositionX") - F.lag("PositionX", lag).over(w))
@@ -383,13 +331,9 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     return out if idx else out.withColumnRenamed("_i", "row_no")
 
 
-def trajectory_process(df: DataFrame, group: list[str], chunk: int = CHUNK_ROWS,
-                       single: bool | None = None, **kw) -> DataFrame:
-    """W6 then W7 (``sample_process``); the group-size check runs once."""
-    if single is None:
-        single = groups_fit(df, group, max(chunk, HEADING_LAG + 1))
-    st = position_stitch(df, group, chunk=chunk, single=single, **kw)
-    return heading(st, group, idx="row_no", chunk=chunk, single=single, **kw)
+def trajectory_process(df: DataFrame, group: list[str], chunk: int = CHUNK_ROWS, **kw) -> DataFrame:
+    """W6 then W7 (``sample_process``)."""
+    return heading(position_stitch(df, group, chunk=chunk, **kw), group, idx="row_no", chunk=chunk, **kw)
 
 
 # --- polylines and poses (W9, W10) ----------------------------------------------------
@@ -416,14 +360,17 @@ def pose_recentre(df: DataFrame, ref_times: DataFrame, *, time_col: str = "ptp_t
                   tol: float = 0.05) -> DataFrame:
     """Subtract the pose at a reference time from every position of the
     recording.  ``ref_times`` has (recording_id, ref_time); the reference
-    pose is the row within ``tol`` of the reference time (earliest such row
-    when several qualify)."""
+    pose is the row within ``tol`` of the reference time (the earliest such row
+    when several qualify, of equal times the one with the smallest position).
+    Rows of a recording without a reference pose stay, with null adjusted
+    positions."""
     cand = (df.alias("d").join(ref_times.alias("r"), "recording_id")
             .where(F.abs(F.col(f"d.{time_col}") - F.col("r.ref_time")) < tol))
-    w = Window.partitionBy("recording_id").orderBy(F.col(f"d.{time_col}"))
-    ref = (cand.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-           .select("recording_id", F.col("PositionX").alias("_rx"), F.col("PositionY").alias("_ry")))
-    return (df.join(ref, "recording_id")
+    ref = (cand.groupBy("recording_id")
+           .agg(F.min(F.struct(F.col(f"d.{time_col}").alias("t"), F.col("PositionX").alias("x"),
+                               F.col("PositionY").alias("y"))).alias("_ref"))
+           .select("recording_id", F.col("_ref.x").alias("_rx"), F.col("_ref.y").alias("_ry")))
+    return (df.join(ref, "recording_id", "left")
             .withColumn("AdjustedPositionX", F.col("PositionX") - F.col("_rx"))
             .withColumn("AdjustedPositionY", F.col("PositionY") - F.col("_ry"))
             .drop("_rx", "_ry"))

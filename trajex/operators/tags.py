@@ -3,12 +3,13 @@ DataFrames of tags (recording_id, tag, start_time, end_time, ...)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.operators.sequence import (CHUNK_ROWS, _chunk_prefix, chunked, groups_fit, number_rows,
-                                       one_chunk)
+from trajex.operators.sequence import CHUNK_ROWS, _chunk_prefix, chunked, join_groups, number_rows
 from trajex.schema import TAG_PAGE_SIZE
 from trajex.session import materialize
 
@@ -21,14 +22,18 @@ def _restrict(df: DataFrame, col: str, values: list | None) -> DataFrame:
     if len(values) <= ISIN_MAX:
         return df.where(F.col(col).isin(*values))
     keys = df.sparkSession.createDataFrame([(v,) for v in values], [col])
-    return df.join(keys, col, "left_semi")
+    return df.join(keys, col, "left_semi").select(*df.columns)
 
 
 def tag_filter(tags: DataFrame, names: list[str] | None = None,
-               recordings: list[str] | None = None) -> DataFrame:
-    """T4: tags with one of ``names`` and/or on one of ``recordings`` (AND
-    when both are given, everything when neither)."""
-    return _restrict(_restrict(tags, "tag", names), "recording_id", recordings)
+               recordings: list[str] | None = None, types: list[str] | None = None,
+               sub_types: list[str] | None = None) -> DataFrame:
+    """T4: tags with one of ``names``, on one of ``recordings``, of one of
+    ``types`` and of one of ``sub_types`` (columns ``type`` and ``sub_type``);
+    all that are given must hold, and none means every tag."""
+    for col, values in (("tag", names), ("recording_id", recordings), ("type", types), ("sub_type", sub_types)):
+        tags = _restrict(tags, col, values)
+    return tags
 
 
 def tag_page(tags: DataFrame, offset: int, limit: int = TAG_PAGE_SIZE,
@@ -69,37 +74,35 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     coverage per name is a running sum over chunks of boundaries plus the
     chunk prefix.  A boundary starts a kept run when the condition turns
     true there and ends one when it turns false; transitions alternate, so
-    runs pair up by rank."""
+    runs pair up by rank.
+
+    A null end is an open end: the tag covers everything from its start, and a
+    run that never ends has a null end_time.  Tags without a start, and tags
+    that end at or before their start, cover nothing."""
     names = list(dict.fromkeys([*include, *exclude]))
-    t = tag_filter(tags, names, recordings)
-    ev = t.select("recording_id", "tag", F.col("start_time").cast("double").alias("t"),
-                  F.lit(1).alias("d")).unionByName(
-        t.select("recording_id", "tag", F.col("end_time").cast("double").alias("t"),
-                 F.lit(-1).alias("d")))
+    start, end = F.col("start_time").cast("double"), F.col("end_time").cast("double")
+    t = tag_filter(tags, names, recordings).select("recording_id", "tag", start.alias("start"), end.alias("end")) \
+        .where("start IS NOT NULL AND (end IS NULL OR end > start)")
+    ev = t.select("recording_id", "tag", F.explode(F.array(
+        F.struct(F.col("start").alias("t"), F.lit(1).alias("d")),
+        F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")))).alias("e")) \
+        .select("recording_id", "tag", "e.*").where("t IS NOT NULL")
     dcols = [f"_d{k}" for k in range(len(names))]
     b = ev.groupBy("recording_id", "t").agg(*[
         F.sum(F.when(F.col("tag") == n, F.col("d")).otherwise(0)).alias(c) for n, c in zip(names, dcols)])
     chunk = max(chunk, 2)
-    from pyspark.sql import Window
     w = Window.partitionBy("recording_id", "_c").orderBy("_n")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    single = groups_fit(b, ["recording_id"], chunk)
-    if single:
-        # every recording's boundaries fit in one task: plain running sums
-        h = one_chunk(b, ["recording_id"], ["t"], out="_n")
-        for c in dcols:
-            h = h.withColumn(f"_cov{c}", F.sum(c).over(run))
-    else:
-        b = materialize(number_rows(b, ["recording_id"], ["t"], out="_n"), "tag_bounds")
-        h = chunked(b, "_n", chunk, behind=1)
-        pre = _chunk_prefix(h, ["recording_id"], dcols)
-        h = h.join(pre, ["recording_id", "_c"], "left")
-        for c in dcols:
-            # prefix of earlier chunks plus the running sum of owned deltas; on
-            # the halo row (last row of the previous chunk) this is the prefix
-            # itself, i.e. its own coverage
-            own_sum = F.sum(F.when(F.col("_own"), F.col(c)).otherwise(0)).over(run)
-            h = h.withColumn(f"_cov{c}", F.coalesce(F.col(f"_pre_{c}"), F.lit(0)) + own_sum)
+    b = materialize(number_rows(b, ["recording_id"], ["t"], out="_n"), "tag_bounds")
+    h = chunked(b, "_n", chunk, behind=1)
+    pre = _chunk_prefix(h, ["recording_id"], dcols)
+    h = join_groups(h, pre, ["recording_id", "_c"], "left")
+    for c in dcols:
+        # prefix of earlier chunks plus the running sum of owned deltas; on
+        # the halo row (last row of the previous chunk) this is the prefix
+        # itself, i.e. its own coverage
+        own_sum = F.sum(F.when(F.col("_own"), F.col(c)).otherwise(0)).over(run)
+        h = h.withColumn(f"_cov{c}", F.coalesce(F.col(f"_pre_{c}"), F.lit(0)) + own_sum)
     cond = F.lit(True)
     for n, c in zip(names, dcols):
         cov = F.col(f"_cov{c}")
@@ -110,14 +113,32 @@ def tag_overlap(tags: DataFrame, include: list[str], exclude: list[str] = (),
     h = h.withColumn("_prev_p", F.when(F.col("_n") == 0, F.lit(False)).otherwise(F.col("_prev_p")))
     # transitions alternate start, end, start, ... in time order (the first
     # is a start): number them once and pair rank 2k with rank 2k + 1
-    if single:
-        tr = one_chunk(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
-                       ["recording_id"], ["t"], out="_rank")
-    else:
-        h = materialize(h.select("recording_id", "t", "_p", "_prev_p"), "tag_flags")
-        tr = number_rows(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
-                         ["recording_id"], ["t"], out="_rank")
+    h = materialize(h.select("recording_id", "t", "_p", "_prev_p"), "tag_flags")
+    tr = number_rows(h.where(F.col("_p") != F.col("_prev_p")).select("recording_id", "t"),
+                     ["recording_id"], ["t"], out="_rank")
     pairs = tr.groupBy("recording_id", F.floor(F.col("_rank") / 2).alias("_k")).agg(
         F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.count(F.lit(1)).alias("_n"))
-    # a run that never ends (only without include tags) has no end row
-    return pairs.where("_n = 2").select("recording_id", "start_time", "end_time")
+    if not include:  # outside every excluded tag is no run of its own
+        pairs = pairs.where("_n = 2")
+    return pairs.select("recording_id", "start_time", F.when(F.col("_n") == 2, F.col("end_time")).alias("end_time"))
+
+
+TERM = re.compile(r"\s*(not\s+)?'([^']*)'\s*(?:(and)(?=[\s'])|$)", re.I)
+
+
+def overlap_terms(query: str) -> tuple[list[str], list[str]]:
+    """T5: the include and exclude names of a query text such as
+    ``'A' and 'B'`` or ``'A' and not 'B'``."""
+    include, exclude, at, more = [], [], 0, True
+    while more:
+        m = TERM.match(query, at)
+        if not m:
+            raise ValueError(f"cannot read the tag query at {at}: {query!r}")
+        (exclude if m[1] else include).append(m[2])
+        at, more = m.end(), bool(m[3])
+    return include, exclude
+
+
+def tag_overlap_query(tags: DataFrame, query: str, recordings: list[str] | None = None) -> DataFrame:
+    """T5 with the condition as text."""
+    return tag_overlap(tags, *overlap_terms(query), recordings=recordings)

@@ -246,19 +246,16 @@ def q_heading(spark, sf) -> DataFrame:
 def q_trajectory_pipeline(spark, sf) -> DataFrame:
     """Per interval slice, stitch positions, add heading, scan yaw."""
     tr = track_in_intervals(spark, sf)
-    single = seq.groups_fit(tr, TG, seq.CHUNK_ROWS)
-    proc = seq.trajectory_process(tr, TG, single=single)
-    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_BASIC), single=single))
+    proc = seq.trajectory_process(tr, TG)
+    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_BASIC)))
 
 
 @query("heading_scan")
 def q_heading_scan(spark, sf) -> DataFrame:
     """The return scan on the heading angle (45..80 rows, 0.01..0.02)."""
     tr = track_in_intervals(spark, sf)
-    single = seq.groups_fit(tr, TG, seq.CHUNK_ROWS)
-    proc = seq.trajectory_process(tr, TG, single=single)
-    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_HEADING), value="angle",
-                                      single=single))
+    proc = seq.trajectory_process(tr, TG)
+    return _pairs(seq.yaw_return_scan(proc, TG, ScanParams.of(SCAN_HEADING), value="angle"))
 
 
 @query("polyline_merge")

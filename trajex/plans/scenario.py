@@ -48,7 +48,7 @@ def prepared(inp: SceneInputs, th: Thresholds = Thresholds()):
            .withColumn("_tk", lab.time_key()))
     objects = flt.highway_filter(inp.objects, inp.intervals, broadcast=small)
     objects = flt.object_roi(objects, th).withColumn("_tk", lab.time_key()).repartition(*TK)
-    objects = flt.object_dedup(objects, key=OBJECT_COLUMNS + ["_tk"])
+    objects = flt.object_dedup(objects, key=[c for c in OBJECT_COLUMNS if c in objects.columns] + ["_tk"])
     status = (flt.highway_filter(flt.status_projection(inp.status), inp.intervals, broadcast=small)
               .withColumn("_tk", lab.time_key()))
     return ego, objects, status

@@ -23,9 +23,17 @@ def read_interval_list_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_interval_list(df: DataFrame, text_col: str = "intervals") -> DataFrame:
-    """One row per (recording, position) from a list-of-pairs text cell.
-    The text is parsed as JSON into array<array<double>> on the executors."""
-    arr = F.from_json(F.col(text_col), "array<array<double>>")
+    """One row per (recording, position) from a cell with a list of pairs,
+    ``[[a, b], ...]`` or with tuples, ``[(a, b), ...]``.  Null and blank cells
+    give no rows; a cell that cannot be read fails."""
+    text = F.col(text_col)
+    # brackets for parentheses, and no comma before a closing one
+    listed = F.regexp_replace(F.translate(text, "()", "[]"), ",\\s*\\]", "]")
+    parsed = F.from_json(listed, "array<array<double>>")
+    arr = (F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.array().cast("array<array<double>>"))
+           .when(parsed.isNull() | F.exists(parsed, lambda p: p.isNull() | (F.size(p) != 2)),
+                 F.raise_error(F.concat(F.lit("not a list of intervals: "), text)))
+           .otherwise(parsed))
     return (df.select("recording_id", F.posexplode(arr).alias("pos", "_p"))
             .select("recording_id", "pos", F.col("_p")[0].alias("start_time"),
                     F.col("_p")[1].alias("end_time")))
