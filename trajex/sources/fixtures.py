@@ -38,12 +38,12 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
     epoch_s = ("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)" if d == "spark"
                else "epoch_us(ts) // 1000000")
     polyline_y = (
-        "transform(sequence(0, 31), k -> cast(k * label as double) / 50 "
+        "transform(sequence(0, 63), k -> cast(k * label as double) / 50 "
         "+ cast(embedding[k] as double))" if d == "spark" else
-        "list_transform(range(32), lambda k: cast(k * label as double) / 50 "
+        "list_transform(range(64), lambda k: cast(k * label as double) / 50 "
         "+ cast(embedding[k + 1] as double))")
-    polyline_x = ("transform(sequence(0, 31), k -> cast(k as double))" if d == "spark"
-                  else "list_transform(range(32), lambda k: cast(k as double))")
+    polyline_x = ("transform(sequence(0, 63), k -> cast(k as double))" if d == "spark"
+                  else "list_transform(range(64), lambda k: cast(k as double))")
     return {
         "interval": ("nation", [
             f"{rec('n_nationkey')} as recording_id",
@@ -107,11 +107,13 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
             "cast(null as double) as Unused",
             "7 as Version",
         ], None),
-        "track_interval": ("nation", [
-            f"{rec('n_nationkey')} as recording_id",
-            "n_nationkey as id",
-            "cast(n_nationkey * 10 as double) as start_time",
-            "cast(n_nationkey * 10 + 700 as double) as end_time",
+        # a supplier stands for 18.75 s of track time at every scale factor, so
+        # the intervals reach to the end of the track whatever its length
+        "track_interval": ("supplier", [
+            f"{rec('s_suppkey')} as recording_id",
+            "cast(s_suppkey as int) as id",
+            "cast(s_suppkey * 75 as double) / 4 as start_time",
+            "cast(s_suppkey * 75 as double) / 4 + 700 as end_time",
         ], None),
         "lane_line_a": ("orders", [
             f"{rec('o_custkey')} as recording_id",
@@ -175,7 +177,7 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
             "when 6 then 'pedestrian center' "
             "when 7 then 'follow bike' "
             "when 8 then 'speed 20 kph: 20' "
-            "else 'distance 5 m: 5' end) end as line",
+            "else 'distance 5 m: 5' end) || ' ' || replace(coalesce(text, ''), chr(10), ' ') end as line",
         ], None),
         "file_meta": ("orders", [
             f"{rec('o_custkey')} as recording_id",
