@@ -95,3 +95,43 @@ def test_export_lists_windows_in_order_with_repeats(spark):
     got = {(r.recording_id, r.id): (r.n_windows, r.lc) for r in lcp.lane_change_export(v).collect()}
     assert got[("r", 0)] == (3, "[(1.0, 13.0), (1.0, 13.0), (20.5, 32.5)]")
     assert got[("s", 1)] == (1, "[(2.25, 14.25)]")
+
+
+def test_cross_any_equals_all_pairs(spark):
+    import math
+    import random
+    rnd = random.Random(4)
+
+    def near(px, py, ax, ay, bx, by):
+        dx, dy = bx - ax, by - ay
+        d = dx * dx + dy * dy
+        t = max(0.0, min(1.0, ((px - ax) * dx + (py - ay) * dy) / d)) if d else 0.0
+        return math.hypot(px - ax - t * dx, py - ay - t * dy) < 0.5
+    ego, lines = [], []
+    for s in range(60):
+        rid = f"r{s}"
+        for _ in range(25):
+            ego.append((rid, rnd.uniform(0, 50), rnd.uniform(-20, 20), rnd.uniform(-20, 20)))
+        for _ in range(3):
+            a = [rnd.uniform(-30, 30) for _ in range(4)]
+            if rnd.random() < 0.2:
+                a[2] = a[0]  # upright
+            lines.append((rid, rnd.uniform(0, 50), [a[0], a[2]], [a[1], a[3]]))
+    want = {f"r{s}": any(e[0] == ln[0] == f"r{s}" and ln[1] > e[1] and near(e[2], e[3], ln[2][0], ln[3][0], ln[2][1], ln[3][1])
+                         for e in ego for ln in lines) for s in range(60)}
+    got = geom.boundary_cross_any(
+        spark.createDataFrame(ego, "recording_id string, ptp_time double, PositionX double, PositionY double"),
+        spark.createDataFrame(lines, "recording_id string, ptp_time double, BoundaryLineX array<double>, BoundaryLineY array<double>"),
+        spark.createDataFrame([(f"r{s}", 0, 0.0, 100.0) for s in range(60)],
+                              "recording_id string, id int, start_time double, end_time double"), ["recording_id", "id"])
+    assert {r.recording_id: r.crossed for r in got.collect()} == want
+    assert 5 < sum(want.values()) < 55
+
+
+def test_segment_cells_follow_a_long_segment(spark):
+    seg = spark.createDataFrame([(0.0, 0.0, 1000.0, 1000.0, -5000.0, -5000.0, 5000.0, 5000.0),
+                                 (0.0, 0.0, 1000.0, 1000.0, 10.0, 10.0, 14.0, 14.0)],
+                                "ax double, ay double, bx double, by double, _x0 double, _y0 double, _x1 double, _y1 double")
+    n = {r._x0: r.n for r in geom.segment_cells(seg, 0.5, 2.0).groupBy("_x0").agg(F.count("*").alias("n")).collect()}
+    assert n[-5000.0] < 2100  # the box of the segment has 250,000 cells
+    assert n[10.0] <= 9

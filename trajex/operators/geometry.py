@@ -91,14 +91,37 @@ def lane_change_validate(windows: DataFrame, ego: DataFrame, lines: DataFrame, g
     return out.distinct() if distinct else out
 
 
+def segment_cells(seg: DataFrame, buffer: float, cell: float) -> DataFrame:
+    """One row per segment (ax, ay)-(bx, by) and grid cell (_cx, _cy) that can
+    hold a point within ``buffer`` of it inside the box (_x0, _y0)-(_x1, _y1).
+
+    Cells follow the segment: per column of cells only the part of the segment
+    within ``buffer`` of the column counts, so their number grows with the
+    segment's length inside the box, not with the area of its bounding box."""
+    reach = buffer + 1e-6  # more than the rounding of the interpolation
+    x_lo = F.greatest(F.least("ax", "bx") - reach, F.col("_x0"))
+    x_hi = F.least(F.greatest("ax", "bx") + reach, F.col("_x1"))
+    cols = seg.where(x_lo <= x_hi).withColumn("_cx", F.explode(F.sequence(F.floor(x_lo / cell), F.floor(x_hi / cell))))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    at = [F.try_divide(side - F.col("ax"), dx) for side in (F.col("_cx") * cell - reach, (F.col("_cx") + 1) * cell + reach)]
+    # an upright segment has no such shares (null): the whole of it counts
+    y_in = F.col("ay") + dy * F.greatest(F.lit(0.0), F.least(*at))
+    y_out = F.col("ay") + dy * F.least(F.lit(1.0), F.greatest(*at))
+    rows = (cols.withColumn("_lo", F.greatest(F.least(y_in, y_out) - reach, F.col("_y0")))
+            .withColumn("_hi", F.least(F.greatest(y_in, y_out) + reach, F.col("_y1"))))
+    return (rows.where("_lo <= _hi")
+            .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("_lo") / cell), F.floor(F.col("_hi") / cell))))
+            .drop("_lo", "_hi"))
+
+
 def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slice_key: list[str], *,
                        buffer: float = CROSS_BUFFER_ANY, cell: float = CROSS_CELL) -> DataFrame:
     """Per slice, whether any ego position lies within ``buffer`` of any
     lane line recorded strictly later in the same slice.
 
     A spatial grid join instead of all (position, line) pairs: each line
-    segment is copied to the grid cells its buffered bounding box touches,
-    each position goes to its cell, and only pairs sharing a cell are
+    segment is copied to the grid cells along it that lie in the box of the
+    slice's positions, each position goes to its cell, and only pairs sharing a cell are
     tested.  Repeated positions keep only their earliest time, which decides
     the existence test alone, and per cell a segment is dropped unless it is
     later than the cell's earliest point and near the points' bounding box.
@@ -123,11 +146,13 @@ def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slic
                                     "'ax', BoundaryLineX[k], 'ay', BoundaryLineY[k], "
                                     "'bx', BoundaryLineX[k + 1], 'by', BoundaryLineY[k + 1]))")).alias("_s"))
            .select(*slice_key, "_lt", "_s.*"))
-    seg = (seg.groupBy(*slice_key, "ax", "ay", "bx", "by").agg(F.max("_lt").alias("_lt"))
-           .withColumn("_cx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - buffer) / cell),
-                                                   F.floor((F.greatest("ax", "bx") + buffer) / cell))))
-           .withColumn("_cy", F.explode(F.sequence(F.floor((F.least("ay", "by") - buffer) / cell),
-                                                   F.floor((F.greatest("ay", "by") + buffer) / cell)))))
+    seg = seg.groupBy(*slice_key, "ax", "ay", "bx", "by").agg(F.max("_lt").alias("_lt"))
+    # only the part of a segment near the slice's positions gets cells
+    box = e.groupBy(*slice_key).agg(
+        F.min("_et").alias("_emin"), F.min("PositionX").alias("_x0"), F.max("PositionX").alias("_x1"),
+        F.min("PositionY").alias("_y0"), F.max("PositionY").alias("_y1"))
+    seg = segment_cells(seg.join(box, slice_key).where(F.col("_lt") > F.col("_emin")), buffer, cell)
+    seg = seg.drop("_emin", "_x0", "_x1", "_y0", "_y1")
     # exact pruning per cell before any pair exists: a segment can only meet
     # a point of the cell if it is later than the cell's earliest point and
     # its bounding box comes within ``buffer`` of the points' bounding box
