@@ -184,3 +184,20 @@ def test_recentre_keeps_recordings_without_reference(spark):
     ref = spark.createDataFrame([("a", 1.0)], "recording_id string, ref_time double")
     got = {(r.recording_id, r.ptp_time): r.AdjustedPositionX for r in seq.pose_recentre(df, ref).collect()}
     assert got == {("a", 1.0): 0.0, ("a", 2.0): 2.0, ("b", 1.0): None}
+
+
+def test_containment_equals_all_pairs(spark):
+    rnd = random.Random(8)
+
+    def windows(n, most):
+        out = []
+        for _ in range(n):
+            a = rnd.choice([rnd.uniform(-100, 400), float(rnd.randint(-2, 6) * 60)])
+            out.append((rnd.choice(["r", "s", None]), a, a + rnd.uniform(0, most)))
+        return out
+    short, long = windows(300, 20) + [("r", None, 5.0)], windows(80, 200) + [("r", None, 5.0), ("s", 0.0, None)]
+    schema = "g string, t_i double, t_j double"
+    got = seq.containment_anti(spark.createDataFrame(short, schema), spark.createDataFrame(long, schema), ["g"])
+    want = [s for s in short if s[0] is None or s[1] is None or not any(
+        b[0] == s[0] and None not in b and b[1] <= s[1] and b[2] >= s[2] for b in long)]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))

@@ -248,15 +248,21 @@ def lane_change_windows(pairs: DataFrame, half_width: float = WINDOW_HALF_WIDTH)
 
 def containment_anti(short: DataFrame, long: DataFrame, group: list[str],
                      start: str = "t_i", end: str = "t_j", long_start: str = "t_i",
-                     long_end: str = "t_j") -> DataFrame:
-    """Drop short windows that lie inside a long window of the same group
-    (b0 <= a0 and b1 >= a1).  Equi-join on the group plus a range residual;
-    never adds rows."""
-    s = short.alias("s")
-    b = long.select(*group, F.col(long_start).alias("_b0"), F.col(long_end).alias("_b1")).alias("b")
-    cond = [F.col(f"s.{g}") == F.col(f"b.{g}") for g in group]
+                     long_end: str = "t_j", bucket: float = 60.0) -> DataFrame:
+    """Drop short windows (start <= end) that lie inside a long window of
+    the same group (b0 <= a0 and b1 >= a1).  Never adds rows; a window with a
+    null time or group stays.
+
+    Of long windows with one start only the longest counts.  They are cut into
+    time buckets, so the join is an equi-join on (group, bucket) with the range
+    as a residual and a hot group is spread over many keys."""
+    keys = [*group, "_b"]
+    b = long.groupBy(*group, F.col(long_start).alias("_b0")).agg(F.max(long_end).alias("_b1"))
+    b = b.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_b0") / bucket), F.floor(F.col("_b1") / bucket)))).alias("b")
+    s = short.withColumn("_b", F.floor(F.col(start) / bucket)).alias("s")
+    cond = [F.col(f"s.{k}") == F.col(f"b.{k}") for k in keys]
     cond += [F.col("b._b0") <= F.col(f"s.{start}"), F.col("b._b1") >= F.col(f"s.{end}")]
-    return s.join(b, cond, "left_anti")
+    return s.join(b, cond, "left_anti").drop("_b")
 
 
 # --- trajectory repair (W6, W7) ------------------------------------------------------
