@@ -555,7 +555,7 @@ SQL["annotation_parse"] = with_("SELECT * FROM parsed", **ANN)
 SQL["metadata_build"] = with_(
     "SELECT *, string_split(recording_id, '_')[1] AS vehicle_id, "
     "CAST(strptime(string_split(recording_id, '_')[2], '%Y%m%d') AS DATE) AS test_date, "
-    "CAST(NULL AS VARCHAR) AS channel_dbc_mapping FROM parsed "
+    "'1: body, 2: chassis' AS channel_dbc_mapping FROM parsed "
     "QUALIFY row_number() OVER (PARTITION BY recording_id ORDER BY annotation_filename) = 1", **ANN)
 SQL["recording_id_parts"] = with_(
     "SELECT recording_id, string_split(recording_id, '_')[1] AS vehicle_id, "
@@ -566,6 +566,7 @@ SQL["path_recording_id"] = with_(
     ann=fx("annotation"))
 SQL["tag_filter"] = with_("SELECT * FROM tg WHERE tag IN ('click', 'view')", tg=fx("tag"))
 SQL["tag_page"] = with_("SELECT * FROM tg ORDER BY tag_id LIMIT 5000 OFFSET 5000", tg=fx("tag"))
+SQL["tag_page_next"] = with_("SELECT * FROM tg WHERE tag_id > 1000 ORDER BY tag_id LIMIT 5000", tg=fx("tag"))
 SQL["tag_flatten"] = with_(
     "SELECT recording_id, tag, start_time, end_time, "
     "CAST(json_extract(props, '$.k') AS INTEGER) AS \"props.k\", tag_id FROM tg", tg=fx("tag"))
@@ -589,6 +590,12 @@ SQL["tag_overlap"] = with_(
          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM mk"),
 )
 SQL["scan_recording"] = with_("SELECT * FROM tr", tr=fx("track"))
+SQL["scan_one_recording"] = with_(
+    "SELECT * FROM tr WHERE recording_id = (SELECT min(recording_id) FROM tr)", tr=fx("track"))
+SQL["table_append_history"] = with_(
+    " UNION ALL ".join(f"SELECT *, '{FIXED_DATE}' AS write_to_db_date, '{part}' AS part FROM fm"
+                       for part in ("table", "table", "history", "history")), fm=fx("file_meta"))
+SQL["lane_change_csv"] = SQL["lane_change_export"]
 SQL["csv_signal_scan"] = with_("SELECT * FROM tr", tr=fx("track"))
 SQL["interval_load"] = with_("SELECT * FROM iv", iv=fx("interval"))
 _R2_OLD = dict(R2_CTES)

@@ -178,3 +178,48 @@ def test_tag_filter_keeps_columns_and_types(spark):
     assert tg.tag_filter(df, many).columns == df.columns
     assert [r.recording_id for r in tg.tag_filter(df, many).collect()] == ["r"]
     assert [r.tag for r in tg.tag_filter(df, types=["u"], sub_types=["s"]).collect()] == ["b"]
+
+
+def test_exact_median_of_hot_values_has_no_unpartitioned_window(spark):
+    rnd = random.Random(1)
+    cases = {"hot": [5.0] * 900 + [rnd.random() * 10 for _ in range(101)], "split": [1.0] * 50 + [2.0] * 50,
+             "spread": [rnd.random() for _ in range(1000)], "one": [3.0]}
+    for vals in cases.values():
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        for accuracy in (100_000, 20):
+            got = spark.range(1).select(sts.exact_median(df, "x", accuracy=accuracy, parts=7).alias("m"))
+            vals = sorted(vals)
+            assert got.first().m == (vals[(len(vals) - 1) // 2] + vals[len(vals) // 2]) / 2
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange SinglePartition, ENSURE_REQUIREMENTS" in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("part#" in line.split("],")[1] for line in windows)
+
+
+def test_density_equals_the_direct_sum(spark):
+    vals = [0.0, 0.0, 1.0, 2.5, 4.0, 4.0, 4.0, None, float("nan")]
+    d = sts.signal_density(spark.createDataFrame([(v,) for v in vals], "v double"), "v", gridsize=33).orderBy("g").collect()
+    x = [v for v in vals if v is not None and not math.isnan(v)]
+    mean = sum(x) / len(x)
+    bw = math.sqrt(sum((v - mean) ** 2 for v in x) / (len(x) - 1)) * len(x) ** -0.2
+    assert [r.g for r in d] == list(range(33))
+    for r in d:
+        want = sum(math.exp(-0.5 * ((r.x - v) / bw) ** 2) for v in x) / (len(x) * bw * math.sqrt(2 * math.pi))
+        assert abs(r.density - want) < 1e-9
+
+
+def test_tag_pages_by_key_cover_all_rows(spark):
+    rows = [Row(a=k // 3, b=k % 3) for k in range(20)]
+    tags, last, got = spark.createDataFrame(rows), (), []
+    while page := tg.tag_page_after(tags, last, 6, ("a", "b")).collect():
+        got += page
+        last = tuple(page[-1])
+    assert got == rows
+
+
+def test_speed_attach_repeats_rows_per_status_row(spark, sf_small):
+    inp = qm.scene_inputs(spark, sf_small)
+    with_speed = scn.scenario_labels(inp, attach_speed=True)
+    want = lab.speed_attach(scn.scenario_labels(inp), scn.prepared(inp)[2].drop("_tk"))
+    cols = sorted(want.columns)
+    assert sorted(map(repr, with_speed.select(cols).collect())) == sorted(map(repr, want.select(cols).collect()))

@@ -101,3 +101,23 @@ def test_replace_rows_on_a_stored_table_writes_beside(spark):
     got = sorted((r.rid, r.v) for r in spark.read.parquet(out).collect())
     assert got == [("a", 9.0), ("b", 3.0), ("c", 4.0)]
     assert spark.read.parquet(path).count() == 4      # the input is untouched
+
+
+def test_key_exists_beyond_the_broadcast_bound(spark, monkeypatch):
+    keys = spark.createDataFrame([(0, "a", None), (1, "a", None), (2, "zz", "q"), (3, None, None)], "k int, rid string, name string")
+    want = [(0, True), (1, True), (2, False), (3, False)]
+    for bound in (tb.KEY_BROADCAST_MAX_ROWS, 1):
+        monkeypatch.setattr(tb, "KEY_BROADCAST_MAX_ROWS", bound)
+        got = tb.key_exists(_table(spark), keys, ["rid", "name"])
+        assert sorted((r.k, r.exists) for r in got.collect()) == want
+
+
+def test_clear_intermediates(spark):
+    import os
+
+    from trajex.session import clear_intermediates, materialize
+    kept = materialize(_table(spark), "kept")
+    path = kept.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    assert clear_intermediates(spark) >= 1
+    assert not os.path.exists(path) and clear_intermediates(spark) == 0

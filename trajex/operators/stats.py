@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Grid points of the density that one row adds to.
+GRID_BLOCK = 20
+
 
 def one_row(agg: DataFrame) -> Column:
     """The single row of an aggregate as a struct-valued scalar subquery.
@@ -84,9 +87,9 @@ def signal_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.
     """A10: Gaussian kernel density (NaN and null dropped) with Scott's bandwidth
     (std * n^(-1/5)) on ``gridsize`` points from min - cut*bw to max + cut*bw.
 
-    Values are first reduced to (value, multiplicity), then each distinct
-    value adds its kernel to the fixed grid and the grid sums are
-    partial-aggregated; the work is distinct values x grid points."""
+    The grid is cut into blocks of ``GRID_BLOCK`` points: each value makes one
+    row per block, which the partial aggregation takes up in the same task, so
+    only one row of sums per task and block is shuffled, never the values."""
     v = (df.select(F.col(col).cast("double").alias("v"))
          .where(F.col("v").isNotNull() & ~F.isnan("v")))
     mom = one_row(v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
@@ -95,26 +98,35 @@ def signal_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.
     bw = mom["sd"] * F.pow(mom["n"].cast("double"), F.lit(-0.2))
     lo = mom["lo"] - bw * cut
     hi = mom["hi"] + bw * cut
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("m"))
     norm = 1.0 / math.sqrt(2 * math.pi)
+    blocks = -(-gridsize // GRID_BLOCK)
+    rows = (v.select("v", bw.alias("bw"), lo.alias("lo"), ((hi - lo) / (gridsize - 1)).alias("step"))
+            .select("v", "bw", "lo", "step", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
+
+    def kernel(k: int) -> Column:
+        x = F.col("lo") + F.col("step") * (F.col("block") * GRID_BLOCK + k)
+        return F.exp(F.pow((x - F.col("v")) / F.col("bw"), 2) * -0.5)
+    sums = rows.groupBy("block").agg(F.array(*[F.sum(kernel(k)) for k in range(GRID_BLOCK)]).alias("s"))
+    dens = (sums.select("block", F.posexplode("s").alias("k", "_s"))
+            .select((F.col("block") * GRID_BLOCK + F.col("k")).alias("g"), "_s").where(F.col("g") < gridsize))
     grid_x = lo + (hi - lo) * F.col("g") / (gridsize - 1)
-    contrib = counts.select("v", "m", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("g"))
-    dens = contrib.groupBy("g").agg(
-        F.sum(F.col("m") * F.exp(F.pow((grid_x - F.col("v")) / bw, 2) * -0.5)).alias("_s"))
     return dens.select("g", grid_x.alias("x"), (F.col("_s") * norm / (bw * n)).alias("density"))
 
 
-def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> Column:
+def exact_median(df: DataFrame, col: str, accuracy: int = 100_000, parts: int = 200) -> Column:
     """Exact median of ``col`` (mean of the two middle values for an even
     count, nulls and NaN ignored, as pandas does) as a scalar-subquery
     Column, without holding all values in one task.
 
-    Pass 1: count and a quantile sketch bracket the middle ranks:
-    [q(0.5 - 2/accuracy), q(0.5 + 2/accuracy)] contains them because the
-    sketch's rank error is at most n/accuracy.  Pass 2: count the values
-    below the bracket and rank only the values inside it (about 4n/accuracy
-    values) to pick the middle ones.  If the bracket missed (it cannot,
-    within the sketch guarantee) the query fails instead of answering."""
+    Count and a quantile sketch bracket the middle ranks: [q(0.5 -
+    2/accuracy), q(0.5 + 2/accuracy)] contains them because the sketch's rank
+    error is at most n/accuracy.  Values inside the bracket (about 4n/accuracy
+    and the copies of its ends) are counted per value, so many copies of one
+    value are one row; the distinct ones are cut into ``parts`` ranges of about
+    equal size.  A range's first rank is the count of values below the bracket
+    plus the totals of the ranges before it (at most ``parts`` numbers); inside
+    a range ranks are a running sum.  If the bracket missed (it cannot, within
+    the sketch guarantee) the query fails instead of answering."""
     v = (df.select(F.col(col).cast("double").alias("v"))
          .where(F.col("v").isNotNull() & ~F.isnan("v")))
     d = 2.0 / accuracy
@@ -124,12 +136,23 @@ def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> Column:
     below = v.where(F.col("v") < lo).agg(F.count(F.lit(1))).scalar()
     k1 = F.floor((n - 1) / 2)
     k2 = F.ceil((n - 1) / 2)
-    from pyspark.sql import Window
-    inside = v.where((F.col("v") >= lo) & (F.col("v") <= hi))
-    ranked = inside.withColumn("_r", F.row_number().over(Window.orderBy("v")) - 1 + below)
-    picked = ranked.agg(F.avg(F.when((F.col("_r") == k1) | (F.col("_r") == k2), F.col("v"))).alias("m"),
-                        F.count(F.when((F.col("_r") == k1) | (F.col("_r") == k2), 1)).alias("c"))
-    ok = (F.col("c") == F.when(k1 == k2, 1).otherwise(2)) | (n == 0)
+    per = v.where((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    cuts = one_row(per.agg(F.percentile_approx("v", [k / parts for k in range(1, parts)], 50 * parts).alias("e")))["e"]
+    per = (per.withColumn("cuts", cuts)
+           .select("v", "c", F.size(F.filter("cuts", lambda e: e < F.col("v"))).alias("part")))
+    totals = per.groupBy("part").agg(F.sum("c").alias("t"))
+    totals = one_row(totals.agg(F.collect_list(F.struct("part", "t")).alias("p")))["p"]
+    before = F.aggregate(F.filter("totals", lambda e: e["part"] < F.col("part")), F.lit(0).cast("long"),
+                         lambda a, e: a + e["t"])
+    w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (per.withColumn("run", F.sum("c").over(w)).withColumn("totals", totals)
+              .select("v", "c", (below + before + F.col("run")).alias("upto")))
+
+    def holds(k: Column) -> Column:
+        return ((k < F.col("upto")) & (k >= F.col("upto") - F.col("c"))).cast("int")
+    times = ranked.select("v", (holds(k1) + holds(k2)).alias("times")).where("times > 0")
+    picked = times.agg((F.sum(F.col("v") * F.col("times")) / 2).alias("m"), F.sum("times").alias("c"))
+    ok = (F.col("c") == 2) | (n == 0)
     return picked.select(F.when(ok, F.col("m")).otherwise(
         F.raise_error(F.lit("median bracket missed the middle ranks")))).scalar()
 

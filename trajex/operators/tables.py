@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajex.schema import DATE_TEXT_FORMAT
-from trajex.session import bounded_rows, checkpoint_dir
+from trajex.session import bounded_rows, checkpoint_dir, note_written
 
 KEY_BROADCAST_MAX_ROWS = 250_000
 
@@ -50,9 +50,15 @@ def key_lookup(table: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
 
 def key_exists(table: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
     """For each key row (with any extra columns such as an ordinal), a
-    boolean ``exists``.  The table side is reduced to its distinct key
-    tuples first, so the result has one row per key row."""
-    tk = table.select(*cols).distinct().withColumn("_hit", F.lit(True))
+    boolean ``exists``.  Keys of a checked size are broadcast, so only the
+    table's rows that have one of them reach the shuffle of ``distinct``; then
+    the result has one row per key row."""
+    tk = table.select(*cols).alias("t")
+    asked = keys.select(*cols).distinct()
+    if bounded_rows(asked, KEY_BROADCAST_MAX_ROWS):
+        tk = tk.join(F.broadcast(asked.alias("k")),
+                     [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in cols], "left_semi")
+    tk = tk.distinct().withColumn("_hit", F.lit(True))
     j = keys.join(tk, [keys[c].eqNullSafe(tk[c]) for c in cols], "left")
     return j.select(*[keys[c] for c in keys.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias("exists"))
 
@@ -115,4 +121,6 @@ def write_beside(df: DataFrame, path: str) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    note_written(spark, path)
+    return path

@@ -42,6 +42,20 @@ def tag_page(tags: DataFrame, offset: int, limit: int = TAG_PAGE_SIZE,
     return tags.orderBy(*order).offset(offset).limit(limit)
 
 
+def tag_page_after(tags: DataFrame, last: tuple, limit: int = TAG_PAGE_SIZE,
+                   order: tuple[str, ...] = ("tag_id",)) -> DataFrame:
+    """O3 by key: the page after the row whose ``order`` values are ``last``
+    (empty: the first page).  Earlier rows are filtered out, so any page costs
+    each task at most ``limit`` rows; rows with a null order value are on no
+    page but the first."""
+    if last:
+        after = F.lit(False)
+        for col, value in reversed(list(zip(order, last, strict=True))):
+            after = (F.col(col) > value) | ((F.col(col) == value) & after)
+        tags = tags.where(after)
+    return tags.orderBy(*order).limit(limit)
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested struct columns to flat columns named by their path
     (``a.b.c``), like ``json_normalize``."""

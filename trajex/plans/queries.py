@@ -573,9 +573,12 @@ def q_annotation_parse(spark, sf) -> DataFrame:
     return md.parse_annotations(fx.annotations(spark, sf))
 
 
+SAMPLE_MAPPING = "1: body, 2: chassis"
+
+
 @query("metadata_build")
 def q_metadata_build(spark, sf) -> DataFrame:
-    return md.metadata_build(md.parse_annotations(fx.annotations(spark, sf)))
+    return md.metadata_build(md.parse_annotations(fx.annotations(spark, sf)), dbc_mapping=SAMPLE_MAPPING)
 
 
 @query("recording_id_parts")
@@ -600,6 +603,12 @@ def q_tag_page(spark, sf) -> DataFrame:
     return tg.tag_page(fx.tags(spark, sf), offset=5000)
 
 
+@query("tag_page_next")
+def q_tag_page_next(spark, sf) -> DataFrame:
+    """O3 by key: the page after tag 1000."""
+    return tg.tag_page_after(fx.tags(spark, sf), (1000,))
+
+
 @query("tag_flatten")
 def q_tag_flatten(spark, sf) -> DataFrame:
     return tg.tag_flatten(fx.tags(spark, sf), "props", "struct<k:int>")
@@ -619,6 +628,37 @@ def q_scan_recording(spark, sf) -> DataFrame:
     return rc.scan_recording(spark, root, "reference", "ego")
 
 
+@query("scan_one_recording")
+def q_scan_one_recording(spark, sf) -> DataFrame:
+    """S1 for one recording (the first by name): reads its folder only."""
+    root = tb.scratch_path(spark, "streams")
+    tr = fx.track(spark, sf)
+    rc.write_recordings(tr, root, "reference", "ego")
+    first = tr.agg(F.min("recording_id")).first()[0]
+    return rc.scan_recording(spark, root, "reference", "ego", first)
+
+
+@query("table_append_history")
+def q_table_append_history(spark, sf) -> DataFrame:
+    """Replace, then append, both with history; table and history read back."""
+    path = tb.scratch_path(spark, "file_meta")
+    meta = fx.file_meta(spark, sf)
+    for append in (False, True):
+        tb.write_table(meta, path, append=append, date_col="write_to_db_date", when=FIXED_DATE, history=True)
+    return (tb.read_table(spark, path).withColumn("part", F.lit("table"))
+            .unionByName(tb.read_table(spark, path + "_history").withColumn("part", F.lit("history"))))
+
+
+@query("lane_change_csv")
+def q_lane_change_csv(spark, sf) -> DataFrame:
+    """S7 written as CSV and read back."""
+    path = tb.scratch_path(spark, "lane_change_csv")
+    v = lcp.lane_change_pipeline(fx.track(spark, sf), fx.track_intervals(spark, sf),
+                                 fx.lane_lines(spark, sf))
+    lcp.write_lane_changes(lcp.lane_change_export(v), path)
+    return spark.read.schema("recording_id string, lc string").option("header", True).csv(path)
+
+
 @query("csv_signal_scan")
 def q_csv_signal_scan(spark, sf) -> DataFrame:
     """S3: signals exported as CSV with an index column, read back."""

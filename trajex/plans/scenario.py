@@ -61,21 +61,15 @@ def scenario_labels(inp: SceneInputs, th: Thresholds = Thresholds(),
     partitioning; the ego half and the status labels are small per-key
     aggregates joined on the same key.  Congestion is then a row condition
     and the overlay is ``greatest`` of the two codes.  ``attach_speed``
-    adds J4 (vehicle speed per row) without reshuffling the objects."""
+    joins J4 (vehicle speed per row) on the same key, so the objects keep their
+    partitioning; no key's rows are collected into one value."""
     ego, objects, status = prepared(inp, th)
     w = Window.partitionBy(*TK)
     objs = (objects.withColumn("_a", F.count(F.lit(1)).over(w))
             .withColumn("_avg_v", F.avg("VelocityX").over(w)))
     ego_agg = ego.groupBy(*TK).agg(F.count(F.lit(1)).alias("_b"),
                                    F.avg("Velocity").alias("_ego_v"))
-    if attach_speed:
-        # one pass over status for both the labels and J4: per key the best
-        # code and every status row's speed (structs keep null speeds)
-        st = status.groupBy(*TK).agg(
-            F.max(lab.status_code(th)).alias("_st"),
-            F.collect_list(F.struct(F.col("VehicleDirSAE_VehSpeed").alias("v"))).alias("_sp"))
-    else:
-        st = lab.status_labels(status, th, key=TK).withColumnRenamed("status", "_st")
+    st = lab.status_labels(status, th, key=TK).withColumnRenamed("status", "_st")
     j = objs.join(ego_agg, TK, "left").join(st, TK, "left")
     congested = ((F.col("_a") * F.col("_b") > th.congestion_count_min)
                  & (F.col("_avg_v") < th.congestion_avg_v_max)
@@ -86,8 +80,7 @@ def scenario_labels(inp: SceneInputs, th: Thresholds = Thresholds(),
     if attach_speed:
         # Status is not deduplicated, so a key with several status rows
         # repeats the labelled row; a key without status keeps one row
-        out = (out.withColumn("_s", F.explode_outer("_sp"))
-               .withColumn("VehicleDirSAE_VehSpeed", F.col("_s.v")).drop("_s", "_sp"))
+        out = out.join(status.select(*TK, "VehicleDirSAE_VehSpeed"), TK, "left")
     return out.drop("_tk")
 
 

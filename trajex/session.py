@@ -72,10 +72,31 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     executor only costs the tasks of the current stage."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex[:12]}"
+    note_written(spark, path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: dict[str, list[str]] = {}
+
+
+def note_written(spark: SparkSession, path: str) -> None:
+    """Remembers an intermediate folder of this application."""
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def clear_intermediates(spark: SparkSession) -> int:
+    """Removes the intermediates that this application's operators wrote and
+    returns their number.  For callers that have written their results: a
+    DataFrame that still reads an intermediate cannot be evaluated again."""
+    sc = spark.sparkContext
+    paths = _written.pop(sc.applicationId, [])
+    for path in paths:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 _shipped: dict[str, str] = {}
 
 
