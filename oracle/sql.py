@@ -379,6 +379,9 @@ SQL["boundary_cross_any"] = with_(
 SQL["signal_quantiles"] = with_(
     "SELECT recording_id, quantile_disc(Yaw, 0.25) AS q25, quantile_disc(Yaw, 0.75) AS q75 "
     "FROM tr GROUP BY recording_id", tr=fx("track"))
+SQL["signal_quantiles_default"] = with_(
+    "SELECT recording_id, count(Yaw) AS n, true AS q25_within, true AS q75_within FROM tr GROUP BY recording_id",
+    tr=fx("track"))
 SQL["signal_extent"] = with_(
     "SELECT recording_id, max(Yaw) AS max_Yaw, min(Yaw) AS min_Yaw, max(YawRate) AS max_YawRate, "
     "min(YawRate) AS min_YawRate, max(VelocityY) AS max_VelocityY, min(VelocityY) AS min_VelocityY "

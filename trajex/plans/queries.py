@@ -368,6 +368,23 @@ def q_signal_quantiles(spark, sf) -> DataFrame:
     return sts.signal_quantiles(fx.track(spark, sf), "Yaw", rel_error=0.0001, group=["recording_id"])
 
 
+@query("signal_quantiles_default")
+def q_signal_quantiles_default(spark, sf) -> DataFrame:
+    """A4 at its default rank error 0.01, told by rank: whether a value's ranks
+    (copies have several) come within ceil(n / 100) rows of the quartile's rank
+    ceil(share * n)."""
+    tr = fx.track(spark, sf).select("recording_id", "Yaw")
+    q = sts.signal_quantiles(tr, "Yaw", group=["recording_id"])
+
+    def within(name: str, share: float):
+        below, upto = (F.sum(F.when(c, 1).otherwise(0)) for c in (F.col("Yaw") < F.col(name), F.col("Yaw") <= F.col(name)))
+        n = F.count("Yaw")
+        rank, error = F.ceil(n * share), F.ceil(n / 100)
+        return ((below + 1 <= rank + error) & (upto >= rank - error)).alias(f"{name}_within")
+    return tr.join(q, "recording_id").groupBy("recording_id").agg(
+        F.count("Yaw").alias("n"), within("q25", 0.25), within("q75", 0.75))
+
+
 @query("signal_extent")
 def q_signal_extent(spark, sf) -> DataFrame:
     return sts.signal_extent(fx.track(spark, sf), ["Yaw", "YawRate", "VelocityY"], ["recording_id"])
