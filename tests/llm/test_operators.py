@@ -268,6 +268,17 @@ def test_quality_bands_reject_odd_text_only(spark):
     assert kept == set(range(150))
 
 
+def test_quality_bands_give_copies_one_vote(spark):
+    rng = random.Random(12)
+    syllables = "the an ing ed re th on er st".split()
+    good = [" ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(200)) for _ in range(60)]
+    junk = " ".join("".join(chr(rng.randint(0x2500, 0x25ff)) for _ in range(3)) for _ in range(199)) + " end"
+    copies = [junk, junk.replace("end", "End")] * 45  # 60 % of the cell, as exact dedup sees copies
+    df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(good + copies)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.judge(df, public_tokenizers.path("piece_bpe_32k.model")).filter("kept").collect()}
+    assert kept == set(range(60))
+
+
 def test_fertility_tokenises_words_like_whole_texts():
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")

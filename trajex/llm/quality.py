@@ -7,10 +7,11 @@ a share of its largest value.  Text that a tokeniser finds as ordinary as other
 text of its language lies near the language's median; a document outside the
 language's band is rejected.
 
-Bands come from all documents that pass the base rules: median plus or minus
+Bands come from all different texts that pass the base rules, so copies have
+one vote: median plus or minus
 ``WIDTH`` robust deviations, at least the ``LEAST`` margin, per language and
 length class (half a doubling of the word count, since longer texts repeat more
-of their tokens).  A cell with fewer than ``ENOUGH`` such documents uses the
+of their tokens).  A cell with fewer than ``ENOUGH`` such texts uses the
 cell of its script; if that has too few as well, the base rules decide alone.
 
 Null texts have no words and fail the base rules.  Empty tables give empty
@@ -19,6 +20,7 @@ results.  Words are what ``[^\\x20\\x09-\\x0D]+`` matches.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import unicodedata
 
@@ -105,7 +107,8 @@ class Fertility:
 
 
 def measures(df: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """Adds the counts, the three measures, base_failed and script."""
+    """Adds the counts, the three measures, base_failed, script and __digest,
+    which copies in the sense of ``exact_dedup`` share."""
     def make():
         tool = worker_tool(("fertility", path), lambda: Fertility(path))
 
@@ -120,20 +123,30 @@ def measures(df: DataFrame, path: str, column: str = "text") -> DataFrame:
                 failed = len(words) < 50 or 100 * repeat > 50 * len(words)
                 symbols = len(data) - len(data.translate(None, SYMBOLS))
                 rows.append((len(words), chars, symbols, duplicate_lines(data), repeat, failed,
-                             *tool.measure(words, chars), script_of(value)))
-            return list(zip(*rows, strict=True)) if rows else [[]] * 10
+                             *tool.measure(words, chars), script_of(value), hashlib.sha256(data.lower()).digest()))
+            return list(zip(*rows, strict=True)) if rows else [[]] * 11
         return run
 
     double = [T.StructField(m, T.DoubleType()) for m in MEASURES]
-    fields = [long(c) for c in COUNTS] + [T.StructField("base_failed", T.BooleanType()), *double, text("script")]
+    fields = [long(c) for c in COUNTS] + [T.StructField("base_failed", T.BooleanType()), *double, text("script"),
+              T.StructField("__digest", T.BinaryType())]
     return append_columns(df, [column], make, fields)
 
 
+def different(measured: DataFrame, by: list[str]) -> DataFrame:
+    """The measures of the texts that pass the base rules, copies once a group.
+    Copies that differ in case can differ in their measures: the smallest hash
+    of the measures decides."""
+    good = measured.filter(~F.col("base_failed")).dropna(subset=by)
+    one = F.min(F.struct(F.xxhash64(*MEASURES), *MEASURES)).alias("one")
+    return good.groupBy(*by, "__digest").agg(one).select(*by, *(f"one.{m}" for m in MEASURES))
+
+
 def bands(measured: DataFrame, by: list[str]) -> DataFrame:
-    """Per group the number of documents that pass the base rules and, by
+    """Per group the number of different texts that pass the base rules and, by
     measure, the median and the median distance from it, of values rounded to
     ``DIGITS``: counts of at most some thousand values, which merge exactly."""
-    good = measured.filter(~F.col("base_failed")).dropna(subset=by).select(*by, *MEASURES)
+    good = stage(different(measured, by), "different")
     medians = stage(good.groupBy(*by).agg(
         F.count("*").alias("n"), *(F.percentile(F.round(m, DIGITS), 0.5).alias(f"mid_{m}") for m in MEASURES)
     ).filter(F.col("n") >= ENOUGH), "medians")
@@ -170,7 +183,7 @@ def judge(df: DataFrame, path: str, column: str = "text", language: str | None =
     verdict = F.lit(True)
     for m in MEASURES:
         verdict = verdict & F.coalesce(inside(m, "lang_"), inside(m, "script_"), F.lit(True))
-    extra = ["__lang", "__size", *(p + c for p in ("lang_", "script_") for c in names)]
+    extra = ["__lang", "__size", "__digest", *(p + c for p in ("lang_", "script_") for c in names)]
     return judged.withColumn("kept", ~F.col("base_failed") & verdict).drop(*extra)
 
 
