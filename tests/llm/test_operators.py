@@ -279,6 +279,21 @@ def test_quality_bands_give_copies_one_vote(spark):
     assert kept == set(range(60))
 
 
+@pytest.mark.parametrize("short", [150, 12])
+def test_quality_bands_cover_thin_classes(spark, short):
+    """Long texts whose class has one good and one odd document, a language of
+    one document, and a table with fewer documents than a band wants."""
+    rng = random.Random(14)
+    syllables = "the an ing ed re th on er st".split()
+    good = [" ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(n))
+            for n in [rng.randint(60, 900) for _ in range(short)] + [2500]]
+    odd = [" ".join("".join(chr(rng.randint(0x2500, 0x25ff)) for _ in range(3)) for _ in range(n)) for n in (2500, 100, 300)]
+    rows = [(k, t, "en" if k < short + 2 else ["xx", None][k % 2]) for k, t in enumerate(good + odd)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = quality.judge(df, public_tokenizers.path("piece_bpe_32k.model")).collect()
+    assert not any(r.base_failed for r in judged) and {r.doc_id for r in judged if r.kept} == set(range(short + 1))
+
+
 def test_fertility_tokenises_words_like_whole_texts():
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")

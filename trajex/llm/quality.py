@@ -11,8 +11,12 @@ Bands come from all different texts that pass the base rules, so copies have
 one vote: median plus or minus
 ``WIDTH`` robust deviations, at least the ``LEAST`` margin, per language and
 length class (half a doubling of the word count, since longer texts repeat more
-of their tokens).  A cell with fewer than ``ENOUGH`` such texts uses the
-cell of its script; if that has too few as well, the base rules decide alone.
+of their tokens).  A class with fewer than ``ENOUGH`` such texts takes the
+classes around it as far as needed, to the whole language; their values are
+moved along the language's line over the classes.  A language with fewer texts
+in all uses its script in the same way, a script with fewer the whole table,
+and a table with fewer its band over all it has: no document that passes the
+base rules goes without a band.
 
 Null texts have no words and fail the base rules.  Empty tables give empty
 results.  Words are what ``[^\\x20\\x09-\\x0D]+`` matches.
@@ -25,7 +29,7 @@ import math
 import unicodedata
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,16 +146,47 @@ def different(measured: DataFrame, by: list[str]) -> DataFrame:
     return good.groupBy(*by, "__digest").agg(one).select(*by, *(f"one.{m}" for m in MEASURES))
 
 
-def bands(measured: DataFrame, by: list[str]) -> DataFrame:
-    """Per group the number of different texts that pass the base rules and, by
-    measure, the median and the median distance from it, of values rounded to
-    ``DIGITS``: counts of at most some thousand values, which merge exactly."""
-    good = stage(different(measured, by), "different")
-    medians = stage(good.groupBy(*by).agg(
-        F.count("*").alias("n"), *(F.percentile(F.round(m, DIGITS), 0.5).alias(f"mid_{m}") for m in MEASURES)
-    ).filter(F.col("n") >= ENOUGH), "medians")
+def windows(classes: DataFrame, by: str, last: bool) -> DataFrame:
+    """From the support ``n`` and the medians of each length class of a group:
+    rows (group, class, ``from``), the classes that the class's band is taken
+    from, with the shift of each measure between the two.
+
+    A class takes the classes up to the smallest distance that gives it
+    ``ENOUGH`` texts.  A group with fewer texts in all has no rows, or with
+    ``last`` takes what it has.  The shift follows the line through the medians
+    of the group's classes, each with the weight of its texts."""
+    x, n = F.col("__size"), F.col("n")
+    total, wx, wxx = F.sum(n), F.sum(n * x), F.sum(n * x * x)
+    flat = total * wxx - wx * wx
+    lines = classes.groupBy(by).agg(*(
+        F.when(flat > 0, (total * F.sum(n * x * F.col(f"mid_{m}")) - wx * F.sum(n * F.col(f"mid_{m}"))) / flat)
+        .otherwise(0.0).alias(f"slope_{m}") for m in MEASURES))
+    away = F.abs(F.col("from") - x)
+    near = classes.select(by, F.col("__size").alias("from"), "n")
+    pairs = classes.select(by, "__size").join(near, by).withColumn("away", away)
+    one = Window.partitionBy(by, "__size")  # at most the classes of a group
+    pairs = pairs.withColumn("within", F.sum("n").over(one.orderBy("away").rangeBetween(Window.unboundedPreceding, 0)))
+    radius = F.min(F.when(F.col("within") >= ENOUGH, F.col("away"))).over(one)
+    radius = F.coalesce(radius, F.max("away").over(one)) if last else radius
+    pairs = pairs.withColumn("radius", radius).filter(F.col("away") <= F.col("radius"))
+    return pairs.join(lines, by).select(by, "__size", "from", *(
+        (F.col(f"slope_{m}") * (x - F.col("from"))).alias(f"shift_{m}") for m in MEASURES))
+
+
+def bands(texts: DataFrame, by: str, last: bool = False) -> DataFrame:
+    """Per group and length class, by measure, the median and the median
+    distance from it over the class's window of different ``texts``, of values
+    rounded to ``DIGITS``: counts of at most some thousand values, which merge
+    exactly."""
+    classes = stage(texts.groupBy(by, "__size").agg(
+        F.count("*").alias("n"), *(F.percentile(F.round(m, DIGITS), 0.5).alias(f"mid_{m}") for m in MEASURES)), "classes")
+    window = stage(windows(classes, by, last), "windows")
+    near = small_join(texts.withColumnRenamed("__size", "from"), window, [by, "from"], "inner").select(
+        by, "__size", *((F.col(m) + F.col(f"shift_{m}")).alias(m) for m in MEASURES))
+    medians = stage(near.groupBy(by, "__size").agg(
+        *(F.percentile(F.round(m, DIGITS), 0.5).alias(f"mid_{m}") for m in MEASURES)), "medians")
     away = {m: F.abs(F.col(m) - F.col(f"mid_{m}")) for m in MEASURES}
-    return small_join(good, medians, by, "inner").groupBy(*by).agg(
+    return small_join(near, medians, [by, "__size"], "inner").groupBy(by, "__size").agg(
         *(F.first(f"mid_{m}").alias(f"mid_{m}") for m in MEASURES),
         *(F.percentile(F.round(away[m], DIGITS), 0.5).alias(f"dev_{m}") for m in MEASURES))
 
@@ -173,18 +208,20 @@ def judge(df: DataFrame, path: str, column: str = "text", language: str | None =
     size = F.round(2 * F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")
     measured = measures(df, path, column).withColumn("__lang", lang).withColumn("__size", size)
     rows = stage(measured if keep_text else measured.drop(column), "measures")
+    told = stage(different(rows, ["__lang", "__size"]), "different")
+    every = stage(different(rows, ["script", "__size"]).withColumn("__all", F.lit(0)), "different")
     names = [f"{p}_{m}" for p in ("mid", "dev") for m in MEASURES]
-
-    def joined(left: DataFrame, by: str, prefix: str) -> DataFrame:
-        found = stage(bands(rows, [by, "__size"]).select(by, "__size", *(F.col(c).alias(prefix + c) for c in names)), "bands")
-        return small_join(left, found, [by, "__size"])
-
-    judged = joined(joined(rows, "__lang", "lang_"), "script", "script_")
-    verdict = F.lit(True)
+    judged, verdict = rows.withColumn("__all", F.lit(0)), {m: [] for m in MEASURES}
+    for texts, by, prefix in ((told, "__lang", "lang_"), (every, "script", "script_"), (every, "__all", "all_")):
+        found = stage(bands(texts, by, by == "__all").select(by, "__size", *(F.col(c).alias(prefix + c) for c in names)), "bands")
+        judged = small_join(judged, found, [by, "__size"])
+        for m in MEASURES:
+            verdict[m].append(inside(m, prefix))
+    kept = ~F.col("base_failed")
     for m in MEASURES:
-        verdict = verdict & F.coalesce(inside(m, "lang_"), inside(m, "script_"), F.lit(True))
-    extra = ["__lang", "__size", "__digest", *(p + c for p in ("lang_", "script_") for c in names)]
-    return judged.withColumn("kept", ~F.col("base_failed") & verdict).drop(*extra)
+        kept = kept & F.coalesce(*verdict[m])
+    extra = ["__lang", "__size", "__digest", "__all", *(p + c for p in ("lang_", "script_", "all_") for c in names)]
+    return judged.withColumn("kept", kept).drop(*extra)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
