@@ -371,6 +371,28 @@ def test_toxicity_learns_sentences(spark):
     assert {r.score for r in toxicity.score(df.select("text"), none).collect()} == {0.0}
 
 
+def test_toxicity_trains_on_whole_texts(spark, monkeypatch):
+    rng = random.Random(15)
+    calm = "sea road hill tree stone water light house bread paper".split()
+    rows = []
+    for k in range(150):
+        sentences = [" ".join(rng.choices(calm, k=500)) for _ in range(9)]  # over 20,000 characters
+        rows.append((k, ". ".join([*sentences, "you are a grubber thing" if k % 3 == 0 else "a calm day"]) + ".", int(k % 3 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert min(len(r[1]) for r in rows) > 20_000
+    seen = {}
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda t, y, *a: seen.update(zip(t, y)) or train(t, y, *a))
+    scored = toxicity.score(df, toxicity.fit(df, df.select("doc_id", "toxic"))).collect()
+    assert np.mean([(r.score >= 0.7) == r.toxic for r in scored]) > 0.97
+    assert seen and seen.items() <= {(r[1], r[2]) for r in rows}
+    monkeypatch.setattr(toxicity, "ROOM", 500_000)  # fewer rows, none of them cut
+    seen.clear()
+    toxicity.fit(df, df.select("doc_id", "toxic"))
+    assert 10 < len(seen) < 30 and seen.items() <= {(r[1], r[2]) for r in rows}
+    assert toxicity.passed_over([("a", 1, 9), ("b", 1, 5), ("c", 0, 3), ("d", 1, 4)], 18) == ["b", "d"]
+
+
 # ---- pages and archives ---------------------------------------------------
 
 def test_tree_reader_of_broken_pages():

@@ -7,8 +7,9 @@ through the noisy-or, so it learns which sentences offend and can point at
 them.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents,
-half of them toxic if there are enough, chosen by a hash of their id, with at
-most ``SAMPLE_CHARS`` characters of each.  Statistics of the labels (how rare
+half of them toxic if there are enough, chosen by a hash of their id, and of at
+most ``ROOM`` characters in all, half for each kind.  A label goes with a whole
+text only: a text that no longer fits is passed over, not cut.  Statistics of the labels (how rare
 toxic documents are) cover all training labels.  Scoring reads every whole
 text.
 
@@ -27,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.llm.common import WordCache, append_columns, bounded_sample
+from trajex.llm.common import WordCache, append_columns, bounded_sample, hash_share, stage
 
-SAMPLE, SAMPLE_CHARS = 4000, 20_000
+SAMPLE, ROOM = 4000, 80_000_000
 DIMENSIONS = 1 << 18
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (3, 4, 5)
@@ -138,6 +139,18 @@ def held_out(identifier: Column) -> Column:
     return F.crc32(identifier.cast("string").cast("binary")) % 3 == 1
 
 
+def passed_over(sizes: list[tuple], room: int) -> list:
+    """Of (id, kind, characters) in the order of choice the ids whose texts do
+    not fit into what is left of their kind's half of the room."""
+    left, over = {0: room // 2, 1: room // 2}, []
+    for identifier, kind, size in sizes:
+        if size > left[kind]:
+            over.append(identifier)
+        else:
+            left[kind] -= size
+    return over
+
+
 def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str = "text", label: str = "toxic",
         sample: int = SAMPLE) -> Model:
     """Trains on labelled documents outside the held-out third.  Only the
@@ -149,8 +162,11 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
         return train([], [])
     chosen = bounded_sample(known.filter("y = 1"), "id", counts[1], sample // 2).unionByName(
         bounded_sample(known.filter("y = 0"), "id", counts[0], sample - sample // 2))
-    texts = df.select(F.col(f"`{id_column}`").alias("id"), F.substring(F.coalesce(F.col(f"`{column}`"), F.lit("")), 1, SAMPLE_CHARS).alias("t"))
-    rows = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").collect()
+    texts = df.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("t"))
+    held = stage(texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "toxicity-sample")
+    sizes = held.select("id", "y", F.length("t").alias("n")).orderBy(hash_share(F.col("id"), 7), "id").collect()
+    over = passed_over([tuple(r) for r in sizes], ROOM)
+    rows = held.filter(~F.col("id").isin(over)).orderBy("id").collect() if over else held.orderBy("id").collect()
     return train([r["t"] for r in rows], [r["y"] for r in rows], counts[1] / (counts[0] + counts[1]))
 
 
