@@ -3,7 +3,7 @@
 The library never builds a session inside an operator; callers pass one in.
 ``local_session`` is for tests and the bench.  ``checkpoint_dir`` reads the
 cluster's shared ``spark.checkpoint.dir``; only when it is unset (local runs)
-is a fresh scratch folder under /tmp set.
+a fresh scratch folder is made.
 """
 
 from __future__ import annotations
@@ -42,24 +42,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+_scratch: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; set a scratch one only
-    when the session has none and runs in local mode (tests).  On a cluster
-    a machine-local folder would not be shared, so it is an error."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a JVM context
-        sc = None
-    if not current and sc is not None:
-        current = sc.getCheckpointDir()
+    """Shared checkpoint folder named by the cluster in
+    ``spark.checkpoint.dir``.  Only where the session has none and runs in
+    local mode (tests) one scratch folder per application is made; the setting
+    itself is fixed once a session runs.  On a cluster a machine-local folder
+    would not be shared, so a missing setting is an error."""
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or _scratch.get(sc.applicationId)
     if not current:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        current = tempfile.mkdtemp(prefix="trajex-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None and not sc.getCheckpointDir():
+        current = _scratch[sc.applicationId] = tempfile.mkdtemp(prefix="trajex-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
