@@ -26,8 +26,9 @@ from pyspark.sql import types as T
 from trajex.llm.common import WordCache, append_columns, long, text, worker_tool
 
 NO_LIMIT = 1 << 40
-#: Bytes of a piece whose table is kept for other pieces.
-HEAD = 6
+#: Bytes of a piece whose table is kept for other pieces, and bytes of a half of
+#: the caches of pieces and of such tables; pairs of tokens that are known apart.
+HEAD, PIECES, HEADS, PAIRS = 6, 32 << 20, 6 << 20, 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -111,7 +112,7 @@ class Merges:
                 limit, b = b + 1, left[b]
 
     def apart(self, a: int, b: int) -> bool:
-        if len(self.known) >= 400_000:
+        if len(self.known) >= PAIRS:
             self.known.clear()
         found = self.known[a << 32 | b] = self._apart(a, b)
         return found
@@ -203,7 +204,8 @@ class Encoder:
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.split = merges, regex.compile(pattern).findall
-        self.pieces, self.heads = WordCache(self._piece), WordCache(self._head, 50_000)
+        self.pieces = WordCache(self._piece, PIECES)
+        self.heads = WordCache(self._head, HEADS, size=lambda table: 200 + 8 * len(table[0]))
 
     def _head(self, head: bytes) -> tuple[list[int], int]:
         last: list[int] = []

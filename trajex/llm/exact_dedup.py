@@ -10,7 +10,8 @@ other digests go through an ordinary shuffled aggregation and join.
 
 Null texts count as empty and equal empty texts.  The row with the largest id
 stays; null ids are smaller than all others.  Of rows with the same text and
-the same id (repeated rows, or several null ids) exactly one stays.
+the same id (repeated rows, or several null ids) exactly one stays.  Columns of
+any name pass through ``deduplicate`` unchanged.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajex.llm.common import append_columns, row_key, stage, text, whole_rows
+from trajex.llm.common import append_columns, row_key, safe_names, stage, text, whole_rows
 
 #: Counters of the Misra-Gries summary: also the bound on broadcast winners.
 COUNTERS = 1024
@@ -84,13 +85,15 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", column: str = "text",
 
 
 def deduplicate(df: DataFrame, id_column: str = "doc_id", column: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """The rows that stay, with all their columns.  Of repeated rows (same id
-    and text) that differ in other columns any one stays."""
-    key = row_key(df, id_column, column)
-    light = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{column}`").alias("__text"), key.alias("key"))
-    rows = stage(with_digest(light, "__text", "digest").select("id", F.monotonically_increasing_id().alias("row"), "digest", "key"), "digests")
-    winners = groups(rows.drop("key"), counters).filter(F.col("row") == F.col("winner.row")).select("row")
-    return whole_rows(df, key, rows, rows.join(winners, "row", "left_semi").select("key")).select(*(F.col(f"`{c}`") for c in df.columns))
+    """The rows that stay, with all their columns.  Of rows with the same text
+    and the same largest id the one with the largest digest of all its columns
+    stays, so reruns agree."""
+    safe, name, back = safe_names(df)
+    key = row_key(safe)
+    light = safe.select(F.col(name[id_column]).alias("id"), key.alias("row"), F.col(name[column]).alias("__text"))
+    rows = stage(with_digest(light, "__text", "digest").select("id", "row", "digest"), "digests")
+    winners = groups(rows, counters).filter(F.col("row") == F.col("winner.row")).select(F.col("row").alias("key")).distinct()
+    return whole_rows(safe, key, rows.select(F.col("row").alias("key")), winners).select(*back)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 Without SQL (tested against brute force, round trips or held-out labels):
 op1 and op5 (tokenisers), op2, op3, op7 and op9 (trained or fitted verdicts),
-op6 (keyed permutations) and op8 (shingle hashes, components).
+op6 (keyed permutations), op8 (shingle hashes, components), op12 (checksums of
+word runs) and op13 (recursive splits).
 """
 
 from __future__ import annotations
 
-from trajex.llm import bpe, exact_dedup, html_extract, mixing, pii, quality, simhash, token_counts, toxicity, warc
+from trajex.llm import (bpe, exact_dedup, html_extract, mixing, pii, quality, resampling, search, sharding, simhash, token_counts,
+                        toxicity, warc)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
@@ -20,6 +22,9 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8,
     "op9_toxicity": toxicity.op9,
     "op10_warc": warc.op10,
+    "op11_lexical_search": search.op11,
+    "op12_importance_resampling": resampling.op12,
+    "op13_sharding": sharding.op13,
 }
 
-SQL = {"op4_exact_dedup": exact_dedup.OP4_SQL, "op10_warc": warc.OP10_SQL}
+SQL = {"op4_exact_dedup": exact_dedup.OP4_SQL, "op10_warc": warc.OP10_SQL, "op11_lexical_search": search.OP11_SQL}

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajex.llm.common import append_columns, long, row_key, ship_package, stage, whole_rows
+from trajex.llm.common import append_columns, long, row_key, safe_names, ship_package, stage, whole_rows
 from trajex.llm.components import spanning
 
 SHINGLE, RADIUS = 3, 3
@@ -232,13 +232,15 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", column: str = "tex
 
 def deduplicate(df: DataFrame, id_column: str = "doc_id", column: str = "text", shingle: int = SHINGLE,
                 radius: int = RADIUS) -> DataFrame:
-    """The first row of each component, with all its columns.  Of repeated rows
-    (same id and text) that differ in other columns any one stays."""
-    key = row_key(df, id_column, column)
-    light = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{column}`").alias("__text"), key.alias("key"))
-    rows = stage(with_fingerprint(light, "__text", shingle).select("id", F.monotonically_increasing_id().alias("row"), "fp", "key"), "simhash")
-    firsts = near_groups(rows.drop("key"), radius).select("first.row").distinct()
-    return whole_rows(df, key, rows, rows.join(firsts, "row", "left_semi").select("key")).select(*(F.col(f"`{c}`") for c in df.columns))
+    """The first row of each component, with all its columns: the one with the
+    smallest id (a null id is larger than all), of equal ids the one with the
+    smallest digest of all its columns, so reruns agree."""
+    safe, name, back = safe_names(df)
+    key = row_key(safe)
+    light = safe.select(F.col(name[id_column]).alias("id"), key.alias("row"), F.col(name[column]).alias("__text"))
+    rows = stage(with_fingerprint(light, "__text", shingle).select("id", "row", "fp"), "simhash")
+    firsts = near_groups(rows, radius).select(F.col("first.row").alias("key")).distinct()
+    return whole_rows(safe, key, rows.select(F.col("row").alias("key")), firsts).select(*back)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
