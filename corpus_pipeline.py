@@ -11,13 +11,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from trajex.llm import bpe, exact_dedup, mixing, quality, simhash
-from trajex.llm.common import stage, table
+from trajex.llm.common import safe_names, stage, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality rules keep."""
-    judged = quality.judge(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return judged.filter("kept").select(*docs.columns)
+    """Documents the quality rules keep, with their own columns whatever the
+    names."""
+    safe, name, back = safe_names(docs)
+    judged = quality.judge(safe, public_tokenizers.path("piece_bpe_32k.model"), name["text"], name["lang"])
+    return judged.filter("kept").select(*back)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +52,8 @@ STAGES = [
     ("byte-level bpe", byte_bpe),
 ]
 
-#: SQL cannot express the tokenisers and shingle hashes; tests/llm holds the
-#: pipeline against a brute-force version.
+#: SQL cannot express the tokenisers and shingle hashes; tests/llm/test_pipeline
+#: holds run() against plain Python on planted documents.
 ORACLE_SQL = None
 
 
