@@ -71,8 +71,8 @@ def sized_rows(df: DataFrame, id_column: str, column: str, dimensions: list[str]
 
 
 def points(rows: DataFrame, shards: int, whole: float = WHOLE) -> tuple[DataFrame, DataFrame]:
-    """The rows with their ``part``, and the points (digest, part, weight, h
-    and cells d0, d1, ...)."""
+    """The rows with their ``part``, and the points (digest, part, weight, h,
+    cells d0, d1, ... and the root as their ``node``)."""
     names = [c for c in rows.columns if c.startswith("m")]
     total = rows.agg(F.sum("size")).first()[0] or 0
     limit = max(1, int(whole * total / shards))
@@ -82,7 +82,8 @@ def points(rows: DataFrame, shards: int, whole: float = WHOLE) -> tuple[DataFram
     dealt = rows.join(F.broadcast(large), "digest", "left").select(
         *(c for c in rows.columns if c not in names), F.coalesce(F.pmod(F.xxhash64("id", "row"), "parts"), F.lit(0)).alias("part"),
         *(F.when(F.col("parts").isNull(), F.col(m)).otherwise(F.col(f"g_{m}")).alias(m) for m in names))
-    found = stage(dealt.groupBy("digest", "part").agg(F.sum("size").alias("weight"), *(F.min(m).alias(m) for m in names)), "points")
+    found = stage(dealt.groupBy("digest", "part").agg(F.sum("size").alias("weight"), *(F.min(m).alias(m) for m in names))
+                  .withColumn("node", F.lit(0).cast("long")), "points")
     ends = found.agg(*(f(m).alias(f"{n}_{m}") for m in names for f, n in ((F.min, "lo"), (F.max, "hi")))).first()
     cells = []
     for k, m in enumerate(names):
@@ -90,7 +91,7 @@ def points(rows: DataFrame, shards: int, whole: float = WHOLE) -> tuple[DataFram
         place = F.lit(0.0) if lo is None or hi == lo else (F.col(m) - lo) / (hi - lo) * (CELLS - 2)
         cells.append(F.when(F.col(m).isNull(), 0).otherwise(1 + F.floor(place)).cast("int").alias(f"d{k}"))
     h = F.pmod(F.shiftrightunsigned(F.xxhash64("digest"), 64 - HASH_BITS) + F.col("part"), F.lit(1 << HASH_BITS))
-    return dealt.drop(*names), found.select("digest", "part", "weight", h.alias("h"), *cells)
+    return dealt.drop(*names), found.select("digest", "part", "weight", h.alias("h"), *cells, "node")
 
 
 def told(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
@@ -148,7 +149,7 @@ def tree(found: DataFrame, shards: int) -> DataFrame:
     """The points with their shard.  A node's name is its first shard, so the
     leaves are the shards; the driver holds shards and bytes of each node.
     Nodes follow from the cuts so far; they are written every few levels."""
-    nodes, dims = found.withColumn("node", F.lit(0).cast("long")), dimensions_of(found)
+    nodes, dims = found, dimensions_of(found)
     total = found.agg(F.sum("weight")).first()[0]
     held, level = {0: (shards, total)} if total else {}, 0
     while several := {n: bytes_ * (k // 2) / k for n, (k, bytes_) in held.items() if k > 1}:
@@ -157,7 +158,7 @@ def tree(found: DataFrame, shards: int) -> DataFrame:
         own = F.array(*dims)[F.col("dim").cast("int")]
         left = (own < F.col("at")) | ((own == F.col("at")) & ((F.col("h") < F.col("cut")) | ((F.col("h") == F.col("cut")) & F.col("take"))))
         nodes = nodes.join(told(found.sparkSession, rows, "node dim at cut take right"), "node", "left").withColumn(
-            "node", F.when(F.col("dim").isNotNull() & ~left, F.col("right")).otherwise(F.col("node"))).select(*found.columns, "node")
+            "node", F.when(F.col("dim").isNotNull() & ~left, F.col("right")).otherwise(F.col("node"))).select(*found.columns)
         for n, (_, _, _, _, below) in made.items():
             k, bytes_ = held[n]
             held[n], held[n + k // 2] = (k // 2, below), (k - k // 2, bytes_ - below)
