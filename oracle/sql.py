@@ -102,6 +102,12 @@ SQL["ego_object_join"] = scene(
     "ON o.ptp_time = e.ptp_time AND o.recording_id = e.recording_id")
 SQL["scenario_overlay"] = scene("SELECT * FROM final")
 SQL["scenario_labels"] = scene("SELECT * FROM final")
+SQL["scenario_labels_store"] = SQL["scenario_labels"]
+SQL["interval_ends"] = with_(
+    "SELECT t.recording_id, v.id, count(*) AS n, min(t.ptp_time) AS first, max(t.ptp_time) AS last FROM tr t JOIN iv v "
+    "ON t.recording_id = v.recording_id AND t.ptp_time >= v.start_time AND t.ptp_time <= v.end_time "
+    "WHERE NOT isnan(v.start_time) AND NOT isnan(v.end_time) GROUP BY t.recording_id, v.id",
+    tr=fx("track"), iv=fx("odd_interval"))
 SQL["speed_attach"] = scene(
     "SELECT f.*, st.VehicleDirSAE_VehSpeed FROM final f LEFT JOIN st "
     "ON f.ptp_time = st.ptp_time AND f.recording_id = st.recording_id")
@@ -232,6 +238,20 @@ SQL["position_stitch"] = with_(
     "SELECT recording_id, ptp_time, row_no, round(PositionX, 6) AS PositionX, "
     "round(PositionY, 6) AS PositionY, round(PositionZ, 6) AS PositionZ, is_jump FROM ps",
     tr=fx("track"), **_ST)
+_X = "CASE WHEN isnan(PositionX) THEN NULL ELSE PositionX END"
+_GAP = dict(
+    g=f"SELECT recording_id, ptp_time, {_X} AS x, PositionX IS NULL OR isnan(PositionX) AS hole, PositionY AS y FROM gt",
+    w=("SELECT *, row_number() OVER w - 1 AS row_no, lag(x) OVER w AS x1, lag(x, 2) OVER w AS x2, lag(y) OVER w AS y1, "
+       "lag(y, 2) OVER w AS y2 FROM g WINDOW w AS (PARTITION BY recording_id ORDER BY ptp_time)"),
+    m="SELECT *, row_no >= 2 AND (coalesce(abs(x - x1) > 20, false) OR coalesce(abs(y - y1) > 20, false)) AS is_jump FROM w",
+    o=("SELECT *, CASE WHEN is_jump THEN coalesce(x1 * 1.5 - x2 * 0.5, 0) ELSE 0 END AS dx, CAST(is_jump AND (x1 IS NULL OR x2 IS NULL) AS INTEGER) AS lost, "
+       "CASE WHEN is_jump THEN y1 * 1.5 - y2 * 0.5 ELSE 0 END AS dy FROM m"),
+    r=("SELECT *, sum(dx) OVER w AS sx, sum(dy) OVER w AS sy, sum(lost) OVER w AS n_lost FROM o WINDOW w AS "
+       "(PARTITION BY recording_id ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
+)
+SQL["gap_stitch"] = with_(
+    "SELECT recording_id, ptp_time, row_no, is_jump, round(y + sy, 6) AS PositionY, "
+    "CASE WHEN n_lost = 0 AND NOT hole THEN round(x + sx, 6) END AS PositionX FROM r", gt=fx("gap_track"), **_GAP)
 _HD = heading_ctes("(SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY ptp_time) - 1 "
                    "AS row_no FROM tr)", ["recording_id"])
 SQL["heading"] = with_("SELECT recording_id, ptp_time, row_no, round(angle, 6) AS angle FROM hd",
@@ -382,6 +402,16 @@ SQL["signal_quantiles"] = with_(
 SQL["signal_quantiles_default"] = with_(
     "SELECT recording_id, count(Yaw) AS n, true AS q25_within, true AS q75_within FROM tr GROUP BY recording_id",
     tr=fx("track"))
+SQL["sketch_quantiles"] = with_(
+    "SELECT substring(recording_id, 6, 1) AS fleet, count(*) AS n, min(PositionX) AS least, max(PositionX) AS greatest, "
+    "true AS q25_within, true AS q75_within, true AS distinct_within FROM tr GROUP BY 1", tr=fx("track"))
+_KNOWN = dict(gt=fx("gap_track"),
+              k=("SELECT recording_id, CASE WHEN NOT isnan(Yaw) THEN Yaw END AS Yaw, "
+                 "CASE WHEN NOT isnan(PositionX) THEN PositionX END AS PositionX FROM gt"))
+SQL["gap_statistics"] = with_(
+    "SELECT recording_id, quantile_disc(Yaw, 0.25) AS q25, quantile_disc(Yaw, 0.75) AS q75, max(Yaw) AS max_Yaw, min(Yaw) AS min_Yaw, "
+    "max(PositionX) AS max_PositionX, min(PositionX) AS min_PositionX, count(DISTINCT Yaw) AS n_Yaw, "
+    "count(DISTINCT PositionX) AS n_PositionX FROM k GROUP BY recording_id", **_KNOWN)
 SQL["signal_extent"] = with_(
     "SELECT recording_id, max(Yaw) AS max_Yaw, min(Yaw) AS min_Yaw, max(YawRate) AS max_YawRate, "
     "min(YawRate) AS min_YawRate, max(VelocityY) AS max_VelocityY, min(VelocityY) AS min_VelocityY "
@@ -407,30 +437,35 @@ SQL["highway_hours"] = with_(
     "round(sum(end_time - start_time) / 3600, 6) AS hours FROM ile", **IL)
 
 
-def hist_sql(col: str, bins: int) -> str:
+def hist_sql(col: str, bins: int, **source: str) -> str:
     return with_(
         f"SELECT bin, lo + (hi - lo) * bin / {bins} AS bin_lo, "
         f"lo + (hi - lo) * (bin + 1) / {bins} AS bin_hi, count(*) AS count FROM "
         f"(SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor(({col} - lo) * {bins} / (hi - lo)), "
         f"{bins - 1}) END AS INTEGER) AS bin, lo, hi FROM tr, ext WHERE {col} IS NOT NULL) "
         f"GROUP BY bin, lo, hi",
-        tr=fx("track"), ext=f"SELECT min({col}) AS lo, max({col}) AS hi FROM tr")
+        **source, ext=f"SELECT min({col}) AS lo, max({col}) AS hi FROM tr")
 
 
-SQL["signal_histogram"] = hist_sql("YawRate", 20)
-SQL["signal_histogram_fine"] = hist_sql("PositionX", 10000)
-SQL["signal_density"] = with_(
-    "SELECT CAST(g AS INTEGER) AS g, round(lo + (hi - lo) * g / 199, 6) AS x, "
-    "round(sum(exp(pow((lo + (hi - lo) * g / 199 - v) / bw, 2) * -0.5)) "
-    "* (1 / sqrt(2 * pi())) / (bw * n), 6) AS density "
-    "FROM v, grid, mom GROUP BY g, lo, hi, bw, n",
-    tr=fx("track"),
-    v="SELECT CAST(YawRate AS DOUBLE) AS v FROM tr WHERE abs(YawRate) > 0.005 AND YawRate IS NOT NULL",
-    m0="SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS vmin, max(v) AS vmax FROM v",
-    mom=("SELECT n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, vmin - sd * pow(CAST(n AS DOUBLE), -0.2) * 3 AS lo, "
-         "vmax + sd * pow(CAST(n AS DOUBLE), -0.2) * 3 AS hi FROM m0"),
-    grid="SELECT range AS g FROM range(200)",
-)
+def density_sql(v: str, **source: str) -> str:
+    return with_(
+        "SELECT CAST(g AS INTEGER) AS g, round(lo + (hi - lo) * g / 199, 6) AS x, "
+        "round(sum(exp(pow((lo + (hi - lo) * g / 199 - v) / bw, 2) * -0.5)) "
+        "* (1 / sqrt(2 * pi())) / (bw * n), 6) AS density "
+        "FROM v, grid, mom GROUP BY g, lo, hi, bw, n",
+        **source, v=v,
+        m0="SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS vmin, max(v) AS vmax FROM v",
+        mom=("SELECT n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, vmin - sd * pow(CAST(n AS DOUBLE), -0.2) * 3 AS lo, "
+             "vmax + sd * pow(CAST(n AS DOUBLE), -0.2) * 3 AS hi FROM m0"),
+        grid="SELECT range AS g FROM range(200)",
+    )
+
+
+SQL["signal_histogram"] = hist_sql("YawRate", 20, tr=fx("track"))
+SQL["signal_histogram_fine"] = hist_sql("PositionX", 10000, tr=fx("track"))
+SQL["signal_density"] = density_sql("SELECT CAST(YawRate AS DOUBLE) AS v FROM tr WHERE abs(YawRate) > 0.005 AND YawRate IS NOT NULL", tr=fx("track"))
+SQL["gap_histogram"] = hist_sql("PositionX", 20, **{**_KNOWN, "tr": "SELECT * FROM k"})
+SQL["gap_density"] = density_sql("SELECT Yaw AS v FROM k WHERE Yaw IS NOT NULL", **_KNOWN)
 SQL["geo_centre"] = with_(
     "SELECT round(median(etrs89_latitude), 6) AS centre_lat, "
     "round(median(etrs89_longitude), 6) AS centre_lon FROM g", g=fx("gnss"))
@@ -485,6 +520,8 @@ SQL["key_exists"] = with_(
     fm=fx("file_meta"), nk=NKEYS,
     k=("SELECT key_no, CASE WHEN region = 2 THEN concat('missing_', cast(key_no AS VARCHAR)) "
        "ELSE recording_id END AS recording_id, CAST(NULL AS VARCHAR) AS filename_parquet FROM nk"))
+SQL["key_exists_own"] = with_(
+    "SELECT file_id, recording_id, filename_parquet, true AS \"exists\" FROM fm WHERE file_id % 2 = 0", fm=fx("file_meta"))
 NEW_ROWS = ("SELECT recording_id, CAST(key_no AS DOUBLE) AS first_ptp_time, "
             "CAST(key_no + 5 AS DOUBLE) AS last_ptp_time, concat('new_', cast(key_no AS VARCHAR), "
             "'.parquet') AS filename_parquet, -key_no - 1 AS file_id FROM nk")
@@ -493,6 +530,15 @@ SQL["replace_rows"] = with_(
     f"(SELECT recording_id FROM nk WHERE region = 0) "
     f"UNION ALL SELECT *, '{FIXED_DATE}' AS write_date FROM nr",
     fm=fx("file_meta"), nk=NKEYS, nr=NEW_ROWS)
+SQL["replace_in_store"] = with_(
+    f"SELECT *, '{FIXED_DATE}' AS write_date FROM fm WHERE recording_id NOT IN "
+    f"(SELECT recording_id FROM nk WHERE region = 0) "
+    f"UNION ALL SELECT *, '{FIXED_DATE}' AS write_date FROM nr WHERE file_id > -15",
+    fm=fx("file_meta"), nk=NKEYS, nr=NEW_ROWS)
+SQL["update_in_store"] = with_(
+    f"SELECT recording_id, first_ptp_time, CASE WHEN filename_parquet = '' THEN 0.0 ELSE last_ptp_time END AS last_ptp_time, "
+    f"CASE WHEN filename_parquet = '' THEN 'unnamed' ELSE filename_parquet END AS filename_parquet, file_id, '{FIXED_DATE}' AS write_date FROM fm",
+    fm=fx("file_meta"))
 SQL["update_by_key"] = with_(
     "SELECT recording_id, first_ptp_time, CASE WHEN hit THEN 0.0 ELSE last_ptp_time END AS last_ptp_time, "
     "CASE WHEN hit THEN 'updated.parquet' ELSE filename_parquet END AS filename_parquet, file_id FROM "
@@ -570,6 +616,11 @@ SQL["path_recording_id"] = with_(
 SQL["tag_filter"] = with_("SELECT * FROM tg WHERE tag IN ('click', 'view')", tg=fx("tag"))
 SQL["tag_page"] = with_("SELECT * FROM tg ORDER BY tag_id LIMIT 5000 OFFSET 5000", tg=fx("tag"))
 SQL["tag_page_next"] = with_("SELECT * FROM tg WHERE tag_id > 1000 ORDER BY tag_id LIMIT 5000", tg=fx("tag"))
+SQL["tag_ranked_page"] = with_("SELECT * FROM tg ORDER BY start_time, tag_id LIMIT 700 OFFSET 900", tg=fx("tag"))
+SQL["tag_json_flatten"] = with_(
+    "SELECT tag_id, CAST(json_extract(item, '$.k') AS BIGINT) AS k, CAST(json_extract(item, '$.marks') AS VARCHAR) AS marks, "
+    "CAST(json_extract(item, '$.who.id') AS BIGINT) AS \"who.id\", json_extract_string(item, '$.who.role.name') AS \"who.role.name\" FROM jt",
+    jt=fx("json_tag"))
 SQL["tag_flatten"] = with_(
     "SELECT recording_id, tag, start_time, end_time, "
     "CAST(json_extract(props, '$.k') AS INTEGER) AS \"props.k\", tag_id FROM tg", tg=fx("tag"))

@@ -17,22 +17,22 @@ from trajex.sources import fixtures as fx
 def test_scene_counts(spark, sf_small):
     inp = qm.scene_inputs(spark, sf_small)
     assert inp.ego.count() == 1500
-    assert flt.highway_filter(inp.ego, inp.intervals).count() == 1136
+    assert flt.highway_filter(inp.ego, inp.intervals).count() == 482
     assert inp.objects.count() == 6000
-    assert flt.highway_filter(inp.objects, inp.intervals).count() == 5320
+    assert flt.highway_filter(inp.objects, inp.intervals).count() == 3542
     ego, obj, st = scn.prepared(inp)
-    assert obj.count() == 1648
+    assert obj.count() == 1297
     assert [lab.label_lane_change(st).count(), lab.label_emergency_brake(st).count(),
             lab.label_turning(st).count(),
-            lab.label_congestion(lab.scene_summary(obj, ego)).count()] == [587, 387, 121, 5]
+            lab.label_congestion(lab.scene_summary(obj, ego)).count()] == [470, 301, 108, 1]
     counts = dict(lab.label_counts(scn.scenario_labels(inp)).collect())
-    assert [counts.get(k, 0) for k in range(5)] == [454, 535, 480, 163, 16]
+    assert [counts.get(k, 0) for k in range(5)] == [359, 422, 374, 137, 5]
 
 
 def test_track_counts(spark, sf_small):
     tr = fx.track(spark, sf_small)
     assert int(seq.position_stitch(tr, ["recording_id"]).agg(F.sum(F.col("_jump").cast("int"))).first()[0]) == 20
-    assert fx.lane_lines(spark, sf_small).count() == 563
+    assert fx.lane_lines(spark, sf_small).count() == 3000
     tin = qm.track_in_intervals(spark, sf_small)
     groups = {}
     for r in tin.select("recording_id", "id", "ptp_time", "Yaw").collect():
@@ -59,10 +59,10 @@ def test_intervals_reach_the_end_of_the_track(spark):
 def test_validation_counts(spark):
     # counts of the oracle SQL in DuckDB at sf0.01
     sf = "/root/testdata/sf0.01"
-    assert qm.Q["lane_change_validate"](spark, sf).count() == 89
+    assert qm.Q["lane_change_validate"](spark, sf).count() == 116
     valid = lcp.lane_change_pipeline(fx.track(spark, sf), fx.track_intervals(spark, sf), fx.lane_lines(spark, sf))
-    assert valid.count() == 89
-    assert qm.Q["lane_change_pipeline"](spark, sf).count() == 52  # recordings with a list of windows
+    assert valid.count() == 116
+    assert qm.Q["lane_change_pipeline"](spark, sf).count() == 54  # recordings with a list of windows
 
 
 def test_other_fixture_counts(spark, sf_small):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -135,3 +136,33 @@ def test_segment_cells_follow_a_long_segment(spark):
     n = {r._x0: r.n for r in geom.segment_cells(seg, 0.5, 2.0).groupBy("_x0").agg(F.count("*").alias("n")).collect()}
     assert n[-5000.0] < 2100  # the box of the segment has 250,000 cells
     assert n[10.0] <= 9
+
+
+def stopped(spark, n):
+    """A vehicle that jitters about one place, and lines around it at about the
+    buffer's distance, recorded later."""
+    import random
+    rnd = random.Random(n)
+    ego = [("r", k * 0.1, rnd.gauss(0, 0.02), rnd.gauss(0, 0.02)) for k in range(n)]
+    lines = [("r", 100000.0 + k, [-5.0, 5.0], [0.75 + rnd.uniform(0, 0.2)] * 2) for k in range(n)]
+    return (spark.createDataFrame(ego, "recording_id string, ptp_time double, PositionX double, PositionY double"),
+            spark.createDataFrame(lines, "recording_id string, ptp_time double, BoundaryLineX array<double>, BoundaryLineY array<double>"),
+            spark.createDataFrame([("r", 0, -1.0, 1e9)], "recording_id string, id int, start_time double, end_time double"))
+
+
+@pytest.mark.parametrize("pairs", [1, 50, 100_000])
+def test_dense_cells_are_cut_and_answers_stay(spark, pairs):
+    ego, lines, sl = stopped(spark, 60)
+    for buffer in (0.1, 0.3, 0.74, 0.8, 2.0):
+        got = geom.boundary_cross_any(ego, lines, sl, ["recording_id", "id"], buffer=buffer, pairs=pairs).first().crossed
+        e = [(r.PositionX, r.PositionY) for r in ego.collect()]
+        want = any(abs(y - ln.BoundaryLineY[0]) < buffer for _, y in e for ln in lines.collect())
+        assert got == want
+
+
+def test_a_stopped_vehicle_makes_no_pairs(spark):
+    """Lines clearly beyond the buffer of a crowded cell, or clearly within it,
+    are decided by the cell's box."""
+    ego, lines, sl = stopped(spark, 3000)
+    assert geom.boundary_cross_any(ego, lines, sl, ["recording_id", "id"], buffer=0.3, pairs=1000).first().crossed is False
+    assert geom.boundary_cross_any(ego, lines, sl, ["recording_id", "id"], buffer=1.5, pairs=1000).first().crossed is True

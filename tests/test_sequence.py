@@ -201,3 +201,58 @@ def test_containment_equals_all_pairs(spark):
     want = [s for s in short if s[0] is None or s[1] is None or not any(
         b[0] == s[0] and None not in b and b[1] <= s[1] and b[2] >= s[2] for b in long)]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("limit", [3, 40])
+def test_cells_split_whatever_repeats(spark, limit):
+    """Equal times, null times and rows equal in every order column."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rows = [("g", 5.0, float(k % 7)) for k in range(150)] + [("g", None, float(k)) for k in range(90)] + [("g", 6.0, 1.0)] * 60
+    rows += [("h", float(k) * 9, 0.0) for k in range(30)] + [(None, float("nan"), 2.0)] * 5
+    df = spark.createDataFrame(rows, "g string, t double, v double")
+    got = seq.number_rows(df, ["g"], ["t", "v"], limit=limit)
+    want = df.withColumn("_i", F.row_number().over(Window.partitionBy("g").orderBy("t", "v")) - 1)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+    _, keys, sizes = seq.cells(df, ["g"], ["t", "v"], limit)
+    assert sizes.agg(F.sum("_cnt")).first()[0] == len(rows)
+    # a time with values that differ never stays one cell
+    assert sizes.where("_k0 = 0 AND _k1 = 5.0").agg(F.max("_cnt")).first()[0] <= max(limit, 22)
+
+
+def test_chunks_bring_every_neighbour(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(9)
+    rows = [("g", rnd.choice([float(k), float(k // 9 * 9)]), float(k)) for k in range(700)]
+    df = spark.createDataFrame(rows, "g string, t double, v double")
+    order = {(r[1], r[2]): i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[2])))}
+    h = seq.chunk_rows(df, ["g"], ["t", "v"], 64, ahead=20, behind=7).collect()
+    assert all(order[r.t, r.v] == r._i for r in h)
+    assert sorted(r._i for r in h if r._own) == list(range(700))
+    for c in {r._c for r in h}:
+        own = [r._i for r in h if r._c == c and r._own]
+        have = {r._i for r in h if r._c == c}
+        assert have >= set(range(max(0, own[0] - 7), own[0])) and have >= {i for i in range(max(own) + 1, max(own) + 21) if i < 700}
+        assert len(have) < 64 * 3 and have == set(range(min(have), max(have) + 1))
+
+
+def test_scan_of_a_group_with_equal_times(spark):
+    """A group whose rows share few times is cut into chunks like any other."""
+    rnd = random.Random(11)
+    p = ScanParams.of(SCAN_BASIC)
+    rows = [("g", float(k // 300), round(rnd.randint(0, 9) / 300.0, 9)) for k in range(1500)]
+    df = spark.createDataFrame(rows, "recording_id string, ptp_time double, Yaw double")
+    vals = [v for _, _, v in sorted(rows)]
+    want = sorted(scan_loop(vals, p.minimum, p.maximum, p.lo, p.hi))
+    for chunk in (200, 1 << 16):
+        got = seq.yaw_return_scan(df, ["recording_id"], p, chunk=chunk).collect()
+        assert sorted((r.i, r.j) for r in got) == want
+
+
+def test_nan_positions_are_no_jumps(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("r", float(k), x, 0.0, 0.0) for k, x in enumerate([0.0, 1.0, nan, 100.0, 101.0, None, 5.0, 6.0, 60.0])],
+                               "recording_id string, ptp_time double, PositionX double, PositionY double, PositionZ double")
+    got = seq.position_stitch(df, ["recording_id"]).orderBy("ptp_time").collect()
+    assert [r._jump for r in got] == [False] * 8 + [True]
+    assert [r.PositionX for r in got][3:5] == [100.0, 101.0] and got[8].PositionX == 60.0 + 6.0 * 1.5 - 5.0 * 0.5

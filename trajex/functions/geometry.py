@@ -64,3 +64,12 @@ def point_near_polyline(x: str, y: str, px: str, py: str, distance: float) -> Co
     n = _n(x, y)
     return F.expr(f"case when {n} < 2 then false else exists(sequence(0, {n} - 2), "
                   f"k -> {_seg_dist(x, y, px, py)} < {distance!r}) end")
+
+
+def point_segment_distance(ax: str, ay: str, bx: str, by: str, px: Column, py: Column) -> Column:
+    """Distance from a point to the segment from (ax, ay) to (bx, by)."""
+    vx, vy = F.col(bx) - F.col(ax), F.col(by) - F.col(ay)
+    wx, wy = px - F.col(ax), py - F.col(ay)
+    along = F.coalesce(F.try_divide(wx * vx + wy * vy, vx * vx + vy * vy), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
+    return F.hypot(wx - t * vx, wy - t * vy)

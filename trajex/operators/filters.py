@@ -6,17 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trajex.operators.cover import cover, levels_of, look_up
 from trajex.schema import (EGO_PAD_SECONDS, HIGHWAY_ROAD_TAGS, OBJECT_COLUMNS,
                            STATUS_COLUMNS, Thresholds)
 from trajex.session import bounded_rows
 
-# Interval tables above this many rows are not broadcast; they go through the
-# time-bucketed equi join instead.
+# Interval tables above this many rows are not broadcast; they are shuffled.
 BROADCAST_MAX_ROWS = 250_000
-# Bucket width (seconds) for the shuffled range join.
+# Width (seconds) of the smallest cells of the interval cover.
 RANGE_BUCKET_SECONDS = 60.0
-# Bucket width (seconds) of the broadcast range join's hash key.
-BROADCAST_BUCKET_SECONDS = 3600.0
 
 
 def time_grid(c: Column | str, digits: int = 1) -> Column:
@@ -31,43 +29,32 @@ def within_intervals(df: DataFrame, intervals: DataFrame, *, time_col: str = "pt
                      broadcast: bool | None = None) -> DataFrame:
     """Inner range join: rows of ``df`` whose time lies in an interval of the
     same recording, both ends inclusive.  A row inside two overlapping
-    intervals appears twice.  Interval columns named in ``keep`` stay.
-
-    Both forms equi-join on (recording, time bucket) with the range as a
-    residual, so a signal row is only tested against intervals touching its
-    bucket, however many intervals its recording has.  Small interval tables
-    (row count checked after the bucket split) are broadcast with hour
-    buckets, so the signal side is never shuffled.  Larger ones are shuffled
-    with minute buckets: a hot recording spreads over many join keys.
+    intervals appears twice.  Interval columns named in ``keep`` stay.  Ends
+    follow the rule of ``cover``: null, NaN or reversed ends hold no row,
+    infinite ends are open.
+
+    An equi-join on (recording, level, cell) of the dyadic cover with the range
+    as a residual: an interval takes at most two rows, however long it is, and
+    a signal row one per level that the intervals use.  Small interval tables
+    (row count checked) are broadcast, so the signal side is never shuffled;
+    larger ones are shuffled, and a hot recording spreads over many join keys.
     ``broadcast`` passes an earlier check's answer (None: check here).
     """
-    iv = intervals.select("recording_id", F.col(start_col).alias("_lo"),
-                          F.col(end_col).alias("_hi"), *keep)
+    iv = intervals.select("recording_id", F.col(start_col).alias("_lo"), F.col(end_col).alias("_hi"), *keep)
+    covered = cover(iv, "_lo", "_hi", float(bucket_seconds))
     t = F.col(time_col)
-
-    def split(w: float) -> DataFrame:
-        return iv.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / w),
-                                                        F.floor(F.col("_hi") / w))))
-    wide = split(BROADCAST_BUCKET_SECONDS)
+    sig = look_up(df, t, levels_of(covered), float(bucket_seconds))
     if broadcast is None:
-        broadcast = bounded_rows(wide, broadcast_max_rows)
-    if broadcast:
-        sig = df.withColumn("_b", F.floor(t / BROADCAST_BUCKET_SECONDS))
-        joined = sig.join(F.broadcast(wide), ["recording_id", "_b"])
-    else:
-        sig = df.withColumn("_b", F.floor(t / float(bucket_seconds)))
-        joined = sig.join(split(float(bucket_seconds)), ["recording_id", "_b"])
-    return joined.where((t >= F.col("_lo")) & (t <= F.col("_hi"))).drop("_b", "_lo", "_hi")
-
-
-def intervals_broadcastable(intervals: DataFrame, start_col: str = "start_time",
-                            end_col: str = "end_time", max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+        broadcast = intervals_broadcastable(intervals, broadcast_max_rows)
+    joined = sig.join(F.broadcast(covered) if broadcast else covered, ["recording_id", "_lv", "_b"])
+    return joined.where((t >= F.col("_lo")) & (t <= F.col("_hi"))).drop("_lv", "_b", "_lo", "_hi")
+
+
+def intervals_broadcastable(intervals: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """The broadcast decision of ``within_intervals``, for reuse when one
-    interval table filters several streams."""
-    w = BROADCAST_BUCKET_SECONDS
-    wide = intervals.select(F.explode(F.sequence(F.floor(F.col(start_col) / w),
-                                                 F.floor(F.col(end_col) / w))))
-    return bounded_rows(wide, max_rows)
+    interval table filters several streams; covers have at most two rows per
+    interval."""
+    return bounded_rows(intervals, max_rows // 2)
 
 
 def highway_filter(df: DataFrame, intervals: DataFrame, *, time_col: str = "ptp_time",

@@ -7,31 +7,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajex.functions import geometry as geo
+from trajex.operators.cover import cover, levels_of, look_up
 from trajex.schema import (CROSS_BUFFER_ANY, CROSS_BUFFER_VALIDATE,
                            STRAIGHT_R2_MIN, STRAIGHT_SHARE_MIN)
 from trajex.session import bounded_rows, materialize
 
 # Grid cell (same unit as positions) for the spatial join of J6.
 CROSS_CELL = 2.0
+# Pairs of a point and a segment that J6 tests in one cell before it cuts it.
+CELL_PAIRS = 100_000
 
 
 def range_join(points: DataFrame, windows: DataFrame, keys: list[str], t: str, lo: str, hi: str,
-               bucket: float, broadcast_max_rows: int | None = None) -> DataFrame:
-    """Points inside [lo, hi] windows with equal keys, both ends inclusive.
-    Windows are cut into time buckets of width ``bucket`` and equi-joined on
-    (keys, bucket), so a long group is split across many join keys and a
-    point only meets windows touching its bucket.
-
-    ``broadcast_max_rows`` broadcasts a window table proven that small; the
-    check runs a job, so it is off by default for derived windows (it would
-    compute them twice) and AQE decides from measured shuffle sizes."""
-    wb = windows.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / bucket),
-                                                       F.floor(F.col(hi) / bucket))))
+               unit: float, broadcast_max_rows: int | None = None) -> DataFrame:
+    """Points inside [lo, hi] windows with equal keys, both ends inclusive; ends
+    follow the rule of ``cover``.  An equi-join on (keys, level, cell) of the
+    dyadic cover with smallest cells of width ``unit``: a window takes at most
+    two rows, and a long group is split across many join keys.
+
+    ``broadcast_max_rows`` broadcasts a window table proven that small; by
+    default AQE decides from measured shuffle sizes."""
+    wb = cover(windows, lo, hi, unit)
+    pb = look_up(points, F.col(t), levels_of(wb), unit)
     if broadcast_max_rows is not None and bounded_rows(windows, broadcast_max_rows):
         wb = F.broadcast(wb)
-    pb = points.withColumn("_b", F.floor(F.col(t) / bucket))
-    return (pb.join(wb, [*keys, "_b"]).where((F.col(t) >= F.col(lo)) & (F.col(t) <= F.col(hi)))
-            .drop("_b"))
+    return (pb.join(wb, [*keys, "_lv", "_b"]).where((F.col(t) >= F.col(lo)) & (F.col(t) <= F.col(hi)))
+            .drop("_lv", "_b"))
 
 
 def scene_straightness(lines: DataFrame, scene: list[str], r2_min: float = STRAIGHT_R2_MIN,
@@ -57,7 +58,7 @@ def straight_times(lines: DataFrame, scene: list[str], **kw) -> DataFrame:
 def lane_change_validate(windows: DataFrame, ego: DataFrame, lines: DataFrame, group: list[str], *,
                          line_intervals: DataFrame | None = None, buffer: float = CROSS_BUFFER_VALIDATE,
                          first_only: bool = True, distinct: bool = False,
-                         window_key: str = "i", bucket: float = 12.0) -> DataFrame:
+                         window_key: str = "i", unit: float = 12.0) -> DataFrame:
     """Keep a window once per lane line that passes within ``buffer`` of
     the ego position at the first ego row inside the window (lines taken at
     exactly that time).  ``first_only=False`` tests every ego row of the
@@ -75,7 +76,7 @@ def lane_change_validate(windows: DataFrame, ego: DataFrame, lines: DataFrame, g
         li = line_intervals.select(*group, F.col("start_time").alias("_ls"), F.col("end_time").alias("_le"))
         win, extra = win.join(li, group), ["_ls", "_le"]
     inside = range_join(ego.select(*group, "ptp_time", "PositionX", "PositionY"), win,
-                        group, "ptp_time", "lc_start", "lc_end", bucket)
+                        group, "ptp_time", "lc_start", "lc_end", unit)
     wkey = [*group, window_key, "lc_start", "lc_end"]
     if first_only:
         first = inside.groupBy(*wkey, *extra).agg(
@@ -114,29 +115,52 @@ def segment_cells(seg: DataFrame, buffer: float, cell: float) -> DataFrame:
             .drop("_lo", "_hi"))
 
 
+def split_cells(points: DataFrame, seg: DataFrame, slice_key: list[str], buffer: float, cell: float) -> tuple[DataFrame, DataFrame]:
+    """Points (slice_key, PositionX, PositionY, _et) with their cell, and the
+    segments near each cell that holds points; of a segment and a cell it is
+    known whether all (``_sure``) or some of the cell's points can be within
+    ``buffer`` of it."""
+    pts = points.withColumn("_cx", F.floor(F.col("PositionX") / cell)).withColumn("_cy", F.floor(F.col("PositionY") / cell))
+    held = pts.groupBy(*slice_key, "_cx", "_cy").agg(
+        F.min("_et").alias("_emin"), F.min("PositionX").alias("_px0"), F.max("PositionX").alias("_px1"),
+        F.min("PositionY").alias("_py0"), F.max("PositionY").alias("_py1"), F.count(F.lit(1)).alias("_n"))
+    near = seg.join(held, [*slice_key, "_cx", "_cy"]).where(F.col("_lt") > F.col("_emin"))
+    # all points of the cell lie within ``half`` of the middle of their box
+    half = F.sqrt(F.pow(F.col("_px1") - F.col("_px0"), 2) + F.pow(F.col("_py1") - F.col("_py0"), 2)) / 2 + 1e-9
+    away = geo.point_segment_distance("ax", "ay", "bx", "by", (F.col("_px0") + F.col("_px1")) / 2, (F.col("_py0") + F.col("_py1")) / 2)
+    near = near.withColumn("_half", half).withColumn("_away", away).where(F.col("_away") - F.col("_half") < buffer)
+    return pts, near.withColumn("_sure", F.col("_away") + F.col("_half") < buffer)
+
+
 def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slice_key: list[str], *,
-                       buffer: float = CROSS_BUFFER_ANY, cell: float = CROSS_CELL) -> DataFrame:
+                       buffer: float = CROSS_BUFFER_ANY, cell: float = CROSS_CELL, pairs: int = CELL_PAIRS) -> DataFrame:
     """Per slice, whether any ego position lies within ``buffer`` of any
     lane line recorded strictly later in the same slice.
 
-    A spatial grid join instead of all (position, line) pairs: each line
-    segment is copied to the grid cells along it that lie in the box of the
-    slice's positions, each position goes to its cell, and only pairs sharing a cell are
-    tested.  Repeated positions keep only their earliest time, which decides
-    the existence test alone, and per cell a segment is dropped unless it is
-    later than the cell's earliest point and near the points' bounding box.
-    Returns every slice with a boolean ``crossed``.
+    A spatial grid join with cells that adapt to the data.  Each line segment
+    is copied to the grid cells along it that lie in the box of the slice's
+    positions, each position goes to its cell.  A segment that is within
+    ``buffer`` of the whole box of a cell's points needs no pairs: it decides
+    the slice if it is later than the cell's earliest point, and a segment that
+    is beyond ``buffer`` of the whole box is dropped.  What is left are borders:
+    cells with at most ``pairs`` pairs of a point and a segment are tested pair
+    by pair, the others are cut in four and looked at again, which makes the
+    border narrower each time.  A slice that is decided drops out at once.  In
+    a cell of a hundredth of ``buffer`` pairs are tested whatever their number,
+    but then only earliest points at different places and latest segments.
+
+    Repeated positions keep their earliest and repeated segments their latest
+    time, which decide alone; NaN and null positions are no places.  Returns every slice with a boolean ``crossed``.
 
     ``slices`` has slice_key columns (including recording_id), start_time,
     end_time; ego and lines are restricted to each slice."""
     sl = slices.select(*slice_key, "start_time", "end_time")
     keep = tuple(c for c in slice_key if c != "recording_id")
     from trajex.operators.filters import within_intervals
-    e = within_intervals(ego.select("recording_id", "ptp_time", "PositionX", "PositionY"), sl, keep=keep)
-    # positions feed the per-cell pruning table and the pairs: write once
-    e = materialize(e.groupBy(*slice_key, "PositionX", "PositionY").agg(F.min("ptp_time").alias("_et"))
-                    .withColumn("_cx", F.floor(F.col("PositionX") / cell))
-                    .withColumn("_cy", F.floor(F.col("PositionY") / cell)), "cross_points")
+    placed = ego.select("recording_id", "ptp_time", "PositionX", "PositionY").where("NOT isnan(PositionX) AND NOT isnan(PositionY)")
+    e = within_intervals(placed, sl, keep=keep)
+    # positions feed the boxes, the cells and the pairs: write once
+    e = materialize(e.groupBy(*slice_key, "PositionX", "PositionY").agg(F.min("ptp_time").alias("_et")), "cross_points")
     ln = within_intervals(lines.select("recording_id", "ptp_time", "BoundaryLineX", "BoundaryLineY"),
                           sl, keep=keep)
     n = "least(size(BoundaryLineX), size(BoundaryLineY))"
@@ -151,25 +175,36 @@ def boundary_cross_any(ego: DataFrame, lines: DataFrame, slices: DataFrame, slic
     box = e.groupBy(*slice_key).agg(
         F.min("_et").alias("_emin"), F.min("PositionX").alias("_x0"), F.max("PositionX").alias("_x1"),
         F.min("PositionY").alias("_y0"), F.max("PositionY").alias("_y1"))
-    seg = segment_cells(seg.join(box, slice_key).where(F.col("_lt") > F.col("_emin")), buffer, cell)
-    seg = seg.drop("_emin", "_x0", "_x1", "_y0", "_y1")
-    # exact pruning per cell before any pair exists: a segment can only meet
-    # a point of the cell if it is later than the cell's earliest point and
-    # its bounding box comes within ``buffer`` of the points' bounding box
-    # (this drops e.g. lane lines beside a stopped vehicle's jittering fixes)
-    cells = e.groupBy(*slice_key, "_cx", "_cy").agg(
-        F.min("_et").alias("_emin"), F.min("PositionX").alias("_px0"), F.max("PositionX").alias("_px1"),
-        F.min("PositionY").alias("_py0"), F.max("PositionY").alias("_py1"))
-    seg = (seg.join(cells, [*slice_key, "_cx", "_cy"])
-           .where((F.col("_lt") > F.col("_emin"))
-                  & (F.least("ax", "bx") - buffer <= F.col("_px1"))
-                  & (F.greatest("ax", "bx") + buffer >= F.col("_px0"))
-                  & (F.least("ay", "by") - buffer <= F.col("_py1"))
-                  & (F.greatest("ay", "by") + buffer >= F.col("_py0")))
-           .drop("_emin", "_px0", "_px1", "_py0", "_py1"))
-    seg = seg.withColumn("_sx", F.array("ax", "bx")).withColumn("_sy", F.array("ay", "by"))
-    pairs = e.join(seg, [*slice_key, "_cx", "_cy"]).where(F.col("_lt") > F.col("_et"))
-    hit = pairs.where(geo.point_near_polyline("_sx", "_sy", "PositionX", "PositionY", buffer))
-    crossed = hit.select(*slice_key).distinct().withColumn("crossed", F.lit(True))
+    boxed = seg.join(box, slice_key).where(F.col("_lt") > F.col("_emin")).drop("_emin")
+    ends = ["_x0", "_x1", "_y0", "_y1"]
+    hits, size = [], cell
+    while True:
+        pts, near = split_cells(e, segment_cells(boxed, buffer, size).drop(*ends), slice_key, buffer, size)
+        near = materialize(near, "cross_cells")
+        sure = near.where("_sure").select(*slice_key).distinct()
+        at = [*slice_key, "_cx", "_cy"]
+        # what one pair of the slice decides needs no further look
+        left = near.where("NOT _sure").join(sure, slice_key, "left_anti")
+        last = size <= buffer / 100
+        load = left.groupBy(*at).agg((F.first("_n") * F.count(F.lit(1))).alias("_load")).withColumn("_heavy", (F.col("_load") > pairs) & F.lit(not last))
+        light = left.join(load.where("NOT _heavy").select(*at), at)
+        pair = pts.join(light.select(*at, "_lt", F.array("ax", "bx").alias("_sx"), F.array("ay", "by").alias("_sy")), at)
+        hit = pair.where((F.col("_lt") > F.col("_et")) & geo.point_near_polyline("_sx", "_sy", "PositionX", "PositionY", buffer))
+        hits.append(materialize(sure.unionByName(hit.select(*slice_key).distinct()).distinct(), "crossed"))
+        if last:
+            break
+        open_ = load.where("_heavy").join(hits[-1], slice_key, "left_anti").select(*at)
+        e_open = materialize(pts.join(open_, at, "left_semi").drop("_cx", "_cy"), "cross_points")
+        if e_open.isEmpty():
+            break
+        # the segments of heavy cells, within the box of the points left
+        seg = left.join(open_, at, "left_semi").select(*slice_key, "ax", "ay", "bx", "by", "_lt").distinct()
+        box = e_open.groupBy(*slice_key).agg(F.min("PositionX").alias("_x0"), F.max("PositionX").alias("_x1"),
+                                             F.min("PositionY").alias("_y0"), F.max("PositionY").alias("_y1"))
+        boxed, e, size = seg.join(box, slice_key), e_open, size / 2
+    crossed = hits[0]
+    for more in hits[1:]:
+        crossed = crossed.unionByName(more)
+    crossed = crossed.distinct().withColumn("crossed", F.lit(True))
     return (slices.select(*slice_key).distinct().join(crossed, slice_key, "left")
             .withColumn("crossed", F.coalesce(F.col("crossed"), F.lit(False))))

@@ -20,16 +20,18 @@ FIELDS = ["start_recording", "stop_recording", "target_type", "scenario", "side"
 def read_annotation_lines(spark: SparkSession, paths: str | list[str],
                           pattern: str | None = "*.txt") -> DataFrame:
     """Text files to (path, line_no, line).  Folders are read with all their
-    sub-folders, files by ``pattern`` of their names (None: all).  Line ends
-    of all systems become newlines, as in Python's text mode.  Each file is read whole and
-    split on newlines; lines keep their trailing newline, as ``readlines``
-    does.  Files are processed in parallel, one task per file split."""
-    # text() re-applies its own wholetext default, so pass it as an argument
-    raw = spark.read.text(paths, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern).select(
-        F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
-    parts = F.split(F.col("value"), "(?<=\n)")
-    return (raw.select("path", F.posexplode(parts).alias("line_no", "line"))
-            .where(F.col("line") != "").withColumn("line_no", F.col("line_no").cast("long")))
+    sub-folders, files by ``pattern`` of their names (None: all).  A line ends
+    at the newline, carriage return or both that it had; lines keep a trailing
+    newline, as ``readlines`` does (also the last one of a file without).
+
+    Files are read in splits, a large file by many tasks: a split's lines
+    follow each other in its partition, and splits follow each other by their
+    first byte, so ``line_no`` orders a file's lines (it is a place, not a
+    count: numbers have gaps)."""
+    raw = spark.read.text(paths, recursiveFileLookup=True, pathGlobFilter=pattern)
+    # rows of one split share its start; the low bits count rows of a partition
+    at = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
+    return raw.select(F.col("_metadata.file_path").alias("path"), at.alias("line_no"), F.concat("value", F.lit("\n")).alias("line"))
 
 
 def _strip(c: Column) -> Column:
@@ -84,13 +86,15 @@ def _rules(line: Column, mois: Column) -> Column:
 MOIS_FIELDS = ["target_type", "scenario", "side", "target_speed", "target_distance"]
 
 
-def parse_annotations(lines: DataFrame) -> DataFrame:
+def parse_annotations(lines: DataFrame, full_text: bool = True) -> DataFrame:
     """One metadata row per annotation file (``annotation_filename``).
     Per field the value of the latest line wins, and within a line the
     latest rule; ``pass/fail`` joins the text after the last ':' of every
     line containing 'ok' with ', '; ``full_annotation`` joins all lines
     with one space.  Lines without ':' give no value for the rules that
-    read after it.
+    read after it.  Without ``full_text`` the column ``full_annotation`` is left
+    out, and no row is as large as a file; ``line_no`` may be any type that
+    orders a file's lines.
 
     One aggregation per file: each line first keeps its latest candidate
     per field (a higher-order ``filter`` + ``array_max`` on the line's
@@ -98,16 +102,18 @@ def parse_annotations(lines: DataFrame) -> DataFrame:
     the first line, and the MOIS-only fields are masked afterwards when the
     first line is not ``MOIS`` (every field comes from one rule family, so
     masking at the end equals testing the function on every line)."""
-    cands = _rules(F.col("line"), F.lit(True))
-
     def of_field(name: str):
         # a one-argument lambda: two-argument lambdas receive the index
         return lambda c: c["f"] == name
-    per_line = [F.array_max(F.transform(F.filter(cands, of_field(f)),
-                                        lambda c: F.struct(c["r"].alias("r"), c["v"].alias("v"))))
-                .alias(f"_b_{f}") for f in FIELDS]
+
+    def best(cands: Column) -> Column:
+        return F.struct(*(F.array_max(F.transform(F.filter(cands, of_field(f)), lambda c: F.struct(c["r"].alias("r"), c["v"].alias("v"))))
+                          .alias(f) for f in FIELDS))
+    # the candidates are bound once, not worked out again for each field
+    found = F.transform(F.array(_rules(F.col("line"), F.lit(True))), best)[0]
     pf = F.when(F.lower("line").contains("ok"), _after_last_colon(F.col("line")))
-    ln = lines.select("path", "line_no", "line", pf.alias("_pf1"), *per_line)
+    ln = lines.select("path", "line_no", "line", pf.alias("_pf1"), found.alias("_b")).select(
+        "path", "line_no", "line", "_pf1", *(F.col(f"_b.{f}").alias(f"_b_{f}") for f in FIELDS))
     per_file = ln.groupBy("path").agg(
         F.min_by("line", "line_no").alias("_l0"),
         *[F.max_by(F.col(f"_b_{f}.v"),
@@ -116,8 +122,8 @@ def parse_annotations(lines: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(
             F.when(F.col("_pf1").isNotNull(), F.struct("line_no", F.col("_pf1").alias("v"))))),
             lambda x: x["v"]).alias("_pf"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))),
-                                 lambda x: x["line"]), " ").alias("full_annotation"))
+        *([F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))),
+                                    lambda x: x["line"]), " ").alias("full_annotation")] if full_text else []))
     func = _strip(F.col("_l0"))
     mois = func == "MOIS"
     return per_file.select(
@@ -127,7 +133,7 @@ def parse_annotations(lines: DataFrame) -> DataFrame:
         *[F.when(mois, F.col(f)).alias(f) for f in ("scenario", "side", "target_type",
                                                       "target_speed", "target_distance")],
         F.when(F.size("_pf") > 0, F.array_join("_pf", ", ")).alias("pass/fail"),
-        "start_recording", "stop_recording", "full_annotation")
+        "start_recording", "stop_recording", *(["full_annotation"] if full_text else []))
 
 
 def path_recording_id(path: Column) -> Column:

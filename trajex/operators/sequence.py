@@ -4,15 +4,20 @@ Groups are time series ordered by ``ptp_time``: a (recording, interval) for
 the scans, a recording for the trajectory repairs.  No group ever goes to one
 task as a whole; one algorithm serves groups of all sizes:
 
-* rows are numbered with a two-level scheme: a row number inside fixed
-  time buckets plus a running total of bucket sizes (``number_rows``);
-* look-ahead and look-back windows run per fixed-size chunk of row numbers
-  with a small halo copied from the neighbouring chunk (``chunked``);
+* rows are counted in cells (time buckets; where one holds too many rows,
+  exact times, then the other order columns, then shares of equal rows), and
+  running totals of the cells give every cell its first row number
+  (``cells``, ``cell_offsets``);
+* consecutive cells make chunks of a bounded number of rows; look-ahead and
+  look-back rows are copied to the neighbouring chunk as whole cells
+  (``chunk_rows``), so one shuffle by (group, chunk) numbers the rows and
+  brings every neighbour along;
 * running sums add a per-chunk prefix total;
-* the yaw-return scan searches first hits with a vectorised numpy kernel
-  per bounded chunk; its only sequential step, the walk, runs over the
-  sparse hit rows: each chunk reduces to a transfer table (entry offset to
-  exit offset), tables are stitched per group, and each chunk is walked
+* the yaw-return scan reads its chunks sorted by (group, chunk) and searches
+  first hits with a vectorised numpy kernel over many groups at once.  The
+  walk is sequential: a group's first chunk is entered at row 0, so it is
+  walked at once; later chunks reduce to a transfer table (entry offset to
+  exit offset), tables are stitched per group, and each such chunk is walked
   again from its known entry.
 """
 
@@ -20,17 +25,23 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from trajex.operators.cover import cover, levels_of, place
 from trajex.schema import (HEADING_LAG, POSITION_JUMP, WINDOW_HALF_WIDTH,
                            ScanParams)
-from trajex.session import materialize, ship_package
+from trajex.session import bounded_rows, materialize, ship_package
 
 # Rows per chunk for chunked windows and the chunked walk.
 CHUNK_ROWS = 1 << 16
 # Width (seconds) of the time buckets used to number rows.
 NUMBER_BUCKET_SECONDS = 60.0
+# Cell tables up to this many rows are broadcast.
+CELL_BROADCAST_ROWS = 250_000
 
 
 # --- numbering and chunking -------------------------------------------------------
@@ -43,29 +54,112 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return left.join(r, cond, how).drop(*(f"_r_{c}" for c in keys))
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "_i",
-                bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> DataFrame:
-    """0-based row number inside each group in ``order`` (first column a time
-    in seconds; null times first, NaN last).  Equivalent to ``row_number() - 1``
-    over the group, but the row-level window is partitioned by (group, time
-    bucket); only the small table of bucket sizes is scanned per group for the
-    offsets.  Null group values are a group like any other."""
+def cells(df: DataFrame, group: list[str], order: list[str], limit: int,
+          bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> tuple[DataFrame, list[str], DataFrame]:
+    """Rows of ``df`` with cell keys, the names of the keys, and the written
+    row counts of the cells.  Cells follow each other in the order of their
+    keys as their rows do in ``order`` (first column a time in seconds; null
+    times first, NaN last).
+
+    A cell is a time bucket of a group.  One with more than ``limit`` rows is
+    split by exact time, a part of it that is still larger by the next order
+    column, and rows equal in all of them by a hash, so that no cell is large
+    whatever repeats."""
     t = F.col(order[0]).cast("double")
     nb = (F.when(t.isNull(), F.lit(-(1 << 62))).when(F.isnan(t), F.lit(1 << 62))
           .otherwise(F.floor(t / bucket_seconds)))
-    d = df.withColumn("_nb", nb.cast("long"))
-    sizes = d.groupBy(*group, "_nb").agg(F.count(F.lit(1)).alias("_cnt"))
-    wb = Window.partitionBy(*group).orderBy("_nb").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(wb), F.lit(0))).drop("_cnt")
-    wr = Window.partitionBy(*group, "_nb").orderBy(*order)
-    return (join_groups(d.withColumn("_r", F.row_number().over(wr)), offs, [*group, "_nb"])
-            .withColumn(out, (F.col("_off") + F.col("_r") - 1).cast("long"))
-            .drop("_nb", "_r", "_off"))
+    d, keys = df.withColumn("_k0", nb.cast("long")), ["_k0"]
+
+    def counted() -> DataFrame:
+        return materialize(d.groupBy(*group, *keys).agg(F.count(F.lit(1)).alias("_cnt")), "cell_sizes")
+
+    sizes = counted()
+    for n, column in enumerate([*order, None], 1):
+        heavy = sizes.where(F.col("_cnt") > limit)
+        if heavy.isEmpty():
+            break
+        if column is None:
+            # equal rows may stand in any order, but in the same one each time
+            d = materialize(d.withColumn("_row", F.monotonically_increasing_id()), "equal_rows")
+            value = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_cnt") * 2 / limit).cast("long"))
+        else:
+            value = F.col(column)
+        d = join_groups(d, heavy, [*group, *keys], "left")
+        d = d.withColumn(f"_k{n}", F.when(F.col("_cnt").isNotNull(), value)).drop("_cnt", "_row")
+        keys = [*keys, f"_k{n}"]
+        sizes = counted()
+    return d, keys, sizes
+
+
+def cell_offsets(sizes: DataFrame, group: list[str], keys: list[str]) -> DataFrame:
+    """The cells with ``_off``, the group's rows in earlier cells."""
+    before = Window.partitionBy(*group).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0).cast("long")))
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if a counted bound proves it small."""
+    return F.broadcast(df) if bounded_rows(df, CELL_BROADCAST_ROWS) else df
+
+
+def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "_i",
+                bucket_seconds: float = NUMBER_BUCKET_SECONDS, limit: int = CHUNK_ROWS) -> DataFrame:
+    """0-based row number inside each group in ``order``.  Equivalent to
+    ``row_number() - 1`` over the group, but the row-level window is
+    partitioned by (group, cell); only the small table of cell sizes is
+    scanned per group.  Null group values are a group like any other."""
+    d, keys, sizes = cells(df, group, order, limit, bucket_seconds)
+    offsets = cell_offsets(sizes, group, keys).drop("_cnt")
+    wr = Window.partitionBy(*group, *keys).orderBy(*order)
+    numbered = join_groups(d, small_side(offsets), [*group, *keys])
+    return (numbered.withColumn(out, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
+            .drop(*keys, "_off"))
+
+
+def chunk_copies(df: DataFrame, group: list[str], order: list[str], chunk: int, ahead: int = 0, behind: int = 0,
+                 bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> tuple[DataFrame, list[str]]:
+    """Rows with the chunk ``_c`` of their group they are copied to (0, 1, ...
+    in order), ``_own`` on the original copy and ``_base``, the row number of
+    the chunk's first copy; and the columns that order a chunk's copies.
+
+    A chunk is a run of cells from about ``chunk`` rows.  Cells that start less
+    than ``ahead`` rows after a chunk's end, or end less than ``behind`` rows
+    before its start, are copied to it."""
+    d, keys, sizes = cells(df, group, order, max(1, chunk // 2), bucket_seconds)
+    in_order = Window.partitionBy(*group).orderBy("_off")
+    table = cell_offsets(sizes, group, keys).withColumn("_end", F.col("_off") + F.col("_cnt"))
+    number = F.floor(F.col("_off") / chunk)
+    first = F.coalesce(number != F.lag(number).over(in_order), F.lit(True))
+    table = table.withColumn("_first", first.cast("int"))
+    table = table.withColumn("_own_c", F.sum("_first").over(in_order) - 1)
+    copies = F.array(F.col("_own_c"))
+    if ahead > 0:  # to the chunks that end where a chunk starts just before or at this cell
+        started = F.collect_list(F.when((F.col("_first") == 1) & (F.col("_own_c") > 0), F.col("_own_c") - 1))
+        copies = F.concat(copies, started.over(in_order.rangeBetween(-(ahead - 1), 0)))
+    if behind > 0:  # to the chunks that start just after or at this cell's end
+        table = table.withColumn("_next", F.when(F.lead("_first").over(in_order) == 1, F.col("_own_c") + 1))
+        by_end = Window.partitionBy(*group).orderBy("_end").rangeBetween(0, behind - 1)
+        copies = F.concat(copies, F.collect_list("_next").over(by_end))
+    table = (table.withColumn("_to", copies).withColumn("_c", F.explode("_to")).withColumn("_own", F.col("_c") == F.col("_own_c"))
+             .withColumn("_base", F.min("_off").over(Window.partitionBy(*group, "_c"))))
+    plan = materialize(table.select(*group, *keys, "_c", "_own", "_base"), "chunk_plan")
+    return join_groups(d, small_side(plan), [*group, *keys]), [*keys, *order]
+
+
+def chunk_rows(df: DataFrame, group: list[str], order: list[str], chunk: int, ahead: int = 0, behind: int = 0,
+               bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> DataFrame:
+    """``chunk_copies`` with ``_i``, the row number in the group.  A window
+    partitioned by (group, ``_c``) sees every neighbour within the halo; rows
+    cross the network once."""
+    h, by = chunk_copies(df, group, order, chunk, ahead, behind, bucket_seconds)
+    w = Window.partitionBy(*group, "_c").orderBy(*by)
+    return (h.withColumn("_i", (F.col("_base") + F.row_number().over(w) - 1).cast("long"))
+            .drop("_base", *(k for k in by if k not in order)))
 
 
 def chunked(df: DataFrame, idx: str, chunk: int, ahead: int = 0, behind: int = 0) -> DataFrame:
-    """Assign rows to chunks of ``chunk`` row numbers (column ``_c``) and copy
-    halo rows: the first ``ahead`` rows of a chunk also go to the previous
+    """For rows that carry their row number: assign rows to chunks of ``chunk``
+    row numbers (column ``_c``) and copy halo rows: the first ``ahead`` rows of a chunk also go to the previous
     chunk, the last ``behind`` rows also to the next.  ``_own`` marks the
     original copy.  A window partitioned by (group, ``_c``) then sees every
     neighbour within the halo.  One pass: each row explodes into its chunk
@@ -89,31 +183,34 @@ def chunked(df: DataFrame, idx: str, chunk: int, ahead: int = 0, behind: int = 0
 HIT_BLOCK_ROWS = 4096
 
 
-def first_hits(v: np.ndarray, n_own: int, i0: int, p: ScanParams) -> np.ndarray:
-    """For the first ``n_own`` rows of ``v`` (row r is group row i0 + r):
-    the offset k of the first j = i + k, 1 <= k <= maximum, inside ``v``,
-    with |v[j] - v[i]| <= tol and lo < |v[m] - v[i]| < hi, where
-    m = round-half-even((i + j) / 2), i.e. m - i = k//2 + (k%2)*((i + k//2)%2);
-    0 when there is none.  NaN compares false, as in Python."""
-    kmax = p.maximum
-    pad = np.full(len(v) + kmax, np.nan)
-    pad[:len(v)] = v
-    win = np.lib.stride_tricks.sliding_window_view(pad, kmax + 1)
-    ks = np.arange(1, kmax + 1)
+def first_hits(v: np.ndarray, at: np.ndarray, odd_row: np.ndarray, p: ScanParams) -> np.ndarray:
+    """For the rows at the places ``at`` of ``v`` the offset k of the first
+    j = i + k, 1 <= k <= maximum, with |v[j] - v[i]| <= tol and
+    lo < |v[m] - v[i]| < hi, where m = round-half-even((i + j) / 2); 0 when
+    there is none.  ``odd_row`` tells whether i is odd, which decides how a
+    half is rounded: m - i = k//2 + (k%2)*((i + k//2)%2).  At least ``maximum``
+    values follow each place; NaN stands behind a group's end and compares
+    false, as in Python."""
+    ks = np.arange(1, p.maximum + 1)
     half, odd = ks // 2, ks % 2
-    out = np.zeros(n_own, dtype=np.int64)
-    for b0 in range(0, n_own, HIT_BLOCK_ROWS):
-        b1 = min(n_own, b0 + HIT_BLOCK_ROWS)
-        w = win[b0:b1]
-        base = w[:, :1]
-        par = ((i0 + np.arange(b0, b1)) % 2)[:, None]
-        with np.errstate(invalid="ignore"):
-            cond = np.abs(w[:, 1:] - base) <= p.tol
-            dev = np.abs(np.take_along_axis(w, half + odd * ((par + half) % 2), axis=1) - base)
-            cond &= dev > p.lo
-            if p.hi is not None:
-                cond &= dev < p.hi
-        out[b0:b1] = np.where(cond.any(axis=1), cond.argmax(axis=1) + 1, 0)
+    win = np.lib.stride_tricks.sliding_window_view(v, p.maximum + 1)
+    out = np.zeros(len(at), dtype=np.int64)
+    for parity in (0, 1):
+        rows = np.flatnonzero(odd_row == bool(parity))
+        middle = half + odd * ((parity + half) % 2)
+        for b0 in range(0, len(rows), HIT_BLOCK_ROWS):
+            r = rows[b0:b0 + HIT_BLOCK_ROWS]
+            w = win[at[r]] - v[at[r]][:, None]
+            np.abs(w, out=w)
+            with np.errstate(invalid="ignore"):
+                cond = w[:, 1:] <= p.tol
+                # most rows have no such j close by: only the others need their middles
+                some = np.flatnonzero(cond.any(axis=1))
+                dev, cond = w[some][:, middle], cond[some]
+                cond &= dev > p.lo
+                if p.hi is not None:
+                    cond &= dev < p.hi
+            out[r[some]] = np.where(cond.any(axis=1), cond.argmax(axis=1) + 1, 0)
     return out
 
 
@@ -135,75 +232,147 @@ def _walk(hpos: np.ndarray, step: np.ndarray, start: int, end: int) -> list[int]
     return seen
 
 
-def _exits(hpos: np.ndarray, step: np.ndarray, start: int, end: int, entries: int) -> list[int]:
-    """Transfer table of a chunk: for each entry offset e < entries, the
-    offset past ``end`` at which the walk entering at start + e leaves."""
-    exit_of = np.zeros(len(hpos), dtype=np.int64)
-    for t in range(len(hpos) - 1, -1, -1):
-        nxt = hpos[t] + step[t]
-        if nxt >= end:
-            exit_of[t] = nxt - end
+def _same_as_before(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first equals the one before it; nulls equal
+    nulls and NaN equals NaN."""
+    a, b = column.slice(0, len(column) - 1), column.slice(1)
+    same = pc.fill_null(pc.equal(a, b), False)
+    both = pc.and_(pc.is_null(a, nan_is_null=True), pc.is_null(b, nan_is_null=True))
+    nulls = pc.equal(pc.is_null(a), pc.is_null(b))  # a null is not a NaN
+    return pc.or_(same, pc.and_(both, nulls)).to_numpy(zero_copy_only=False)
+
+
+def run_starts(table: pa.Table, columns: list[str]) -> np.ndarray:
+    """The places at which a row differs in ``columns`` from the row before."""
+    if not table.num_rows:
+        return np.empty(0, np.int64)
+    same = np.ones(table.num_rows - 1, bool)
+    for c in columns:
+        same &= _same_as_before(table.column(c).combine_chunks())
+    return np.concatenate([[0], np.flatnonzero(~same) + 1])
+
+
+# Rows that a scanning task gathers before it searches them.
+SCAN_BLOCK_ROWS = 1 << 16
+#: Kinds of rows that the scan of chunks gives.
+PAIR, HIT, TABLE = 0, 1, 2
+
+
+def scan_runs(table: pa.Table, starts: np.ndarray, gcols: list[str], value: str, time_col: str, p: ScanParams) -> pa.Table:
+    """Scans the (group, chunk) runs of ``table`` that begin at ``starts``,
+    each with its own rows first and its look-ahead rows after them.
+
+    First chunks (``_c`` 0) give their accepted pairs and, if a chunk follows,
+    their exit; later chunks give their hit rows and a transfer table, the
+    exit for every entry offset."""
+    n, runs = table.num_rows, len(starts)
+    sizes = np.diff(np.append(starts, n))
+    run = np.repeat(np.arange(runs), sizes)
+    own = table.column("_own").to_numpy()
+    v = table.column(value).to_numpy()
+    t = table.column(time_col).to_numpy()
+    c, base = (table.column(k).to_numpy()[starts] for k in ("_c", "_base"))
+    owned = np.add.reduceat(own.astype(np.int64), starts)
+    ends = starts + owned
+    # NaN between the runs keeps each look-ahead inside its run
+    spread = np.arange(n) + run * p.maximum
+    padded = np.full(n + runs * p.maximum, np.nan)
+    padded[spread] = v
+    number = base[run] + np.arange(n) - starts[run]
+    rows = np.flatnonzero(own)
+    k = first_hits(padded, spread[rows], number[rows] % 2 == 1, p)
+    hit = rows[k > 0]
+    k = k[k > 0]
+    step, emit = _steps(k, p)
+    of_run = run[hit]
+    over = hit + step - ends[of_run]  # how far past its run's end a hit row's step leads
+    first = np.searchsorted(hit, np.append(starts, n))
+    nxt, leaves, last = np.searchsorted(hit, hit + step).tolist(), over.tolist(), first[1:].tolist()
+    pairs, exits, tables = [], [], []
+    for r in range(runs):
+        stop = last[r]
+        if c[r] == 0:
+            j, out = int(first[r]), 0
+            while j < stop:
+                if emit[j]:
+                    pairs.append(j)
+                if leaves[j] >= 0:
+                    out = leaves[j]
+                    break
+                j = nxt[j]
+            if sizes[r] > owned[r]:
+                exits.append([out])
+                tables.append(r)
         else:
-            j = np.searchsorted(hpos, nxt)
-            exit_of[t] = exit_of[j] if j < len(hpos) else 0
-    firsts = np.searchsorted(hpos, start + np.arange(entries))
-    return [int(exit_of[j]) if j < len(hpos) else 0 for j in firsts]
-
-
-def _chunk_hits_fn(p: ScanParams, chunk: int, gcols: list[str], value: str, time_col: str):
-    """Per (group, chunk) with its halo: the hit rows of the owned rows and
-    one summary row (``_i`` = -1) carrying the chunk's transfer table."""
-    entries = max(p.jump, 2)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_i")
-        c = int(pdf["_c"].iloc[0])
-        own = pdf["_own"].to_numpy(bool)
-        v = pdf[value].to_numpy(np.float64)
-        t = pdf[time_col].to_numpy(np.float64)
-        n_own = int(own.sum())
-        k = first_hits(v, n_own, c * chunk, p)
-        r = np.flatnonzero(k)
-        step, emit = _steps(k[r], p)
-        hpos = pdf["_i"].to_numpy(np.int64)[r]
-        hits = pd.DataFrame({"_i": hpos, "_k": k[r], "_step": step, "_emit": emit,
-                             "t_i": t[r], "t_j": t[r + k[r]], "_exits": None})
-        summary = pd.DataFrame({"_i": [-1], "_k": [0], "_step": [0], "_emit": [False],
-                                "t_i": [np.nan], "t_j": [np.nan],
-                                "_exits": [_exits(hpos, step, c * chunk, (c + 1) * chunk, entries)]})
-        out = pd.concat([hits, summary], ignore_index=True)
-        out["_c"] = c
-        for g in gcols:
-            out[g] = pdf[g].iloc[0]
-        return out
-    return run
+            leave = {}
+            for j in range(stop - 1, int(first[r]) - 1, -1):
+                leave[j] = leaves[j] if leaves[j] >= 0 else leave.get(nxt[j], 0)
+            entered = np.searchsorted(hit, starts[r] + np.arange(max(p.jump, 2))).tolist()
+            exits.append([leave.get(j, 0) for j in entered])
+            tables.append(r)
+    later = np.flatnonzero(c[of_run] > 0)
+    chosen = np.concatenate([np.array(pairs, np.int64), later])
+    tables = np.array(tables, np.int64)
+    at = np.concatenate([hit[chosen], starts[tables]])
+    pad = np.zeros(len(tables), np.int64)
+    kind = np.concatenate([np.full(len(pairs), PAIR), np.full(len(later), HIT), np.full(len(tables), TABLE)])
+    out = {g: table.column(g).take(pa.array(at)) for g in gcols}
+    out |= {"_c": c[run[at]], "_i": number[at], "_k": np.concatenate([k[chosen], owned[tables]]), "_step": np.concatenate([step[chosen], pad]),
+            "_emit": np.concatenate([emit[chosen], pad.astype(bool)]), "t_i": t[at], "t_j": t[at + np.concatenate([k[chosen], pad])],
+            "_exits": pa.array([None] * len(chosen) + exits, pa.list_(pa.int64())), "_kind": kind}
+    return pa.table(out)
+
+
+def _scan_fn(p: ScanParams, gcols: list[str], value: str, time_col: str):
+    """Over sorted batches: whole (group, chunk) runs are gathered up to
+    ``SCAN_BLOCK_ROWS`` rows (or one longer run) and scanned together."""
+    def scan(batches):
+        held, rows = [], 0
+
+        def flush(final: bool):
+            nonlocal held, rows
+            table = pa.Table.from_batches(held)
+            starts = run_starts(table, [*gcols, "_c"])
+            cut = table.num_rows if final else int(starts[-1])  # the last run may go on
+            if cut:
+                done = scan_runs(table.slice(0, cut), starts if final else starts[:-1], gcols, value, time_col, p)
+                yield from done.combine_chunks().to_batches()
+            rest = table.slice(cut)
+            held, rows = rest.to_batches(), rest.num_rows
+
+        limit = SCAN_BLOCK_ROWS
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= limit:
+                yield from flush(False)
+                limit = max(SCAN_BLOCK_ROWS, 2 * rows)  # a long run is not looked through again and again
+        if rows:
+            yield from flush(True)
+    return scan
 
 
 def _stitch_fn(gcols: list[str]):
+    """From the tables of a group's chunks, in order, the row at which the walk
+    enters each chunk and the chunk's end."""
     def stitch(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_c")
-        entries, prev_c, prev_exit = [], None, 0
-        for c, exits in zip(pdf["_c"].to_numpy(np.int64), pdf["_exits"]):
-            e = prev_exit if prev_c is not None and c == prev_c + 1 else 0
-            entries.append(e)
-            prev_c, prev_exit = c, int(exits[e])
+        entries, leave = [], 0
+        for start, exits in zip(pdf["_i"].to_numpy(np.int64), pdf["_exits"]):
+            entries.append(start + leave)
+            leave = int(exits[leave] if len(exits) > 1 else exits[0])  # a first chunk has the exit of entry 0 only
         out = pdf[gcols + ["_c"]].copy()
         out["_entry"] = np.asarray(entries, dtype=np.int64)
+        out["_end"] = pdf["_i"] + pdf["_k"]
         return out
     return stitch
 
 
-def _walk_fn(chunk: int):
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_i").reset_index(drop=True)
-        c = int(pdf["_c"].iloc[0])
-        hpos = pdf["_i"].to_numpy(np.int64)
-        step = pdf["_step"].to_numpy(np.int64)
-        emit = pdf["_emit"].to_numpy(bool)
-        seen = _walk(hpos, step, c * chunk + int(pdf["_entry"].iloc[0]), (c + 1) * chunk)
-        keep = [j for j in seen if emit[j]]
-        return pdf.loc[keep].drop(columns=["_entry", "_step", "_emit", "_c"])
-    return walk
+def _walk_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("_i").reset_index(drop=True)
+    seen = _walk(pdf["_i"].to_numpy(np.int64), pdf["_step"].to_numpy(np.int64), int(pdf["_entry"].iloc[0]), int(pdf["_end"].iloc[0]))
+    emit = pdf["_emit"].to_numpy(bool)
+    return pdf.loc[[j for j in seen if emit[j]]].drop(columns=["_entry", "_end", "_step", "_emit", "_c"])
 
 
 def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
@@ -213,30 +382,38 @@ def yaw_return_scan(df: DataFrame, group: list[str], params: ScanParams, *,
     the greedy scan accepts in each group.  Output columns: group columns,
     ``i`` and ``j`` (row numbers), ``t_i``, ``t_j``.
 
-    Rows are numbered with the two-level scheme and cut into chunks with a
-    halo of ``maximum`` rows; each chunk yields its hit rows and a transfer
-    table; tables are stitched per group and each chunk is walked from its
-    entry, so no task holds more than one chunk."""
+    Rows go once to their (group, chunk), with a halo of ``maximum`` rows
+    ahead, and are scanned in sorted order, many small groups at a time.  Pairs
+    of first chunks are final; tables of later chunks are stitched per group
+    and each later chunk is walked from its entry, so no task holds more than
+    one chunk."""
     ship_package(df.sparkSession)
-    chunk = max(chunk, params.maximum + 1, params.jump + 1)
+    chunk = max(chunk, 2 * params.maximum + 2, 2 * params.jump + 2)  # a chunk has at least half as many rows
     src = df.select(*group, F.col(time_col).cast("double").alias(time_col),
                     F.col(value).cast("double").alias(value))
     gfields = [f for f in src.schema.fields if f.name in group]
     gsql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gfields)
-    n = number_rows(src, group, [time_col, value])
-    h = chunked(n, "_i", chunk, ahead=params.maximum)
-    out_schema = (f"{gsql}, _c long, _i long, _k long, _step long, _emit boolean, "
-                  f"t_i double, t_j double, _exits array<long>")
-    # hit rows and transfer tables are read twice (stitch, walk): write once
-    per_chunk = materialize(h.groupBy(*group, "_c").applyInPandas(
-        _chunk_hits_fn(params, chunk, group, value, time_col), out_schema), "scan_hits")
-    entries = (per_chunk.where("_i < 0").select(*group, "_c", "_exits").groupBy(*group)
-               .applyInPandas(_stitch_fn(group), f"{gsql}, _c long, _entry long"))
-    hits = per_chunk.where("_i >= 0").drop("_exits")
+    h, by = chunk_copies(src, group, [time_col, value], chunk, ahead=params.maximum)
+    out = T.StructType(gfields + [T.StructField(c, T.LongType()) for c in ("_c", "_i", "_k", "_step")] + [
+        T.StructField("_emit", T.BooleanType()), T.StructField("t_i", T.DoubleType()), T.StructField("t_j", T.DoubleType()),
+        T.StructField("_exits", T.ArrayType(T.LongType())), T.StructField("_kind", T.LongType())])
+    gnames = [f.name for f in gfields]
+    dealt = h.repartition(*group, "_c").sortWithinPartitions(*group, "_c", *by)
+    scanned = dealt.select(*gnames, "_c", "_own", "_base", time_col, value).mapInArrow(
+        _scan_fn(params, gnames, value, time_col), out)
+    # pairs, hit rows and tables are read apart: write once
+    per_chunk = materialize(scanned, "scan_hits")
+    pairs = [*group, F.col("_i").alias("i"), (F.col("_i") + F.col("_k")).alias("j"), "t_i", "t_j"]
+    done = per_chunk.where(F.col("_kind") == PAIR).select(*pairs)
+    tables = per_chunk.where(F.col("_kind") == TABLE)
+    if tables.isEmpty():  # no group has a second chunk
+        return done
+    entries = (tables.select(*group, "_c", "_i", "_k", "_exits").groupBy(*group)
+               .applyInPandas(_stitch_fn(group), f"{gsql}, _c long, _entry long, _end long"))
+    hits = per_chunk.where(F.col("_kind") == HIT).drop("_exits", "_kind")
     walked = join_groups(hits, entries, [*group, "_c"]).groupBy(*group, "_c").applyInPandas(
-        _walk_fn(chunk), f"{gsql}, _i long, _k long, t_i double, t_j double")
-    return walked.select(*group, F.col("_i").alias("i"), (F.col("_i") + F.col("_k")).alias("j"),
-                         "t_i", "t_j")
+        _walk_chunk, f"{gsql}, _i long, _k long, t_i double, t_j double")
+    return done.unionByName(walked.select(*pairs))
 
 
 def lane_change_windows(pairs: DataFrame, half_width: float = WINDOW_HALF_WIDTH) -> DataFrame:
@@ -253,16 +430,20 @@ def containment_anti(short: DataFrame, long: DataFrame, group: list[str],
     the same group (b0 <= a0 and b1 >= a1).  Never adds rows; a window with a
     null time or group stays.
 
-    Of long windows with one start only the longest counts.  They are cut into
-    time buckets, so the join is an equi-join on (group, bucket) with the range
-    as a residual and a hot group is spread over many keys."""
-    keys = [*group, "_b"]
+    Of long windows with one start only the longest counts.  They are covered
+    by dyadic cells, so the join is an equi-join on (group, level, cell) of the
+    short window's start with the range as a residual; a hot group is spread
+    over many keys."""
     b = long.groupBy(*group, F.col(long_start).alias("_b0")).agg(F.max(long_end).alias("_b1"))
-    b = b.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_b0") / bucket), F.floor(F.col("_b1") / bucket)))).alias("b")
-    s = short.withColumn("_b", F.floor(F.col(start) / bucket)).alias("s")
-    cond = [F.col(f"s.{k}") == F.col(f"b.{k}") for k in keys]
-    cond += [F.col("b._b0") <= F.col(f"s.{start}"), F.col("b._b1") >= F.col(f"s.{end}")]
-    return s.join(b, cond, "left_anti").drop("_b")
+    b = cover(b, "_b0", "_b1", bucket)
+    out = short
+    for level in levels_of(b):  # one to three in general: what one level drops the next ones need not see
+        s = out.withColumn("_b", place(F.col(start), level, bucket)).alias("s")
+        at = b.where(F.col("_lv") == level).alias("b")
+        cond = [F.col(f"s.{k}") == F.col(f"b.{k}") for k in [*group, "_b"]]
+        cond += [F.col("b._b0") <= F.col(f"s.{start}"), F.col("b._b1") >= F.col(f"s.{end}")]
+        out = s.join(at, cond, "left_anti").drop("_b")
+    return out
 
 
 # --- trajectory repair (W6, W7) ------------------------------------------------------
@@ -282,21 +463,23 @@ def position_stitch(df: DataFrame, group: list[str], *, jump: float = POSITION_J
     and every later row of the group; offsets add up.  Row 1 has no k-2 and
     gets no offset.
 
-    Chunks with a two-row halo plus chunk prefix sums."""
+    As in a comparison of numbers, a move that is NaN or null is no jump; an
+    offset from a NaN or null position is NaN.  Chunks with a two-row halo plus
+    chunk prefix sums."""
     chunk = max(chunk, 3)
     # equal times are ordered by position, so reruns number rows alike
     order = [time_col, "PositionX", "PositionY", "PositionZ"]
-    h = chunked(number_rows(df, group, order), "_i", chunk, behind=2)
+    h = chunk_rows(df, group, order, chunk, behind=2)
     w = Window.partitionBy(*group, "_c").orderBy("_i")
-    x1, x2 = F.lag("PositionX", 1).over(w), F.lag("PositionX", 2).over(w)
-    y1, y2 = F.lag("PositionY", 1).over(w), F.lag("PositionY", 2).over(w)
-    z1, z2 = F.lag("PositionZ", 1).over(w), F.lag("PositionZ", 2).over(w)
-    is_jump = ((F.abs(F.col("PositionX") - x1) > jump) | (F.abs(F.col("PositionY") - y1) > jump)) \
-        & (F.col("_i") >= 2)
-    h = (h.withColumn("_dx", F.when(is_jump, x1 * 1.5 - x2 * 0.5).otherwise(0.0))
-         .withColumn("_dy", F.when(is_jump, y1 * 1.5 - y2 * 0.5).otherwise(0.0))
-         .withColumn("_dz", F.when(is_jump, z1 * 1.5 - z2 * 0.5).otherwise(0.0))
-         .withColumn("_jump", is_jump))
+
+    def moved(c: str) -> Column:
+        by = F.abs(F.col(c) - F.lag(c, 1).over(w))
+        return F.coalesce((by > jump) & ~F.isnan(by), F.lit(False))
+    h = h.withColumn("_jump", (moved("PositionX") | moved("PositionY")) & (F.col("_i") >= 2))
+    for axis, d in (("X", "_dx"), ("Y", "_dy"), ("Z", "_dz")):
+        c = f"Position{axis}"
+        offset = F.lag(c, 1).over(w) * 1.5 - F.lag(c, 2).over(w) * 0.5
+        h = h.withColumn(d, F.when(F.col("_jump"), F.coalesce(offset, F.lit(float("nan")))).otherwise(0.0))
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     h = h.where("_own")
     for d in ("_dx", "_dy", "_dz"):
@@ -323,7 +506,7 @@ def heading(df: DataFrame, group: list[str], *, lag: int = HEADING_LAG,
     chunk = max(chunk, lag + 1)
     i = idx or "_i"
     order = [time_col, "PositionX", "PositionY"]
-    h = chunked(df if idx else number_rows(df, group, order), i, chunk, behind=lag)
+    h = chunked(df, i, chunk, behind=lag) if idx else chunk_rows(df, group, order, 2 * chunk, behind=lag)
     w = Window.partitionBy(*group, "_c").orderBy(i)
     ang = F.atan2(F.col("PositionY") - F.lag("PositionY", lag).over(w),
                   F.col("PositionX") - F.lag("PositionX", lag).over(w))

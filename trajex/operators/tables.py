@@ -52,15 +52,15 @@ def key_exists(table: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
     """For each key row (with any extra columns such as an ordinal), a
     boolean ``exists``.  Keys of a checked size are broadcast, so only the
     table's rows that have one of them reach the shuffle of ``distinct``; then
-    the result has one row per key row."""
-    tk = table.select(*cols).alias("t")
-    asked = keys.select(*cols).distinct()
+    the result has one row per key row.  Keys may come from the table itself."""
+    renamed = {c: f"_k{n}" for n, c in enumerate(cols)}
+    held = table.select(*(F.col(f"`{c}`").alias(r) for c, r in renamed.items()))
+    asked = keys.select(*(F.col(f"`{c}`").alias(f"{r}_asked") for c, r in renamed.items())).distinct()
     if bounded_rows(asked, KEY_BROADCAST_MAX_ROWS):
-        tk = tk.join(F.broadcast(asked.alias("k")),
-                     [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in cols], "left_semi")
-    tk = tk.distinct().withColumn("_hit", F.lit(True))
-    j = keys.join(tk, [keys[c].eqNullSafe(tk[c]) for c in cols], "left")
-    return j.select(*[keys[c] for c in keys.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias("exists"))
+        held = held.join(F.broadcast(asked), [F.col(r).eqNullSafe(F.col(f"{r}_asked")) for r in renamed.values()], "left_semi")
+    held = held.distinct().withColumn("_hit", F.lit(True))
+    j = keys.join(held, [F.col(f"`{c}`").eqNullSafe(F.col(r)) for c, r in renamed.items()], "left")
+    return j.select(*(F.col(f"`{c}`") for c in keys.columns), F.coalesce(F.col("_hit"), F.lit(False)).alias("exists"))
 
 
 def stamp(df: DataFrame, date_col: str, when: str | None = None) -> DataFrame:
@@ -82,17 +82,16 @@ def replace_rows(table: DataFrame, new_rows: DataFrame, keys: DataFrame, cols: l
 
 def update_by_key(table: DataFrame, updates: dict, keys: DataFrame, cols: list[str]) -> DataFrame:
     """Set the given columns to constants on rows whose key tuple is in
-    ``keys``; other rows are unchanged.  Row count is preserved."""
-    k = _maybe_broadcast(keys.select(*cols).distinct().withColumn("_hit", F.lit(True)))
-    j = table.join(k, [table[c].eqNullSafe(k[c]) for c in cols], "left")
+    ``keys``; other rows are unchanged.  Row count is preserved.  Keys may come
+    from the table itself."""
+    renamed = {c: f"_k{n}" for n, c in enumerate(cols)}
+    k = _maybe_broadcast(keys.select(*(F.col(f"`{c}`").alias(r) for c, r in renamed.items())).distinct().withColumn("_hit", F.lit(True)))
+    j = table.join(k, [F.col(f"`{c}`").eqNullSafe(F.col(r)) for c, r in renamed.items()], "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     out = []
     for c in table.columns:
-        if c in updates:
-            out.append(F.when(hit, F.lit(updates[c]).cast(table.schema[c].dataType))
-                       .otherwise(table[c]).alias(c))
-        else:
-            out.append(table[c])
+        own = F.col(f"`{c}`")
+        out.append(F.when(hit, F.lit(updates[c]).cast(table.schema[c].dataType)).otherwise(own).alias(c) if c in updates else own)
     return j.select(*out)
 
 
@@ -119,6 +118,93 @@ def write_beside(df: DataFrame, path: str) -> str:
     return new
 
 
+def swap(spark: SparkSession, path: str, new: str) -> str:
+    """Puts the table at ``new`` in the place of the one at ``path`` and returns
+    where the old version now lies.  Two renames: if the second fails, the old
+    version is put back."""
+    old = f"{path.rstrip('/')}__old{uuid.uuid4().hex[:12]}"
+    _rename(spark, path, old)
+    try:
+        _rename(spark, new, path)
+    except Exception:
+        _rename(spark, old, path)
+        raise
+    return old
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, a: str, b: str) -> None:
+    source, fs = _hadoop(spark, a)
+    if not fs.exists(source) or not fs.rename(source, _hadoop(spark, b)[0]):
+        raise OSError(f"cannot rename {a} to {b}")
+
+
+def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
+    """A table with a folder for every combination of values of ``by``."""
+    df.repartition(*by).write.mode("errorifexists").partitionBy(*by).parquet(path)
+
+
+def rewrite_partitions(spark: SparkSession, path: str, by: list[str], keys: DataFrame, cols: list[str], change, more: DataFrame | None = None) -> int:
+    """T1, T2 on a stored table with partitions ``by``: applies ``change`` (a
+    function of a DataFrame) to the partitions that hold a row with one of the
+    ``keys`` or that take rows of ``more``; all other partitions keep their
+    files.  Returns the number of partitions rewritten.
+
+    The partitions are found by a semi join on the key columns alone, so only
+    those columns are read of the rest.  The changed rows are written beside the
+    table first.  Spark then writes their partitions into a staging folder and
+    moves them into place when all tasks are done, so a failure while rows are
+    worked out or written leaves the old version readable.  Partitions left
+    without rows are removed last."""
+    table = spark.read.parquet(path)
+    renamed = {c: f"_k{n}" for n, c in enumerate(cols)}
+    asked = _maybe_broadcast(keys.select(*(F.col(f"`{c}`").alias(r) for c, r in renamed.items())).distinct())
+    held = table.select(*dict.fromkeys([*by, *cols])).join(asked, [F.col(f"`{c}`").eqNullSafe(F.col(r)) for c, r in renamed.items()], "left_semi").select(*by)
+    if more is not None:
+        held = held.unionByName(more.select(*(F.col(c).cast(table.schema[c].dataType).alias(c) for c in by)))
+    touched = scratch_path(spark, "touched")
+    held.distinct().write.parquet(touched)
+    parts = spark.read.schema(held.schema).parquet(touched)
+    marked = parts.select(*(F.col(c).alias(f"_p{n}") for n, c in enumerate(by)))
+    inside = table.join(_maybe_broadcast(marked), [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(by)], "left_semi")
+    changed = scratch_path(spark, "changed")
+    change(inside).select(*table.columns).write.parquet(changed)
+    rows = spark.read.schema(table.schema).parquet(changed)
+    rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    left = rows.select(*(F.col(c).alias(f"_p{n}") for n, c in enumerate(by))).distinct()
+    empty = parts.join(left, [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(by)], "left_anti")
+    folders = spark.read.parquet(path).withColumn("_dir", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+    gone = folders.join(F.broadcast(empty.select(*(F.col(c).alias(f"_p{n}") for n, c in enumerate(by)))),
+                        [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(by)], "left_semi").select("_dir").distinct()
+    for r in gone.collect():  # folders whose last rows went
+        where, fs = _hadoop(spark, r["_dir"])
+        fs.delete(where, True)
+    return parts.count()
+
+
+def replace_in_store(spark: SparkSession, path: str, by: list[str], new_rows: DataFrame, keys: DataFrame, cols: list[str], *,
+                     date_col: str | None = None, when: str | None = None) -> int:
+    """T1 in place: ``replace_rows`` on the partitions it concerns."""
+    add = stamp(new_rows, date_col, when) if date_col else new_rows
+
+    def change(inside: DataFrame) -> DataFrame:
+        kept = inside.alias("t").join(keys.select(*cols).distinct().alias("k"), [F.col(f"t.`{c}`").eqNullSafe(F.col(f"k.`{c}`")) for c in cols], "left_anti")
+        return kept.unionByName(add.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in inside.schema.fields if f.name in add.columns)), allowMissingColumns=True)
+    return rewrite_partitions(spark, path, by, keys, cols, change, add)
+
+
+def update_in_store(spark: SparkSession, path: str, by: list[str], updates: dict, keys: DataFrame, cols: list[str]) -> int:
+    """T2 in place: ``update_by_key`` on the partitions it concerns.  The
+    partition columns themselves cannot be updated."""
+    if clash := set(updates) & set(by):
+        raise ValueError(f"partition columns cannot be updated: {sorted(clash)}")
+    return rewrite_partitions(spark, path, by, keys, cols, lambda inside: update_by_key(inside, updates, keys, cols))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"

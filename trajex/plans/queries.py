@@ -5,6 +5,8 @@ densities) are rounded to 6 places so they compare across engines."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,6 +150,25 @@ def q_speed_attach(spark, sf) -> DataFrame:
     return scn.scenario_labels(scene_inputs(spark, sf), attach_speed=True)
 
 
+@query("scenario_labels_store")
+def q_scenario_labels_store(spark, sf) -> DataFrame:
+    """L5 on objects stored in buckets: no object crosses the network."""
+    inp = scene_inputs(spark, sf)
+    name = f"objects_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scn.write_object_store(inp.objects, name, buckets, tb.scratch_path(spark, "object_store"))
+    return scn.scenario_labels(scn.SceneInputs(inp.ego, scn.object_store(spark, name), inp.status, inp.intervals, stored=True))
+
+
+@query("interval_ends")
+def q_interval_ends(spark, sf) -> DataFrame:
+    """F1/J1 with open, years long, reversed, NaN and null ends: the number of
+    track rows in each interval and the first and last of them."""
+    iv = fx.load(spark, sf, "odd_interval")
+    rows = flt.within_intervals(fx.track(spark, sf), iv, keep=("id",))
+    return rows.groupBy("recording_id", "id").agg(F.count(F.lit(1)).alias("n"), F.min("ptp_time").alias("first"), F.max("ptp_time").alias("last"))
+
+
 @query("rows_per_vehicle")
 def q_rows_per_vehicle(spark, sf) -> DataFrame:
     inp = scene_inputs(spark, sf)
@@ -235,6 +256,15 @@ def q_position_stitch(spark, sf) -> DataFrame:
                      r6("PositionZ"), F.col("_jump").alias("is_jump"))
 
 
+@query("gap_stitch")
+def q_gap_stitch(spark, sf) -> DataFrame:
+    """W6 on a track with NaN and null positions: moves to and from them are no
+    jumps.  Positions that are NaN or null come as null."""
+    st = seq.position_stitch(fx.gap_track(spark, sf), ["recording_id"])
+    return st.select("recording_id", "ptp_time", "row_no", F.col("_jump").alias("is_jump"), r6("PositionY"),
+                     F.when(~F.isnan("PositionX"), F.round("PositionX", 6)).alias("PositionX"))
+
+
 @query("heading")
 def q_heading(spark, sf) -> DataFrame:
     """W7 over each whole recording."""
@@ -385,6 +415,51 @@ def q_signal_quantiles_default(spark, sf) -> DataFrame:
         F.count("Yaw").alias("n"), within("q25", 0.25), within("q75", 0.75))
 
 
+@query("sketch_quantiles")
+def q_sketch_quantiles(spark, sf) -> DataFrame:
+    """A4, A6 from stored sketches: one row of sketches per recording is
+    written, and the quartiles over each vehicle's recordings (by the last digit
+    of their numbers) come from the merged sketches.  Told by rank and size:
+    whether a quartile's ranks come within ceil(2 n / 100) rows of its rank, and
+    the number of distinct values within 5 % of the true one."""
+    tr = fx.track(spark, sf).select("recording_id", "PositionX")
+    path = tb.scratch_path(spark, "sketches")
+    tb.write_table(sts.signal_sketches(tr, ["PositionX"], ["recording_id"]), path, append=False)
+    fleet = F.substring("recording_id", 6, 1).alias("fleet")
+    q = sts.merged_quantiles(tb.read_table(spark, path).withColumn("fleet", fleet), group=["fleet"])
+    j = tr.withColumn("fleet", fleet).join(q, "fleet")
+
+    def within(name: str, share: float):
+        below, upto = (F.sum(F.when(c, 1).otherwise(0)) for c in (F.col("PositionX") < F.col(name), F.col("PositionX") <= F.col(name)))
+        rank, error = F.ceil(F.count("PositionX") * share), F.ceil(F.count("PositionX") / 50)
+        return ((below + 1 <= rank + error) & (upto >= rank - error)).alias(f"{name}_within")
+    true_n = F.count_distinct("PositionX")
+    return j.groupBy("fleet").agg(
+        F.first("n").alias("n"), F.first("least").alias("least"), F.first("greatest").alias("greatest"),
+        within("q25", 0.25), within("q75", 0.75), (F.abs(F.first("n_distinct") - true_n) <= true_n * 0.05).alias("distinct_within"))
+
+
+@query("gap_statistics")
+def q_gap_statistics(spark, sf) -> DataFrame:
+    """A4, A5, A6 on a signal with NaN and null values, which are missing."""
+    tr = fx.gap_track(spark, sf)
+    g = ["recording_id"]
+    return (sts.signal_quantiles(tr, "Yaw", rel_error=0.0001, group=g)
+            .join(sts.signal_extent(tr, ["Yaw", "PositionX"], g), g).join(sts.distinct_counts(tr, ["Yaw", "PositionX"], g), g))
+
+
+@query("gap_histogram")
+def q_gap_histogram(spark, sf) -> DataFrame:
+    """A9 on a signal with NaN and null values."""
+    return sts.signal_histogram(fx.gap_track(spark, sf), "PositionX", 20).select("bin", "bin_lo", "bin_hi", "count")
+
+
+@query("gap_density")
+def q_gap_density(spark, sf) -> DataFrame:
+    """A10 on a signal with NaN and null values."""
+    return sts.signal_density(fx.gap_track(spark, sf), "Yaw").select("g", r6("x"), r6("density"))
+
+
 @query("signal_extent")
 def q_signal_extent(spark, sf) -> DataFrame:
     return sts.signal_extent(fx.track(spark, sf), ["Yaw", "YawRate", "VelocityY"], ["recording_id"])
@@ -541,6 +616,13 @@ def q_key_exists(spark, sf) -> DataFrame:
     return tb.key_exists(fx.file_meta(spark, sf), keys, ["recording_id", "filename_parquet"])
 
 
+@query("key_exists_own")
+def q_key_exists_own(spark, sf) -> DataFrame:
+    """J9 with keys taken from the table itself."""
+    meta = fx.file_meta(spark, sf)
+    return tb.key_exists(meta, meta.where("file_id % 2 = 0").select("file_id", "recording_id", "filename_parquet"), ["recording_id", "filename_parquet"])
+
+
 def _new_rows(spark, sf):
     return _nation_keys(spark, sf).selectExpr(
         "recording_id", "CAST(key_no AS DOUBLE) AS first_ptp_time",
@@ -564,6 +646,31 @@ def q_update_by_key(spark, sf) -> DataFrame:
                             keys, ["recording_id"])
 
 
+def _stored_meta(spark, sf) -> str:
+    path = tb.scratch_path(spark, "meta_store")
+    tb.write_partitioned(fx.file_meta(spark, sf).withColumn("write_date", F.lit(FIXED_DATE)), path, ["recording_id"])
+    return path
+
+
+@query("replace_in_store")
+def q_replace_in_store(spark, sf) -> DataFrame:
+    """T1 on a stored table with a folder per recording: only folders that hold
+    a key or take a new row are written anew."""
+    path = _stored_meta(spark, sf)
+    tb.replace_in_store(spark, path, ["recording_id"], _new_rows(spark, sf).where("file_id > -15"),
+                        _nation_keys(spark, sf).where("region = 0"), ["recording_id"], date_col="write_date", when=FIXED_DATE)
+    return tb.read_table(spark, path)
+
+
+@query("update_in_store")
+def q_update_in_store(spark, sf) -> DataFrame:
+    """T2 on a stored table, with keys taken from the table itself."""
+    path = _stored_meta(spark, sf)
+    keys = tb.read_table(spark, path).where("filename_parquet = ''")
+    tb.update_in_store(spark, path, ["recording_id"], {"filename_parquet": "unnamed", "last_ptp_time": 0.0}, keys, ["file_id"])
+    return tb.read_table(spark, path)
+
+
 @query("table_scan")
 def q_table_scan(spark, sf) -> DataFrame:
     return tb.read_table(spark, table_path(sf, "orders"))
@@ -626,6 +733,22 @@ def q_tag_page_next(spark, sf) -> DataFrame:
     return tg.tag_page_after(fx.tags(spark, sf), (1000,))
 
 
+@query("tag_ranked_page")
+def q_tag_ranked_page(spark, sf) -> DataFrame:
+    """O3 by rank: tags in the order of their start, then id; 700 tags from
+    place 900, read from the ranges that hold them."""
+    path = tb.scratch_path(spark, "ranked_tags")
+    tg.write_ranked(fx.tags(spark, sf), path, ("start_time", "tag_id"))
+    return tg.ranked_page(spark, path, 900, 700)
+
+
+@query("tag_json_flatten")
+def q_tag_json_flatten(spark, sf) -> DataFrame:
+    """X7 with the columns found in the data."""
+    flat = tg.json_flatten(fx.load(spark, sf, "json_tag"), "item")
+    return flat.withColumn("marks", F.to_json("marks"))
+
+
 @query("tag_flatten")
 def q_tag_flatten(spark, sf) -> DataFrame:
     return tg.tag_flatten(fx.tags(spark, sf), "props", "struct<k:int>")

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajex.operators import filters as flt
@@ -33,10 +33,28 @@ TK = ["recording_id", "_tk"]
 
 @dataclass
 class SceneInputs:
+    """``stored``: ``objects`` come from ``object_store``, which carries the
+    tick and lies in buckets by (recording, tick)."""
     ego: DataFrame
     objects: DataFrame
     status: DataFrame
     intervals: DataFrame
+    stored: bool = False
+
+
+def write_object_store(objects: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """Stores objects as the catalog table ``name`` in ``buckets`` buckets by
+    (recording, time tick), sorted within them, so that every run of L5 on it
+    finds equal keys together: its dedup, its scene windows and its joins move
+    no object.  ``path``: where the files go, else the warehouse."""
+    # one task a bucket writes one file, so a bucket is read in its order
+    placed = objects.withColumn("_tk", F.round(flt.time_grid("ptp_time") * 10).cast("long")).repartition(buckets, *TK)
+    writer = placed.write.mode("errorifexists").bucketBy(buckets, *TK).sortBy(*TK)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def object_store(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name)
 
 
 def prepared(inp: SceneInputs, th: Thresholds = Thresholds()):
@@ -47,7 +65,9 @@ def prepared(inp: SceneInputs, th: Thresholds = Thresholds()):
     ego = (flt.ego_speed(flt.highway_filter(inp.ego, inp.intervals, broadcast=small))
            .withColumn("_tk", lab.time_key()))
     objects = flt.highway_filter(inp.objects, inp.intervals, broadcast=small)
-    objects = flt.object_roi(objects, th).withColumn("_tk", lab.time_key()).repartition(*TK)
+    objects = flt.object_roi(objects, th)
+    if not inp.stored:
+        objects = objects.withColumn("_tk", lab.time_key()).repartition(*TK)
     objects = flt.object_dedup(objects, key=[c for c in OBJECT_COLUMNS if c in objects.columns] + ["_tk"])
     status = (flt.highway_filter(flt.status_projection(inp.status), inp.intervals, broadcast=small)
               .withColumn("_tk", lab.time_key()))

@@ -22,8 +22,19 @@ def rec(k: str) -> str:
 
 
 def tick(k: str) -> str:
-    """Scene time 0..19.96 s in 0.04 s steps, never a rounding tie."""
-    return f"cast(({k} % 500) * 4 as double) / 100"
+    """Scene time in 0.04 s steps, never a rounding tie: 500 steps for every
+    6,000 keys, so the scenes grow longer with the data, not denser."""
+    return f"cast(({k} % 500) * 4 as double) / 100 + cast(floor({k} / 6000) as double) * 20"
+
+
+def lane(side: int) -> list[str]:
+    """One of the two lane lines of each track row: beside the position for
+    every fourth key, far from it for the others."""
+    y = f"cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - {3 - side} as double) / 16"
+    away = "case when o_orderkey % 4 = 0 then 0 else 40 + o_orderkey % 3 end"
+    x = "cast(o_orderkey % 1000 as double) / 8"
+    return [f"{rec('o_custkey')} as recording_id", "cast(o_orderkey as double) / 8 as ptp_time",
+            f"cast({side} as bigint) as TrackingID", f"{x} - 2|{x}|{x} + 2", f"{y} + {away}|{y} + {away}|{y} + {away} + 0.125"]
 
 
 def _arr(d: str, *items: str) -> str:
@@ -45,10 +56,33 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
     polyline_x = ("transform(sequence(0, 63), k -> cast(k as double))" if d == "spark"
                   else "list_transform(range(64), lambda k: cast(k as double))")
     return {
-        "interval": ("nation", [
-            f"{rec('n_nationkey')} as recording_id",
-            "cast(n_nationkey * 30 + 1 as double) / 100 as start_time",
-            "cast(n_nationkey * 30 + 1201 as double) / 100 as end_time",
+        # each supplier stands for 12 s of scene time of its recording, the next
+        # one of the recording for 12 s from 10 s later
+        "interval": ("supplier", [
+            f"{rec('s_suppkey')} as recording_id",
+            "cast(floor(s_suppkey / 20) * 1000 + s_suppkey % 20 * 30 + 1 as double) / 100 as start_time",
+            "cast(floor(s_suppkey / 20) * 1000 + s_suppkey % 20 * 30 + 1201 as double) / 100 as end_time",
+        ], None),
+        # intervals of all kinds: open to one or both sides, years long, the
+        # wrong way round, with NaN and null ends
+        "odd_interval": ("supplier", [
+            f"{rec('s_suppkey')} as recording_id", "s_suppkey as id",
+            "case s_suppkey % 9 when 0 then cast('-Infinity' as double) when 1 then cast('NaN' as double) "
+            "when 2 then cast(null as double) when 3 then -100000000 else cast(s_suppkey * 3 as double) end as start_time",
+            "case s_suppkey % 9 when 4 then cast('Infinity' as double) when 5 then cast('NaN' as double) "
+            "when 6 then cast(null as double) when 7 then cast(s_suppkey * 3 - 5 as double) "
+            "when 3 then 100000000 else cast(s_suppkey * 3 + 7 as double) end as end_time",
+        ], None),
+        # a track with holes: NaN and null positions and signals
+        "gap_track": ("orders", [
+            f"{rec('o_custkey')} as recording_id",
+            "cast(o_orderkey as double) / 8 as ptp_time",
+            "case when o_orderkey % 13 = 0 then cast('NaN' as double) when o_orderkey % 29 = 0 then cast(null as double) "
+            "else cast(o_orderkey % 1000 as double) / 8 end as PositionX",
+            "cast(o_orderkey % 97 as double) / 8 as PositionY",
+            "cast(o_orderkey % 11 as double) / 8 as PositionZ",
+            "case when o_orderkey % 5 = 0 then cast('NaN' as double) when o_orderkey % 7 = 0 then cast(null as double) "
+            "else cast((o_orderkey * 37) % 97 as double) / 1500 end as Yaw",
         ], None),
         "ego": ("orders", [
             f"{rec('o_custkey')} as recording_id",
@@ -115,30 +149,9 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
             "cast(s_suppkey * 75 as double) / 4 as start_time",
             "cast(s_suppkey * 75 as double) / 4 + 700 as end_time",
         ], None),
-        "lane_line_a": ("orders", [
-            f"{rec('o_custkey')} as recording_id",
-            "cast(o_orderkey as double) / 8 as ptp_time",
-            "cast(0 as bigint) as TrackingID",
-            _arr(d, "cast(o_orderkey % 1000 as double) / 8 - 2",
-                 "cast(o_orderkey % 1000 as double) / 8",
-                 "cast(o_orderkey % 1000 as double) / 8 + 2") + " as BoundaryLineX",
-            _arr(d, "cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - 3 as double) / 16",
-                 "cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - 3 as double) / 16",
-                 "cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - 3 as double) / 16 + 0.125")
-            + " as BoundaryLineY",
-        ], "o_orderkey % 4 = 0"),
-        "lane_line_b": ("orders", [
-            f"{rec('o_custkey')} as recording_id",
-            "cast(o_orderkey as double) / 8 as ptp_time",
-            "cast(1 as bigint) as TrackingID",
-            _arr(d, "cast(o_orderkey % 1000 as double) / 8 - 2",
-                 "cast(o_orderkey % 1000 as double) / 8",
-                 "cast(o_orderkey % 1000 as double) / 8 + 2") + " as BoundaryLineX",
-            _arr(d, "cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - 2 as double) / 16",
-                 "cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - 2 as double) / 16",
-                 "cast(o_orderkey % 97 as double) / 8 + cast(o_orderkey % 7 - 2 as double) / 16 + 0.125")
-            + " as BoundaryLineY",
-        ], "o_orderkey % 8 = 0"),
+        **{f"lane_line_{name}": ("orders", [
+            *lane(side)[:3], _arr(d, *lane(side)[3].split("|")) + " as BoundaryLineX", _arr(d, *lane(side)[4].split("|")) + " as BoundaryLineY",
+        ], None) for name, side in (("a", 0), ("b", 1))},
         "polyline": ("embeddings", [
             "cast(label as string) as recording_id",
             "cast(vec_id % 20 as double) as ptp_time",
@@ -147,12 +160,21 @@ def _defs(d: str) -> dict[str, tuple[str, list[str], str | None]]:
             f"{polyline_x} as BoundaryLineX",
             f"{polyline_y} as BoundaryLineY",
         ], None),
-        "interval_list": ("nation", [
-            f"{rec('n_nationkey')} as recording_id",
-            "concat('[[', cast(n_nationkey * 100 as string), '.5, ', "
-            "cast(n_nationkey * 100 + 40 as string), '.25],[', "
-            "cast(n_nationkey * 100 + 60 as string), '.0, ', "
-            "cast(n_nationkey * 100 + 95 + n_nationkey % 3 as string), '.75]]') as intervals",
+        "interval_list": ("supplier", [
+            f"{rec('s_suppkey')} as recording_id",
+            "concat('[[', cast(s_suppkey * 100 as string), '.5, ', "
+            "cast(s_suppkey * 100 + 40 as string), '.25],[', "
+            "cast(s_suppkey * 100 + 60 as string), '.0, ', "
+            "cast(s_suppkey * 100 + 95 + s_suppkey % 3 as string), '.75]]') as intervals",
+        ], None),
+        # tags whose JSON differs from row to row: fields that only some rows
+        # have, objects in objects, lists, nulls, no object at all
+        "json_tag": ("events", [
+            "event_id as tag_id",
+            "case event_id % 6 when 0 then concat('{\"k\":', cast(event_id % 90 as string), ',\"who\":{\"id\":', cast(user_id as string), '}}') "
+            "when 1 then concat('{\"who\":{\"id\":', cast(user_id as string), ',\"role\":{\"name\":\"', event_type, '\"}}}') "
+            "when 2 then concat('{\"k\":', cast(event_id % 90 as string), ',\"marks\":[1,2,', cast(event_id % 5 as string), ']}') "
+            "when 3 then '{\"k\":null}' when 4 then cast(null as string) else '{}' end as item",
         ], None),
         "tag": ("events", [
             "cast(user_id as string) as recording_id",
@@ -241,6 +263,7 @@ def file_meta(spark, sf_dir): return load(spark, sf_dir, "file_meta")
 def gnss(spark, sf_dir): return load(spark, sf_dir, "gnss")
 def road_types(spark, sf_dir): return load(spark, sf_dir, "road_type")
 def signals(spark, sf_dir): return load(spark, sf_dir, "signal")
+def gap_track(spark, sf_dir): return load(spark, sf_dir, "gap_track")
 
 
 def lane_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
