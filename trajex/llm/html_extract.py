@@ -8,11 +8,13 @@ tree then picks the most probable consistent choice: a node taken as a whole
 takes all its descendants, a node left out leaves all of them out, and only a
 node marked as mixed lets its children differ.
 
-Training pages: blocks of a bounded sample of the given pages (``SAMPLE``) fill
-page layouts of many kinds (with semantic elements, with class names only, and
-bare), in which menus, headers, notices, adverts, forms, sidebars, related
-links, reader comments and footers stand at known places.  So the labels are
-certain, the texts are those of the corpus, and no page is read by a rule.
+Training pages: text blocks of a bounded sample of the given pages (``SAMPLE``)
+fill page layouts of many kinds (with semantic elements, with class names only,
+and bare), in which menus, headers, notices, adverts, forms, sidebars, related
+links, hidden parts, reader comments and footers stand at known places.  So the
+labels are certain, the texts are those of the corpus, and no page is read by a
+rule.  The sampled pages are read whole, in tasks; of all their blocks and words
+bounded numbers, chosen by hash, come to the driver.
 
 Null and empty pages have an empty text.  Pages are read whole.
 """
@@ -24,16 +26,19 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajex.llm.boosting import Boosted
-from trajex.llm.common import append_columns, bounded_sample, hash_share, text
+from trajex.llm.common import append_columns, bounded_sample, hash_share, stage, text
 from trajex.llm.html_tree import TEXT, Tree, parse
+from trajex.session import ship_package
 
-#: Pages whose texts fill the layouts, characters of each that are read, and
-#: layouts made.
-SAMPLE, SAMPLE_CHARS, LAYOUTS = 200, 50_000, 900
+#: Pages whose texts fill the layouts, and layouts made; text blocks and words
+#: of these pages that are used, and characters of such blocks in all.  Blocks
+#: are whole: one that no longer fits is passed over.
+SAMPLE, LAYOUTS, BLOCKS, WORDS, ROOM = 200, 900, 2000, 4000, 4_000_000
 #: What a mixed node costs in log probability.
 MIXED = 3.0
 #: Pages whose nodes are scored at once.
@@ -57,7 +62,8 @@ BIT_OF_WORD = {w: 1 << k for k, v in enumerate(ATTRIBUTE_WORDS.values()) for w i
 TAG_GROUPS = ["article main", "nav menu", "header hgroup", "footer", "aside", "form fieldset button select label legend input dialog",
               "h1 h2 h3 h4 h5 h6", "p pre blockquote", "li ul ol dl dt dd", "table tbody tr td th", "div section body", "figure figcaption details summary"]
 BIT_OF_TAG = {t: 1 << (len(GROUPS) + k) for k, v in enumerate(TAG_GROUPS) for t in v.split()}
-BITS = len(GROUPS) + len(TAG_GROUPS)
+BIT_HIDDEN = 1 << (len(GROUPS) + len(TAG_GROUPS))
+BITS = len(GROUPS) + len(TAG_GROUPS) + 1
 SPLIT = re.compile(r"[^a-z]+")
 MARK = re.compile(r"[.,;:!?]")
 HIDDEN = re.compile(r"(?:^| )hidden=|display:\s*none", re.I)
@@ -66,6 +72,7 @@ HIDDEN = re.compile(r"(?:^| )hidden=|display:\s*none", re.I)
 def own_bits(tag: str, attributes: str) -> int:
     bits = BIT_OF_TAG.get(tag, 0)
     if attributes:
+        bits |= BIT_HIDDEN if HIDDEN.search(attributes) else 0
         shown = re.sub(r"(?:^| )(?:data-y|style)=\S*", " ", attributes)
         spaced = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", shown)
         for word in SPLIT.split(spaced.lower()):
@@ -159,8 +166,8 @@ def layout(rng: random.Random, paragraphs: list[str], words: list[str]) -> str:
     sentence = lambda a, b: some(a, b).capitalize() + "."
     long = lambda: rng.choice(paragraphs)
 
-    def box(tag: str, names: str, inner: str, mark: int = 0) -> str:
-        attributes = f' data-y="{mark}"'
+    def box(tag: str, names: str, inner: str, mark: int = 0, more: str = "") -> str:
+        attributes = f' data-y="{mark}"{more}'
         named = style == "classes" or (style == "semantic" and rng.random() < 0.3)
         if names and (named or tag == "div" and style == "semantic"):
             chosen = rng.choice(names.split())
@@ -206,6 +213,7 @@ def layout(rng: random.Random, paragraphs: list[str], words: list[str]) -> str:
     form = lambda: box("form", "form login search newsletter subscribe signup", "".join(f"<label>{esc(some(1, 4))}</label><input name=q>" for _ in range(rng.randint(1, 4))) + rng.choice(("", f"<p>{esc(sentence(3, 15))}</p>")) + f"<button>{esc(some(1, 2))}</button>")
     side = lambda: box("aside", "sidebar side widget related trending recommended", f"<h3>{esc(some(1, 4))}</h3>" + rng.choice((items(rng.randint(2, 9), lambda: link(2, 9)), f"<p>{esc(long())}</p>", "".join(f"<p>{esc(sentence(5, 30))}</p>" for _ in range(rng.randint(1, 4))))))
     related = lambda: box("section", "related more recommended teaser", f"<h2>{esc(some(1, 4))}</h2>" + items(rng.randint(2, 8), lambda: link(3, 10)))
+    hidden = lambda: box(rng.choice(("div", "section", "p", "aside")), "content text modal popup", rng.choice((esc(sentence(4, 40)), f"<p>{esc(long())}</p>")), 0, rng.choice((" hidden", ' style="display:none"', ' style="color:red; display: none"')))
     share = lambda: box("div", "share social sharing follow", " ".join(link(1, 2) for _ in range(rng.randint(2, 6))))
 
     def comment() -> str:
@@ -233,6 +241,8 @@ def layout(rng: random.Random, paragraphs: list[str], words: list[str]) -> str:
             body.append(paragraph(unclosed))
         if rng.random() < 0.03:
             body.append(advert())
+        if rng.random() < 0.02:
+            body.append(hidden())
     if rng.random() < 0.2:
         body.insert(rng.randint(0, 1), share())
     inside_end = (share() if rng.random() < 0.1 else "") + (comments() if rng.random() < 0.15 else "") + (related() if rng.random() < 0.1 else "")
@@ -265,18 +275,17 @@ def labels(tree: Tree) -> np.ndarray:
     return np.where(has & ~lacks, 1, np.where(lacks & ~has, 0, -1))
 
 
-def training_trees(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> list[Tree]:
-    """Layouts filled with the text blocks of the sample; a handful of neutral
-    sentences stands in where the sample has none."""
+def training_trees(paragraphs: list[str], words: list[str], layouts: int = LAYOUTS, seed: int = 5) -> list[Tree]:
+    """Layouts filled with text blocks and words; a handful of neutral ones
+    stands in where the sample has none."""
     rng = random.Random(seed)
-    found = [s for t in map(parse, pages) for s, n in zip(t.text, t.links, strict=True) if s and n * 2 < len(s)]
-    paragraphs = found or ["A day by the sea.", "The road was long, and nobody came.", "It rained on the hill."]
-    words = sorted({w.strip(".,;:!?") for s in paragraphs[:400] for w in s.split()[:40]} - {""})
+    paragraphs = paragraphs or ["A day by the sea.", "The road was long, and nobody came.", "It rained on the hill."]
+    words = words or sorted({w.strip(".,") for s in paragraphs for w in s.split()})
     return [parse(layout(rng, paragraphs, words)) for _ in range(layouts)]
 
 
-def train(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> Boosted:
-    trees = training_trees(pages, layouts, seed)
+def train(paragraphs: list[str], words: list[str] = (), layouts: int = LAYOUTS, seed: int = 5) -> Boosted:
+    trees = training_trees(list(paragraphs), list(words), layouts, seed)
     x, y = features(trees), np.concatenate([labels(t) for t in trees])
     weight = np.concatenate([np.full(len(t.tag), 30 / len(t.tag)) for t in trees])  # pages count alike
     return Boosted().fit(x[y >= 0], y[y >= 0].astype(float), weight[y >= 0])
@@ -293,16 +302,41 @@ def main_text(trees: list[Tree], model: Boosted) -> list[str]:
     return out
 
 
-def fit(df: DataFrame, column: str = "html", sample: int = SAMPLE) -> Boosted:
-    """Trains on a bounded sample of the different pages' texts, chosen by hash;
-    copies of a page count once."""
-    keyed = df.select(F.xxhash64(F.col(f"`{column}`")).alias("key"), F.substring(F.col(f"`{column}`"), 1, SAMPLE_CHARS).alias("page")).dropna()
+def page_blocks(pages: DataFrame, column: str) -> DataFrame:
+    """(block): the text blocks of whole pages that are not mostly links."""
+    def blocks(batches):
+        for batch in batches:
+            for page in batch.column(0):
+                tree = parse(page.as_py() or "")
+                found = [s for s, n in zip(tree.text, tree.links, strict=True) if s and n * 2 < len(s)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["block"])
+
+    ship_package(pages.sparkSession)
+    return pages.select(F.col(f"`{column}`")).mapInArrow(blocks, "block string")
+
+
+def sampled(df: DataFrame, column: str, sample: int = SAMPLE) -> tuple[list[str], list[str]]:
+    """Blocks and words of a bounded sample of the different pages, chosen by
+    hash; copies of a page, and blocks and words that repeat, count once."""
+    keyed = df.select(F.xxhash64(F.col(f"`{column}`")).alias("key"), F.col(f"`{column}`").alias("page")).dropna()
     among = keyed.agg(F.approx_count_distinct("key")).first()[0]
     # rows far above the sample's share of hashes go before copies are dropped
     share = min(1.0, 4 * sample / max(among, 1))
     near = keyed.filter(hash_share(F.col("key"), 7) <= share).groupBy("key").agg(F.min("page").alias("page"))
-    rows = bounded_sample(near, "key", among, sample).collect()
-    return train(sorted(r["page"] for r in rows))
+    found = stage(page_blocks(bounded_sample(near, "key", among, sample), "page").distinct(), "blocks")
+    words = found.select(F.explode(F.split("block", " ")).alias("w")).select(F.trim(F.lit(".,;:!?"), F.col("w")).alias("w")).filter("w <> ''").distinct()
+    words = [r["w"] for r in words.orderBy(F.xxhash64("w"), "w").limit(WORDS).collect()]
+    sized = found.select("block", F.length("block").alias("n")).orderBy(F.xxhash64("block"), "block").limit(BLOCKS)
+    # the running sum is over at most BLOCKS rows
+    fits = F.sum("n").over(Window.orderBy(F.xxhash64("block"), "block").rowsBetween(Window.unboundedPreceding, 0)) <= ROOM
+    blocks = [r["block"] for r in sized.filter(F.col("n") <= ROOM // 4).withColumn("fits", fits).filter("fits").collect()]
+    return sorted(blocks), sorted(words)
+
+
+def fit(df: DataFrame, column: str = "html", sample: int = SAMPLE) -> Boosted:
+    """Trains on layouts filled from a bounded sample of the pages."""
+    return train(*sampled(df, column, sample))
 
 
 def extract(df: DataFrame, model: Boosted, column: str = "html", to: str = "text") -> DataFrame:

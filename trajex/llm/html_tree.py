@@ -59,49 +59,89 @@ class Tree:
         return len(self.tag) - 1
 
 
+class Open:
+    """The open elements of a page.  Block elements form a stack of (tag, node);
+    the places of each tag are kept, so looking one up takes no walk.  Inline
+    elements are told by the block they were opened in and end with it; those
+    that ended so are dropped when their name is next looked up."""
+
+    def __init__(self):
+        self.stack = [("#page", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.inline: dict[str, list[tuple[int, int]]] = {}
+        self.loose, self.linked = [0], [0]  # inline elements and links opened in each block and still open
+        self.silent = self.links = 0
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, node))
+        self.loose.append(0)
+        self.linked.append(0)
+        self.silent += tag in SILENT
+
+    def pop(self) -> int:
+        tag, node = self.stack.pop()
+        self.places[tag].pop()
+        self.loose.pop()
+        self.links -= self.linked.pop()
+        self.silent -= tag in SILENT
+        return node
+
+    def last(self, tags) -> int:
+        """The place of the innermost open block of these tags; 0 if none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def within(self, tags, limits) -> int:
+        """That place, if none of the limits is open inside it."""
+        place = self.last(tags)
+        return place if place > self.last(limits) else 0
+
+    def start(self, name: str) -> None:
+        self.inline.setdefault(name, []).append((len(self.stack) - 1, self.stack[-1][1]))
+        self.loose[-1] += 1
+        if name == "a":
+            self.linked[-1] += 1
+            self.links += 1
+
+    def end(self, name: str) -> None:
+        """Ends the inline element of this name that was opened last."""
+        held = self.inline.get(name)
+        while held:
+            place, node = held.pop()
+            if place < len(self.stack) and self.stack[place][1] == node:
+                self.loose[place] -= 1
+                if name == "a":
+                    self.linked[place] -= 1
+                    self.links -= 1
+                return
+
+
 def parse(page: str) -> Tree:
-    tree = Tree()
-    stack = [("#page", 0)]  # open elements: (tag, node), inline ones with node -1
-    block = [0]  # nodes of the open block elements
+    tree, opened = Tree(), Open()
     run: list[str] = []
-    linked = inner = silent = in_links = 0
+    linked = inner = 0
 
     def flush():
         nonlocal run, linked, inner
         if run:
             words = "".join(run).split()
-            if words and not silent:
-                tree.add(TEXT, block[-1], "", " ".join(words), linked, inner)
+            if words and not opened.silent:
+                tree.add(TEXT, opened.stack[-1][1], "", " ".join(words), linked, inner)
             run = []
         linked = inner = 0
 
-    def close(depth: int):
-        """Ends the open elements from this place of the stack on."""
-        nonlocal silent, in_links
+    def close(place: int):
+        """Ends the open blocks from this place of the stack on."""
         flush()
-        while len(stack) > depth:
-            tag, node = stack.pop()
-            if node >= 0:
-                tree.end[node] = len(tree.tag)
-                block.pop()
-                silent -= tag in SILENT
-            else:
-                in_links -= tag == "a"
-
-    def open_at(tags, limits) -> int:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                return k
-            if stack[k][0] in limits:
-                return 0
-        return 0
+        while len(opened.stack) > place:
+            tree.end[opened.pop()] = len(tree.tag)
 
     def say(piece: str):
         nonlocal linked
         if piece:
             piece = html.unescape(piece) if "&" in piece else piece
             run.append(piece)
-            if in_links:
+            if opened.links:
                 linked += len(piece.strip())
 
     at, size = 0, len(page)
@@ -133,17 +173,13 @@ def parse(page: str) -> Tree:
             if name in ("body", "html"):
                 continue
             if name in BLOCK:
-                k = open_at((name,) if name not in HEADINGS else HEADINGS, ())
+                k = opened.last((name,) if name not in HEADINGS else HEADINGS)
                 if k:
                     close(k)
                 else:
                     flush()
             else:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name and stack[k][1] < 0:
-                        del stack[k]
-                        in_links -= name == "a"
-                        break
+                opened.end(name)
             continue
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?![a-zA-Z0-9])[^>]*>?", re.I).search(page, at)
@@ -153,31 +189,22 @@ def parse(page: str) -> Tree:
             run.append("\n")
             continue
         if name in BLOCK:
-            if name in CLOSES_P and (k := open_at(("p",), P_SCOPE)):
+            if name in CLOSES_P and (k := opened.within(("p",), P_SCOPE)):
                 close(k)
-            if name in HEADINGS and stack[-1][0] in HEADINGS:
-                close(len(stack) - 1)
+            if opened.stack[-1][0] in HEADINGS and name in HEADINGS and not opened.loose[-1]:
+                close(len(opened.stack) - 1)
             if name in ENDS:
-                tags, limits = ENDS[name]
-                while k := open_at(tags, limits):
+                while k := opened.within(*ENDS[name]):
                     close(k)
             flush()
             if name in VOID:
                 continue
             kept = " ".join(f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in ATTRIBUTE.finditer(page, begin, at - 1)) if at - begin > 3 else ""
-            node = tree.add(name, block[-1], kept)
-            stack.append((name, node))
-            block.append(node)
-            silent += name in SILENT
+            opened.push(name, tree.add(name, opened.stack[-1][1], kept))
         elif name not in VOID:
-            if name == "a" and in_links:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == "a" and stack[k][1] < 0:
-                        del stack[k]
-                        in_links -= 1
-                        break
-            stack.append((name, -1))
-            in_links += name == "a"
+            if name == "a" and opened.links:
+                opened.end(name)
+            opened.start(name)
             inner += 1
     close(1)
     flush()
