@@ -97,25 +97,53 @@ BASE = {"email": emails, "ip": addresses, "card": cards, "phone": phones}
 
 # ---- candidates, votes and features ---------------------------------------
 
-#: Wider patterns, by kind.
+#: Signs between the parts of an address that may be written out in words.
+AT = re.compile(r" ?\[at\] ?| ?\(at\) ?| at |@")
+WIDE_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot |\.)[A-Za-z0-9-]+)+")
+
+
+def wider_emails(value: str):
+    """Addresses around each sign for "at": the domain that follows it, and the
+    run of local characters before it from a letter or digit on.  No character
+    is looked at twice from the same side, however long a run without a sign."""
+    done = 0
+    for sign in AT.finditer(value):
+        if sign.start() < done:
+            continue
+        domain = WIDE_DOMAIN.match(value, sign.end())
+        if domain:
+            begin = sign.start()
+            while begin > done and value[begin - 1] in LOCAL:
+                begin -= 1
+            while begin < sign.start() and not value[begin].isalnum():
+                begin += 1
+            if begin < sign.start():
+                done = domain.end()
+                yield begin, done
+
+
+#: Wider patterns of the other kinds.  All are bounded in length.
 WIDER = {
-    "email": re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*(?: ?\[at\] ?| ?\(at\) ?| at |@)[A-Za-z0-9-]+(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot |\.)[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ .-]?[0-9]{4}){2}[ .-]?[0-9]{1,7}(?![0-9])|(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+.-])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
 }
 #: What a text must hold for the wider pattern to be worth a look.
-HINT = {"email": re.compile(r"@|\bat\b|\[at\]"), "ip": re.compile(r"[0-9]\.[0-9]|:[0-9A-Fa-f]+:"),
+HINT = {"email": re.compile(r"@| at |[\[(]at[\])]"), "ip": re.compile(r"[0-9]\.[0-9]|:[0-9A-Fa-f]+:"),
         "card": re.compile(r"[0-9]{4}"), "phone": re.compile(r"[0-9]{4}")}
 #: Gazetteers: name endings of addresses, first numbers of private or local
 #: networks and of card makers, telephone area code rules.
 TOP_LEVEL = frozenset("com org net edu gov io info biz de fr es uk us eu it nl ch at be pt br mx ca au jp cn ru in".split())
 CARD_MAKER = re.compile(r"4|5[1-5]|2[2-7]|3[47]|6(?:011|5)")
-#: Words before a span that speak for its kind, and words that speak against.
-FOR = {"email": "mail email contact courriel correo e-mail write", "ip": "ip address server host from adresse",
-       "card": "card visa mastercard credit pay carte karte tarjeta amex", "phone": "phone tel call telephone mobile fax appel telefon telefono"}
-AGAINST = {"email": "example sample", "ip": "version release v section chapter", "card": "isbn order invoice id serial account part",
-           "phone": "isbn order invoice id serial version"}
+#: Words before a span that speak for its kind, and words that speak against,
+#: in English, German, French and Spanish.
+FOR = {"email": "mail email e-mail contact write reach courriel correo kontakt kontakta adresse schreiben ecrire escribe address",
+       "ip": "ip ipv address server host from adresse direccion serveur servidor client gateway login",
+       "card": "card visa mastercard amex credit debit pay payment carte karte kreditkarte tarjeta bancaire zahlung pago",
+       "phone": "phone tel call telephone mobile cell fax appel appelez telefon telefono handy anrufen rufnummer llamar movil portable"}
+AGAINST = {"email": "example sample beispiel exemple ejemplo", "ip": "version release v section chapter kapitel chapitre seccion abschnitt build",
+           "card": "isbn order invoice id serial account part bestellung rechnung commande facture pedido factura nummer",
+           "phone": "isbn order invoice id serial version bestellung rechnung commande facture pedido factura"}
 FOR, AGAINST = ({k: frozenset(v.split()) for k, v in d.items()} for d in (FOR, AGAINST))
 WORD = re.compile(r"[A-Za-z-]+")
 #: Code points before a span that the context labelers read.
@@ -160,11 +188,11 @@ def candidates(value: str):
         found = [(b, e, True) for b, e in base]
         if HINT[kind].search(value):
             k = 0
-            for m in WIDER[kind].finditer(value):
-                while k < len(base) and base[k][1] <= m.start():
+            for begin, end in wider_emails(value) if kind == "email" else (m.span() for m in WIDER[kind].finditer(value)):
+                while k < len(base) and base[k][1] <= begin:
                     k += 1
-                if k == len(base) or base[k][0] >= m.end():
-                    found.append((m.start(), m.end(), False))
+                if k == len(base) or base[k][0] >= end:
+                    found.append((begin, end, False))
         for begin, end, is_base in sorted(found):
             yield (kind, begin, end, is_base, *votes_and_features(kind, value, begin, end, is_base))
 
@@ -231,21 +259,26 @@ def with_candidates(df: DataFrame, column: str = "text", to: str = "candidates")
     return append_columns(df, [column], make, [T.StructField(to, T.ArrayType(CANDIDATE))])
 
 
-def accepted(df: DataFrame, column: str = "candidates", threshold: float = 0.5) -> dict[tuple[str, str, str], bool]:
-    """The classifier's verdict on each (kind, votes, features) in ``df``,
-    from counts over all its candidates."""
-    one = df.select(F.explode(column).alias("c")).groupBy("c.kind", "c.votes", "c.features").agg(F.count("*").alias("n"))
-    counted: dict[str, list] = {}
-    for r in one.collect():  # at most 4 * 3 ** VOTES * 2 ** FEATURES rows
-        counted.setdefault(r["kind"], []).append((r["votes"], r["features"], r["n"]))
-    verdicts = {}
+def verdicts(counted: dict[str, list[tuple[str, str, int]]], threshold: float = 0.5) -> dict[tuple[str, str, str], bool]:
+    """The classifier's verdict on each (kind, votes, features), from the counts
+    of (votes, features) of each kind's candidates."""
+    found = {}
     for kind, rows in counted.items():
         totals: dict[str, int] = {}
         for votes, _, n in rows:
             totals[votes] = totals.get(votes, 0) + n
         for (votes, features), p in classify(sorted(rows), estimate(totals)).items():
-            verdicts[kind, votes, features] = p >= threshold
-    return verdicts
+            found[kind, votes, features] = p >= threshold
+    return found
+
+
+def accepted(df: DataFrame, column: str = "candidates", threshold: float = 0.5) -> dict[tuple[str, str, str], bool]:
+    """``verdicts`` from counts over all candidates of ``df``."""
+    one = df.select(F.explode(column).alias("c")).groupBy("c.kind", "c.votes", "c.features").agg(F.count("*").alias("n"))
+    counted: dict[str, list] = {}
+    for r in one.collect():  # at most 4 * 3 ** VOTES * 2 ** FEATURES rows
+        counted.setdefault(r["kind"], []).append((r["votes"], r["features"], r["n"]))
+    return verdicts(counted, threshold)
 
 
 def find(df: DataFrame, column: str = "text", keep_text: bool = True) -> DataFrame:
