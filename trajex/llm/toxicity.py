@@ -7,11 +7,13 @@ through the noisy-or, so it learns which sentences offend and can point at
 them.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents,
-half of them toxic if there are enough, chosen by a hash of their id, and of at
-most ``ROOM`` characters in all, half for each kind.  A label goes with a whole
-text only: a text that no longer fits is passed over, not cut.  Statistics of the labels (how rare
-toxic documents are) cover all training labels.  Scoring reads every whole
-text.
+half of them toxic if there are enough, chosen by a hash of their id.  Tasks
+turn their whole texts into numbers of features per sentence; the driver gets
+these numbers only, at most ``ROOM`` of them (4 bytes each on arrival, about 40
+while the model is fitted), half for each kind.  A label goes with a whole text
+only: a text whose numbers no longer fit is passed over, not cut.  Statistics of
+the labels (how rare toxic documents are) cover all training labels.  Scoring
+reads every whole text.
 
 Null and empty texts are one empty sentence and get the model's lowest base
 score.  Without labels of both kinds every score is 0.  Of several labels of a
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from trajex.llm.common import WordCache, append_columns, bounded_sample, hash_share, stage
 
-SAMPLE, ROOM = 4000, 80_000_000
+SAMPLE, ROOM = 4000, 10_000_000
 DIMENSIONS = 1 << 18
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (3, 4, 5)
@@ -68,7 +70,7 @@ class Model:
     def scorer(self):
         """value -> logits of its sentences."""
         weights, bias = self.weights, self.bias
-        words = WordCache(lambda w: float(weights[word_features(w)].sum()))
+        words = WordCache(lambda w: float(weights[word_features(w)].sum()), 32 << 20)
 
         def score(value: str) -> np.ndarray:
             lowered = value.lower()
@@ -83,29 +85,55 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0, logits).sum()))
 
 
+def sentence_features(value: str, known) -> tuple[list[int], list[int]]:
+    """Numbers of features in each sentence of a text, and the features, one
+    sentence after the other; ``known`` gives a word's features."""
+    sizes, found = [], []
+    lowered = value.lower()
+    for a, b in sentences(lowered):
+        before = len(found)
+        for word in set(WORD.findall(lowered, a, b)):
+            found += known[word]
+        sizes.append(len(found) - before)
+    return sizes, found
+
+
+def with_features(df: DataFrame, column: str) -> DataFrame:
+    """Adds ``sizes`` and ``features`` of each text."""
+    def make():
+        known = WordCache(word_features, size=lambda v: 200)
+
+        def run(texts):
+            pairs = [sentence_features(x or "", known) for x in texts]
+            return [np.array(p[0], np.int32) for p in pairs], [np.array(p[1], np.int32) for p in pairs]
+        return run
+
+    numbers = T.ArrayType(T.IntegerType())
+    return append_columns(df, [column], make, [T.StructField("sizes", numbers), T.StructField("features", numbers)])
+
+
 def train(texts: list[str], labels: list[int], rate: float | None = None) -> Model:
-    """Full-batch Adam on the noisy-or likelihood.  ``rate``: share of toxic
-    documents among all training labels; the sample's classes are weighted back
-    to it halfway (by square roots), which keeps the rare class learnable."""
-    y = np.array(labels, np.float64)
+    """``train_features`` on texts."""
+    known = WordCache(word_features, size=lambda v: 200)
+    pairs = [sentence_features(x, known) for x in texts]
+    sizes, feature = (np.array([v for p in pairs for v in p[k]], np.int32) for k in (0, 1))
+    return train_features(sizes, feature, np.array([len(p[0]) for p in pairs], np.int64), np.array(labels, float), rate)
+
+
+def train_features(sizes: np.ndarray, feature: np.ndarray, counts: np.ndarray, y: np.ndarray, rate: float | None = None) -> Model:
+    """Full-batch Adam on the noisy-or likelihood.  ``sizes``: features of each
+    sentence, ``feature``: their numbers, ``counts``: sentences of each document,
+    ``y``: the documents' labels.  ``rate``: share of toxic documents among all
+    training labels; the sample's classes are weighted back to it halfway (by
+    square roots), which keeps the rare class learnable."""
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(DIMENSIONS, np.float32), -40.0, trained=False)
-    features, sizes, of_sentence = [], [], []
-    known = WordCache(word_features)
-    for number, value in enumerate(texts):
-        lowered, found = value.lower(), []
-        for a, b in sentences(lowered):
-            before = len(found)
-            for word in set(WORD.findall(lowered, a, b)):
-                found += known[word]
-            sizes.append(len(found) - before)
-            of_sentence.append(number)
-        features.append(np.array(found, np.int32))
-    feature, of_sentence = np.concatenate(features), np.array(of_sentence, np.int64)
+    of_sentence = np.repeat(np.arange(len(y)), counts)
     owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     documents = np.zeros(DIMENSIONS, np.int64)
-    for found in features:
-        documents[np.unique(found)] += 1
+    ends = np.cumsum(np.bincount(of_sentence, sizes, len(y))).astype(np.int64).tolist()
+    for begin, end in zip([0, *ends[:-1]], ends, strict=True):
+        documents[np.unique(feature[begin:end])] += 1
     often = documents >= LEAST_DOCUMENTS
     held = often[feature]
     feature, owner = feature[held], owner[held]
@@ -140,8 +168,8 @@ def held_out(identifier: Column) -> Column:
 
 
 def passed_over(sizes: list[tuple], room: int) -> list:
-    """Of (id, kind, characters) in the order of choice the ids whose texts do
-    not fit into what is left of their kind's half of the room."""
+    """Of (id, kind, size) in the order of choice the ids whose texts do not fit
+    into what is left of their kind's half of the room."""
     left, over = {0: room // 2, 1: room // 2}, []
     for identifier, kind, size in sizes:
         if size > left[kind]:
@@ -153,8 +181,8 @@ def passed_over(sizes: list[tuple], room: int) -> list:
 
 def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str = "text", label: str = "toxic",
         sample: int = SAMPLE) -> Model:
-    """Trains on labelled documents outside the held-out third.  Only the
-    bounded sample's texts come to the driver."""
+    """Trains on labelled documents outside the held-out third.  Only numbers of
+    the bounded sample's features come to the driver."""
     known = (labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
              .dropna().filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect() if r["y"] in (0, 1)}  # two rows
@@ -163,11 +191,16 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
     chosen = bounded_sample(known.filter("y = 1"), "id", counts[1], sample // 2).unionByName(
         bounded_sample(known.filter("y = 0"), "id", counts[0], sample - sample // 2))
     texts = df.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("t"))
-    held = stage(texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "toxicity-sample")
-    sizes = held.select("id", "y", F.length("t").alias("n")).orderBy(hash_share(F.col("id"), 7), "id").collect()
+    # of repeated ids the smallest text stands for the document
+    one = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("t").alias("t"), F.first("y").alias("y"))
+    held = stage(with_features(one, "t").drop("t").withColumn("n", F.size("features").cast("long")), "toxicity-sample")
+    sizes = held.select("id", "y", "n").orderBy(hash_share(F.col("id"), 7), "id").collect()  # at most ``sample`` rows
     over = passed_over([tuple(r) for r in sizes], ROOM)
-    rows = held.filter(~F.col("id").isin(over)).orderBy("id").collect() if over else held.orderBy("id").collect()
-    return train([r["t"] for r in rows], [r["y"] for r in rows], counts[1] / (counts[0] + counts[1]))
+    rows = (held.filter(~F.col("id").isin(over)) if over else held).orderBy("id").select("y", "sizes", "features").toArrow()
+    lists = [rows.column(c).combine_chunks() for c in ("sizes", "features")]
+    numbers = [np.asarray(x.flatten().to_numpy(zero_copy_only=False), np.int32) for x in lists]
+    return train_features(*numbers, lists[0].value_lengths().to_numpy().astype(np.int64), rows.column("y").to_numpy().astype(float),
+                          counts[1] / (counts[0] + counts[1]))
 
 
 def score(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
