@@ -8,10 +8,13 @@ parts form a tile.  Two fingerprints within ``radius`` bits have population
 counts that differ by at most ``radius`` in sum over the parts, so all other
 pairs of tiles are skipped without loss.  A fingerprint visits the tiles it may
 have partners in; inside a tile numpy compares blocks by exclusive-or and bit
-counts.  Large tiles are split into pieces of about ``PIECE`` fingerprints that
-are separate groups, so memory and tasks stay bounded.  A tile gives only the
-edges of a spanning forest of its links, never all pairs; components keep every
-link.
+counts.  A large tile is split into pieces of about ``PIECE`` fingerprints at
+home in it, and its visitors into parts of about as many; each piece meets each
+part in a group of its own.  So memory and the work of a group stay bounded, and
+of all ways to cut the same work into groups square ones copy the fewest rows:
+a fingerprint goes to one group for every ``PIECE`` fingerprints on the other
+side.  A tile gives only the edges of a spanning forest of its links, never all
+pairs; components keep every link.
 
 Null and empty texts have no shingles and fingerprint zero, which links like
 any other.  Texts with fewer words than a shingle have one shingle, the whole
@@ -35,8 +38,9 @@ from trajex.llm.components import spanning
 SHINGLE, RADIUS = 3, 3
 PARTS, PART_BITS = 4, 16
 BASE = PART_BITS + 1
-#: Fingerprints in a piece of a tile, and sides of the blocks compared at once.
-PIECE, SIDE, ACROSS = 65536, 512, 4096
+#: Fingerprints in a piece of a tile and in a part of its visitors, and sides of
+#: the blocks compared at once.
+PIECE, SIDE, ACROSS = 1 << 19, 512, 4096
 #: Hashes whose bits are unpacked at once.
 HASHES = 1 << 16
 
@@ -129,6 +133,7 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (fp) whose components are
     those of all links within ``radius`` bits."""
     ship_package(fingerprints.sparkSession)
+    piece = PIECE
     counts = part_counts(F.col("fp"))
 
     def number(parts: list[Column]) -> Column:
@@ -138,41 +143,56 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
         return total
 
     fps = stage(fingerprints.select("fp", F.array(*counts).alias("counts"), number(counts).cast("int").alias("tile")), "fingerprints")
-    # at most BASE ** PARTS = 83,521 rows of two numbers, whatever the input
-    tiles = F.broadcast(fps.groupBy("tile").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces")))
     steps = F.array(*(F.array(*map(F.lit, s)) for s in neighbour_steps(radius)))
     to = [F.col("counts")[k] + F.col("step")[k] for k in range(PARTS)]
     fits = F.lit(True)
     for part in to:
         fits = fits & part.between(0, PART_BITS)
-    visits = (fps.withColumn("step", F.explode(steps)).filter(fits)
-              .select("fp", number(to).cast("int").alias("tile")).join(tiles, "tile")
-              .select("tile", F.explode(F.expr("sequence(0, pieces - 1)")).alias("piece"), "fp", F.lit(1).alias("visit")))
+
+    def visiting(rows: DataFrame) -> DataFrame:
+        """Rows with the ``tile`` of every step instead of their own."""
+        return rows.drop("tile").withColumn("step", F.explode(steps)).filter(fits).withColumn("tile", number(to).cast("int")).drop("step", "counts")
+
+    # at most BASE ** PARTS = 83,521 rows of a few numbers, whatever the input
+    sizes = stage(fps.groupBy("tile").agg(F.first("counts").alias("counts"), F.count("*").alias("n")), "tiles")
+    guests = visiting(sizes).groupBy("tile").agg(F.sum("n").alias("guests"))
+
+    def cut(n) -> Column:
+        return F.greatest(F.lit(1), F.ceil(n / piece)).cast("int")
+
+    tiles = F.broadcast(stage(sizes.join(guests, "tile", "left").select(
+        "tile", cut(F.col("n")).alias("pieces"), cut(F.coalesce("guests", F.lit(0)) + F.when(F.col("n") > piece, F.col("n")).otherwise(0)).alias("parts")), "tiles"))
     own = F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")
-    homes = (fps.join(tiles, "tile").withColumn("own", own)
-             .select("tile", F.explode(F.expr("sequence(own, pieces - 1)")).alias("piece"), "fp", "own")
-             .select("tile", "piece", "fp", (F.col("piece") != F.col("own")).cast("int").alias("visit")))
+    part = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")
+    visits = (visiting(fps).join(tiles, "tile").withColumn("part", part)
+              .select("tile", F.explode(F.expr("sequence(0, pieces - 1)")).alias("piece"), "part", "fp", F.lit(1).alias("visit")))
+    homes = fps.join(tiles, "tile").withColumn("own", own).withColumn("part", part)
+    # at home in every part of the own piece; a visitor of the later pieces
+    settled = homes.select("tile", F.col("own").alias("piece"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "fp", F.lit(0).alias("visit"))
+    later = homes.filter("own + 1 < pieces").select("tile", F.explode(F.expr("sequence(own + 1, pieces - 1)")).alias("piece"), "part", "fp", F.lit(1).alias("visit"))
 
     def compare(batches):
         key, group = None, None
         for batch in batches:
-            tile, piece, fp, visit = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            tile, piece, part, fp, visit = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
             fp = fp.astype(np.int64).view(np.uint64)
-            cuts = (np.flatnonzero((tile[1:] != tile[:-1]) | (piece[1:] != piece[:-1])) + 1).tolist()
+            cuts = (np.flatnonzero((tile[1:] != tile[:-1]) | (piece[1:] != piece[:-1]) | (part[1:] != part[:-1])) + 1).tolist()
             for begin, end in zip([0, *cuts], [*cuts, len(fp)], strict=True):
                 if begin == end:
                     continue
-                if key != (tile[begin], piece[begin]):
+                if key != (tile[begin], piece[begin], part[begin]):
                     if group:
                         yield from group.edges()
-                    key, group = (tile[begin], piece[begin]), TileGroup(radius)
+                    # pairs at home are compared in the first part only
+                    key, group = (tile[begin], piece[begin], part[begin]), TileGroup(radius, part[begin] == 0)
                 split = begin + int(np.searchsorted(visit[begin:end], 1))  # homes come first
                 group.settle(fp[begin:split])
                 group.receive(fp[split:end])
         if group:
             yield from group.edges()
 
-    return (homes.unionByName(visits).repartition("tile", "piece").sortWithinPartitions("tile", "piece", "visit")
+    at = ("tile", "piece", "part")
+    return (settled.unionByName(later).unionByName(visits).repartition(*at).sortWithinPartitions(*at, "visit")
             .mapInArrow(compare, "a long, b long"))
 
 
@@ -180,8 +200,8 @@ class TileGroup:
     """One piece of a tile: the fingerprints at home in it, then a stream of
     visitors, each compared with all of them."""
 
-    def __init__(self, radius: int):
-        self.radius, self.parts, self.home, self.forest = radius, [], None, Forest()
+    def __init__(self, radius: int, inside: bool = True):
+        self.radius, self.inside, self.parts, self.home, self.forest = radius, inside, [], None, Forest()
 
     def settle(self, fps: np.ndarray) -> None:
         if len(fps):
@@ -190,7 +210,7 @@ class TileGroup:
     def _close(self) -> None:
         if self.home is None:
             self.home = np.concatenate(self.parts) if self.parts else np.empty(0, np.uint64)
-            for a, b in near_pairs(self.home, self.home, self.radius):
+            for a, b in near_pairs(self.home, self.home, self.radius) if self.inside else ():
                 once = a < b
                 self.forest.add(a[once], b[once])
 
