@@ -28,7 +28,7 @@ share.  Every round undoes itself, so the inverse is the rounds backwards.
 Null texts have size 0; documents of size 0 are in no block and taken 0 times.
 The null source is a source of its own.  Repeated rows are separate documents.
 The plan depends on ids, sizes and sources only, so reruns agree; null ids are
-told apart by the order of the rows.  Columns of any name pass through
+told apart by a hash of their texts.  Columns of any name pass through
 ``mixed_documents``.  An empty table gives an empty mix.
 
 One-task windows run over one row per source, or per source and shard;
@@ -190,6 +190,7 @@ def sized(df: DataFrame, id_column: str, column: str, source_column: str, more:
         F.col(f"`{id_column}`").alias("id"), source.alias("source"),
         F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("null")).alias("source_key"),
         F.coalesce(F.regexp_count(F.col(f"`{column}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.when(F.col(f"`{id_column}`").isNull(), F.xxhash64(F.col(f"`{column}`"))).alias("h"),  # tells rows without an id apart
         F.monotonically_increasing_id().alias("row"), *more)
 
 
@@ -204,14 +205,14 @@ def pieces(rows: DataFrame, targets: DataFrame, block: int = BLOCK, seed: int =
     document's words ``lo`` to ``hi`` inside the block and ``at``, its first
     word there.  Offsets are prefix sums over groups of documents, then inside
     each group."""
-    dealt = rows.filter("size > 0").select("id", "row", "source_key", "size",
-                                           F.pmod(F.xxhash64(F.lit(seed), "id", F.when(F.col("id").isNull(), F.col("row"))), F.lit(BUCKETS)).alias("bucket"))
+    dealt = rows.filter("size > 0").select("id", "row", "source_key", "size", "h",
+                                           F.pmod(F.xxhash64(F.lit(seed), "id", "h"), F.lit(BUCKETS)).alias("bucket"))
     running = Window.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     starts = dealt.groupBy("source_key", "bucket").agg(F.sum("size").alias("size")).select(
         "source_key", "bucket",
         F.coalesce(F.sum("size").over(running.partitionBy("source_key").orderBy("bucket")), zero).alias("start"))
-    inside = F.coalesce(F.sum("size").over(running.partitionBy("source_key", "bucket").orderBy("id", "size", "row")), zero)
+    inside = F.coalesce(F.sum("size").over(running.partitionBy("source_key", "bucket").orderBy("id", "size", "h", "row")), zero)
     laid = (dealt.withColumn("inside", inside).join(starts, ["source_key", "bucket"])
             .withColumn("offset", F.col("start") + F.col("inside")))
     laid = small_join(laid, targets.select("source_key", "place"), "source_key", "inner")

@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajex.llm.common import checkpoint_dir, stage
+from trajex.llm.common import checkpoint_dir, note_written, stage
 
 #: Shorter payloads are stored by digest too, but their records are responses.
 MIN_REVISIT = 100
@@ -103,7 +103,9 @@ def named_id(value: Column) -> Column:
 
 
 def scratch_archive(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm/warc-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/warc-{uuid.uuid4().hex}"
+    note_written(spark, path)
+    return path
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
