@@ -222,6 +222,43 @@ def test_mix_meets_targets(spark):
     assert sum(len(r.text.split()) for r in mixed.collect()) == sum(r.taken for r in got)
 
 
+def test_draws_of_the_shards_decide_the_slots(spark):
+    rng = random.Random(19)
+    rows = [(k, " ".join(["w"] * rng.randint(1, 300)), s) for k, s in enumerate(rng.choices(["a", "b", "c", None], [60, 20, 10, 1], k=700))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = mixing.sized(df, "doc_id", "text", "source")
+    targets = mixing.targets_of(sizes)
+    passes = mixing.passes_of(targets, 16)
+    quota = {r.place: r.quota for r in passes.groupBy("place").agg(F.sum("slots").alias("quota")).collect()}
+    drawn = mixing.drawn_counts(passes.groupBy("place").agg(F.sum("slots").alias("quota")), 8).collect()
+    n = sum(quota.values())
+    per_shard = {}
+    for r in drawn:
+        per_shard.setdefault(r.shard, {})[r.place] = r.n
+    assert sorted(sum(c.values()) for c in per_shard.values()) == sorted(n // 8 + (k < n % 8) for k in range(8))
+    # a multinomial draw: counts scatter about their mean as they should
+    chi = sum((per_shard[s].get(p, 0) - q / 8) ** 2 / (q / 8 * (1 - q / n)) for s in per_shard for p, q in quota.items() if 0 < q < n)
+    assert 0.3 < chi / (8 * len(quota)) < 2.5
+    slots = mixing.slots(targets, 16, 8).collect()
+    assert sorted((r.place, r.turn, r.slot) for r in slots) == sorted({(r.place, r.turn, r.slot) for r in slots})
+    got, indexes = {}, {}
+    for r in slots:
+        got.setdefault(r.shard, {}).setdefault(r.place, 0)
+        got[r.shard][r.place] += 1
+        indexes.setdefault((r.place, r.turn), []).append(r.index)
+    assert all(len(x) == len(set(x)) for x in indexes.values())  # a block once a pass
+    # shards stay equal, and differ from the draw only by what meets the quotas
+    assert sum(sum(c.values()) for c in got.values()) <= n
+    moved = sum(max(0, sum(per_shard[s].get(p, 0) for s in per_shard) - q) for p, q in quota.items())
+    differs = sum(abs(got[s].get(p, 0) - per_shard[s].get(p, 0)) for s in per_shard for p in quota)
+    assert differs <= 2 * moved + len(quota) * 2
+    blocks = mixing.mixed_blocks(df, block=16, shards=8)
+    held = blocks.collect()
+    assert {(r.shard, r.turn, r.slot) for r in held} == {(r.shard, r.turn, r.slot) for r in slots}
+    assert sum(r.n_words for r in held) == sum(r.taken for r in mixing.mix(df, block=16).collect())
+    assert all(len(r.text.split()) == r.n_words <= 16 for r in held)
+
+
 def test_permutation_and_its_inverse(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).withColumn("keys", mixing.round_keys(42, F.lit(3), F.lit(0), F.lit(n)))
@@ -380,16 +417,15 @@ def test_toxicity_trains_on_whole_texts(spark, monkeypatch):
         rows.append((k, ". ".join([*sentences, "you are a grubber thing" if k % 3 == 0 else "a calm day"]) + ".", int(k % 3 == 0)))
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     assert min(len(r[1]) for r in rows) > 20_000
-    seen = {}
-    train = toxicity.train
-    monkeypatch.setattr(toxicity, "train", lambda t, y, *a: seen.update(zip(t, y)) or train(t, y, *a))
+    seen = []
+    train = toxicity.train_features
+    monkeypatch.setattr(toxicity, "train_features", lambda sizes, f, n, y, rate: seen.append((n, y, len(f))) or train(sizes, f, n, y, rate))
     scored = toxicity.score(df, toxicity.fit(df, df.select("doc_id", "toxic"))).collect()
     assert np.mean([(r.score >= 0.7) == r.toxic for r in scored]) > 0.97
-    assert seen and seen.items() <= {(r[1], r[2]) for r in rows}
-    monkeypatch.setattr(toxicity, "ROOM", 500_000)  # fewer rows, none of them cut
-    seen.clear()
+    assert set(seen[0][0].tolist()) == {10}  # every sentence of every text
+    monkeypatch.setattr(toxicity, "ROOM", seen[0][2] // 4)  # fewer rows, none of them cut
     toxicity.fit(df, df.select("doc_id", "toxic"))
-    assert 10 < len(seen) < 30 and seen.items() <= {(r[1], r[2]) for r in rows}
+    assert len(seen[1][1]) < len(seen[0][1]) / 2 and set(seen[1][0].tolist()) == {10} and 0 < seen[1][1].mean() < 1
     assert toxicity.passed_over([("a", 1, 9), ("b", 1, 5), ("c", 0, 3), ("d", 1, 4)], 18) == ["b", "d"]
 
 
@@ -402,12 +438,36 @@ def test_tree_reader_of_broken_pages():
     assert parse("").text == [""] and parse("<").text[-1] == "<"
 
 
+def test_tree_reader_takes_linear_time():
+    import time
+    for page in ("<div>" * 200_000, "<b>" * 200_000 + "</i>" * 100_000, "<a><div>" * 100_000, "<li><p>x" * 100_000, "<table><tr><td>" * 60_000):
+        began = time.process_time()
+        tree = parse(page)
+        assert time.process_time() - began < 6
+        assert tree.end[0] == len(tree.tag)
+    kinds = parse("<div><a href=x><p>in</p></a> out</div><h1><b>x<h2>y</h2>")
+    assert [(t, n) for t, n in zip(kinds.text, kinds.links) if t] == [("in", 2), ("out", 0), ("x", 0), ("y", 0)]
+
+
+def test_hidden_elements_and_long_heads(spark):
+    """Words come from whole pages, also behind a long script; hidden parts are told apart."""
+    paragraphs = texts(23, 40)
+    long_head = "<script>" + "x();" * 50_000 + "</script>"
+    pages = [(k, f"<html><head>{long_head}</head><body><p>{p} number{k}</p></body></html>") for k, p in enumerate(paragraphs)]
+    blocks, words = html_extract.sampled(spark.createDataFrame(pages, "page_id long, html string"), "html")
+    assert len(blocks) == len(set(blocks)) >= 40 and "number3" in words
+    assert html_extract.own_bits("div", "class=x hidden=") & html_extract.BIT_HIDDEN
+    assert html_extract.own_bits("div", "style=color:red; display: none") & html_extract.BIT_HIDDEN
+    assert not html_extract.own_bits("div", "class=hidden") & html_extract.BIT_HIDDEN
+
+
 def test_html_extraction_on_other_layouts(spark):
     paragraphs = texts(21, 60)
     pages = [f"<body><nav><a href=x>m</a></nav><article><p>{p}</p><p>{q}</p></article></body>" for p, q in zip(paragraphs, paragraphs[1:])]
-    model = html_extract.train(pages, layouts=250)
+    words = sorted({w for p in paragraphs for w in p.split()})
+    model = html_extract.train(paragraphs, words, layouts=250)
     hits = wants = takes = 0
-    for tree in html_extract.training_trees(pages, 60, seed=77):
+    for tree in html_extract.training_trees(paragraphs, words, 60, seed=77):
         marks = html_extract.labels(tree)
         want = {k for k, t in enumerate(tree.tag) if t == "#text" and marks[k] == 1}
         got = set(html_extract.decode(tree, model.predict(html_extract.features([tree]))))
@@ -473,7 +533,7 @@ def test_queries_with_sql_match(spark, sf_small):
 
     from trajex.llm.queries import QUERIES, SQL
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.sql(f"create view {t} as from '{sf_small}/{t}.parquet'")
     for name, sql in SQL.items():
         found, want = QUERIES[name](spark, sf_small), con.sql(sql)
