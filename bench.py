@@ -9,7 +9,7 @@ line.
 Pairs ``*_naive`` / rewritten compare the plan as first written against the
 rewritten plan: the overlay (``scenario_labels``), the scene summary
 (``scene_summary_eager``) and the yaw scan (``lane_change_scan``, whose naive
-form runs each whole group through one Python loop).
+form hands each whole group to one Python call).
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 def naive_queries():
     from trajex.operators import labels as lab
+    from trajex.operators import sequence as seq
     from trajex.plans import queries as qm
     from trajex.plans import scenario as scn
+    from trajex.schema import SCAN_BASIC, ScanParams
 
     def scenario_labels_naive(spark, sf):
         return scn.scenario_labels_naive(qm.scene_inputs(spark, sf))
@@ -44,30 +46,23 @@ def naive_queries():
         return lab.scene_summary(obj, ego)
 
     def lane_change_scan_naive(spark, sf):
-        """The scan as first written: each whole (recording, interval) group
-        handed to one Python loop (comparison only; not a library path)."""
+        """The scan with one Python call per (recording, interval) group, each
+        group whole in one task (comparison only; not a library path): the
+        library's search and walk without its numbering, chunks and batches."""
+        import numpy as np
         import pandas as pd
 
+        p = ScanParams.of(SCAN_BASIC)
+
         def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("ptp_time").reset_index(drop=True)
-            yaw, t = pdf["Yaw"].to_numpy(), pdf["ptp_time"].to_numpy()
-            out, n, i = [], len(pdf), 0
-            while i < n:
-                hit = None
-                for j in range(i + 1, min(i + 70, n - 1) + 1):
-                    m = round((i + j) / 2)
-                    d = abs(yaw[m] - yaw[i])
-                    if abs(yaw[j] - yaw[i]) <= 0.001 and 0.015 < d < 0.1:
-                        hit = j
-                        break
-                if hit is None:
-                    i += 1
-                elif hit >= i + 40:
-                    out.append((pdf["recording_id"].iloc[0], int(pdf["id"].iloc[0]), i, hit, t[i], t[hit]))
-                    i += 41
-                else:
-                    i += 2
-            return pd.DataFrame(out, columns=["recording_id", "id", "i", "j", "t_i", "t_j"])
+            pdf = pdf.sort_values("ptp_time", ignore_index=True)
+            rows = np.arange(len(pdf))
+            k = seq.first_hits(np.append(pdf["Yaw"], np.full(p.maximum, np.nan)), rows, rows % 2 == 1, p)
+            hit = np.flatnonzero(k)
+            step, emit = seq._steps(k[hit], p)
+            i = np.array([hit[n] for n in seq._walk(hit, step, 0, len(pdf)) if emit[n]], dtype=np.int64)
+            t = pdf["ptp_time"].to_numpy()
+            return pdf.loc[i, ["recording_id", "id"]].assign(i=i, j=i + k[i], t_i=t[i], t_j=t[i + k[i]])
 
         tr = qm.track_in_intervals(spark, sf).select("recording_id", "id", "ptp_time", "Yaw")
         return tr.groupBy("recording_id", "id").applyInPandas(

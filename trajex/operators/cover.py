@@ -38,8 +38,8 @@ def cover(df: DataFrame, lo: str, hi: str, unit: float) -> DataFrame:
 
 
 def levels_of(covered: DataFrame) -> list[int]:
-    """The levels that a cover uses: one job, at most ``TOP`` + 1 rows."""
-    return sorted(r["_lv"] for r in covered.select("_lv").distinct().collect())
+    """The levels that a cover uses, found in one job."""
+    return sorted(r["_lv"] for r in covered.select("_lv").distinct().collect())  # at most TOP + 1 rows
 
 
 def place(t: Column, level: int, unit: float) -> Column:

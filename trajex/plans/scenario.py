@@ -120,6 +120,6 @@ def scenario_labels_naive(inp: SceneInputs, th: Thresholds = Thresholds()) -> Da
     objects = flt.object_dedup(flt.object_roi(flt.highway_filter(inp.objects, inp.intervals), th))
     status = flt.highway_filter(flt.status_projection(inp.status), inp.intervals)
     summary = lab.scene_summary_naive(objects, ego)
-    return lab.combine_status_chained(
+    return lab.combine_status_by_set(
         objects, lab.label_lane_change(status, th), lab.label_emergency_brake(status, th),
         lab.label_turning(status, th), lab.label_congestion(summary, th))
