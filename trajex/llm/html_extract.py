@@ -325,7 +325,7 @@ def sampled(df: DataFrame, column: str, sample: int = SAMPLE) -> tuple[list[str]
     share = min(1.0, 4 * sample / max(among, 1))
     near = keyed.filter(hash_share(F.col("key"), 7) <= share).groupBy("key").agg(F.min("page").alias("page"))
     found = stage(page_blocks(bounded_sample(near, "key", among, sample), "page").distinct(), "blocks")
-    words = found.select(F.explode(F.split("block", " ")).alias("w")).select(F.trim(F.lit(".,;:!?"), F.col("w")).alias("w")).filter("w <> ''").distinct()
+    words = found.select(F.explode(F.split("block", " ")).alias("w")).select(F.trim(F.col("w"), F.lit(".,;:!?")).alias("w")).filter("w <> ''").distinct()
     words = [r["w"] for r in words.orderBy(F.xxhash64("w"), "w").limit(WORDS).collect()]
     sized = found.select("block", F.length("block").alias("n")).orderBy(F.xxhash64("block"), "block").limit(BLOCKS)
     # the running sum is over at most BLOCKS rows
