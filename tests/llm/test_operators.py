@@ -462,7 +462,7 @@ def test_hidden_elements_and_long_heads(spark):
 
 
 def test_html_extraction_on_other_layouts(spark):
-    paragraphs = texts(21, 60)
+    paragraphs = [p for p in texts(21, 60) if p.strip()]
     pages = [f"<body><nav><a href=x>m</a></nav><article><p>{p}</p><p>{q}</p></article></body>" for p, q in zip(paragraphs, paragraphs[1:])]
     words = sorted({w for p in paragraphs for w in p.split()})
     model = html_extract.train(paragraphs, words, layouts=250)
