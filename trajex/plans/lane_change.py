@@ -14,6 +14,7 @@ from trajex.operators import filters as flt
 from trajex.operators import geometry as geom
 from trajex.operators import sequence as seq
 from trajex.schema import EGO_PAD_SECONDS, SCAN_PIPELINE_A, SCAN_PIPELINE_B, ScanParams
+from trajex.session import materialize
 
 GROUP = ["recording_id", "id"]
 
@@ -27,7 +28,9 @@ def lane_change_pipeline(track: DataFrame, intervals: DataFrame, lines: DataFram
     unpadded interval."""
     ego_iv = flt.interval_pad(intervals, pad) if pad else intervals
     keep = tuple(c for c in group if c != "recording_id")
-    ego = flt.within_intervals(track, ego_iv, keep=keep)
+    # the scan and the validation read the rows inside the intervals: join once
+    inside = flt.within_intervals(track, ego_iv, keep=keep)
+    ego = materialize(inside.select(*group, "ptp_time", "Yaw", "PositionX", "PositionY"), "ego_in_intervals")
     windows = seq.lane_change_windows(seq.yaw_return_scan(ego, group, params))
     return geom.lane_change_validate(windows, ego, lines, group, line_intervals=intervals)
 

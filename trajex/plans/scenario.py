@@ -89,19 +89,21 @@ def scenario_labels(inp: SceneInputs, th: Thresholds = Thresholds(),
             .withColumn("_avg_v", F.avg("VelocityX").over(w)))
     ego_agg = ego.groupBy(*TK).agg(F.count(F.lit(1)).alias("_b"),
                                    F.avg("Velocity").alias("_ego_v"))
-    st = lab.status_labels(status, th, key=TK).withColumnRenamed("status", "_st")
+    if attach_speed:
+        # Status is not deduplicated, so a key with several status rows
+        # repeats the labelled row; a key without status keeps one row.  The
+        # rows carry their key's code along, so status is read and joined once
+        rows = status.select(*TK, "VehicleDirSAE_VehSpeed", lab.status_code(th).alias("_code"))
+        st = rows.withColumn("_st", F.max("_code").over(w)).drop("_code")
+    else:
+        st = lab.status_labels(status, th, key=TK).withColumnRenamed("status", "_st")
     j = objs.join(ego_agg, TK, "left").join(st, TK, "left")
     congested = ((F.col("_a") * F.col("_b") > th.congestion_count_min)
                  & (F.col("_avg_v") < th.congestion_avg_v_max)
                  & (F.col("_ego_v") < th.congestion_ego_v_max))
     code = F.greatest(F.col("_st"), F.when(congested, F.lit(STATUS_CONGESTION)))
-    out = (j.withColumn("status", F.coalesce(code, F.lit(STATUS_NONE)))
-           .drop("_a", "_avg_v", "_b", "_ego_v", "_st"))
-    if attach_speed:
-        # Status is not deduplicated, so a key with several status rows
-        # repeats the labelled row; a key without status keeps one row
-        out = out.join(status.select(*TK, "VehicleDirSAE_VehSpeed"), TK, "left")
-    return out.drop("_tk")
+    return (j.withColumn("status", F.coalesce(code, F.lit(STATUS_NONE)))
+            .drop("_a", "_avg_v", "_b", "_ego_v", "_st", "_tk"))
 
 
 def scenario_labels_two_pass(inp: SceneInputs, th: Thresholds = Thresholds()) -> DataFrame:
