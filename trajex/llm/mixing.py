@@ -249,10 +249,16 @@ def mix(df: DataFrame, id_column: str = "doc_id", column: str = "text", source_c
                        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), F.coalesce("n_shards", F.lit(0)).cast("long").alias("n_shards"))
 
 
-def cut_words(text: Column, ranges: Column) -> Column:
-    """The words of a text in some (at, words) ranges, joined by spaces."""
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return F.array_join(F.flatten(F.transform(ranges, lambda r: F.slice(words, (r["at"] + 1).cast("int"), r["words"].cast("int")))), " ")
+def cut_words(text: Column, cuts: Column, told) -> Column:
+    """``told(words, cut)`` for every one of the ``cuts``, with the words of a
+    text, which are found once."""
+    found = F.transform(F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), lambda words: F.transform(cuts, lambda c: told(words, c)))
+    return F.element_at(found, 1)
+
+
+def some(words: Column, cut: Column) -> Column:
+    """The words of a cut."""
+    return F.slice(words, (cut["at"] + 1).cast("int"), cut["words"].cast("int"))
 
 
 def mixed_blocks(df: DataFrame, id_column: str = "doc_id", column: str = "text", source_column: str = "source",
@@ -268,10 +274,10 @@ def mixed_blocks(df: DataFrame, id_column: str = "doc_id", column: str = "text",
     cuts = taken.groupBy("row").agg(F.collect_list(F.struct("place", "turn", "slot", "shard", "lo", "at", "words")).alias("cuts"))
     decided = rows.select("row", "key").join(cuts, "row").drop("row")
     texts = whole_rows(safe.select(F.col(name[column]).alias("text"), key.alias("k")), F.col("k"), rows, decided)
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.transform("cuts", lambda c: F.struct(c["place"].alias("place"), c["turn"].alias("turn"), c["slot"].alias("slot"), c["shard"].alias("shard"), c["lo"].alias("lo"),
-                                                 c["words"].alias("n"), F.array_join(F.slice("all", (c["at"] + 1).cast("int"), c["words"].cast("int")), " ").alias("part")))
-    each = texts.withColumn("all", words).select(F.explode(cut).alias("c")).select("c.*")
+    cut = cut_words(F.col("text"), F.col("cuts"), lambda words, c: F.struct(
+        c["place"].alias("place"), c["turn"].alias("turn"), c["slot"].alias("slot"), c["shard"].alias("shard"), c["lo"].alias("lo"),
+        c["words"].alias("n"), F.array_join(some(words, c), " ").alias("part")))
+    each = texts.select(F.explode(cut).alias("c")).select("c.*")
     # at most ``block`` pieces meet in a block
     packed = each.groupBy("shard", "place", "turn", "slot").agg(
         F.sum("n").alias("n_words"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("lo", "part"))), lambda p: p["part"]), " ").alias("text"))
@@ -293,7 +299,8 @@ def mixed_documents(df: DataFrame, id_column: str = "doc_id", column: str = "tex
     decided = rows.select("row", "key", "size").join(ranges, "row").drop("row")
     mixed = whole_rows(safe, key, rows, decided)
     whole = F.col(name[column])
-    mixed = mixed.withColumn("now", F.when(F.col("taken") < F.col("size"), cut_words(whole, F.col("ranges"))).otherwise(whole))
+    mixed = mixed.withColumn("now", F.when(
+        F.col("taken") < F.col("size"), F.array_join(F.flatten(cut_words(whole, F.col("ranges"), some)), " ")).otherwise(whole))
     length = name.get(length_column)
     if length:
         mixed = mixed.withColumn(length, F.length("now").cast(safe.schema[length].dataType))
