@@ -17,7 +17,7 @@ def test_overlay_keeps_row_count_and_priority(spark, sf_small):
     inp = qm.scene_inputs(spark, sf_small)
     out = scn.scenario_labels(inp)
     _, objects, _ = scn.prepared(inp)
-    assert out.count() == objects.count() == 1648
+    assert out.count() == objects.count() == 1297
     naive = sorted(map(tuple, lab.label_counts(scn.scenario_labels_naive(inp)).collect()))
     assert sorted(map(tuple, lab.label_counts(out).collect())) == naive
 

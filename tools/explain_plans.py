@@ -17,10 +17,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-QUERIES = ["scenario_labels", "speed_attach", "scene_summary", "highway_filter", "lane_change_scan",
+QUERIES = ["scenario_labels", "scenario_labels_store", "speed_attach", "scene_summary", "highway_filter", "lane_change_scan",
            "lane_change_pipeline", "trajectory_pipeline", "position_stitch", "boundary_cross_any",
            "straight_scene", "tag_overlap", "annotation_parse", "key_lookup", "replace_rows",
-           "signal_density", "geo_centre"]
+           "signal_density", "geo_centre", "interval_ends", "sketch_quantiles", "tag_ranked_page", "tag_json_flatten"]
 
 COUNTED = [("shuffles", r"^\(\d+\) Exchange$"), ("broadcasts", r"^\(\d+\) BroadcastExchange$"),
            ("broadcast joins", r"^\(\d+\) BroadcastHashJoin"), ("sort-merge joins", r"^\(\d+\) SortMergeJoin"),
