@@ -45,6 +45,14 @@ def test_replace_adds_partitions_and_drops_empty_ones(spark, store):
     assert not any("rec=r1" in f for f in files(store))
 
 
+def test_folders_keep_their_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tb.write_partitioned(spark.createDataFrame([("01", 1, "a"), ("1", 2, "b"), ("2", 3, "c")], "rec string, id long, v string"), path, ["rec"])
+    tb.update_in_store(spark, path, ["rec"], {"v": "new"}, spark.createDataFrame([(1,)], "id long"), ["id"])
+    rows = spark.read.schema("id long, v string, rec string").parquet(path).collect()
+    assert sorted((r.rec, r.id, r.v) for r in rows) == [("01", 1, "new"), ("1", 2, "b"), ("2", 3, "c")]
+
+
 def test_a_failed_rewrite_leaves_the_old_version(spark, store):
     before = files(store)
     with pytest.raises(Exception, match="stop here"):

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trajex.schema import DATE_TEXT_FORMAT
 from trajex.session import bounded_rows, checkpoint_dir, note_written
@@ -159,8 +160,12 @@ def rewrite_partitions(spark: SparkSession, path: str, by: list[str], keys: Data
     table first.  Spark then writes their partitions into a staging folder and
     moves them into place when all tasks are done, so a failure while rows are
     worked out or written leaves the old version readable.  Partitions left
-    without rows are removed last."""
-    table = spark.read.parquet(path)
+    without rows are removed last.  ``change`` sees the partition columns as
+    text, as the folders are named."""
+    # folder names are text: read as such, "01" is not written back as 1
+    found = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in by else f for f in found.fields])
+    table = spark.read.schema(schema).parquet(path)
     renamed = {c: f"_k{n}" for n, c in enumerate(cols)}
     asked = _maybe_broadcast(keys.select(*(F.col(f"`{c}`").alias(r) for c, r in renamed.items())).distinct())
     held = table.select(*dict.fromkeys([*by, *cols])).join(asked, [F.col(f"`{c}`").eqNullSafe(F.col(r)) for c, r in renamed.items()], "left_semi").select(*by)
@@ -177,7 +182,7 @@ def rewrite_partitions(spark: SparkSession, path: str, by: list[str], keys: Data
     rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     left = rows.select(*(F.col(c).alias(f"_p{n}") for n, c in enumerate(by))).distinct()
     empty = parts.join(left, [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(by)], "left_anti")
-    folders = spark.read.parquet(path).withColumn("_dir", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+    folders = spark.read.schema(schema).parquet(path).withColumn("_dir", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
     gone = folders.join(F.broadcast(empty.select(*(F.col(c).alias(f"_p{n}") for n, c in enumerate(by)))),
                         [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(by)], "left_semi").select("_dir").distinct()
     for r in gone.collect():  # folders whose last rows went
