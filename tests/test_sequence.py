@@ -214,8 +214,8 @@ def test_cells_split_whatever_repeats(spark, limit):
     got = seq.number_rows(df, ["g"], ["t", "v"], limit=limit)
     want = df.withColumn("_i", F.row_number().over(Window.partitionBy("g").orderBy("t", "v")) - 1)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
-    _, keys, sizes = seq.cells(df, ["g"], ["t", "v"], limit)
-    assert sizes.agg(F.sum("_cnt")).first()[0] == len(rows)
+    _, keys, sizes, number = seq.cells(df, ["g"], ["t", "v"], limit)
+    assert sizes.agg(F.sum("_cnt")).first()[0] == len(rows) and sizes.count() == number
     # a time with values that differ never stays one cell
     assert sizes.where("_k0 = 0 AND _k1 = 5.0").agg(F.max("_cnt")).first()[0] <= max(limit, 22)
 

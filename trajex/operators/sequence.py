@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from trajex.operators.cover import cover, levels_of, place
 from trajex.schema import (HEADING_LAG, POSITION_JUMP, WINDOW_HALF_WIDTH,
                            ScanParams)
-from trajex.session import bounded_rows, materialize, ship_package
+from trajex.session import materialize, ship_package
 
 # Rows per chunk for chunked windows and the chunked walk.
 CHUNK_ROWS = 1 << 16
@@ -55,9 +55,9 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
 
 
 def cells(df: DataFrame, group: list[str], order: list[str], limit: int,
-          bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> tuple[DataFrame, list[str], DataFrame]:
-    """Rows of ``df`` with cell keys, the names of the keys, and the written
-    row counts of the cells.  Cells follow each other in the order of their
+          bucket_seconds: float = NUMBER_BUCKET_SECONDS) -> tuple[DataFrame, list[str], DataFrame, int]:
+    """Rows of ``df`` with cell keys, the names of the keys, the written row
+    counts of the cells, and the number of cells.  Cells follow each other in the order of their
     keys as their rows do in ``order`` (first column a time in seconds; null
     times first, NaN last).
 
@@ -73,11 +73,16 @@ def cells(df: DataFrame, group: list[str], order: list[str], limit: int,
     def counted() -> DataFrame:
         return materialize(d.groupBy(*group, *keys).agg(F.count(F.lit(1)).alias("_cnt")), "cell_sizes")
 
+    def told() -> tuple[int, int]:
+        row = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("_cnt").alias("most")).first()
+        return row["n"], row["most"] or 0
+
     sizes = counted()
+    number, most = told()
     for n, column in enumerate([*order, None], 1):
-        heavy = sizes.where(F.col("_cnt") > limit)
-        if heavy.isEmpty():
+        if most <= limit:
             break
+        heavy = sizes.where(F.col("_cnt") > limit)
         if column is None:
             # equal rows may stand in any order, but in the same one each time
             d = materialize(d.withColumn("_row", F.monotonically_increasing_id()), "equal_rows")
@@ -88,7 +93,8 @@ def cells(df: DataFrame, group: list[str], order: list[str], limit: int,
         d = d.withColumn(f"_k{n}", F.when(F.col("_cnt").isNotNull(), value)).drop("_cnt", "_row")
         keys = [*keys, f"_k{n}"]
         sizes = counted()
-    return d, keys, sizes
+        number, most = told()
+    return d, keys, sizes, number
 
 
 def cell_offsets(sizes: DataFrame, group: list[str], keys: list[str]) -> DataFrame:
@@ -97,9 +103,9 @@ def cell_offsets(sizes: DataFrame, group: list[str], keys: list[str]) -> DataFra
     return sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0).cast("long")))
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if a counted bound proves it small."""
-    return F.broadcast(df) if bounded_rows(df, CELL_BROADCAST_ROWS) else df
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if the counted bound on its rows is small."""
+    return F.broadcast(df) if rows <= CELL_BROADCAST_ROWS else df
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "_i",
@@ -108,10 +114,10 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "_
     ``row_number() - 1`` over the group, but the row-level window is
     partitioned by (group, cell); only the small table of cell sizes is
     scanned per group.  Null group values are a group like any other."""
-    d, keys, sizes = cells(df, group, order, limit, bucket_seconds)
+    d, keys, sizes, number = cells(df, group, order, limit, bucket_seconds)
     offsets = cell_offsets(sizes, group, keys).drop("_cnt")
     wr = Window.partitionBy(*group, *keys).orderBy(*order)
-    numbered = join_groups(d, small_side(offsets), [*group, *keys])
+    numbered = join_groups(d, small_side(offsets, number), [*group, *keys])
     return (numbered.withColumn(out, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
             .drop(*keys, "_off"))
 
@@ -125,7 +131,7 @@ def chunk_copies(df: DataFrame, group: list[str], order: list[str], chunk: int,
     A chunk is a run of cells from about ``chunk`` rows.  Cells that start less
     than ``ahead`` rows after a chunk's end, or end less than ``behind`` rows
     before its start, are copied to it."""
-    d, keys, sizes = cells(df, group, order, max(1, chunk // 2), bucket_seconds)
+    d, keys, sizes, cell_count = cells(df, group, order, max(1, chunk // 2), bucket_seconds)
     in_order = Window.partitionBy(*group).orderBy("_off")
     table = cell_offsets(sizes, group, keys).withColumn("_end", F.col("_off") + F.col("_cnt"))
     number = F.floor(F.col("_off") / chunk)
@@ -142,8 +148,9 @@ def chunk_copies(df: DataFrame, group: list[str], order: list[str], chunk: int,
         copies = F.concat(copies, F.collect_list("_next").over(by_end))
     table = (table.withColumn("_to", copies).withColumn("_c", F.explode("_to")).withColumn("_own", F.col("_c") == F.col("_own_c"))
              .withColumn("_base", F.min("_off").over(Window.partitionBy(*group, "_c"))))
-    plan = materialize(table.select(*group, *keys, "_c", "_own", "_base"), "chunk_plan")
-    return join_groups(d, small_side(plan), [*group, *keys]), [*keys, *order]
+    plan = table.select(*group, *keys, "_c", "_own", "_base")
+    # a cell goes to its own chunk and, as chunks are longer than halos, to one on either side
+    return join_groups(d, small_side(plan, 3 * cell_count), [*group, *keys]), [*keys, *order]
 
 
 def chunk_rows(df: DataFrame, group: list[str], order: list[str], chunk: int, ahead: int = 0, behind: int = 0,
